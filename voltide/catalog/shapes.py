@@ -210,7 +210,10 @@ def positional_batches(spark, d):
     return R.positional_batches(table(spark, d, "events", "event_id", "ts"), order=["ts", "event_id"])
 
 
-@query(f"SELECT c_custkey, c_name FROM customer ORDER BY ((c_custkey % {R.SAMPLE_P}) * {R.SAMPLE_A} + {R.SAMPLE_B + 42}) % {R.SAMPLE_P}, c_custkey LIMIT 500")
+HASHED = f"(c_custkey % {R.SAMPLE_P} * {R.SAMPLE_A} + {(R.SAMPLE_B + 42 * R.SAMPLE_A * R.SAMPLE_A) % R.SAMPLE_P}) % {R.SAMPLE_P}"
+
+
+@query(f"SELECT c_custkey, c_name FROM (SELECT *, {HASHED} AS h FROM customer) ORDER BY (h * (h + {R.SAMPLE_A})) % {R.SAMPLE_P}, c_custkey LIMIT 500")
 def seeded_sample_n(spark, d):
     return R.seeded_sample_n(table(spark, d, "customer", "c_custkey", "c_name"), key="c_custkey", n=500, seed=42)
 

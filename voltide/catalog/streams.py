@@ -13,6 +13,14 @@ VOTE = f"""SELECT date_trunc('day', ts)::TIMESTAMP AS window_start, (date_trunc(
   CAST(avg(p) > {HALF} AS INTEGER) AS prediction_mean_class, CAST(sum(yhat) >= count(*) / 2.0 AS INTEGER) AS prediction_majority_vote,
   round(max(p), 6) AS prediction_max_proba, CAST(max(p) > {HALF} AS INTEGER) AS prediction_max_class FROM preds GROUP BY 1, 2"""
 
+SLIDING = """SELECT w AS window_start, w + INTERVAL 5 MINUTES AS window_end, event_type, count(*) AS n_values, count(*) FILTER (value > 60) AS n_breaches FROM (
+  SELECT event_type, value, unnest([date_trunc('minute', ts)::TIMESTAMP - to_minutes(CAST(i AS INTEGER)) for i in range(5)]) AS w FROM events) GROUP BY 1, 2, 3"""
+
+
+def zone_free(df):
+    """The windows as zone-free times again, in the session's zone."""
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
+
 
 def _stream(spark, d, name, *, max_files=None):
     schema = spark.read.parquet(f"{d}/{name}.parquet").schema
@@ -29,18 +37,23 @@ def stream_score(spark, d):
     return spark.read.parquet(path)
 
 
-@query()
+@query(
+    f"SELECT * FROM ({VOTE}) WHERE window_end <= (SELECT max(ts) FROM preds) - INTERVAL 1 HOUR",
+    "preds",
+)
 def stream_daily_vote(spark, d):
     rows = _stream(spark, d, "events").select("ts", (F.col("value") / (F.col("value") + 50)).alias("p"))
     path = J.run_available(J.stream_daily_vote(rows), "votes")
-    return spark.read.parquet(path)
+    return r6(zone_free(spark.read.parquet(path)))
 
 
-@query()
+@query(
+    f"SELECT * FROM ({SLIDING}) WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTES",
+)
 def stream_metric_breach(spark, d):
     rows = _stream(spark, d, "events").select("ts", "event_type", "value")
     path = J.run_available(J.stream_metric_breach(rows, by=["event_type"], breach=F.col("value") > 60), "breaches")
-    return spark.read.parquet(path)
+    return zone_free(spark.read.parquet(path))
 
 
 @query(VOTE, "preds")
@@ -49,10 +62,7 @@ def tumbling_vote(spark, d):
     return r6(votes)
 
 
-@query(
-    """SELECT w AS window_start, w + INTERVAL 5 MINUTES AS window_end, event_type, count(*) AS n_values, count(*) FILTER (value > 60) AS n_breaches FROM (
-      SELECT event_type, value, unnest([date_trunc('minute', ts)::TIMESTAMP - to_minutes(CAST(i AS INTEGER)) for i in range(5)]) AS w FROM events) GROUP BY 1, 2, 3"""
-)
+@query(SLIDING)
 def sliding_breach(spark, d):
     rows = table(spark, d, "events").select("ts", "event_type", "value")
     return J.sliding_breach(rows, by=["event_type"], breach=F.col("value") > 60)

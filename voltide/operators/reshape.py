@@ -13,8 +13,8 @@ from voltide.functions.scalars import nonblank
 from voltide.operators.ordering import row_index
 
 NOT_FEATURES = ("Date", "date", "Headline", "headline", "vol_up")
-# The hash used for reproducible samples, (key * A + B) mod P, spelled so that any
-# SQL engine can repeat it.
+# Multiplier, offset and modulus of the sampling hash, which uses only integer
+# arithmetic so that any SQL engine can repeat it.
 SAMPLE_A, SAMPLE_B, SAMPLE_P = 48271, 12345, 2147483647
 
 
@@ -115,7 +115,10 @@ def positional_batches(df: DataFrame, *, order: Sequence[str], size: int = 500,
 
 
 def sample_order(key: str, seed: int = 0) -> Column:
-    return F.pmod(F.pmod(F.col(key), F.lit(SAMPLE_P)) * F.lit(SAMPLE_A) + F.lit(SAMPLE_B + seed), F.lit(SAMPLE_P))
+    """h * (h + A) mod P over h = (key * A + offset of the seed) mod P."""
+    offset = (SAMPLE_B + seed * SAMPLE_A * SAMPLE_A) % SAMPLE_P
+    h = F.pmod(F.pmod(F.col(key).cast("bigint"), F.lit(SAMPLE_P)) * SAMPLE_A + offset, F.lit(SAMPLE_P))
+    return F.pmod(h * (h + SAMPLE_A), F.lit(SAMPLE_P))
 
 
 def seeded_sample_n(df: DataFrame, *, key: str, n: int, seed: int = 0) -> DataFrame:
