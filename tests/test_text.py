@@ -52,8 +52,8 @@ def test_no_python_in_text_plans(docs):
 
 def test_given_stems_and_rule_agree(docs):
     stems = X.stem_table(docs, doc="id", text="t")
-    by_table = X.direction_analyzer_counts(docs, doc="id", text="t", stems=stems, stopwords=["the"])
-    by_rule = X.direction_analyzer_counts(docs, doc="id", text="t", stopwords=["the"])
+    by_table = X.direction_terms(docs, doc="id", text="t", stems=stems, stopwords=["the"])
+    by_rule = X.direction_terms(docs, doc="id", text="t", stopwords=["the"])
     assert sorted(map(tuple, by_table.collect())) == sorted(map(tuple, by_rule.collect()))
 
 

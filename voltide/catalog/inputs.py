@@ -137,7 +137,7 @@ def asof(df: DataFrame, ts: str = "ts") -> Column:
 
 def tall(spark: SparkSession, d: str) -> DataFrame:
     """Tall text with target: labelled documents."""
-    docs, labels = table(spark, d, "documents", "doc_id", "text"), table(spark, d, "labels", "doc_id", "quality")
+    docs, labels = table(spark, d, "documents", "doc_id", "text", spread_by="doc_id"), table(spark, d, "labels", "doc_id", "quality")
     day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 30).cast("int"))
     return docs.join(labels, "doc_id", "inner").select("doc_id", day.alias("date"), F.col("text").alias("Headline"), F.col("quality").alias("vol_up"))
 

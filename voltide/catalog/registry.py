@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from voltide.sources.tables import scan_parquet
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -52,6 +54,5 @@ def r6(df: DataFrame, *cols: str) -> DataFrame:
     return df.withColumns({c: F.round(c, 6) for c in names})
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, *columns: str | Column) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return df.select(*columns) if columns else df
+def table(spark: SparkSession, sf_dir: str, name: str, *columns: str, spread_by: str | None = None) -> DataFrame:
+    return scan_parquet(spark, f"{sf_dir}/{name}.parquet", columns=columns, spread_by=spread_by)

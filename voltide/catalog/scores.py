@@ -31,7 +31,7 @@ def headline_length(spark, d):
 
 @query("SELECT doc_id, len(regexp_extract_all(text, '\\S+')) AS n FROM documents")
 def word_count(spark, d):
-    return table(spark, d, "documents").select("doc_id", S.word_count("text").cast("bigint").alias("n"))
+    return _texts(spark, d).select("doc_id", S.word_count("text").cast("bigint").alias("n"))
 
 
 @query("SELECT conv_id, " + ", ".join(f"regexp_matches({s}, '\\S') AS ok_{s}" for s in SLOTS) + " FROM wide", "wide")
@@ -41,12 +41,16 @@ def nonblank(spark, d):
 
 @query(f"SELECT doc_id, round({KEYWORD}, 6) AS score FROM documents")
 def keyword_score(spark, d):
-    return r6(table(spark, d, "documents").select("doc_id", S.keyword_score("text").alias("score")))
+    return r6(_texts(spark, d).select("doc_id", S.keyword_score("text").alias("score")))
 
 
 @query(f"SELECT doc_id, round({SIMPLE}, 6) AS score FROM documents")
 def keyword_score_simple(spark, d):
-    return r6(table(spark, d, "documents").select("doc_id", S.keyword_score_simple("text").alias("score")))
+    return r6(_texts(spark, d).select("doc_id", S.keyword_score_simple("text").alias("score")))
+
+
+def _texts(spark, d):
+    return table(spark, d, "documents", "doc_id", "text", spread_by="doc_id")
 
 
 @query(f"SELECT event_id, CAST(p > {HALF} AS INTEGER) AS batch_class, CAST(p >= {HALF} AS INTEGER) AS online_class FROM preds", "preds")
@@ -152,7 +156,8 @@ def api_vote(spark, d):
 
 
 def _requests(spark, d):
-    return table(spark, d, "conversations").select("conv_id", "turn", S.keyword_score("text").alias("p"))
+    turns = table(spark, d, "conversations", "conv_id", "turn", "text", spread_by="conv_id")
+    return turns.select("conv_id", "turn", S.keyword_score("text").alias("p"))
 
 
 @query(

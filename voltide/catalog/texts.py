@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from voltide.catalog.inputs import STOP_SQL, STOPWORDS
-from voltide.catalog.registry import cte, query, r6, table
+from voltide.catalog.registry import cte, query, r6
 from voltide.functions import text as T
 from voltide.operators import text_features as X
-from voltide.operators.ordering import spread
+from voltide.sources.tables import scan_parquet
 
 W1, W2 = "[\\p{L}\\p{N}_]+", "[\\p{L}\\p{N}_]{2,}"
 K = 500
@@ -23,18 +23,18 @@ cte("vocab", f"SELECT term, count(*) AS corpus_count FROM terms GROUP BY term OR
 cte("counts", "SELECT doc_id, term, count(*) AS tf FROM terms JOIN vocab USING (term) GROUP BY 1, 2", "vocab")
 
 
-def docs(spark, d):
-    return table(spark, d, "documents", "doc_id", "text")
+def docs(spark, d, *more):
+    return scan_parquet(spark, f"{d}/documents.parquet", columns=["doc_id", "text", *more], spread_by="doc_id")
 
 
 @query(f"SELECT doc_id, regexp_extract_all(lower(text), '{W1}') AS tokens FROM documents")
 def tokenize_words(spark, d):
-    return spread(docs(spark, d), "doc_id").select("doc_id", T.tokenize("text").alias("tokens"))
+    return docs(spark, d).select("doc_id", T.tokenize("text").alias("tokens"))
 
 
 @query("SELECT doc_id, w AS tokens FROM words", "words")
 def remove_stopwords(spark, d):
-    rows = spread(docs(spark, d), "doc_id")
+    rows = docs(spark, d)
     return rows.select("doc_id", T.remove_stopwords(T.tokenize("text", T.WORD2), STOPWORDS).alias("tokens"))
 
 
@@ -43,7 +43,7 @@ def remove_stopwords(spark, d):
     "words",
 )
 def ngrams_1_2(spark, d):
-    rows = spread(docs(spark, d), "doc_id")
+    rows = docs(spark, d)
     words = rows.select("doc_id", T.remove_stopwords(T.tokenize("text", T.WORD2), STOPWORDS).alias("w"))
     return words.select("doc_id", T.ngrams(F.col("w"), (1, 2), "_").alias("ngrams"))
 
@@ -124,7 +124,7 @@ cte(
     "descr_long",
 )
 def text_descriptors(spark, d):
-    rows = table(spark, d, "documents", "doc_id", "text", "lang")
+    rows = docs(spark, d, "lang")
     english = rows.where(F.col("lang") == "en")
     vocabulary = X.top_k_vocabulary(english, doc="doc_id", text="text", sizes=(1, 1), pattern=T.WORD, max_features=K)
     return r6(X.text_descriptors(rows, doc="doc_id", text="text", by=["lang"], vocabulary=vocabulary))

@@ -31,11 +31,7 @@ def _split(df):
 
 def _fitted(spark, d):
     train, test = _split(headlines(spark, d))
-    kept = ML.prepared(train, "doc_id")
-    try:
-        return ML.train_boosted_trees(kept, **HOW, **SMALL), test
-    finally:
-        kept.unpersist()
+    return ML.train_boosted_trees(train, **HOW, **SMALL), test
 
 
 @query()
@@ -75,7 +71,7 @@ def score_day(spark, d):
 @query()
 def search_hyperparameters(spark, d):
     train, val = _split(headlines(spark, d))
-    train, val = ML.prepared(train, "doc_id"), ML.prepared(val, "doc_id")
+    train, val = ML.prepared(train), ML.prepared(val)
     tried = ML.grid_candidates(max_features=[50, 100], max_ngram=[1], max_depth=[2], n_estimators=[3])
     _, log = ML.search_hyperparameters(train, val, tried, day="date", order="doc_id", **HOW)
     train.unpersist()

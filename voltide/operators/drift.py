@@ -9,12 +9,14 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from voltide.operators.metrics import duplicated_rows, is_constant
 from voltide.operators.ordering import row_index, running_sums
 
 # Thresholds of the drift tests: p-value for the small-sample tests, distance for the
@@ -207,21 +209,16 @@ def quality_tests(reference: DataFrame, current: DataFrame) -> DataFrame:
     Columns with nulls, rows with nulls, constant columns, duplicated rows (none more than in the
     reference), equal column types.
     """
-    from functools import reduce
-
     def facts(df: DataFrame) -> DataFrame:
         cols = df.columns
-        distinct = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
-        any_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols])
-        has_null = [(F.count_if(F.col(c).isNull()) > 0).cast("bigint") for c in cols]
-        constant = [((F.count(c) > 0) & F.min(c).eqNullSafe(F.max(c))).cast("bigint") for c in cols]
         plus = lambda xs: reduce(lambda a, b: a + b, xs)
-        return distinct.agg(
-            plus(has_null).alias("columns_with_nulls"),
-            F.coalesce(F.sum(F.when(any_null, F.col("_n"))), F.lit(0)).alias("rows_with_nulls"),
-            plus(constant).alias("constant_columns"),
-            F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicated_rows"),
+        any_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols])
+        found = df.agg(
+            plus([(F.count_if(F.col(c).isNull()) > 0).cast("bigint") for c in cols]).alias("columns_with_nulls"),
+            F.count_if(any_null).alias("rows_with_nulls"),
+            plus([is_constant(c).cast("bigint") for c in cols]).alias("constant_columns"),
         )
+        return found.withColumn("duplicated_rows", duplicated_rows(df))
 
     names = ["columns_with_nulls", "rows_with_nulls", "constant_columns", "duplicated_rows"]
     have = dict(current.dtypes)
@@ -255,8 +252,6 @@ def period_reports(reference: DataFrame, current: DataFrame, *, col: str, order:
     rows, finds its largest gap: between two of its own values the period's CDF is flat, so the
     extremes sit at its values and just below them.
     """
-    from pyspark.sql import Window
-
     rows = current.select(*order, F.col(col).cast("double").alias("value")).where(F.col("value").isNotNull())
     numbered = row_index(rows, order=order, out="_row").withColumn("period", F.floor((F.col("_row") - 1) / size))
     per = numbered.groupBy("period", "value").agg(F.count(F.lit(1)).alias("k"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -303,22 +304,44 @@ def null_counts(df: DataFrame, *, only_missing: bool = True) -> DataFrame:
     return long.where(F.col("n_missing") > 0) if only_missing else long
 
 
+def row_digest(df: DataFrame) -> Column:
+    """SHA-256 of a row: equal rows have equal digests. Each value is written with its length, so
+    values cannot run into each other, and null differs from every text."""
+    parts = []
+    for c in df.columns:
+        text = F.col(c).cast("string")
+        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("n")))
+    return F.sha2(F.concat(*parts), 256)
+
+
+def duplicated_rows(df: DataFrame) -> Column:
+    """Number of rows that repeat another one, as a scalar subquery.
+
+    Rows with texts are shuffled as digests, not as texts.
+    """
+    has_text = any(t not in ("int", "bigint", "double", "float", "boolean", "date", "timestamp", "timestamp_ntz") for _, t in df.dtypes)
+    keyed = df.select(row_digest(df).alias("_digest")) if has_text else df
+    groups = keyed.groupBy(*keyed.columns).agg(F.count(F.lit(1)).alias("_n"))
+    return groups.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0))).scalar()
+
+
+def is_constant(c: str) -> Column:
+    """All known values are the same one."""
+    return (F.count(c) > 0) & F.min(c).eqNullSafe(F.max(c))
+
+
 def dataset_summary(df: DataFrame) -> DataFrame:
     """Rows, columns, missing cells, constant and empty columns, duplicated rows."""
     cols = df.columns
-    distinct = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
-    missing = [F.sum(F.when(F.col(c).isNull(), F.col("_n")).otherwise(0)) for c in cols]
-    empty = [(F.count(c) == 0).cast("int") for c in cols]
-    constant = [((F.count(c) > 0) & F.min(c).eqNullSafe(F.max(c))).cast("int") for c in cols]
-    total = lambda xs: sum(xs[1:], xs[0])
-    return distinct.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("n_rows"),
+    total = lambda xs: reduce(lambda a, b: a + b, xs)
+    facts = df.agg(
+        F.count(F.lit(1)).alias("n_rows"),
         F.lit(len(cols)).alias("n_columns"),
-        F.coalesce(total(missing), F.lit(0)).alias("n_missing_cells"),
-        total(constant).alias("n_constant_columns"),
-        total(empty).alias("n_empty_columns"),
-        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("n_duplicated_rows"),
+        total([F.count_if(F.col(c).isNull()) for c in cols]).alias("n_missing_cells"),
+        total([is_constant(c).cast("int") for c in cols]).alias("n_constant_columns"),
+        total([(F.count(c) == 0).cast("int") for c in cols]).alias("n_empty_columns"),
     )
+    return facts.withColumn("n_duplicated_rows", duplicated_rows(df))
 
 
 def column_summary(df: DataFrame, *, cols: Sequence[str]) -> DataFrame:

@@ -7,6 +7,7 @@ import random
 from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import (
@@ -28,7 +29,6 @@ from pyspark.sql import functions as F
 from voltide.functions.scalars import TEXT_ERROR, class_threshold, confidence, interpretation
 from voltide.functions.text import WORD2
 from voltide.operators.metrics import headline_metrics, roc_auc, vote_method_metrics
-from voltide.operators.ordering import spread
 from voltide.operators.votes import daily_vote
 
 # The search space (choices, then uniform ranges).
@@ -63,13 +63,19 @@ def text_stages(*, text: str, max_features: int, max_ngram: int, stopwords: Sequ
     return stages
 
 
-def fit_text(df: DataFrame, *, text: str, max_features: int, max_ngram: int, stopwords: Sequence[str] | None = None) -> PipelineModel:
+def fit_text(df: DataFrame, *, text: str, max_features: int, max_ngram: int, stopwords: Sequence[str] | None = None, keep: Sequence[str] = ()) -> tuple[PipelineModel, PipelineModel, DataFrame]:
     """Counts, then tf * (idf + 1) and unit length. Spark's IDF lacks the + 1, so its fitted weights
-    (``max_features`` numbers) are raised by one in an element-wise product."""
+    (``max_features`` numbers) are raised by one in an element-wise product.
+
+    Returns (the whole model, its weighing part, the term counts with the ``keep`` columns). The
+    counts are persisted, so that later passes do not tokenise again; the caller lets them go.
+    """
     counting = Pipeline(stages=text_stages(text=text, max_features=max_features, max_ngram=max_ngram, stopwords=stopwords)).fit(df)
-    idf = IDF(inputCol="_counts", outputCol="_idf").fit(counting.transform(df)).idf.toArray() + 1.0
+    counted = prepared(counting.transform(df).select("_counts", *keep))
+    idf = IDF(inputCol="_counts", outputCol="_idf").fit(counted).idf.toArray() + 1.0
     weighing = ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="_counts", outputCol="_weighted")
-    return PipelineModel(stages=[*counting.stages, weighing, Normalizer(p=2.0, inputCol="_weighted", outputCol="_text")])
+    tail = [weighing, Normalizer(p=2.0, inputCol="_weighted", outputCol="_text")]
+    return PipelineModel(stages=[*counting.stages, *tail]), PipelineModel(stages=tail), counted
 
 
 def assembler(numeric: Sequence[str]) -> VectorAssembler:
@@ -98,8 +104,8 @@ def train_boosted_trees(
 ) -> PipelineModel:
     """Text and numeric features into gradient-boosted trees with log loss, as one saved pipeline."""
     p = {**DEFAULTS, **params}
-    rows = fill_numeric(df, numeric)
-    vectors = fit_text(rows, text=text, max_features=int(p["max_features"]), max_ngram=int(p["max_ngram"]), stopwords=stopwords)
+    kept = [label, *numeric, *([weight] if weight else [])]
+    vectors, weighing, counted = fit_text(fill_numeric(df, numeric), text=text, max_features=int(p["max_features"]), max_ngram=int(p["max_ngram"]), stopwords=stopwords, keep=kept)
     trees = GBTClassifier(
         featuresCol="features",
         labelCol=label,
@@ -114,15 +120,19 @@ def train_boosted_trees(
     )
     if weight:
         trees = trees.setWeightCol(weight)
-    matrix = PipelineModel(stages=[*vectors.stages, assembler(numeric)])
-    fitted = trees.fit(matrix.transform(rows).select("features", label, *([weight] if weight else [])))
-    return PipelineModel(stages=[*matrix.stages, fitted])
+    matrix = assembler(numeric)
+    try:
+        fitted = trees.fit(matrix.transform(weighing.transform(counted)).select("features", label, *([weight] if weight else [])))
+    finally:
+        counted.unpersist()
+    return PipelineModel(stages=[*vectors.stages, matrix, fitted])
 
 
 def assemble_features(df: DataFrame, *, text: str, numeric: Sequence[str] = (), max_features: int = 1000, max_ngram: int = 2, stopwords: Sequence[str] | None = None) -> DataFrame:
     """The feature vector (text weights, then the numeric columns) as column ``features``."""
     rows = fill_numeric(df, numeric)
-    vectors = fit_text(rows, text=text, max_features=max_features, max_ngram=max_ngram, stopwords=stopwords)
+    vectors, _, counted = fit_text(rows, text=text, max_features=max_features, max_ngram=max_ngram, stopwords=stopwords)
+    counted.unpersist()
     built = PipelineModel(stages=[*vectors.stages, assembler(numeric)]).transform(rows)
     return built.drop(*[c for c in built.columns if c.startswith("_")])
 
@@ -261,6 +271,6 @@ def daily_auc(daily: DataFrame) -> DataFrame:
     return roc_auc(daily, y="true_label", score="prediction_mean_proba")
 
 
-def prepared(df: DataFrame, key: str) -> DataFrame:
-    """Training rows spread over the cluster and kept for the many passes of boosting."""
-    return spread(df, key).persist()
+def prepared(df: DataFrame) -> DataFrame:
+    """Training rows kept for the many passes of a search; lost blocks are recomputed."""
+    return df.persist(StorageLevel.MEMORY_AND_DISK)

@@ -56,19 +56,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Spread a scan that arrives in fewer partitions than the cluster has cores.
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """Spread a plain table scan that has fewer splits than the cluster has cores, before CPU-heavy
+    work per row. Large tables already come in many splits and pass through without a shuffle.
 
-    Large inputs already come in many splits and pass through without a shuffle.
+    Only for scans: counting the partitions of a plan with shuffles would run them.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
-
-
-def same_keys(left: DataFrame, right: DataFrame, keys: Iterable[str]) -> Column:
-    """Null-safe equality of the key columns of two frames."""
-    pairs = [left[k].eqNullSafe(right[k]) for k in keys]
-    return reduce(lambda a, b: a & b, pairs)
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, key)
 
 
 def range_chunks(df: DataFrame, keys: Sequence[str], chunk: str = CHUNK) -> DataFrame:
@@ -109,25 +104,26 @@ def running_sums(
     Adds ``<c>_before`` (sum of ``c`` over the earlier rows of the group) and ``<c>_total`` for
     each column of ``sums``; with ``next_of``, also ``<next_of>_next``, the following row's value.
     ``order`` must be total within a group, and ``next_of`` its leading column.
+
+    Each chunk gets one extra row in front of its own rows that carries the sums of the chunks
+    before it. An ordinary running sum inside the chunk then is the running sum of the group, with
+    one shuffle and no join.
     """
     by, order = list(by), list(order)
     chunked = checkpointed(range_chunks(df, [*by, *order]))
-    local = Window.partitionBy(*by, CHUNK).orderBy(*order)
-    earlier = local.rowsBetween(Window.unboundedPreceding, -1)
-    cols = {f"_local_{c}": F.coalesce(F.sum(c).over(earlier), F.lit(0)) for c in sums}
-    if next_of is not None:
-        cols["_local_next"] = F.lead(next_of).over(local)
-    rows = chunked.withColumns(cols)
     starts = chunk_starts(chunked, by, sums, first=next_of)
-    keys = [*by, CHUNK]
-    renamed = starts.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[c for c in starts.columns if c not in keys])
-    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
-    joined = rows.join(renamed, on, "inner")
-    out = {f"{c}_before": F.col(f"_start_{c}") + F.col(f"_local_{c}") for c in sums}
+    carried = [f"{c}_total" for c in sums] + (["_next_first"] if next_of is not None else [])
+    heads = starts.select(*by, CHUNK, *[F.col(f"_start_{c}").alias(c) for c in sums], *carried, F.lit(0).alias("_row"))
+    rows = chunked.withColumn("_row", F.lit(1)).unionByName(heads, allowMissingColumns=True)
+    w = Window.partitionBy(*by, CHUNK).orderBy("_row", *order)
+    earlier = w.rowsBetween(Window.unboundedPreceding, -1)
+    head = w.rowsBetween(Window.unboundedPreceding, 0)
+    out = {f"{c}_before": F.coalesce(F.sum(c).over(earlier), F.lit(0)) for c in sums}
+    totals = {f"{c}_total": F.first(f"{c}_total").over(head) for c in sums}
     if next_of is not None:
-        out[f"{next_of}_next"] = F.coalesce("_local_next", "_next_first")
-    joined = joined.withColumns(out)
-    return joined.select(*df.columns, *out, *[f"{c}_total" for c in sums])
+        out[f"{next_of}_next"] = F.coalesce(F.lead(next_of).over(w), F.first("_next_first").over(head))
+    summed = rows.withColumns({**out, **totals}).where(F.col("_row") == 1)
+    return summed.select(*df.columns, *out, *totals)
 
 
 def row_index(df: DataFrame, *, by: Sequence[str] = (), order: Sequence[str], out: str = "row_num") -> DataFrame:

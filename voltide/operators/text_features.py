@@ -1,4 +1,9 @@
-"""Term counts, vocabulary, TF-IDF and text descriptors as relational operations."""
+"""Term counts, vocabulary, TF-IDF and text descriptors as relational operations.
+
+Every function that needs a vocabulary tokenises the text twice, once for the vocabulary and once
+for the counts. Reading again is cheaper than shuffling every (document, n-gram) pair only to drop
+all but the chosen terms.
+"""
 
 from __future__ import annotations
 
@@ -8,8 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltide.functions.text import WORD, WORD2, ngrams, remove_stopwords, tokenize
-from voltide.operators.metrics import column_quantile
-from voltide.operators.ordering import spread
+from voltide.operators.metrics import quantiles_of
+from voltide.operators.ordering import running_sums
 
 #: A vocabulary up to this many terms is broadcast; a longer one joins by shuffle.
 BROADCAST_TERMS = 200_000
@@ -26,19 +31,18 @@ def doc_terms(
     joiner: str = " ",
 ) -> DataFrame:
     """One row per n-gram occurrence. Stop words leave before anything is exploded or shuffled."""
-    rows = spread(df.select(doc, text), doc)
-    words = rows.select(doc, remove_stopwords(tokenize(text, pattern), stopwords).alias("_words"))
+    words = df.select(doc, remove_stopwords(tokenize(text, pattern), stopwords).alias("_words"))
     return words.select(doc, F.explode(ngrams(F.col("_words"), sizes, joiner)).alias("term"))
 
 
-def term_counts(df: DataFrame, *, doc: str, text: str, **how) -> DataFrame:
-    """Count of each n-gram in each document; a frequent term is spread over its documents."""
-    return doc_terms(df, doc=doc, text=text, **how).groupBy(doc, "term").agg(F.count(F.lit(1)).alias("tf"))
+def count_terms(terms: DataFrame, *, doc: str) -> DataFrame:
+    """Count of each term in each document; a frequent term is spread over its documents."""
+    return terms.groupBy(doc, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def top_k_vocabulary(df: DataFrame, *, doc: str, text: str, max_features: int = 1000, **how) -> DataFrame:
-    """The most frequent n-grams with their corpus counts; ties go to the smaller term."""
-    counts = doc_terms(df, doc=doc, text=text, **how).groupBy("term").agg(F.count(F.lit(1)).alias("corpus_count"))
+def most_frequent(terms: DataFrame, max_features: int) -> DataFrame:
+    """The terms with the largest corpus counts; ties go to the smaller term."""
+    counts = terms.groupBy("term").agg(F.count(F.lit(1)).alias("corpus_count"))
     return counts.orderBy(F.desc("corpus_count"), "term").limit(max_features)
 
 
@@ -46,15 +50,23 @@ def _small(vocabulary: DataFrame, max_features: int) -> DataFrame:
     return F.broadcast(vocabulary) if max_features <= BROADCAST_TERMS else vocabulary
 
 
-def count_vectorize(df: DataFrame, *, doc: str, text: str, max_features: int = 1000, **how) -> DataFrame:
-    """Counts of the vocabulary's terms per document.
+def count_vocabulary(terms: DataFrame, *, doc: str, max_features: int) -> DataFrame:
+    """Counts per document of the ``max_features`` most frequent terms: the others are dropped
+    before the shuffle."""
+    vocabulary = most_frequent(terms, max_features).select("term")
+    return count_terms(terms.join(_small(vocabulary, max_features), "term", "inner"), doc=doc)
 
-    The text is tokenised once for the vocabulary and once for the counts: rereading is cheaper
-    than shuffling every (document, n-gram) pair only to drop all but ``max_features`` terms.
-    """
-    vocabulary = top_k_vocabulary(df, doc=doc, text=text, max_features=max_features, **how).select("term")
-    kept = doc_terms(df, doc=doc, text=text, **how).join(_small(vocabulary, max_features), "term", "inner")
-    return kept.groupBy(doc, "term").agg(F.count(F.lit(1)).alias("tf"))
+
+def term_counts(df: DataFrame, *, doc: str, text: str, **how) -> DataFrame:
+    return count_terms(doc_terms(df, doc=doc, text=text, **how), doc=doc)
+
+
+def top_k_vocabulary(df: DataFrame, *, doc: str, text: str, max_features: int = 1000, **how) -> DataFrame:
+    return most_frequent(doc_terms(df, doc=doc, text=text, **how), max_features)
+
+
+def count_vectorize(df: DataFrame, *, doc: str, text: str, max_features: int = 1000, **how) -> DataFrame:
+    return count_vocabulary(doc_terms(df, doc=doc, text=text, **how), doc=doc, max_features=max_features)
 
 
 def tfidf(df: DataFrame, *, doc: str, text: str, max_features: int = 1000, **how) -> DataFrame:
@@ -76,16 +88,14 @@ def weigh(counts: DataFrame, docs: DataFrame, *, doc: str, max_features: int) ->
 def stem_dictionary(df: DataFrame, *, doc: str, text: str, stems: DataFrame, stopwords: Sequence[str] = ()) -> DataFrame:
     """Tokens with their stems. Each *distinct* token is mapped once through the (token, stem)
     table, and tokens missing there keep their form. Returns (doc, pos, token, stem)."""
-    rows = spread(df.select(doc, text), doc)
-    words = rows.select(doc, remove_stopwords(tokenize(text, WORD), stopwords).alias("_words"))
+    words = df.select(doc, remove_stopwords(tokenize(text, WORD), stopwords).alias("_words"))
     tokens = words.select(doc, F.posexplode("_words").alias("pos", "token"))
     joined = tokens.join(stems, "token", "left")
     return joined.select(doc, "pos", "token", F.coalesce("stem", "token").alias("stem"))
 
 
 def distinct_tokens(df: DataFrame, *, doc: str, text: str) -> DataFrame:
-    rows = spread(df.select(doc, text), doc)
-    return rows.select(F.explode(F.array_distinct(tokenize(text, WORD))).alias("token")).distinct()
+    return df.select(F.explode(F.array_distinct(tokenize(text, WORD))).alias("token")).distinct()
 
 
 def suffix_stem(token: Column) -> Column:
@@ -99,60 +109,63 @@ def stem_table(df: DataFrame, *, doc: str, text: str) -> DataFrame:
     return distinct_tokens(df, doc=doc, text=text).select("token", suffix_stem(F.col("token")).alias("stem"))
 
 
-def direction_analyzer_counts(df: DataFrame, *, doc: str, text: str, stems: DataFrame | None = None, stopwords: Sequence[str] = ()) -> DataFrame:
-    """Term counts of the second analyzer: words, stop words out, stems, then single stems and
-    adjacent pairs joined by ``_``.
+def direction_terms(df: DataFrame, *, doc: str, text: str, stems: DataFrame | None = None, stopwords: Sequence[str] = ()) -> DataFrame:
+    """Terms of the second analyzer: words, stop words out, stems, then single stems and adjacent
+    pairs joined by ``_``.
 
-    With a (token, stem) table, pairs are formed inside one document by ``lead`` over the position.
+    With a (token, stem) table, pairs are formed inside one document by ``lead`` over the position;
+    the rule works inside the row.
     """
     if stems is None:
-        rows = spread(df.select(doc, text), doc)
-        words = rows.select(doc, remove_stopwords(tokenize(text, WORD), stopwords).alias("_words"))
+        words = df.select(doc, remove_stopwords(tokenize(text, WORD), stopwords).alias("_words"))
         stemmed = words.select(doc, F.transform("_words", suffix_stem).alias("_stems"))
-        terms = stemmed.select(doc, F.explode(ngrams(F.col("_stems"), (1, 2), "_")).alias("term"))
-    else:
-        tokens = stem_dictionary(df, doc=doc, text=text, stems=stems, stopwords=stopwords)
-        following = F.lead("stem").over(Window.partitionBy(doc).orderBy("pos"))
-        pairs = tokens.select(doc, "stem", F.concat("stem", F.lit("_"), following).alias("pair"))
-        both = pairs.select(doc, F.explode(F.array("stem", "pair")).alias("term"))
-        terms = both.where(F.col("term").isNotNull())
-    return terms.groupBy(doc, "term").agg(F.count(F.lit(1)).alias("tf"))
+        return stemmed.select(doc, F.explode(ngrams(F.col("_stems"), (1, 2), "_")).alias("term"))
+    tokens = stem_dictionary(df, doc=doc, text=text, stems=stems, stopwords=stopwords)
+    following = F.lead("stem").over(Window.partitionBy(doc).orderBy("pos"))
+    pairs = tokens.select(doc, "stem", F.concat("stem", F.lit("_"), following).alias("pair"))
+    both = pairs.select(doc, F.explode(F.array("stem", "pair")).alias("term"))
+    return both.where(F.col("term").isNotNull())
 
 
 def direction_analyzer_tfidf(df: DataFrame, *, doc: str, text: str, stems: DataFrame | None = None, stopwords: Sequence[str] = (), max_features: int = 800) -> DataFrame:
-    counts = direction_analyzer_counts(df, doc=doc, text=text, stems=stems, stopwords=stopwords)
-    corpus = counts.groupBy("term").agg(F.sum("tf").alias("corpus_count"))
-    vocabulary = corpus.orderBy(F.desc("corpus_count"), "term").limit(max_features).select("term")
-    kept = counts.join(_small(vocabulary, max_features), "term", "inner")
-    return weigh(kept, df, doc=doc, max_features=max_features)
+    terms = direction_terms(df, doc=doc, text=text, stems=stems, stopwords=stopwords)
+    return weigh(count_vocabulary(terms, doc=doc, max_features=max_features), df, doc=doc, max_features=max_features)
 
 
-def text_descriptor_rows(df: DataFrame, *, doc: str, text: str, vocabulary: DataFrame | None = None) -> DataFrame:
-    """Length, share of non-letters and, with a vocabulary, share of unknown words per text."""
-    letters = F.length(F.regexp_replace(F.col(text), r"[^\p{L}]", ""))
+def text_descriptor_rows(df: DataFrame, *, doc: str, text: str, keep: Sequence[str] = (), vocabulary: DataFrame | None = None) -> DataFrame:
+    """Length, share of non-letters and, with a vocabulary, share of unknown words per text.
+
+    The words of a document meet the broadcast vocabulary in the task that reads it and are
+    averaged before the shuffle; the text itself is not carried along.
+    """
+    letters = F.length(F.regexp_replace(F.col(text), r"[^\p{L}]+", ""))
     size = F.length(text)
-    base = spread(df.select(doc, text), doc)
-    shares = base.select(
-        doc,
-        size.cast("double").alias("text_length"),
-        F.when(size > 0, (size - letters) / size).otherwise(0.0).alias("non_letter_share"),
-    )
+    shares = {
+        "text_length": size.cast("double"),
+        "non_letter_share": F.when(size > 0, (size - letters) / size).otherwise(0.0),
+    }
+    cols = [doc, *keep, *[c.alias(n) for n, c in shares.items()]]
     if vocabulary is None:
-        return shares
-    words = doc_terms(df, doc=doc, text=text, sizes=(1, 1), pattern=WORD)
-    known = words.join(F.broadcast(vocabulary.select("term", F.lit(1).alias("_known"))), "term", "left")
-    unknown = known.groupBy(doc).agg(F.avg(F.col("_known").isNull().cast("double")).alias("oov_share"))
-    return shares.join(unknown, doc, "left").withColumn("oov_share", F.coalesce("oov_share", F.lit(0.0)))
+        return df.select(*cols)
+    words = df.select(*cols, tokenize(text, WORD).alias("_words"))
+    tokens = words.select(doc, *keep, *shares, F.explode_outer("_words").alias("term"))
+    known = tokens.join(F.broadcast(vocabulary.select("term", F.lit(1).alias("_known"))), "term", "left")
+    unknown = F.when(F.col("term").isNotNull(), F.col("_known").isNull().cast("double"))
+    shared = known.groupBy(doc, *keep, *shares).agg(F.coalesce(F.avg(unknown), F.lit(0.0)).alias("oov_share"))
+    return shared
 
 
 def text_descriptors(df: DataFrame, *, doc: str, text: str, by: Sequence[str] = (), vocabulary: DataFrame | None = None, qs: Sequence[float] = (0.05, 0.5, 0.95)) -> DataFrame:
-    """Distribution of the descriptors: rows, mean, and exact quantiles per descriptor."""
-    rows = text_descriptor_rows(df, doc=doc, text=text, vocabulary=vocabulary)
-    if by:
-        rows = rows.join(df.select(doc, *by), doc, "inner")
+    """Distribution of the descriptors: rows, mean, maximum and exact quantiles per descriptor, all
+    read off the same ranked value counts. The vocabulary is a ``top_k_vocabulary`` result."""
+    by = list(by)
+    rows = text_descriptor_rows(df, doc=doc, text=text, keep=by, vocabulary=vocabulary)
     names = ["text_length", "non_letter_share"] + (["oov_share"] if vocabulary is not None else [])
-    long = rows.unpivot(list(by), names, "column", "value")
-    basics = long.groupBy(*by, "column").agg(F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean"), F.max("value").alias("max"))
-    quantiles = column_quantile(rows, cols=names, qs=qs, by=by)
-    wide = quantiles.groupBy(*by, "column").agg(*[F.max(F.when(F.col("q") == q, F.col("quantile"))).alias(f"p{int(q * 100):02d}") for q in qs])
-    return basics.join(wide, [*by, "column"], "left")
+    long = rows.select(*by, *names).unpivot(by, names, "column", "value")
+    counts = long.where(F.col("value").isNotNull()).groupBy(*by, "column", "value").agg(F.count(F.lit(1)).alias("n"))
+    keys = [*by, "column"]
+    ranked = running_sums(counts, by=keys, order=["value"], sums=["n"], next_of="value")
+    basics = ranked.groupBy(*keys).agg(F.sum("n").alias("_n"), (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"), F.max("value").alias("max"))
+    quantiles = quantiles_of(ranked, by=keys, qs=qs)
+    wide = quantiles.groupBy(*keys).agg(*[F.max(F.when(F.col("q") == q, F.col("quantile"))).alias(f"p{int(q * 100):02d}") for q in qs])
+    return basics.withColumnRenamed("_n", "n").join(wide, keys, "left")

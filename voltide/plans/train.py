@@ -33,7 +33,7 @@ def training_job(
 ) -> tuple[PipelineModel, DataFrame, DataFrame]:
     """(model, trial log, test metrics)."""
     how = dict(text=text, label=label, numeric=numeric, stopwords=stopwords)
-    kept, checked = ML.prepared(train, order), ML.prepared(val, order)
+    kept, checked = ML.prepared(train), ML.prepared(val)
     try:
         best, log = ML.search_hyperparameters(kept, checked, candidates, day=day, order=order, **how)
         model = ML.refit_best(kept, best, **how)

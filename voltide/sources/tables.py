@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voltide.functions.scalars import parse_date
+from voltide.operators.ordering import spread
 
 
 def wide_schema(slots: int = 25, label: str = "Label") -> T.StructType:
@@ -32,9 +33,12 @@ def sink_csv(df: DataFrame, path: str, *, mode: str = "overwrite") -> None:
     df.write.mode(mode).csv(path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
-def scan_parquet(spark: SparkSession, path: str | Sequence[str], *, columns: Sequence[str] | None = None) -> DataFrame:
+def scan_parquet(spark: SparkSession, path: str | Sequence[str], *, columns: Sequence[str] | None = None, spread_by: str | None = None) -> DataFrame:
+    """A table, or several of one schema. ``spread_by`` names the key that spreads a table of few
+    splits over the cores; use it before tokenising or training."""
     df = spark.read.parquet(*([path] if isinstance(path, str) else path))
-    return df.select(*columns) if columns else df
+    df = df.select(*columns) if columns else df
+    return spread(df, spread_by) if spread_by else df
 
 
 def sink_parquet(df: DataFrame, path: str, *, partition_by: Sequence[str] = (), mode: str = "overwrite") -> None:
@@ -123,9 +127,6 @@ def file_inventory(spark: SparkSession, path: str) -> DataFrame:
     return meta.groupBy("file_path", "file_name", "file_size", "file_modification_time").agg(F.count(F.lit(1)).alias("rows"))
 
 
-METRIC_COLUMNS = ("ts", "metric_name", "metric_value", "model_version")
-
-
 def metrics_append(metrics: DataFrame, path: str, *, ts: Column, model_version: str = "unknown") -> None:
     """Append one row per non-null metric, partitioned by day; creates the table if missing."""
     rows = metrics.select(
@@ -147,3 +148,15 @@ def apply_retention(spark: SparkSession, path: str, target: str, *, ts: str, aso
     kept = metrics_retention(spark.read.parquet(path), ts=ts, asof=asof, keep=keep)
     sink_parquet(kept, target, partition_by=["day"] if "day" in kept.columns else ())
     return spark.read.parquet(target)
+
+
+def sink_jdbc_metrics(metrics: DataFrame, url: str, *, table: str = "volatility_metrics", properties: dict[str, str] | None = None, connections: int = 8) -> None:
+    """Append to a database table over at most ``connections`` connections; Spark creates the table
+    if it is missing. The database's driver must be on the class path."""
+    rows = metrics.where(F.col("metric_value").isNotNull()).coalesce(connections)
+    rows.write.jdbc(url, table, mode="append", properties=properties or {})
+
+
+def scan_jdbc_metrics(spark: SparkSession, url: str, *, table: str = "volatility_metrics", properties: dict[str, str] | None = None, key: str = "id", lower: int = 0, upper: int = 1_000_000, partitions: int = 8) -> DataFrame:
+    """The table read in ranges of its key, in parallel; filters are pushed to the database."""
+    return spark.read.jdbc(url, table, column=key, lowerBound=lower, upperBound=upper, numPartitions=partitions, properties=properties or {})
