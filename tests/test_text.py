@@ -1,4 +1,5 @@
 import math
+import random
 
 import pytest
 from conftest import plan_of
@@ -52,9 +53,32 @@ def test_no_python_in_text_plans(docs):
 
 def test_given_stems_and_rule_agree(docs):
     stems = X.stem_table(docs, doc="id", text="t")
-    by_table = X.direction_terms(docs, doc="id", text="t", stems=stems, stopwords=["the"])
-    by_rule = X.direction_terms(docs, doc="id", text="t", stopwords=["the"])
-    assert sorted(map(tuple, by_table.collect())) == sorted(map(tuple, by_rule.collect()))
+    words = lambda **how: sorted((r.id, list(r.words)) for r in X.direction_words(docs, doc="id", text="t", stopwords=["the"], **how).collect() if len(r.words))
+    assert words(stems=stems) == words()
+
+
+def brute_vocabulary(texts, k, joiner):
+    from collections import Counter
+
+    count = Counter()
+    for words in texts:
+        count.update(words)
+        count.update(joiner.join(p) for p in zip(words, words[1:]))
+    return sorted(count.items(), key=lambda x: (-x[1], x[0]))[:k]
+
+
+@pytest.mark.parametrize("joiner", [" ", "_"])
+@pytest.mark.parametrize("k", [1, 10, 1000])
+@pytest.mark.parametrize("limit", [0, 200_000])
+def test_pruned_vocabulary_is_exact(spark, monkeypatch, joiner, k, limit):
+    """Against a plain count, with ties at the edge, words that look like pairs, and with the
+    broadcast limit exceeded."""
+    rng = random.Random(k)
+    texts = [[rng.choice(["a", "b", "c", "d", "e", "a_b", "f", "gg", "hh", "zz"]) for _ in range(rng.randint(0, 9))] for _ in range(40)]
+    monkeypatch.setattr(X, "BROADCAST_TERMS", limit)
+    words = spark.createDataFrame(list(enumerate(texts)), "id int, words array<string>")
+    got = X.vocabulary(words, doc="id", sizes=(1, 2), joiner=joiner, max_features=k).collect()
+    assert sorted(((r.term, r.corpus_count) for r in got), key=lambda x: (-x[1], x[0])) == brute_vocabulary(texts, k, joiner)
 
 
 def test_descriptors(spark, docs):

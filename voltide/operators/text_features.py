@@ -14,25 +14,27 @@ from pyspark.sql import functions as F
 
 from voltide.functions.text import WORD, WORD2, ngrams, remove_stopwords, tokenize
 from voltide.operators.metrics import quantiles_of
-from voltide.operators.ordering import running_sums
+from voltide.operators.ordering import checkpointed, running_sums
 
 #: A vocabulary up to this many terms is broadcast; a longer one joins by shuffle.
 BROADCAST_TERMS = 200_000
 
 
-def doc_terms(
-    df: DataFrame,
-    *,
-    doc: str,
-    text: str,
-    stopwords: Sequence[str] = (),
-    sizes: tuple[int, int] = (1, 2),
-    pattern: str = WORD2,
-    joiner: str = " ",
-) -> DataFrame:
-    """One row per n-gram occurrence. Stop words leave before anything is exploded or shuffled."""
-    words = df.select(doc, remove_stopwords(tokenize(text, pattern), stopwords).alias("_words"))
-    return words.select(doc, F.explode(ngrams(F.col("_words"), sizes, joiner)).alias("term"))
+def doc_words(df: DataFrame, *, doc: str, text: str, stopwords: Sequence[str] = (), pattern: str = WORD2) -> DataFrame:
+    """(doc, words) with the stop words out."""
+    return df.select(doc, remove_stopwords(tokenize(text, pattern), stopwords).alias("words"))
+
+
+def explode_terms(words: DataFrame, *, doc: str, sizes: tuple[int, int] = (1, 2), joiner: str = " ") -> DataFrame:
+    """One row per n-gram occurrence."""
+    return explode_known(words, ngrams(F.col("words"), sizes, joiner), "term", doc)
+
+
+def explode_known(df: DataFrame, array: Column, name: str, *keep: str) -> DataFrame:
+    """``explode`` of an expensive array. For a plain ``explode`` the optimizer adds a filter on the
+    array's size and evaluates the tokeniser again for it; the outer form with a filter on the
+    element afterwards evaluates it once."""
+    return df.select(*keep, F.explode_outer(array).alias(name)).where(F.col(name).isNotNull())
 
 
 def count_terms(terms: DataFrame, *, doc: str) -> DataFrame:
@@ -40,33 +42,78 @@ def count_terms(terms: DataFrame, *, doc: str) -> DataFrame:
     return terms.groupBy(doc, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def most_frequent(terms: DataFrame, max_features: int) -> DataFrame:
+def corpus_counts(terms: DataFrame) -> DataFrame:
+    return terms.groupBy("term").agg(F.count(F.lit(1)).alias("corpus_count"))
+
+
+def top_terms(counts: DataFrame, max_features: int) -> DataFrame:
     """The terms with the largest corpus counts; ties go to the smaller term."""
-    counts = terms.groupBy("term").agg(F.count(F.lit(1)).alias("corpus_count"))
     return counts.orderBy(F.desc("corpus_count"), "term").limit(max_features)
 
 
+def vocabulary(words: DataFrame, *, doc: str, sizes: tuple[int, int], joiner: str, max_features: int) -> DataFrame:
+    """The most frequent n-grams with their corpus counts.
+
+    A pair is never more frequent than either of its words, and the ``max_features``-th word bounds
+    the list from below. So only pairs of two words at least that frequent can get in, and all
+    others leave before they are counted or shuffled: without this, nearly every distinct pair of
+    the corpus would cross the network. A word that contains the joiner may look like a pair; pairs
+    that spell such a word are kept as well and counted with it.
+
+    The frequent and the look-alike words are broadcast if their number, which is looked up, is
+    small; otherwise all pairs are counted.
+    """
+    if sizes != (1, 2):
+        return top_terms(corpus_counts(explode_terms(words, doc=doc, sizes=sizes, joiner=joiner)), max_features)
+    single = checkpointed(corpus_counts(explode_known(words, F.col("words"), "term")))
+    edge = top_terms(single, max_features).agg(F.count(F.lit(1)).alias("n"), F.min("corpus_count").alias("least")).first()
+    least = edge["least"] if edge["n"] == max_features else 0
+    often, alike = F.col("corpus_count") >= least, F.col("term").contains(joiner)
+    found = single.agg(F.count_if(often).alias("often"), F.count_if(alike).alias("alike")).first()
+    if found["often"] + found["alike"] > BROADCAST_TERMS:
+        return top_terms(corpus_counts(explode_terms(words, doc=doc, sizes=sizes, joiner=joiner)), max_features)
+    w = F.col("words")
+    zipped = F.arrays_zip(w.alias("a"), F.slice(w, F.lit(2), F.greatest(F.size(w), F.lit(1))).alias("b"))
+    pairs = words.select(F.explode_outer(zipped).alias("z")).select("z.a", "z.b").where(F.col("b").isNotNull())
+    frequent = single.where(often).select("term")
+    if found["alike"]:
+        for side in ("a", "b"):
+            pairs = pairs.join(F.broadcast(frequent.select(F.col("term").alias(side), F.lit(1).alias(f"in_{side}"))), side, "left")
+        spelled = F.concat("a", F.lit(joiner), "b")
+        words_alike = single.where(alike).select(F.col("term").alias("_spelled"), F.lit(1).alias("in_words"))
+        pairs = pairs.join(F.broadcast(words_alike), spelled == F.col("_spelled"), "left")
+        pairs = pairs.where((F.col("in_a").isNotNull() & F.col("in_b").isNotNull()) | F.col("in_words").isNotNull())
+    else:
+        for side in ("a", "b"):
+            pairs = pairs.join(F.broadcast(frequent.select(F.col("term").alias(side))), side, "left_semi")
+    counted = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("corpus_count"))
+    joined = counted.select(F.concat("a", F.lit(joiner), "b").alias("term"), "corpus_count")
+    together = single.where(often | alike).unionByName(joined).groupBy("term").agg(F.sum("corpus_count").alias("corpus_count"))
+    return top_terms(together, max_features)
+
+
 def _small(vocabulary: DataFrame, max_features: int) -> DataFrame:
     return F.broadcast(vocabulary) if max_features <= BROADCAST_TERMS else vocabulary
 
 
-def count_vocabulary(terms: DataFrame, *, doc: str, max_features: int) -> DataFrame:
+def count_vocabulary(words: DataFrame, *, doc: str, sizes: tuple[int, int], joiner: str, max_features: int) -> DataFrame:
     """Counts per document of the ``max_features`` most frequent terms: the others are dropped
     before the shuffle."""
-    vocabulary = most_frequent(terms, max_features).select("term")
-    return count_terms(terms.join(_small(vocabulary, max_features), "term", "inner"), doc=doc)
+    chosen = vocabulary(words, doc=doc, sizes=sizes, joiner=joiner, max_features=max_features).select("term")
+    terms = explode_terms(words, doc=doc, sizes=sizes, joiner=joiner)
+    return count_terms(terms.join(_small(chosen, max_features), "term", "inner"), doc=doc)
 
 
-def term_counts(df: DataFrame, *, doc: str, text: str, **how) -> DataFrame:
-    return count_terms(doc_terms(df, doc=doc, text=text, **how), doc=doc)
+def term_counts(df: DataFrame, *, doc: str, text: str, sizes: tuple[int, int] = (1, 2), joiner: str = " ", **how) -> DataFrame:
+    return count_terms(explode_terms(doc_words(df, doc=doc, text=text, **how), doc=doc, sizes=sizes, joiner=joiner), doc=doc)
 
 
-def top_k_vocabulary(df: DataFrame, *, doc: str, text: str, max_features: int = 1000, **how) -> DataFrame:
-    return most_frequent(doc_terms(df, doc=doc, text=text, **how), max_features)
+def top_k_vocabulary(df: DataFrame, *, doc: str, text: str, max_features: int = 1000, sizes: tuple[int, int] = (1, 2), joiner: str = " ", **how) -> DataFrame:
+    return vocabulary(doc_words(df, doc=doc, text=text, **how), doc=doc, sizes=sizes, joiner=joiner, max_features=max_features)
 
 
-def count_vectorize(df: DataFrame, *, doc: str, text: str, max_features: int = 1000, **how) -> DataFrame:
-    return count_vocabulary(doc_terms(df, doc=doc, text=text, **how), doc=doc, max_features=max_features)
+def count_vectorize(df: DataFrame, *, doc: str, text: str, max_features: int = 1000, sizes: tuple[int, int] = (1, 2), joiner: str = " ", **how) -> DataFrame:
+    return count_vocabulary(doc_words(df, doc=doc, text=text, **how), doc=doc, sizes=sizes, joiner=joiner, max_features=max_features)
 
 
 def tfidf(df: DataFrame, *, doc: str, text: str, max_features: int = 1000, **how) -> DataFrame:
@@ -88,14 +135,14 @@ def weigh(counts: DataFrame, docs: DataFrame, *, doc: str, max_features: int) ->
 def stem_dictionary(df: DataFrame, *, doc: str, text: str, stems: DataFrame, stopwords: Sequence[str] = ()) -> DataFrame:
     """Tokens with their stems. Each *distinct* token is mapped once through the (token, stem)
     table, and tokens missing there keep their form. Returns (doc, pos, token, stem)."""
-    words = df.select(doc, remove_stopwords(tokenize(text, WORD), stopwords).alias("_words"))
-    tokens = words.select(doc, F.posexplode("_words").alias("pos", "token"))
+    words = doc_words(df, doc=doc, text=text, stopwords=stopwords, pattern=WORD)
+    tokens = words.select(doc, F.posexplode_outer("words").alias("pos", "token")).where(F.col("pos").isNotNull())
     joined = tokens.join(stems, "token", "left")
     return joined.select(doc, "pos", "token", F.coalesce("stem", "token").alias("stem"))
 
 
 def distinct_tokens(df: DataFrame, *, doc: str, text: str) -> DataFrame:
-    return df.select(F.explode(F.array_distinct(tokenize(text, WORD))).alias("token")).distinct()
+    return explode_known(df, F.array_distinct(tokenize(text, WORD)), "token").distinct()
 
 
 def suffix_stem(token: Column) -> Column:
@@ -109,27 +156,25 @@ def stem_table(df: DataFrame, *, doc: str, text: str) -> DataFrame:
     return distinct_tokens(df, doc=doc, text=text).select("token", suffix_stem(F.col("token")).alias("stem"))
 
 
-def direction_terms(df: DataFrame, *, doc: str, text: str, stems: DataFrame | None = None, stopwords: Sequence[str] = ()) -> DataFrame:
-    """Terms of the second analyzer: words, stop words out, stems, then single stems and adjacent
-    pairs joined by ``_``.
+def direction_words(df: DataFrame, *, doc: str, text: str, stems: DataFrame | None = None, stopwords: Sequence[str] = ()) -> DataFrame:
+    """(doc, words) of the second analyzer: all words, stop words out, stems.
 
-    With a (token, stem) table, pairs are formed inside one document by ``lead`` over the position;
-    the rule works inside the row.
+    Without a (token, stem) table the suffix rule works inside the row. With one, the stems of a
+    document come back together in order of position: as many as the document has words.
     """
     if stems is None:
-        words = df.select(doc, remove_stopwords(tokenize(text, WORD), stopwords).alias("_words"))
-        stemmed = words.select(doc, F.transform("_words", suffix_stem).alias("_stems"))
-        return stemmed.select(doc, F.explode(ngrams(F.col("_stems"), (1, 2), "_")).alias("term"))
+        plain = doc_words(df, doc=doc, text=text, stopwords=stopwords, pattern=WORD)
+        return plain.select(doc, F.transform("words", suffix_stem).alias("words"))
     tokens = stem_dictionary(df, doc=doc, text=text, stems=stems, stopwords=stopwords)
-    following = F.lead("stem").over(Window.partitionBy(doc).orderBy("pos"))
-    pairs = tokens.select(doc, "stem", F.concat("stem", F.lit("_"), following).alias("pair"))
-    both = pairs.select(doc, F.explode(F.array("stem", "pair")).alias("term"))
-    return both.where(F.col("term").isNotNull())
+    placed = tokens.groupBy(doc).agg(F.array_sort(F.collect_list(F.struct("pos", "stem"))).alias("_placed"))
+    return placed.select(doc, F.col("_placed.stem").alias("words"))
 
 
 def direction_analyzer_tfidf(df: DataFrame, *, doc: str, text: str, stems: DataFrame | None = None, stopwords: Sequence[str] = (), max_features: int = 800) -> DataFrame:
-    terms = direction_terms(df, doc=doc, text=text, stems=stems, stopwords=stopwords)
-    return weigh(count_vocabulary(terms, doc=doc, max_features=max_features), df, doc=doc, max_features=max_features)
+    """TF-IDF over single stems and adjacent pairs joined by ``_``."""
+    words = direction_words(df, doc=doc, text=text, stems=stems, stopwords=stopwords)
+    counts = count_vocabulary(words, doc=doc, sizes=(1, 2), joiner="_", max_features=max_features)
+    return weigh(counts, df, doc=doc, max_features=max_features)
 
 
 def text_descriptor_rows(df: DataFrame, *, doc: str, text: str, keep: Sequence[str] = (), vocabulary: DataFrame | None = None) -> DataFrame:
