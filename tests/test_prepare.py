@@ -155,3 +155,11 @@ def test_tall_dataset_and_publish(spark, tmp_path):
     publish_splits(tall, str(tmp_path / "splits"), train_end=date(2020, 2, 5), val_end=date(2020, 2, 15))
     back = spark.read.parquet(str(tmp_path / "splits"))
     assert back.count() == tall.count() and back.where("split = 'train'").agg(F.max("date")).first()[0] <= date(2020, 2, 5)
+
+
+def test_feature_chain_in_chunks(spark, many_chunks):
+    """Series cut into chunks shorter than the look-back give the same features."""
+    bars = bar_frame(spark, 150, series=("a",)).unionByName(bar_frame(spark, 30, series=("bb",))).repartition(4)
+    cut = lambda df: rows(R.dropna_any(df).select(*[F.round(c, 9).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes]))
+    assert cut(features_of_bars(bars, max_series_rows=10)) == cut(features_of_bars(bars))
+    assert features_of_bars(bars, max_series_rows=10).columns == features_of_bars(bars).columns

@@ -11,6 +11,7 @@ from voltide.catalog.registry import query, r6, table
 from voltide.functions import scalars as S
 from voltide.operators import features as X
 from voltide.operators import volatility as V
+from voltide.plans.prepare import features_of_bars
 
 D, D2 = Date.fromisoformat(CUT), Date.fromisoformat(CUT2)
 W = "WINDOW w AS (PARTITION BY series ORDER BY date)"
@@ -106,6 +107,17 @@ def technical_features(spark, d):
     return r6(X.technical_features(target(spark, d)).drop("vol_change"))
 
 
+@query(
+    f"SELECT * FROM (SELECT series, date, vol_up, {_lag_sql()}, {_ma_sql()} FROM target {W}) WHERE "
+    + " AND ".join(f"{c} IS NOT NULL" for c in [f"{m}_lag_10" for m in MEASURES] + [f"{m}_ma_20" for m in MEASURES]),
+    "target",
+)
+def technical_features_chunked(spark, d):
+    """The whole feature chain over series that are cut into chunks with halos."""
+    built = features_of_bars(bars(spark, d), max_series_rows=0)
+    return r6(built.drop("dow", "month", "quarter"))
+
+
 @query("SELECT series, date, vol_up FROM target", "target")
 def drop_current_day(spark, d):
     return X.drop_current_day(target(spark, d)).drop("vol_change")

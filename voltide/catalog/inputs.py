@@ -235,6 +235,6 @@ cte(
 
 cte(
     "days",
-    "SELECT CAST(o_orderdate AS DATE) AS date, o_totalprice / (o_totalprice + 250000) AS p FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'P'",
+    "SELECT CAST(o_orderdate AS DATE) AS date, o_totalprice / (o_totalprice + 250000) AS p FROM orders",
 )
 cte("sided", "SELECT *, CASE WHEN date < DATE '2024-01-21' THEN 'reference' ELSE 'current' END AS side FROM preds", "preds")

@@ -125,22 +125,17 @@ def daily_vote(spark, d):
       coalesce(prediction_mean_class, 0) AS prediction_mean_class, coalesce(prediction_majority_vote, 0) AS prediction_majority_vote,
       coalesce(round(prediction_max_proba, 6), 0.5) AS prediction_max_proba, coalesce(prediction_max_class, 0) AS prediction_max_class,
       CASE WHEN num_headlines IS NULL THEN 'No headlines provided' END AS error
-    FROM (SELECT CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS DATE) AS date FROM days)
+    FROM (SELECT CAST(unnest(generate_series(min(date), max(date) + 7, INTERVAL 1 DAY)) AS DATE) AS date FROM days)
     LEFT JOIN (SELECT date, count(*) AS num_headlines, avg(p) AS prediction_mean_proba, CAST(avg(p) > 0.5 AS INTEGER) AS prediction_mean_class,
         CAST(sum(CAST(p > 0.5 AS INTEGER)) >= count(*) / 2.0 AS INTEGER) AS prediction_majority_vote, max(p) AS prediction_max_proba,
         CAST(max(p) > 0.5 AS INTEGER) AS prediction_max_class FROM days GROUP BY date) USING (date)""".replace("0.5", HALF),
     "days",
 )
 def daily_vote_empty(spark, d):
-    """Orders of one priority leave days without any; the calendar fills them."""
-    rows = _order_days(spark, d)
+    """Votes of all orders by day; the calendar adds days without orders and the week to come."""
+    rows = table(spark, d, "orders").select(F.col("o_orderdate").cast("date").alias("date"), (F.col("o_totalprice") / (F.col("o_totalprice") + 250000)).alias("p"))
     votes = V.daily_vote(rows)
-    return r6(V.daily_vote_empty(V.day_calendar(rows, date="date"), votes))
-
-
-def _order_days(spark, d):
-    orders = table(spark, d, "orders").where((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "P"))
-    return orders.select(F.col("o_orderdate").cast("date").alias("date"), (F.col("o_totalprice") / (F.col("o_totalprice") + 250000)).alias("p"))
+    return r6(V.daily_vote_empty(V.day_calendar(rows, date="date", ahead=7), votes))
 
 
 REQ = f"SELECT conv_id, turn, {KEYWORD} AS p FROM conversations"

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from voltide.functions.scalars import calendar_columns, one_hot_columns
 from voltide.operators.ordering import series_frames
-from voltide.operators.volatility import MEASURES, full_mean
+from voltide.operators.volatility import MEASURES, full_mean, spec
 
 LAGS = (1, 2, 3, 5, 10)
 AVERAGES = (5, 10, 20)
@@ -26,13 +26,13 @@ def _average_columns(w: Window, cols: Sequence[str], mas: Sequence[int]) -> dict
     return {f"{c}_ma_{n}": full_mean(c, w.rowsBetween(-n, -1), n) for n in mas for c in cols}
 
 
-def lag_features(df: DataFrame, *, series: str = "series", order: str = "date", cols: Sequence[str] = MEASURES, lags: Sequence[int] = LAGS) -> DataFrame:
-    return df.withColumns(_lag_columns(Window.partitionBy(series).orderBy(order), cols, lags))
+def lag_features(df: DataFrame, *, series: str | Sequence[str] = "series", order: str = "date", cols: Sequence[str] = MEASURES, lags: Sequence[int] = LAGS) -> DataFrame:
+    return df.withColumns(_lag_columns(spec(series, order), cols, lags))
 
 
-def shifted_moving_avg(df: DataFrame, *, series: str = "series", order: str = "date", cols: Sequence[str] = MEASURES, mas: Sequence[int] = AVERAGES) -> DataFrame:
+def shifted_moving_avg(df: DataFrame, *, series: str | Sequence[str] = "series", order: str = "date", cols: Sequence[str] = MEASURES, mas: Sequence[int] = AVERAGES) -> DataFrame:
     """Means of the previous n rows, without the current one; unknown until n values are there."""
-    return df.withColumns(_average_columns(Window.partitionBy(series).orderBy(order), cols, mas))
+    return df.withColumns(_average_columns(spec(series, order), cols, mas))
 
 
 def vol_ratios(df: DataFrame, *, measure: str = "realized_vol", mas: Sequence[int] = (5, 20)) -> DataFrame:
@@ -48,7 +48,7 @@ def drop_current_day(df: DataFrame, cols: Sequence[str] = MEASURES) -> DataFrame
 def technical_features(
     df: DataFrame,
     *,
-    series: str = "series",
+    series: str | Sequence[str] = "series",
     order: str = "date",
     cols: Sequence[str] = MEASURES,
     lags: Sequence[int] = LAGS,
@@ -57,7 +57,7 @@ def technical_features(
 ) -> DataFrame:
     """Lags and moving averages in one sort. ``keep_current`` keeps the day's own values and adds
     the ratios, as the notebook form does; the default leaks nothing."""
-    w = Window.partitionBy(series).orderBy(order)
+    w = spec(series, order)
     built = df.withColumns({**_lag_columns(w, cols, lags), **_average_columns(w, cols, mas)})
     return vol_ratios(built) if keep_current else drop_current_day(built, cols)
 
@@ -129,9 +129,9 @@ def positional_trim(df: DataFrame, *, series: Sequence[str], order: Sequence[str
     return df.join(reduce(DataFrame.unionByName, edges), [*series, *order], "left_anti")
 
 
-def direction_features(df: DataFrame, *, series: str = "series", order: str = "date", label: str = "label", ahead: int = 3, windows: Sequence[int] = LABEL_WINDOWS, first: int = 15, last: int = 3) -> DataFrame:
+def direction_features(df: DataFrame, *, series: str | Sequence[str] = "series", order: str = "date", label: str = "label", ahead: int = 3, windows: Sequence[int] = LABEL_WINDOWS, first: int = 15, last: int = 3) -> DataFrame:
     """Led label, label means and the trim, all in one sort per series of daily rows."""
-    w = Window.partitionBy(series).orderBy(order)
+    w = spec(series, order)
     cols = _label_mean_columns(w, label, windows, ahead)
     cols["_from_start"] = F.row_number().over(w)
     cols["_to_end"] = F.lead(F.lit(1), last).over(w)

@@ -8,11 +8,11 @@ from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import (
     IDF,
-    CountVectorizer,
+    CountVectorizerModel,
     ElementwiseProduct,
     NGram,
     Normalizer,
@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 from voltide.functions.scalars import TEXT_ERROR, class_threshold, confidence, interpretation
 from voltide.functions.text import WORD2
 from voltide.operators.metrics import headline_metrics, roc_auc, vote_method_metrics
+from voltide.operators.ordering import shared_dir
+from voltide.operators.text_features import vocabulary
 from voltide.operators.votes import daily_vote
 
 # The search space (choices, then uniform ranges).
@@ -43,34 +45,38 @@ RANGES = {"learning_rate": (0.01, 0.3), "subsample": (0.6, 1.0), "colsample": (0
 DEFAULTS = {"max_features": 1000, "max_ngram": 2, "max_depth": 6, "n_estimators": 100, "learning_rate": 0.1, "subsample": 1.0, "colsample": 1.0}
 
 
-def text_stages(*, text: str, max_features: int, max_ngram: int, stopwords: Sequence[str] | None = None) -> list:
-    """Words, stop words, 1-2-grams and counts as Spark ML stages (weights follow in ``fit_text``)."""
-    remover = StopWordsRemover(inputCol="_tokens", outputCol="_words")
+def word_stages(*, text: str, stopwords: Sequence[str] | None = None) -> list:
+    remover = StopWordsRemover(inputCol="_tokens", outputCol="words")
     if stopwords is not None:
         remover = remover.setStopWords(list(stopwords))
-    stages = [
-        RegexTokenizer(inputCol=text, outputCol="_tokens", pattern=WORD2, gaps=False, toLowercase=True),
-        remover,
+    return [RegexTokenizer(inputCol=text, outputCol="_tokens", pattern=WORD2, gaps=False, toLowercase=True), remover]
+
+
+def term_stages(max_ngram: int) -> list:
+    """Words, or words and adjacent pairs, as column ``_terms``."""
+    if max_ngram == 1:
+        return [SQLTransformer(statement="SELECT *, words AS _terms FROM __THIS__")]
+    return [
+        NGram(n=2, inputCol="words", outputCol="_pairs"),
+        SQLTransformer(statement="SELECT *, concat(words, _pairs) AS _terms FROM __THIS__"),
     ]
-    if max_ngram == 2:
-        stages += [
-            NGram(n=2, inputCol="_words", outputCol="_pairs"),
-            SQLTransformer(statement="SELECT *, concat(_words, _pairs) AS _terms FROM __THIS__"),
-        ]
-    else:
-        stages.append(SQLTransformer(statement="SELECT *, _words AS _terms FROM __THIS__"))
-    stages.append(CountVectorizer(inputCol="_terms", outputCol="_counts", vocabSize=max_features))
-    return stages
 
 
 def fit_text(df: DataFrame, *, text: str, max_features: int, max_ngram: int, stopwords: Sequence[str] | None = None, keep: Sequence[str] = ()) -> tuple[PipelineModel, PipelineModel, DataFrame]:
-    """Counts, then tf * (idf + 1) and unit length. Spark's IDF lacks the + 1, so its fitted weights
-    (``max_features`` numbers) are raised by one in an element-wise product.
+    """Counts, then tf * (idf + 1) and unit length, as Spark ML stages.
+
+    The vocabulary is the engine's own (pairs of rare words never cross the network, ties are
+    settled); its ``max_features`` terms become the model. Spark's IDF lacks the + 1, so its fitted
+    weights are raised by one in an element-wise product.
 
     Returns (the whole model, its weighing part, the term counts with the ``keep`` columns). The
     counts are persisted, so that later passes do not tokenise again; the caller lets them go.
     """
-    counting = Pipeline(stages=text_stages(text=text, max_features=max_features, max_ngram=max_ngram, stopwords=stopwords)).fit(df)
+    wording = word_stages(text=text, stopwords=stopwords)
+    words = PipelineModel(stages=wording).transform(df.select(text)).select("words")
+    terms = [r["term"] for r in vocabulary(words, sizes=(1, max_ngram), joiner=" ", max_features=max_features).collect()]
+    counter = CountVectorizerModel.from_vocabulary(terms or [""], inputCol="_terms", outputCol="_counts")
+    counting = PipelineModel(stages=[*wording, *term_stages(max_ngram), counter])
     counted = prepared(counting.transform(df).select("_counts", *keep))
     idf = IDF(inputCol="_counts", outputCol="_idf").fit(counted).idf.toArray() + 1.0
     weighing = ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="_counts", outputCol="_weighted")
@@ -103,6 +109,7 @@ def train_boosted_trees(
     **params,
 ) -> PipelineModel:
     """Text and numeric features into gradient-boosted trees with log loss, as one saved pipeline."""
+    shared_dir(df.sparkSession)  # boosting checkpoints its residuals there every ten trees
     p = {**DEFAULTS, **params}
     kept = [label, *numeric, *([weight] if weight else [])]
     vectors, weighing, counted = fit_text(fill_numeric(df, numeric), text=text, max_features=int(p["max_features"]), max_ngram=int(p["max_ngram"]), stopwords=stopwords, keep=kept)
@@ -134,7 +141,7 @@ def assemble_features(df: DataFrame, *, text: str, numeric: Sequence[str] = (),
     vectors, _, counted = fit_text(rows, text=text, max_features=max_features, max_ngram=max_ngram, stopwords=stopwords)
     counted.unpersist()
     built = PipelineModel(stages=[*vectors.stages, assembler(numeric)]).transform(rows)
-    return built.drop(*[c for c in built.columns if c.startswith("_")])
+    return built.select(*rows.columns, "features")
 
 
 def probability(df: DataFrame, model: PipelineModel) -> DataFrame:

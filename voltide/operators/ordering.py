@@ -140,45 +140,46 @@ def longest_group(df: DataFrame, by: Sequence[str]) -> int:
 
 
 Frames = Callable[[Window], dict[str, Column]]
+Build = Callable[[DataFrame, list[str]], DataFrame]
 
 
-def series_frames(
+def per_series(
     df: DataFrame,
+    build: Build,
     *,
     series: Sequence[str],
     order: Sequence[str],
-    frames: Frames,
     lookback: int,
     lookahead: int = 0,
     per_period: bool = False,
     max_rows: int = MAX_SERIES_ROWS,
 ) -> DataFrame:
-    """Add window columns with bounded ROWS frames over each series.
+    """Run a per-series computation made of bounded ROWS windows.
 
-    ``frames(w)`` gets the window (partitioned and ordered) and returns the new columns; no frame
-    may reach further back than ``lookback`` rows or further ahead than ``lookahead``.
+    ``build(frame, keys)`` adds columns with windows partitioned by ``keys`` and ordered by
+    ``order``; a row's result may depend on at most ``lookback`` rows before it and ``lookahead``
+    rows after it, through all its windows together.
 
     ``per_period=True`` says the frame has at most one row per series and period, so that a series
-    is as long as the calendar: one shuffle and one sort serve all columns. Otherwise the longest
-    series is measured, and one above ``max_rows`` goes the chunked way.
+    is as long as the calendar. Otherwise the longest series is measured, and if it is above
+    ``max_rows`` the computation runs in chunks.
     """
     series, order = list(series), list(order)
     if per_period or longest_group(df, series) <= max_rows:
-        return df.withColumns(frames(Window.partitionBy(*series).orderBy(*order)))
-    return chunked_frames(df, series=series, order=order, frames=frames, lookback=lookback, lookahead=lookahead)
+        return build(df, series)
+    return in_chunks(df, build, series=series, order=order, lookback=lookback, lookahead=lookahead)
 
 
-def chunked_frames(
-    df: DataFrame,
-    *,
-    series: Sequence[str],
-    order: Sequence[str],
-    frames: Frames,
-    lookback: int,
-    lookahead: int = 0,
-) -> DataFrame:
-    """``series_frames`` over chunks: each chunk also gets copies of the ``lookback`` rows before
-    it and the ``lookahead`` rows after it, from as many neighbouring chunks as needed."""
+def series_frames(df: DataFrame, *, series: Sequence[str], order: Sequence[str], frames: Frames, **how) -> DataFrame:
+    """``per_series`` for columns over a single window: ``frames(w)`` names and builds them."""
+    build = lambda d, keys: d.withColumns(frames(Window.partitionBy(*keys).orderBy(*order)))
+    return per_series(df, build, series=series, order=order, **how)
+
+
+def in_chunks(df: DataFrame, build: Build, *, series: Sequence[str], order: Sequence[str], lookback: int, lookahead: int = 0) -> DataFrame:
+    """``build`` over range partitions of the total order: each chunk also gets copies of the
+    ``lookback`` rows before it and the ``lookahead`` rows after it, from as many neighbouring
+    chunks as needed, and the copies leave again."""
     series, order = list(series), list(order)
     ones = df.withColumn("_one", F.lit(1).cast("bigint"))
     chunked = checkpointed(range_chunks(ones, [*series, *order]))
@@ -193,8 +194,8 @@ def chunked_frames(
         copies.append(_halo(chunked, spans, series, order, lookahead, back=False))
     own = chunked.withColumn("_copy", F.lit(False))
     everything = reduce(DataFrame.unionByName, copies, own)
-    built = everything.withColumns(frames(Window.partitionBy(*series, CHUNK).orderBy(*order)))
-    return built.where(~F.col("_copy")).drop("_copy", "_one", CHUNK)
+    built = build(everything.drop("_one"), [*series, CHUNK])
+    return built.where(~F.col("_copy")).drop("_copy", CHUNK)
 
 
 def _halo(chunked: DataFrame, spans: DataFrame, series: list[str], order: list[str], rows: int, *, back: bool) -> DataFrame:

@@ -51,7 +51,7 @@ def top_terms(counts: DataFrame, max_features: int) -> DataFrame:
     return counts.orderBy(F.desc("corpus_count"), "term").limit(max_features)
 
 
-def vocabulary(words: DataFrame, *, doc: str, sizes: tuple[int, int], joiner: str, max_features: int) -> DataFrame:
+def vocabulary(words: DataFrame, *, sizes: tuple[int, int], joiner: str, max_features: int) -> DataFrame:
     """The most frequent n-grams with their corpus counts.
 
     A pair is never more frequent than either of its words, and the ``max_features``-th word bounds
@@ -64,14 +64,14 @@ def vocabulary(words: DataFrame, *, doc: str, sizes: tuple[int, int], joiner: st
     small; otherwise all pairs are counted.
     """
     if sizes != (1, 2):
-        return top_terms(corpus_counts(explode_terms(words, doc=doc, sizes=sizes, joiner=joiner)), max_features)
+        return top_terms(corpus_counts(explode_known(words, ngrams(F.col("words"), sizes, joiner), "term")), max_features)
     single = checkpointed(corpus_counts(explode_known(words, F.col("words"), "term")))
     edge = top_terms(single, max_features).agg(F.count(F.lit(1)).alias("n"), F.min("corpus_count").alias("least")).first()
     least = edge["least"] if edge["n"] == max_features else 0
     often, alike = F.col("corpus_count") >= least, F.col("term").contains(joiner)
     found = single.agg(F.count_if(often).alias("often"), F.count_if(alike).alias("alike")).first()
     if found["often"] + found["alike"] > BROADCAST_TERMS:
-        return top_terms(corpus_counts(explode_terms(words, doc=doc, sizes=sizes, joiner=joiner)), max_features)
+        return top_terms(corpus_counts(explode_known(words, ngrams(F.col("words"), sizes, joiner), "term")), max_features)
     w = F.col("words")
     zipped = F.arrays_zip(w.alias("a"), F.slice(w, F.lit(2), F.greatest(F.size(w), F.lit(1))).alias("b"))
     pairs = words.select(F.explode_outer(zipped).alias("z")).select("z.a", "z.b").where(F.col("b").isNotNull())
@@ -99,7 +99,7 @@ def _small(vocabulary: DataFrame, max_features: int) -> DataFrame:
 def count_vocabulary(words: DataFrame, *, doc: str, sizes: tuple[int, int], joiner: str, max_features: int) -> DataFrame:
     """Counts per document of the ``max_features`` most frequent terms: the others are dropped
     before the shuffle."""
-    chosen = vocabulary(words, doc=doc, sizes=sizes, joiner=joiner, max_features=max_features).select("term")
+    chosen = vocabulary(words, sizes=sizes, joiner=joiner, max_features=max_features).select("term")
     terms = explode_terms(words, doc=doc, sizes=sizes, joiner=joiner)
     return count_terms(terms.join(_small(chosen, max_features), "term", "inner"), doc=doc)
 
@@ -109,7 +109,7 @@ def term_counts(df: DataFrame, *, doc: str, text: str, sizes: tuple[int, int] =
 
 
 def top_k_vocabulary(df: DataFrame, *, doc: str, text: str, max_features: int = 1000, sizes: tuple[int, int] = (1, 2), joiner: str = " ", **how) -> DataFrame:
-    return vocabulary(doc_words(df, doc=doc, text=text, **how), doc=doc, sizes=sizes, joiner=joiner, max_features=max_features)
+    return vocabulary(doc_words(df, doc=doc, text=text, **how), sizes=sizes, joiner=joiner, max_features=max_features)
 
 
 def count_vectorize(df: DataFrame, *, doc: str, text: str, max_features: int = 1000, sizes: tuple[int, int] = (1, 2), joiner: str = " ", **how) -> DataFrame:
@@ -173,7 +173,7 @@ def direction_words(df: DataFrame, *, doc: str, text: str, stems: DataFrame | No
 def direction_analyzer_tfidf(df: DataFrame, *, doc: str, text: str, stems: DataFrame | None = None, stopwords: Sequence[str] = (), max_features: int = 800) -> DataFrame:
     """TF-IDF over single stems and adjacent pairs joined by ``_``."""
     words = direction_words(df, doc=doc, text=text, stems=stems, stopwords=stopwords)
-    counts = count_vocabulary(words, doc=doc, sizes=(1, 2), joiner="_", max_features=max_features)
+    counts = count_vocabulary(words, sizes=(1, 2), joiner="_", max_features=max_features)
     return weigh(counts, df, doc=doc, max_features=max_features)
 
 

@@ -23,7 +23,7 @@ def build_bars(
     price: str,
     order: Sequence[str],
     period: str = "day",
-    out_series: str = "series",
+    out_series: str | Sequence[str] = "series",
 ) -> DataFrame:
     """Ticks to bars: open, high, low, close, volume per (series, period).
 
@@ -40,18 +40,20 @@ def build_bars(
     )
 
 
-def _spec(series: str, order: str) -> Window:
-    return Window.partitionBy(series).orderBy(order)
+def spec(series: str | Sequence[str], order: str) -> Window:
+    """The one window of a series (its key may have several columns)."""
+    keys = [series] if isinstance(series, str) else list(series)
+    return Window.partitionBy(*keys).orderBy(order)
 
 
-def log_returns(bars: DataFrame, *, series: str = "series", order: str = "date", close: str = "close") -> DataFrame:
-    w = _spec(series, order)
+def log_returns(bars: DataFrame, *, series: str | Sequence[str] = "series", order: str = "date", close: str = "close") -> DataFrame:
+    w = spec(series, order)
     return bars.withColumn("returns", F.ln(F.col(close) / F.lag(close).over(w)))
 
 
-def realized_vol(bars: DataFrame, *, series: str = "series", order: str = "date", close: str = "close", window: int = 20) -> DataFrame:
+def realized_vol(bars: DataFrame, *, series: str | Sequence[str] = "series", order: str = "date", close: str = "close", window: int = 20) -> DataFrame:
     """Sample deviation of the log returns in the last ``window`` rows, yearly, in percent."""
-    frame = _spec(series, order).rowsBetween(1 - window, 0)
+    frame = spec(series, order).rowsBetween(1 - window, 0)
     returns = log_returns(bars, series=series, order=order, close=close)
     return returns.withColumn("realized_vol", F.stddev_samp("returns").over(frame) * daily_to_annual() * 100)
 
@@ -62,28 +64,28 @@ def true_range_pct(high: Column, low: Column, close: Column, before: Column) ->
     return F.when(before.isNotNull(), F.lit(100) * widest / close)
 
 
-def true_range_vol(bars: DataFrame, *, series: str = "series", order: str = "date", window: int = 20) -> DataFrame:
-    w = _spec(series, order)
+def true_range_vol(bars: DataFrame, *, series: str | Sequence[str] = "series", order: str = "date", window: int = 20) -> DataFrame:
+    w = spec(series, order)
     ranged = bars.withColumn("_tr", true_range_pct(F.col("high"), F.col("low"), F.col("close"), F.lag("close").over(w)))
     return ranged.withColumn("tr_vol", F.avg("_tr").over(w.rowsBetween(1 - window, 0)) * daily_to_annual()).drop("_tr")
 
 
-def parkinson_vol(bars: DataFrame, *, series: str = "series", order: str = "date", window: int = 20) -> DataFrame:
-    frame = _spec(series, order).rowsBetween(1 - window, 0)
+def parkinson_vol(bars: DataFrame, *, series: str | Sequence[str] = "series", order: str = "date", window: int = 20) -> DataFrame:
+    frame = spec(series, order).rowsBetween(1 - window, 0)
     squared = F.pow(F.ln(F.col("high") / F.col("low")), 2)
     return bars.withColumn("park_vol", F.lit(100) * F.sqrt(F.lit(252 / PARKINSON) * F.avg(squared).over(frame)))
 
 
-def volatility_metrics(bars: DataFrame, *, series: str = "series", order: str = "date", window: int = 20) -> DataFrame:
+def volatility_metrics(bars: DataFrame, *, series: str | Sequence[str] = "series", order: str = "date", window: int = 20) -> DataFrame:
     """Returns and the three estimators. Equal window specs share one shuffle and one sort."""
     real = realized_vol(bars, series=series, order=order, window=window)
     ranged = true_range_vol(real, series=series, order=order, window=window)
     return parkinson_vol(ranged, series=series, order=order, window=window)
 
 
-def vol_target(df: DataFrame, *, series: str = "series", order: str = "date", measure: str = "realized_vol") -> DataFrame:
+def vol_target(df: DataFrame, *, series: str | Sequence[str] = "series", order: str = "date", measure: str = "realized_vol") -> DataFrame:
     """``vol_change`` against the previous row and its sign as 0/1; unknown counts as 0."""
-    change = F.col(measure) - F.lag(measure).over(_spec(series, order))
+    change = F.col(measure) - F.lag(measure).over(spec(series, order))
     moved = df.withColumn("vol_change", change)
     return moved.withColumn("vol_up", F.coalesce((F.col("vol_change") > 0).cast("int"), F.lit(0)))
 

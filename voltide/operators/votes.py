@@ -62,9 +62,9 @@ def daily_vote_empty(calendar: DataFrame, votes: DataFrame, *, day: str = "date"
     return filled.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in defaults.items()})
 
 
-def day_calendar(df: DataFrame, *, date: str, out: str = "date") -> DataFrame:
-    """Every day between the first and the last date."""
-    span = df.agg(F.min(date).alias("lo"), F.max(date).alias("hi"))
+def day_calendar(df: DataFrame, *, date: str, out: str = "date", ahead: int = 0) -> DataFrame:
+    """Every day from the first date to ``ahead`` days after the last."""
+    span = df.agg(F.min(date).alias("lo"), F.date_add(F.max(date), ahead).alias("hi"))
     return span.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias(out))
 
 

@@ -10,18 +10,31 @@ from pyspark.sql import functions as F
 
 from voltide.operators.features import calendar_features, calendar_one_hot, technical_features, temporal_split3
 from voltide.operators.joins import join_vol_news
+from voltide.operators.ordering import per_series
 from voltide.operators.reshape import label_alias, wide_to_tall
 from voltide.operators.volatility import build_bars, vol_target, volatility_metrics
 from voltide.sources.tables import sink_parquet
 
 
-def features_of_bars(bars: DataFrame, *, keep_current: bool = False, one_hot: bool = False) -> DataFrame:
+#: Rows before a bar that its features depend on: an average of 20 rows, each with a 20-row
+#: estimator over returns that look one row back.
+LOOKBACK = 41
+
+
+def features_of_bars(bars: DataFrame, *, keep_current: bool = False, one_hot: bool = False, max_series_rows: int | None = None) -> DataFrame:
     """Estimators, target, lags and averages, calendar; rows without full history dropped.
 
-    After the bars there is one shuffle by series and one sort for everything.
+    After the bars there is one shuffle by series and one sort for everything. Daily bars are as
+    long as the calendar; for fine-grained bars, ``max_series_rows`` cuts longer series in chunks.
     """
-    measured = volatility_metrics(bars).select("series", "date", "realized_vol", "tr_vol", "park_vol")
-    built = technical_features(vol_target(measured), keep_current=keep_current).drop("vol_change")
+
+    def build(frame: DataFrame, keys: list[str]) -> DataFrame:
+        extra = [c for c in frame.columns if c.startswith("_") and c not in keys]
+        measured = volatility_metrics(frame, series=keys).select(*keys, "date", "realized_vol", "tr_vol", "park_vol", *extra)
+        return technical_features(vol_target(measured, series=keys), series=keys, keep_current=keep_current).drop("vol_change")
+
+    bounded = {"per_period": True} if max_series_rows is None else {"max_rows": max_series_rows}
+    built = per_series(bars, build, series=["series"], order=["date"], lookback=LOOKBACK, **bounded)
     dated = calendar_one_hot(built) if one_hot else calendar_features(built)
     return dated.na.drop("any")
 
