@@ -29,6 +29,12 @@ def test_rerun_of_a_day_replaces_it(spark, tmp_path):
     assert rows(spark.read.parquet(path).select("x", "run")) == [(1, 0), (2, 1), (3, 0)]
 
 
+def test_writes_are_rebalanced_by_partition(spark):
+    from conftest import plan_of
+
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan_of(IO.gathered(spark.range(9), ["id"]))
+
+
 def test_recent_by_name_skips_bad_names(spark, tmp_path):
     for name in ("2024-01-01", "2024-01-09", "2024-13-45", "nothing"):
         spark.createDataFrame([(name,)], "name string").coalesce(1).write.parquet(str(tmp_path / "in" / f"{name}_detailed"))

@@ -81,3 +81,11 @@ def test_spread_leaves_wide_inputs_alone(spark):
     wide = spark.range(0, 100, 1, 16)
     assert O.spread(wide, "id") is wide
     assert O.spread(spark.range(0, 100, 1, 1), "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_written_cut_prunes_columns_and_keeps_types(spark):
+    df = spark.range(5).selectExpr("id", "cast(id as string) s", "timestamp_ntz'2024-01-01 00:00:00.000001' t", "array(id) a")
+    cut = O.checkpointed(df)
+    assert rows(cut) == rows(df) and cut.dtypes == df.dtypes
+    assert "ReadSchema: struct<id:bigint>" in plan_of(cut.select("id"))
+    assert rows(O.checkpointed(df.withColumn("nothing", F.lit(None)))) == rows(df.withColumn("nothing", F.lit(None)))

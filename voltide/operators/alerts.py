@@ -101,9 +101,11 @@ def check_alerts(metrics: DataFrame, rules: DataFrame, *, name: str = "metric_na
 
 
 def alert_rules_latest(metrics: DataFrame, rules: DataFrame, *, name: str = "metric_name", value: str = "metric_value", **how) -> DataFrame:
-    """One row per rule: the newest value of its metric and whether it breaks the rule."""
-    latest = latest_per_metric(metrics, name=name, value=value, **how)
-    joined = F.broadcast(rules).join(latest, F.col("metric") == F.col(name), "left")
+    """One row per rule: the newest value of its metric and whether it breaks the rule. Metrics
+    without a rule leave first, so what meets the rules is as short as their list."""
+    watched = rules.select(F.col("metric").alias(name)).distinct()
+    latest = latest_per_metric(metrics.join(F.broadcast(watched), name, "left_semi"), name=name, value=value, **how)
+    joined = rules.join(latest, F.col("metric") == F.col(name), "left")
     breach = compare(F.col("op"), F.col(value), F.col("threshold"))
     state = F.when(F.col(value).isNull(), "NoData").when(breach, "Alerting").otherwise("OK")
     return joined.select("rule", "metric", "severity", F.col(value).alias("value"), "threshold", state.alias("state"))

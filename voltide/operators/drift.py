@@ -257,20 +257,19 @@ def period_reports(reference: DataFrame, current: DataFrame, *, col: str, order:
     per = numbered.groupBy("period", "value").agg(F.count(F.lit(1)).alias("k"))
     ref = reference.select(F.col(col).cast("double").alias("value")).where(F.col("value").isNotNull())
     ref_counts = ref.groupBy("value").agg(F.count(F.lit(1)).alias("n_ref"))
-    # one frame ordered by value: a reference row, then the periods' rows of that value
-    merged = ref_counts.select("value", F.lit(-1).cast("bigint").alias("period"), F.lit(0).cast("bigint").alias("k"), "n_ref").unionByName(per.select("value", "period", "k", F.lit(0).cast("bigint").alias("n_ref")))
-    placed = running_sums(merged, order=["value", "period"], sums=["n_ref"])
-    at_value = placed.where(F.col("period") >= 0)
-    # reference rows of the very same value precede it in the order: subtract them for the left limit
-    same = ref_counts.select(F.col("value").alias("_v"), F.col("n_ref").alias("_same"))
-    with_left = at_value.join(same, F.col("value") == F.col("_v"), "left")
+    # one frame ordered by value: the reference rows of a value come before the periods' rows of that
+    # value, and once more after them, so that the two running sums are its CDF at the value and below
+    zero = F.lit(0).cast("bigint")
+    first = ref_counts.select("value", F.lit(-1).cast("bigint").alias("period"), zero.alias("k"), "n_ref", zero.alias("n_late"))
+    last = ref_counts.select("value", F.lit(2**62).alias("period"), zero.alias("k"), zero.alias("n_ref"), F.col("n_ref").alias("n_late"))
+    merged = first.unionByName(last).unionByName(per.select("value", "period", "k", zero.alias("n_ref"), zero.alias("n_late")))
+    placed = running_sums(merged, order=["value", "period"], sums=["n_ref", "n_late"]).where(F.col("k") > 0)
     total = F.nullif(F.col("n_ref_total"), F.lit(0))
-    right = F.col("n_ref_before") / total
-    left = (F.col("n_ref_before") - F.coalesce("_same", F.lit(0))) / total
+    right, left = F.col("n_ref_before") / total, F.col("n_late_before") / total
     w = Window.partitionBy("period").orderBy("value")
     n = F.sum("k").over(Window.partitionBy("period"))
     upto = F.sum("k").over(w.rowsBetween(Window.unboundedPreceding, 0))
-    gaps = with_left.select("period", "k", "value", "n_ref_total", n.alias("n"), F.greatest(F.abs(upto / n - right), F.abs((upto - F.col("k")) / n - left)).alias("gap"))
+    gaps = placed.select("period", "k", "value", "n_ref_total", n.alias("n"), F.greatest(F.abs(upto / n - right), F.abs((upto - F.col("k")) / n - left)).alias("gap"))
     stats = gaps.groupBy("period").agg(
         F.max("n").alias("n_rows"),
         (F.sum(F.col("value") * F.col("k")) / F.max("n")).alias("mean"),

@@ -7,8 +7,8 @@ order ``(series, order...)`` into range partitions of equal size ("chunks"), wor
 chunk, and stitch the chunks together through one small row per (series, chunk).
 
 Range bounds are sampled, so two evaluations of the same plan may cut differently. Whenever a
-chunked frame is used by two branches of a plan it is therefore checkpointed first; frames used
-by a single branch stay lazy.
+chunked frame is used by two branches of a plan it is therefore written to the shared folder first;
+frames used by a single branch stay lazy.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CHUNK = "_chunk"
 
@@ -51,9 +52,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: survives the loss of executors and cuts the lineage."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """The frame as a table in the shared folder: it survives the loss of executors, cuts the
+    lineage, and each branch reads only the columns it needs. Frames that Parquet cannot hold are
+    checkpointed row by row."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "cut")
+    if any(isinstance(f.dataType, T.NullType) for f in df.schema.fields):
+        return df.checkpoint(eager=True)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def spread(scan: DataFrame, key: str) -> DataFrame:

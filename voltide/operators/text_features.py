@@ -180,8 +180,9 @@ def direction_analyzer_tfidf(df: DataFrame, *, doc: str, text: str, stems: DataF
 def text_descriptor_rows(df: DataFrame, *, doc: str, text: str, keep: Sequence[str] = (), vocabulary: DataFrame | None = None) -> DataFrame:
     """Length, share of non-letters and, with a vocabulary, share of unknown words per text.
 
-    The words of a document meet the broadcast vocabulary in the task that reads it and are
-    averaged before the shuffle; the text itself is not carried along.
+    The words of a document meet the vocabulary and are averaged before the shuffle; the text itself
+    is not carried along. The vocabulary is a limited list, whose size the planner knows: it is
+    broadcast while that is small.
     """
     letters = F.length(F.regexp_replace(F.col(text), r"[^\p{L}]+", ""))
     size = F.length(text)
@@ -194,7 +195,7 @@ def text_descriptor_rows(df: DataFrame, *, doc: str, text: str, keep: Sequence[s
         return df.select(*cols)
     words = df.select(*cols, tokenize(text, WORD).alias("_words"))
     tokens = words.select(doc, *keep, *shares, F.explode_outer("_words").alias("term"))
-    known = tokens.join(F.broadcast(vocabulary.select("term", F.lit(1).alias("_known"))), "term", "left")
+    known = tokens.join(vocabulary.select("term", F.lit(1).alias("_known")), "term", "left")
     unknown = F.when(F.col("term").isNotNull(), F.col("_known").isNull().cast("double"))
     shared = known.groupBy(doc, *keep, *shares).agg(F.coalesce(F.avg(unknown), F.lit(0.0)).alias("oov_share"))
     return shared

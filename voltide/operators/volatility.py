@@ -15,6 +15,21 @@ MEASURES = ("realized_vol", "tr_vol", "park_vol")
 PARKINSON = 4 * 0.6931471805599453
 
 
+# Seconds of the periods shorter than a day.
+SECONDS = {"second": 1, "minute": 60, "hour": 3600}
+
+
+def period_start(ts: Column, period: str) -> Column:
+    """Start of the period a zone-free time falls in: a date from the day upwards, else a time."""
+    if period == "day":
+        return ts.cast("date")
+    if period not in SECONDS:
+        return F.trunc(ts.cast("date"), period)
+    width, zero = SECONDS[period], F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    micros = F.timestamp_diff("MICROSECOND", zero, ts.cast("timestamp_ntz"))
+    return F.timestamp_add("SECOND", F.floor(micros / F.lit(width * 1_000_000)) * width, zero)
+
+
 def build_bars(
     df: DataFrame,
     *,
@@ -29,7 +44,7 @@ def build_bars(
 
     All aggregates combine on the map side, so a hot series costs no more than any other.
     """
-    at = F.col(ts).cast("date") if period == "day" else F.date_trunc(period, F.col(ts)).cast("timestamp_ntz")
+    at = period_start(F.col(ts), period)
     position = F.col(order[0]) if len(order) == 1 else F.struct(*order)
     return df.groupBy(F.col(series).alias(out_series), at.alias("date")).agg(
         F.min_by(price, position).alias("open"),

@@ -41,14 +41,24 @@ def scan_parquet(spark: SparkSession, path: str | Sequence[str], *, columns: Seq
     return spread(df, spread_by) if spread_by else df
 
 
+def gathered(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of one output partition brought together, so that a write does not leave one small file
+    per task and partition. Adaptive execution splits the large ones again: a hot day is written by
+    many tasks."""
+    return df.hint("rebalance", *keys)
+
+
 def sink_parquet(df: DataFrame, path: str, *, partition_by: Sequence[str] = (), mode: str = "overwrite") -> None:
-    writer = df.write.mode(mode)
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    if partition_by:
+        gathered(df, partition_by).write.mode(mode).partitionBy(*partition_by).parquet(path)
+    else:
+        df.write.mode(mode).parquet(path)
 
 
 def sink_by_day(df: DataFrame, path: str, *, date: str = "date") -> None:
     """Write or rewrite only the days in ``df``: running a day again replaces that day."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(date).parquet(path)
+    rows = gathered(df, [date])
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(date).parquet(path)
 
 
 def sink_predictions_by_day(daily: DataFrame, detailed: DataFrame, path: str, *, date: str = "date") -> None:
