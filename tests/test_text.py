@@ -3,7 +3,6 @@ import random
 
 import pytest
 from conftest import plan_of
-from pyspark.sql import functions as F
 
 from voltide.functions import text as T
 from voltide.functions.scalars import headline_length, nonblank, word_count

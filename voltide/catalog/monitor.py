@@ -255,7 +255,6 @@ def run_summary(spark, d):
 
 
 cte("cur", "SELECT value, (row_number() OVER (ORDER BY ts, event_id) - 1) // 500 AS period FROM sides WHERE is_current = 1", "sides")
-cte("refv", "SELECT value AS v, count(*) AS c, sum(count(*)) OVER (ORDER BY value) AS upto, (SELECT count(*) FROM sides WHERE is_current = 0) AS n_ref FROM sides WHERE is_current = 0 GROUP BY value", "sides")
 cte(
     "grid",
     """SELECT period, x, (SELECT count(*) FROM sides s WHERE s.is_current = 0 AND s.value <= x) / CAST((SELECT count(*) FROM sides WHERE is_current = 0) AS DOUBLE) AS f_ref,

@@ -6,8 +6,9 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from voltide.catalog.inputs import STOPWORDS, tall, target
+from voltide.catalog.inputs import STOP_SQL, STOPWORDS, tall, target
 from voltide.catalog.registry import query, table
+from voltide.catalog.texts import W2
 from voltide.operators import models as ML
 from voltide.operators.ordering import scratch_path
 
@@ -34,7 +35,7 @@ def _fitted(spark, d):
     return ML.train_boosted_trees(train, **HOW, **SMALL), test
 
 
-@query()
+@query("SELECT doc_id, vol_up, 102 AS width FROM tall", "tall")
 def assemble_features(spark, d):
     from pyspark.ml.functions import vector_to_array
 
@@ -102,9 +103,14 @@ def feature_importance(spark, d):
     return ML.feature_importance(model, spark, numeric=NUMERIC)
 
 
-@query()
+@query(
+    f"""SELECT CAST(row_number() OVER (ORDER BY n DESC, feature) - 1 AS INTEGER) AS pos, feature FROM (
+      SELECT feature, count(*) AS n FROM (SELECT unnest(list_filter(regexp_extract_all(lower(Headline), '{W2}'), lambda x: x NOT IN ({STOP_SQL}))) AS feature FROM tall WHERE date <= DATE '2024-01-20')
+      GROUP BY feature ORDER BY n DESC, feature LIMIT 100) UNION ALL SELECT 100, 'day_mean' UNION ALL SELECT 101, 'day_std'""",
+    "tall",
+)
 def importance_zip(spark, d):
-    """Names and weights of one fitted model zipped by position."""
+    """Names and weights of one fitted model zipped by position: the vocabulary, then the numbers."""
     model, _ = _fitted(spark, d)
     return ML.feature_importance(model, spark, numeric=NUMERIC).select("pos", "feature")
 

@@ -135,8 +135,7 @@ def alert_state(metrics: DataFrame, rules: DataFrame, *, name: str = "metric_nam
         F.max(ts).alias("ended"),
         F.count(F.lit(1)).alias("n_values"),
     )
-    lasted = F.timestamp_diff("SECOND", "started", "ended") if hasattr(F, "timestamp_diff") else F.expr("timestampdiff(SECOND, started, ended)")
-    timed = runs.withColumn("lasted_seconds", lasted)
+    timed = runs.withColumn("lasted_seconds", F.timestamp_diff("SECOND", "started", "ended"))
     return timed.withColumn("state", F.when(F.col("lasted_seconds") >= F.col("for_seconds"), "firing").otherwise("pending")).drop("run")
 
 
