@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 
 from voltide.llm.common import table, written
 
-DEPTH = 24
+#: Places of a pivot order that are kept.
+DEPTH = 96
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -40,7 +41,7 @@ def orders(x: np.ndarray, pivots: np.ndarray, depth: int) -> np.ndarray:
     return np.take_along_axis(top, np.argsort(-np.take_along_axis(s, top, 1), axis=1, kind="stable"), 1)
 
 
-def poster(pivots: np.ndarray, files: int, blocks: int, side: int):
+def poster(pivots: np.ndarray, files: int, blocks: int, side: int, kind: str):
     """Rows (pivot, block, side, id, order, v): side 0 goes to one block of each file, side 1 to all."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -54,7 +55,7 @@ def poster(pivots: np.ndarray, files: int, blocks: int, side: int):
                 for b in range(blocks if side else 1):
                     block = np.full(len(ids), b) if side else ids % blocks
                     cols = [np.repeat(a, n) for a in (block, ids)]
-                    packed = [pa.array([r.tobytes() for r in np.repeat(a, n, axis=0)], pa.binary()) for a in (order.astype("<i4"), x)]
+                    packed = [pa.array([r.tobytes() for r in np.repeat(a, n, axis=0)], pa.binary()) for a in (order.astype("<i2"), x.astype(kind))]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(order[:, :n].ravel(), pa.int32()), pa.array(cols[0], pa.int64()), pa.array(np.full(len(ids) * n, side), pa.int32()), pa.array(cols[1], pa.int64()), *packed],
                         names=["pivot", "block", "side", "id", "ord", "v"],
@@ -63,7 +64,7 @@ def poster(pivots: np.ndarray, files: int, blocks: int, side: int):
     return run
 
 
-def searcher(n_pivots: int, k: int, open_share: float, least: int):
+def searcher(n_pivots: int, k: int, open_share: float, least: int, kind: str):
     """Over rows sorted by (pivot, block, side): the index rows of a block come first, then its queries."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -79,8 +80,8 @@ def searcher(n_pivots: int, k: int, open_share: float, least: int):
                 here = (key[0, a], key[1, a])
                 if here != place:
                     place, parts, block = here, [], None
-                x = np.stack([np.frombuffer(r.as_py(), np.float64) for r in batch.column("v")[a:b]])
-                order = np.stack([np.frombuffer(r.as_py(), "<i4") for r in batch.column("ord")[a:b]])
+                x = np.stack([np.frombuffer(r.as_py(), kind) for r in batch.column("v")[a:b]]).astype(np.float64)
+                order = np.stack([np.frombuffer(r.as_py(), "<i2") for r in batch.column("ord")[a:b]])
                 if key[2, a] == 0:
                     parts.append((ids[a:b], x, order))
                     continue
@@ -114,7 +115,7 @@ def searcher(n_pivots: int, k: int, open_share: float, least: int):
 
 
 def nearest(
-    vectors: DataFrame, is_query: Column, *, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", posts: int = 3, probes: int = 12, open_share: float = 0.25, least: int = 200, max_pivots: int = 4096, block_rows: int = 4000
+    vectors: DataFrame, is_query: Column, *, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", posts: int = 5, probes: int = 64, open_share: float = 0.25, least: int = 200, max_pivots: int = 4096, block_rows: int = 4000
 ) -> DataFrame:
     """(query_id, rank, vec_id, score) of the rows where ``is_query`` (a condition on ``id``) holds."""
     rows = usable(vectors, id_col, vector_col)
@@ -134,12 +135,13 @@ def nearest(
     queries = classes.join(asked.select(F.col("class").alias("id")).distinct(), "id", "left_semi")
     if not len(pivots):
         return asked.select("query_id", F.lit(1).alias("rank"), F.col("class").alias("vec_id"), F.lit(0.0).alias("score")).where("false")
+    kind = "<f4" if dict(classes.dtypes)["v"] == "array<float>" else "<f8"
     blocks = max(1, -(-n * posts // (len(pivots) * block_rows)))
     schema = "pivot int, block bigint, side int, id bigint, ord binary, v binary"
-    index = classes.mapInArrow(poster(pivots, posts, blocks, 0), schema)
-    both = index.unionByName(queries.mapInArrow(poster(pivots, probes, blocks, 1), schema))
+    index = classes.mapInArrow(poster(pivots, posts, blocks, 0, kind), schema)
+    both = index.unionByName(queries.mapInArrow(poster(pivots, probes, blocks, 1, kind), schema))
     met = both.repartition("pivot", "block").sortWithinPartitions("pivot", "block", "side")
-    hits = met.mapInArrow(searcher(len(pivots), k, open_share, least), "q bigint, c bigint, score double")
+    hits = met.mapInArrow(searcher(len(pivots), k, open_share, least, kind), "q bigint, c bigint, score double")
     per_query = Window.partitionBy("q").orderBy(F.desc("score"), "c")
     best = hits.dropDuplicates(["q", "c"]).withColumn("r", F.row_number().over(per_query)).where(F.col("r") <= k + 1)
     expanded = best.select("q", "c", "score").join(ranked.select(F.col("class").alias("c"), F.col("id").alias("vec_id")), "c")
