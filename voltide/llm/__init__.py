@@ -7,8 +7,10 @@ tables. ``load()`` returns all queries and the SQL of those that SQL can express
 import importlib
 
 MODULES = {
+    "suffix_dedup": "op1_suffix_array_dedup",
     "warc": "op2_warc",
     "bpe": "op3_bpe",
+    "substring": "op5_substring_dedup",
     "quality": "op6_quality_classifier",
     "decontaminate": "op7_decontamination",
     "token_counts": "op8_token_counts",

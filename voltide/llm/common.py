@@ -30,11 +30,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def row_key(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(k1, k2, text) of each row: its id and a hash of its text. Rows with the same key are copies
+def row_key(docs: DataFrame, id_col: str, text_col: str, *more) -> DataFrame:
+    """(k1, k2, text) of each row, and more columns of it: its id and a hash of its text. Rows with the same key are copies
     of each other, so whatever holds for one holds for all of them. A missing text is empty."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("k1"), F.xxhash64(text).alias("k2"), text.alias("text"))
+    return docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("k1"), F.xxhash64(text).alias("k2"), text.alias("text"), *more)
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
