@@ -3,8 +3,8 @@
 Encoding: a text is cut at its special strings, normalised and split into pieces by the tokenizer
 file's own rules; each piece is encoded by a backtracking search over longest token matches. All
 matches come from an Aho-Corasick automaton; a token may follow another only if the pair is
-compatible (encoding their concatenation gives the same two tokens; a memo table keeps the answers),
-and a bit field of dead positions bounds the work by the length of the piece. Decoding gathers the
+compatible, which a table of the merges at both edges of each token tells, and a bit field of dead
+positions bounds the work by the length of the piece. Decoding gathers the
 bytes of all tokens from one buffer by an offset table.
 
 White space ends a piece and is dropped, so a text is a sequence of runs without blanks, and each
@@ -28,7 +28,34 @@ from voltide.llm.common import slices, table
 #: A character of the private area marks the end of a word.
 END = "\ue000"
 RUN = re.compile(r"[^ \t\n\r]+")
-MEMO = 300_000
+#: Printable ASCII and the letters of Latin-1, whose lower-case forms are single letters in composed form.
+PLAIN = re.compile(r"[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
+#: Entries of each of a worker's two tables before they start afresh.
+MEMO = 600_000
+#: A worker's encoders by path.
+LOADED: dict[str, Encoder] = {}
+
+
+def loaded(path: str) -> Encoder:
+    if path not in LOADED:
+        LOADED[path] = Encoder(path)
+    return LOADED[path]
+
+
+class Runs(dict):
+    """Encoded runs; a run is encoded when it is first asked for."""
+
+    def __init__(self, encode):
+        self.encode = encode
+
+    def __missing__(self, run: str) -> bytes:
+        got = self.encode(run)
+        if len(run) < 60:
+            if len(self) > MEMO:
+                self.clear()
+            self[run] = got
+        return got
 
 
 class Encoder:
@@ -42,57 +69,94 @@ class Encoder:
         self.normalise = rules.normalizer.normalize_str
         self.split = rules.pre_tokenizer.pre_tokenize_str
         self.suffix = spec["model"]["end_of_word_suffix"]
-        special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.special = special
-        self.cut = re.compile("|".join(re.escape(s) for s in sorted(special, key=len, reverse=True)))
+        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        self.cut = re.compile("|".join(re.escape(s) for s in sorted(self.special, key=len, reverse=True)))
         pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in spec["model"]["merges"]]
-        self.rank = {(self._in(a), self._in(b)): i for i, (a, b) in enumerate(pairs)}
         self.ids = {self._in(t): i for t, i in spec["model"]["vocab"].items()}
-        self.text_of = {i: t for t, i in self.ids.items()}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.rank = {(self.ids[self._in(a)], self.ids[self._in(b)]): i for i, (a, b) in enumerate(pairs)}
+        self.made = {i: self.ids[self._in(a) + self._in(b)] for i, (a, b) in enumerate(pairs)}
+        #: Of a token: the two that its last merge joins, and that merge's rank.
+        self.parts: dict[int, tuple[int, int, int]] = {}
         auto = ahocorasick.Automaton()
         for t, i in self.ids.items():
-            if self._merged(t) == [t]:  # a token that its own merges do not build is never the result
+            if self._builds(t, i):  # a token that its own merges do not build is never the result
                 auto.add_word(t, (i, len(t)))
         auto.make_automaton()
         self.auto = auto
-        self.memo: dict[str, bytes] = {}
-        names = sorted({**{i: t for t, i in spec["model"]["vocab"].items()}, **{i: t for t, i in special.items()}}.items())
+        self.right: dict[int, list[tuple[int, int]]] = {}
+        self.left: dict[int, list[tuple[int, int]]] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.runs = Runs(self.run)
+        self.latin = {c: self.split(c)[0][0] for c in map(chr, range(0xDF, 0x100)) if c != "\u00f7"}
+        names = sorted({**{i: t for t, i in spec["model"]["vocab"].items()}, **{i: t for t, i in self.special.items()}}.items())
         self.table = OffsetTable(names)
 
     def _in(self, token: str) -> str:
         """Inside, the mark of a word's end is one character."""
         return token[: -len(self.suffix)] + END if token.endswith(self.suffix) else token
 
-    def _merged(self, s: str) -> list[str]:
-        """Merges by rank, leftmost first; only for single tokens and pairs of them."""
-        parts = list(s[:-2]) + [s[-2:]] if s.endswith(END) and len(s) > 1 else list(s)
+    def _builds(self, s: str, token: int) -> bool:
+        """Whether merging the characters of ``s`` by rank, leftmost first, ends in ``token``; notes the last merge."""
+        parts = [self.ids[c] for c in (list(s[:-2]) + [s[-2:]] if s.endswith(END) and len(s) > 1 else list(s))]
         while len(parts) > 1:
-            ranked = [(self.rank.get((a, b), 1 << 60), i) for i, (a, b) in enumerate(zip(parts, parts[1:]))]
-            best, i = min(ranked)
+            best, i = min((self.rank.get(ab, 1 << 60), i) for i, ab in enumerate(zip(parts, parts[1:])))
             if best == 1 << 60:
-                break
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
-        return parts
+                return False
+            last = (parts[i], parts[i + 1], best)
+            parts[i : i + 2] = [self.made[best]]
+        if len(s) > 1 and not (len(s) == 2 and s.endswith(END)):
+            self.parts[token] = last
+        return parts == [token]
+
+    def _edge(self, token: int, side: int) -> list[tuple[int, int]]:
+        """The tokens that stand at one edge while ``token`` is built, each with the rank of the merge that ends it."""
+        out, ends = [], 1 << 60
+        while True:
+            out.append((token, ends))
+            if token not in self.parts:
+                return out[::-1]
+            a, b, ends = self.parts[token]
+            token = b if side else a
 
     def compatible(self, a: int, b: int) -> bool:
-        got = self.pairs.get((a, b))
-        if got is None:
-            if len(self.pairs) > 4 * MEMO:
-                self.pairs.clear()
-            s, t = self.text_of[a], self.text_of[b]
-            got = self.pairs[a, b] = self._merged(s + t) == [s, t]
-        return got
+        """Whether ``a`` followed by ``b`` stays as it is: no merge over their border comes before the merges
+        that replace the two tokens at it. Of equal merges the left one comes first."""
+        right, left = self.right.get(a), self.left.get(b)
+        if right is None:
+            right = self.right[a] = self._edge(a, 1)
+        if left is None:
+            left = self.left[b] = self._edge(b, 0)
+        rank, i, j = self.rank, 0, 0
+        while True:
+            x, x_ends = right[i]
+            y, y_ends = left[j]
+            r = rank.get((x, y))
+            if r is not None and r < x_ends and r <= y_ends:
+                return False
+            if x_ends <= y_ends:
+                if x_ends == 1 << 60:
+                    return True
+                i += 1
+            else:
+                j += 1
 
     def piece(self, piece: str) -> list[int]:
-        """The tokens of one piece by backtracking."""
+        """The tokens of one piece: the longest matches from the left if each pair is compatible, else by backtracking."""
         s = piece + END
-        whole = self.ids.get(s)
+        out, at = [], 0
+        for end, (i, n) in self.auto.iter_long(s):
+            if end - n + 1 != at or (out and not self.compatible(out[-1], i)):
+                break
+            out.append(i)
+            at = end + 1
+        return out if at == len(s) else self._backtrack(s)
+
+    def _backtrack(self, s: str) -> list[int]:
         matches: list[list[tuple[int, int]]] = [[] for _ in range(len(s))]
         for end, (i, n) in self.auto.iter(s):
-            matches[end - n + 1].append((n, i))  # by rising length
-        if whole is not None and matches[0] and matches[0][-1][0] == len(s):
-            return [whole]
+            matches[end - n + 1].append((n, i))
+        for m in matches:
+            m.sort()
         dead, out, at = bytearray(len(s) + 1), [], 0
         choice = [len(matches[0]) - 1]
         while at < len(s):
@@ -111,35 +175,45 @@ class Encoder:
                 continue
             if not out:
                 raise ValueError("a character without a token")
-            # no token continues here after the last one: drop it and try a shorter one there
+            # compatible tokens up to here are the only ones, so no other way leads on from here either
             dead[at] = 1
             choice.pop()
             at -= out.pop()[0]
             choice[-1] -= 1
         return [i for _, i in out]
 
-    def run(self, run: str) -> bytes:
-        """Ids, as little-endian 32-bit integers, of a text without blanks, tabs and line ends."""
-        got = self.memo.get(run)
+    def _piece_bytes(self, piece: str) -> bytes:
+        got = self.pieces.get(piece)
         if got is None:
-            ids: list[int] = []
-            start = 0
-            for m in [*self.cut.finditer(run), None]:
-                for piece, _ in self.split(self.normalise(run[start : m.start() if m else len(run)])):
-                    ids.extend(self.piece(piece))
-                if m:
-                    ids.append(self.special[m[0]])
-                    start = m.end()
-            got = np.asarray(ids, "<u4").tobytes()
-            if len(run) > 200:
-                return got
-            if len(self.memo) > MEMO:
-                self.memo.clear()
-            self.memo[run] = got
+            got = np.asarray(self.piece(piece), "<u4").tobytes()
+            if len(piece) < 60:
+                if len(self.pieces) > MEMO:
+                    self.pieces.clear()
+                self.pieces[piece] = got
         return got
 
+    def run(self, run: str) -> bytes:
+        """Ids, as little-endian 32-bit integers, of a text without blanks, tabs and line ends."""
+        if not PLAIN.fullmatch(run) or "<|" in run:
+            return self._general(run)
+        # Latin letters: the same pieces as by the general rules, without their cost
+        low = run.lower()
+        pieces = PIECES.findall(low)
+        if not low.isascii():
+            pieces = ["".join([self.latin.get(c, c) for c in p]) for p in pieces]
+        return b"".join(map(self._piece_bytes, pieces))
+
+    def _general(self, run: str) -> bytes:
+        out, start = [], 0
+        for m in [*self.cut.finditer(run), None]:
+            out += [self._piece_bytes(p) for p, _ in self.split(self.normalise(run[start : m.start() if m else len(run)]))]
+            if m:
+                out.append(np.asarray([self.special[m[0]]], "<u4").tobytes())
+                start = m.end()
+        return b"".join(out)
+
     def encode(self, text: str | None) -> np.ndarray:
-        return np.frombuffer(b"".join(map(self.run, RUN.findall(text or ""))), "<u4")
+        return np.frombuffer(b"".join(map(self.runs.__getitem__, RUN.findall(text or ""))), "<u4")
 
 
 class OffsetTable:
@@ -165,7 +239,7 @@ class OffsetTable:
 
 def coder(path: str, want_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = Encoder(path)
+        enc = loaded(path)
         for part in slices(batches, limit=2 << 20):
             ids = [enc.encode(t.as_py()) for t in part.column("text")]
             text = [enc.table.decode(i) for i in ids]
