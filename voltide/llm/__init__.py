@@ -10,6 +10,7 @@ MODULES = {
     "suffix_dedup": "op1_suffix_array_dedup",
     "warc": "op2_warc",
     "bpe": "op3_bpe",
+    "jaccard": "op4_ngram_jaccard",
     "substring": "op5_substring_dedup",
     "quality": "op6_quality_classifier",
     "decontaminate": "op7_decontamination",
