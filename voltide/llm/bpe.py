@@ -237,33 +237,50 @@ class OffsetTable:
         return b"".join(out)[:-1]
 
 
-def coder(path: str, want_ids: bool):
+def coder(path: str, *what: str):
+    """A function for mapInArrow: doc_id, n_tokens and the named columns of each row."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = loaded(path)
         for part in slices(batches, limit=2 << 20):
             ids = [enc.encode(t.as_py()) for t in part.column("text")]
             text = [enc.table.decode(i) for i in ids]
-            cols = [part.column("doc_id"), pa.array([len(i) for i in ids], pa.int64())]
-            if want_ids:
-                cols += [pa.array([i.tolist() for i in ids], pa.list_(pa.int64())), pa.array([t.decode() for t in text], pa.string())]
-                yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "n_tokens", "ids", "decoded"])
-            else:
-                cols += [pa.array([hashlib.sha256(x.tobytes()).hexdigest() for x in ids]), pa.array([hashlib.sha256(x).hexdigest() for x in text])]
-                yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            n = np.array([len(i) for i in ids], np.int64)
+            cols = [part.column("doc_id"), pa.array(n)]
+            for name in what:
+                if name == "ids":
+                    offsets = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
+                    cols.append(pa.ListArray.from_arrays(offsets, np.concatenate(ids).astype(np.int32)))
+                elif name == "decoded":
+                    cols.append(pa.array([t.decode() for t in text], pa.string()))
+                else:
+                    cols.append(pa.array([hashlib.sha256(x).hexdigest() for x in (text if name == "decoded_sha256" else [i.tobytes() for i in ids])], pa.string()))
+            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "n_tokens", *what])
 
     return run
 
 
+KINDS = {"ids": "array<int>"}
+
+
+def coded(docs: DataFrame, path: str, *what: str) -> DataFrame:
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(coder(path, *what), ", ".join(["doc_id bigint", "n_tokens bigint", *[f"{c} {KINDS.get(c, 'string')}" for c in what]]))
+
+
 def encode_documents(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens, ids, decoded text of each row."""
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(coder(path, True), "doc_id bigint, n_tokens bigint, ids array<bigint>, decoded string")
+    return coded(docs, path, "ids", "decoded")
+
+
+def encode_ids(docs: DataFrame, path: str) -> DataFrame:
+    """doc_id, n_tokens, ids, and the digest of the decoded text of each row."""
+    return coded(docs, path, "ids", "decoded_sha256")
 
 
 def encode_digests(docs: DataFrame, path: str) -> DataFrame:
-    """As ``encode_documents``, with digests in place of ids and text."""
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(coder(path, False), "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    """doc_id, n_tokens, digests of the ids and of the decoded text of each row."""
+    return coded(docs, path, "ids_sha256", "decoded_sha256")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

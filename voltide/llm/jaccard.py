@@ -347,9 +347,9 @@ def one_of_each(docs: DataFrame, **how) -> DataFrame:
     best = classes.where("n_shingles > 0").groupBy(same.alias("c")).agg(F.min(order).alias("best")).select("best.k1", "best.k2")
     empty = classes.where("n_shingles = 0").select("k1", "k2").distinct()
     k1, k2 = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)), F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
-    keyed = docs.withColumns({"_k1": k1, "_k2": k2})
-    keep = lambda d, k: d.join(k.select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2")), ["_k1", "_k2"], "left_semi")
-    first = keep(keyed, best).dropDuplicates(["_k1", "_k2"])
+    keyed = docs.withColumns({"__key1": k1, "__key2": k2})
+    keep = lambda d, k: d.join(k.select(F.col("k1").alias("__key1"), F.col("k2").alias("__key2")), ["__key1", "__key2"], "left_semi")
+    first = keep(keyed, best).dropDuplicates(["__key1", "__key2"])
     return first.unionByName(keep(keyed, empty)).select(*docs.columns)
 
 

@@ -170,7 +170,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, *, label: str = "quality", max
     def run(batches):
         score = scorer(model)
         for batch in slices(batches):
-            for scored in score(iter([batch])):
+            for scored in score(iter([batch.select(["text"])])):
                 yield batch.filter(pc.greater_equal(scored.column("score"), threshold))
 
     return docs.mapInArrow(run, docs.schema)
