@@ -215,3 +215,16 @@ def without_repeats(docs: DataFrame, *, window: int = 13) -> DataFrame:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup(table(spark, sf_dir, "documents"), window=13).mapInArrow(report(13, False), "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string")
+
+
+ORACLE_SQL = r"""
+WITH docs AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+windows AS (SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS k FROM docs, unnest(range(1, len(ws) - 11)) AS t(i)),
+earliest AS (SELECT k, min(doc_id) AS m FROM windows GROUP BY k),
+hits AS (SELECT doc_id, i FROM windows JOIN earliest USING (k) WHERE m < doc_id),
+gone AS (SELECT DISTINCT doc_id, i + o AS i FROM hits, range(0, 13) AS r(o)),
+words AS (SELECT doc_id, i, ws[i] AS w FROM docs, unnest(range(1, len(ws) + 1)) AS t(i)),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(w, ' ' ORDER BY i) AS s FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(s, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (doc_id)
+"""

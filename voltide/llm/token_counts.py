@@ -73,10 +73,10 @@ def token_counts(docs: DataFrame, tokenizer_path: str, *, cache: str, limit: int
     known = cached_counts(spark, cache, version)
     misses = keyed.groupBy("content").agg(F.min(F.coalesce("doc_id", F.lit(NO_ID))).alias("_at")).join(known, "content", "left_anti")
     texts = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("_at"), text.alias("text"))
-    # one row of each missing content; repeated rows of that row are dropped by their digest below
+    # one row of each missing content; rows that repeat its id and text are dropped by their digest before they are stored
     chosen = texts.join(misses, "_at").where(F.unhex(F.sha2(F.col("text").cast("binary"), 256)) == F.col("content"))
     fresh = chosen.select("content", "text").mapInArrow(encoder(tokenizer_path), "content binary, n_tokens bigint")
-    fresh.select("content", F.lit(version).alias("tokenizer"), "n_tokens").write.mode("append").parquet(cache)
+    fresh.dropDuplicates(["content"]).select("content", F.lit(version).alias("tokenizer"), "n_tokens").write.mode("append").parquet(cache)
     counts = cached_counts(spark, cache, version)
     out = keyed.join(counts, "content", "left")
     return out.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))

@@ -166,3 +166,16 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         "record_type",
         F.col("referred.page_id").alias("refers_to"),
     )
+
+
+ORACLE_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, octet_length(encode(h))::BIGINT AS payload_bytes, sha1(h) AS x, max(page_id) OVER (PARTITION BY h) AS last FROM p),
+b AS (SELECT *, from_hex(x)::BIT::VARCHAR AS bits FROM d)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(0, 160, 5), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         1 + 16 * substr(bits, i + 1, 1)::INT + 8 * substr(bits, i + 2, 1)::INT + 4 * substr(bits, i + 3, 1)::INT + 2 * substr(bits, i + 4, 1)::INT + substr(bits, i + 5, 1)::INT, 1)), '') AS payload_digest,
+       CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = last THEN NULL ELSE last END AS refers_to
+FROM b
+"""
