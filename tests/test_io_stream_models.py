@@ -17,7 +17,7 @@ from voltide.streaming import jobs as J
 def test_csv_round_trip(spark, tmp_path):
     df = spark.createDataFrame([("2020-01-02", 1, 'He said "up", twice\nthen left', " padded "), ("bad date", 0, None, "x")], "Date string, Label int, Top1 string, Top2 string")
     IO.sink_csv(df, str(tmp_path / "c"))
-    got = IO.scan_csv_wide(spark, str(tmp_path / "c"), schema=IO.wide_schema(2)).orderBy("Label").collect()
+    got = IO.scan_csv_wide(spark, str(tmp_path / "c"), schema=IO.wide_schema(2), multiline=True).orderBy("Label").collect()
     assert got[1] == (date(2020, 1, 2), 1, 'He said "up", twice\nthen left', " padded ") and got[0].Date is None
 
 

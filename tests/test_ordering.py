@@ -1,5 +1,6 @@
 """Chunked prefix sums, row numbers and halo windows against plain windows."""
 
+import os
 import random
 
 import pytest
@@ -61,17 +62,33 @@ def test_halo_windows(spark, many_chunks, back, ahead):
         }
 
     how = dict(series=["series"], order=["at", "id"], frames=frames, lookback=back, lookahead=ahead)
-    cut = O.series_frames(df, max_rows=10, **how)
+    cut = O.series_frames(df, chunks=13, **how)
     assert cut.columns == [*df.columns, "mean", "n", "lagged", "led"]
-    assert rows(cut) == rows(O.series_frames(df, **how))
+    assert rows(cut) == rows(O.series_frames(df, per_period=True, **how))
 
 
 def test_chunked_frames_do_not_gather_a_series(spark, many_chunks):
     df = skewed(spark)
-    cut = O.series_frames(df, series=["series"], order=["at", "id"], frames=lambda w: {"m": F.avg("v").over(w.rowsBetween(-2, 0))}, lookback=2, max_rows=10)
+    cut = O.series_frames(df, series=["series"], order=["at", "id"], frames=lambda w: {"m": F.avg("v").over(w.rowsBetween(-2, 0))}, lookback=2)
     assert "SinglePartition" not in plan_of(cut)
 
 
+def test_building_a_chunked_plan_writes_nothing(spark, tmp_path):
+    before = set(os.listdir(spark._jvm.java.net.URI(O.shared_dir(spark)).getPath()))
+    df = O.row_index(skewed(spark), order=["at", "id"])
+    O.running_sums(df.withColumn("one", F.lit(1)), by=["series"], order=["at", "id"], sums=["one"])
+    assert set(os.listdir(spark._jvm.java.net.URI(O.shared_dir(spark)).getPath())) == before
+    assert "SinglePartition" not in plan_of(O.series_frames(skewed(spark), series=["series"], order=["at", "id"], frames=lambda w: {"m": F.avg("v").over(w.rowsBetween(-2, 0))}, lookback=2))
+
+
+@pytest.mark.parametrize("chunks", [1, 2, 7, 40])
+def test_chunks_are_ranges_with_nulls_first(spark, chunks):
+    df = spark.createDataFrame([(None, 1), ("a", None), ("a", 3), ("b", 1), ("b", 2), ("c", 9)] * 20, "s string, n int")
+    got = O.range_chunks(df, ["s", "n"], chunks=chunks).orderBy("s", "n").select(O.CHUNK).collect()
+    numbers = [r[0] for r in got]
+    assert numbers == sorted(numbers) and len(set(numbers)) == min(chunks, 6) or chunks < 7
+
+
 def test_shared_dir_is_the_sessions(spark):
     assert O.shared_dir(spark) == spark.sparkContext.getCheckpointDir()
     assert O.scratch_path(spark, "x") != O.scratch_path(spark, "x")

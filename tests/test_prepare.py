@@ -112,8 +112,8 @@ def test_label_means_lose_the_first_led_rows(spark):
 def test_rolling_labels_chunked_equal_plain(spark, many_chunks):
     df = spark.createDataFrame([("s", i // 7, i, i % 3 % 2) for i in range(200)], "series string, date int, id int, vol_up int")
     how = dict(series=["series"], order=["date", "id"])
-    assert rows(V.rolling_labels(df, max_rows=20, **how)) == rows(V.rolling_labels(df, **how))
-    assert rows(X.label_lead(df, label="vol_up", max_rows=20, **how)) == rows(X.label_lead(df, label="vol_up", **how))
+    assert rows(V.rolling_labels(df, chunks=9, **how)) == rows(V.rolling_labels(df, per_period=True, **how))
+    assert rows(X.label_lead(df, label="vol_up", chunks=9, **how)) == rows(X.label_lead(df, label="vol_up", per_period=True, **how))
 
 
 def test_positional_trim_matches_ranks(spark):
@@ -161,5 +161,11 @@ def test_feature_chain_in_chunks(spark, many_chunks):
     """Series cut into chunks shorter than the look-back give the same features."""
     bars = bar_frame(spark, 150, series=("a",)).unionByName(bar_frame(spark, 30, series=("bb",))).repartition(4)
     cut = lambda df: rows(R.dropna_any(df).select(*[F.round(c, 9).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes]))
-    assert cut(features_of_bars(bars, max_series_rows=10)) == cut(features_of_bars(bars))
-    assert features_of_bars(bars, max_series_rows=10).columns == features_of_bars(bars).columns
+    assert cut(features_of_bars(bars, chunks=17)) == cut(features_of_bars(bars))
+    assert features_of_bars(bars, chunks=17).columns == features_of_bars(bars).columns
+
+
+def test_trim_of_an_unnamed_series(spark):
+    df = spark.createDataFrame([(s, i) for s in (None, "a") for i in range(20)], "series string, at int")
+    kept = X.positional_trim(df, series=["series"], order=["at"])
+    assert rows(kept) == rows(df.where("at between 15 and 16"))

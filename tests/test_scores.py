@@ -140,3 +140,16 @@ def test_error_rows(spark):
     got = ML.with_response(spark.createDataFrame([(0.9,), (None,)], "p double")).collect()
     assert (got[0].prediction_class, got[0].error) == (1, None) and 0 <= got[0].confidence <= 1
     assert (got[1].prediction_class, got[1].prediction_proba, got[1].confidence, got[1].interpretation) == (0, 0.5, 0.0, "Error in prediction")
+
+
+def test_unknown_scores_labels_and_groups(spark):
+    """An unknown score or label stays out of log-loss and AUC; the unknown group keeps its AUC."""
+    data = [(None, 1, 1, 0.9), (None, 0, 0, 0.1), (None, None, 1, 0.8), (None, 1, 1, None), ("a", 1, 1, 0.5)]
+    got = M.classification_scores(spark.createDataFrame(data, "g string, y int, yhat int, p double"), by=["g"]).orderBy("g").collect()
+    assert round(got[0].log_loss, 3) == 0.105 and got[0].auc == 1.0 and got[0].n == 4
+    assert got[1].auc is None
+
+
+def test_an_unnamed_label_order_is_refused(spark):
+    with pytest.raises(ValueError):
+        V.daily_vote(spark.createDataFrame([], "date date, p double, y int"), label="y")

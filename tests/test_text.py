@@ -68,13 +68,10 @@ def brute_vocabulary(texts, k, joiner):
 
 @pytest.mark.parametrize("joiner", [" ", "_"])
 @pytest.mark.parametrize("k", [1, 10, 1000])
-@pytest.mark.parametrize("limit", [0, 200_000])
-def test_pruned_vocabulary_is_exact(spark, monkeypatch, joiner, k, limit):
-    """Against a plain count, with ties at the edge, words that look like pairs, and with the
-    broadcast limit exceeded."""
+def test_pruned_vocabulary_is_exact(spark, joiner, k):
+    """Against a plain count, with ties at the edge and words that look like pairs."""
     rng = random.Random(k)
     texts = [[rng.choice(["a", "b", "c", "d", "e", "a_b", "f", "gg", "hh", "zz"]) for _ in range(rng.randint(0, 9))] for _ in range(40)]
-    monkeypatch.setattr(X, "BROADCAST_TERMS", limit)
     words = spark.createDataFrame(list(enumerate(texts)), "id int, words array<string>")
     got = X.vocabulary(words, sizes=(1, 2), joiner=joiner, max_features=k).collect()
     assert sorted(((r.term, r.corpus_count) for r in got), key=lambda x: (-x[1], x[0])) == brute_vocabulary(texts, k, joiner)

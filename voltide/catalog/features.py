@@ -114,7 +114,7 @@ def technical_features(spark, d):
 )
 def technical_features_chunked(spark, d):
     """The whole feature chain over series that are cut into chunks with halos."""
-    built = features_of_bars(bars(spark, d), max_series_rows=0)
+    built = features_of_bars(bars(spark, d), chunks=12)
     return r6(built.drop("dow", "month", "quarter"))
 
 
@@ -186,7 +186,7 @@ def rolling_mean_30(spark, d):
 )
 def rolling_mean_30_chunked(spark, d):
     """The same frame over raw rows of few, long series, through chunks with halos."""
-    rows = V.rolling_mean(metrics(spark, d), series=["metric_name"], order=["ts", "id"], col="metric_value", max_rows=0)
+    rows = V.rolling_mean(metrics(spark, d), series=["metric_name"], order=["ts", "id"], col="metric_value")
     return r6(rows.select("metric_name", "id", "ts", "rolling_mean"))
 
 

@@ -217,7 +217,7 @@ def correlation_tests(spark, d):
 
 
 @query(
-    f"""SELECT test, round(value, 6) AS value, "limit", value >= "limit" AS passed FROM (
+    f"""SELECT test, round(value, 6) AS value, "limit", value >= "limit" AS passed, CAST(NULL AS VARCHAR) AS reason FROM (
       SELECT 'accuracy' AS test, {ACC} AS value, CAST(0.5 AS DOUBLE) AS "limit" FROM preds UNION ALL SELECT 'f1', {F1}, CAST(0.5 AS DOUBLE) FROM preds)""",
     "preds",
 )

@@ -214,10 +214,14 @@ def roc_auc(spark, d):
     return r6(M.roc_auc(preds(spark, d)))
 
 
-@query(f"SELECT source, round(coalesce(auc, 0.5), 6) AS auc FROM ({_auc_sql('source', 'preds')})", "preds")
+KINDS = "(SELECT *, CASE WHEN event_id % 3 = 0 THEN 'both' ELSE source END AS kind FROM preds)"
+
+
+@query(f"SELECT kind, round(coalesce(auc, 0.5), 6) AS auc FROM ({_auc_sql('kind', KINDS)})", "preds")
 def roc_auc_guarded(spark, d):
-    """Every event type has one class only: the guard answers .5."""
-    return r6(M.roc_auc(preds(spark, d), by=["source"], single_class=0.5))
+    """An event type has one class only, where the guard answers .5; the group of all types has two."""
+    kind = F.when(F.col("event_id") % 3 == 0, "both").otherwise(F.col("source"))
+    return r6(M.roc_auc(preds(spark, d).withColumn("kind", kind), by=["kind"], single_class=0.5))
 
 
 @query(f"SELECT 0 AS y, 0 AS yhat, {TN} AS n FROM preds UNION ALL SELECT 0, 1, {FP} FROM preds UNION ALL SELECT 1, 0, {FN} FROM preds UNION ALL SELECT 1, 1, {TP} FROM preds", "preds")
@@ -254,6 +258,28 @@ def classification_quality(spark, d):
     return r6(M.classification_scores(_sided(spark, d), by=["side"]))
 
 
+GAPS = """(SELECT event_id, yhat, CASE WHEN event_id % 7 <> 0 THEN p END AS p, CASE WHEN event_id % 11 <> 0 THEN y END AS y,
+  CASE WHEN event_id % 5 <> 0 THEN event_id % 5 END AS grp FROM preds)"""
+KNOWN = f"(SELECT grp, coalesce(grp, -1) AS g, y, p FROM {GAPS} WHERE y IS NOT NULL AND p IS NOT NULL)"
+
+
+@query(
+    f"""SELECT grp, round(accuracy, 6) AS accuracy, round(f1, 6) AS f1, round(log_loss, 6) AS log_loss, n, round(auc, 6) AS auc FROM (
+      SELECT grp, avg(CASE WHEN y IS NOT NULL AND yhat IS NOT NULL THEN CAST(y = yhat AS INTEGER) END) AS accuracy,
+        coalesce(2.0 * count(*) FILTER (y = 1 AND yhat = 1) / nullif(2 * count(*) FILTER (y = 1 AND yhat = 1) + count(*) FILTER (y = 0 AND yhat = 1) + count(*) FILTER (y = 1 AND yhat = 0), 0), 0) AS f1,
+        avg(CASE WHEN y = 1 AND p IS NOT NULL THEN -ln(greatest(p, 1e-15)) WHEN y = 0 AND p IS NOT NULL THEN -ln(1 - least(p, 1 - 1e-15)) END) AS log_loss, count(*) AS n FROM {GAPS} GROUP BY grp)
+      LEFT JOIN (SELECT g, auc FROM ({_auc_sql('g', KNOWN)})) ON g = coalesce(grp, -1)""",
+    "preds",
+)
+def classification_gaps(spark, d):
+    """Scores, labels and groups with unknown values: each measure is over the rows that have what it needs."""
+    i = F.col("event_id")
+    rows = preds(spark, d).select(
+        "yhat", F.when(i % 7 != 0, F.col("p")).alias("p"), F.when(i % 11 != 0, F.col("y")).alias("y"), F.when(i % 5 != 0, i % 5).alias("grp")
+    )
+    return r6(M.classification_scores(rows, by=["grp"]).select("grp", "accuracy", "f1", "log_loss", "n", "auc"))
+
+
 def _sided(spark, d):
     cut = F.lit("2024-01-21").cast("date")
     return preds(spark, d).withColumn("side", F.when(F.col("date") < cut, "reference").otherwise("current"))

@@ -28,7 +28,7 @@ def scan_csv_wide(spark, d):
     path = scratch_path(spark, "wide-csv")
     IO.sink_csv(frame, path)
     schema = IO.wide_schema(8).add("conv_id", T.LongType())
-    return IO.scan_csv_wide(spark, path, schema=schema)
+    return IO.scan_csv_wide(spark, path, schema=schema, multiline=True)
 
 
 @query("SELECT l_orderkey, l_partkey, l_quantity, l_shipdate FROM lineitem WHERE l_shipdate >= TIMESTAMP '1998-01-01' AND l_quantity < 10")
@@ -134,11 +134,11 @@ def metrics_retention(spark, d):
     return IO.metrics_retention(rows, ts="ts", asof=asof(rows), keep="10 DAYS")
 
 
-@query("SELECT conv_id, CAST(NULL AS VARCHAR) AS Headline, CAST(NULL AS INTEGER) AS vol_up FROM wide WHERE false", "wide")
+@query("SELECT conv_id, '' AS Headline, CAST(NULL AS INTEGER) AS vol_up, CAST(NULL AS DOUBLE) AS feature1 FROM wide WHERE Top1 = 'nothing' UNION ALL SELECT conv_id, Top2, NULL, NULL FROM wide WHERE regexp_matches(Top2, '\\S')", "wide")
 def empty_schema_guard(spark, d):
-    """Without any headline slot the tall frame is empty but has its columns."""
-    nothing = R.wide_to_tall(wide(spark, d).select("conv_id"), slots=SLOTS)
-    return IO.empty_schema_guard(nothing, {"Headline": "string", "vol_up": "int"})
+    """Rows of slots that may all be blank keep the expected columns; the guard adds the missing ones."""
+    slots = R.wide_to_tall(wide(spark, d).select("conv_id", "Top2"), slots=["Top2"])
+    return IO.empty_schema_guard(slots, {"Headline": "string", "vol_up": "int", "feature1": "double"})
 
 
 @query(
@@ -218,9 +218,29 @@ def seeded_sample_n(spark, d):
     return R.seeded_sample_n(table(spark, d, "customer", "c_custkey", "c_name"), key="c_custkey", n=500, seed=42)
 
 
-@query()
+def _sample_hash(x: str, seed: int) -> str:
+    offset = (R.SAMPLE_B + seed * R.SAMPLE_A * R.SAMPLE_A) % R.SAMPLE_P
+    h = f"((({x} % {R.SAMPLE_P}) * {R.SAMPLE_A} + {offset}) % {R.SAMPLE_P})"
+    return f"(({h} * ({h} + {R.SAMPLE_A})) % {R.SAMPLE_P})"
+
+
+def _bootstrap_sql(table_name: str, key: str, n: int = 100, seed: int = 42) -> str:
+    return f"""
+    WITH few AS (SELECT {key}, {_sample_hash(key, seed)} AS h FROM {table_name} ORDER BY h, {key} LIMIT {n}),
+    placed AS (SELECT {key}, row_number() OVER (ORDER BY h, {key}) - 1 AS place, count(*) OVER () AS size FROM few),
+    draws AS (SELECT place AS draw, CASE WHEN size >= {n} THEN place ELSE {_sample_hash("place", seed)} % size END AS pos FROM placed)
+    SELECT placed.{key}, CAST(draw AS INTEGER) AS draw FROM draws JOIN placed ON pos = place"""
+
+
+@query(_bootstrap_sql("benchmark", "item_id"))
 def bootstrap_sample(spark, d):
-    return R.bootstrap_sample(table(spark, d, "benchmark", "item_id"), n=100)
+    return R.bootstrap_sample(table(spark, d, "benchmark", "item_id"), key="item_id", n=100)
+
+
+@query(_bootstrap_sql("events", "event_id"))
+def bootstrap_sample_large(spark, d):
+    """More rows than draws: without replacement."""
+    return R.bootstrap_sample(table(spark, d, "events", "event_id"), key="event_id", n=100)
 
 
 @query("SELECT o_orderkey, o_orderdate, o_totalprice FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 1000")

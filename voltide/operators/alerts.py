@@ -140,13 +140,15 @@ def alert_state(metrics: DataFrame, rules: DataFrame, *, name: str = "metric_nam
 
 
 def performance_tests(scores: DataFrame, *, limits: dict[str, float], rows: str = "n", minimum: int = 10) -> DataFrame:
-    """Pass or fail per metric of a one-row score frame, only with more than ``minimum`` rows."""
-    enough = scores.where(F.col(rows) > minimum)
-    long = enough.select(*[F.col(m).cast("double").alias(m) for m in limits]).unpivot([], list(limits), "test", "value")
+    """Pass or fail per metric of a one-row score frame; ``minimum`` rows or fewer decide nothing, and
+    ``reason`` says so."""
+    long = scores.select(F.col(rows).alias("_rows"), *[F.col(m).cast("double").alias(m) for m in limits]).unpivot(["_rows"], list(limits), "test", "value")
     limit = F.lit(None).cast("double")
     for metric, number in limits.items():
         limit = F.when(F.col("test") == metric, F.lit(float(number))).otherwise(limit)
-    return long.withColumn("limit", limit).withColumn("passed", F.col("value") >= F.col("limit"))
+    enough = F.col("_rows") > minimum
+    judged = long.withColumn("limit", limit).withColumn("passed", F.when(enough, F.col("value") >= F.col("limit")))
+    return judged.withColumn("reason", F.when(~enough, F.lit(f"{minimum} rows or fewer"))).drop("_rows")
 
 
 def monitoring_metrics(reference: DataFrame, current: DataFrame, predictions: DataFrame, columns: DataFrame, *, y: str, yhat: str, score: str) -> DataFrame:

@@ -116,8 +116,10 @@ def shares_of(counts: DataFrame, threshold: float = DISTANCE_THRESHOLD) -> DataF
     return agg.withColumn("drifted", F.col("js_distance") >= threshold)
 
 
-def _chi2_tail(stat: float, dof: float) -> float:
-    """Upper tail of the chi-square distribution (regularised incomplete gamma)."""
+def _chi2_tail(stat: float | None, dof: float | None) -> float | None:
+    """Upper tail of the chi-square distribution (regularised incomplete gamma); unknown stays unknown."""
+    if stat is None or dof is None or math.isnan(stat) or math.isnan(dof):
+        return None
     if not stat > 0 or not dof > 0:
         return 1.0
     a, x = dof / 2, stat / 2

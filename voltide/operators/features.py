@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date as Date
-from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltide.functions.scalars import calendar_columns, one_hot_columns
-from voltide.operators.ordering import series_frames
+from voltide.operators.ordering import row_index, series_frames
 from voltide.operators.volatility import MEASURES, full_mean, spec
 
 LAGS = (1, 2, 3, 5, 10)
@@ -111,22 +110,13 @@ def shifted_label_means(df: DataFrame, *, series: Sequence[str], order: Sequence
 
 
 def positional_trim(df: DataFrame, *, series: Sequence[str], order: Sequence[str], first: int = 15, last: int = 3) -> DataFrame:
-    """Drop the first and last rows of each series; ``order`` must be total.
+    """Drop the first and last rows of each series, the unnamed one too; ``order`` must be total.
 
-    Only the edge rows are ranked: the rank filter is pushed below the shuffle, so each task sends
-    a few rows per series. The edges then leave by anti join on the unique key.
+    Rows are numbered in chunks, so a series of any length is spread over many tasks.
     """
-    series, order = list(series), list(order)
-    edges = []
-    for n, flip in ((first, False), (last, True)):
-        if n > 0:
-            keys = [F.col(c).desc() if flip else F.col(c).asc() for c in order]
-            w = Window.partitionBy(*series).orderBy(*keys)
-            ranked = df.select(*series, *order).withColumn("_rank", F.row_number().over(w))
-            edges.append(ranked.where(F.col("_rank") <= n).drop("_rank"))
-    if not edges:
-        return df
-    return df.join(reduce(DataFrame.unionByName, edges), [*series, *order], "left_anti")
+    placed = row_index(df, by=list(series), order=list(order), out="_place")
+    kept = (F.col("_place") > first) & (F.col("_place") <= F.col("_place_of") - last)
+    return placed.where(kept).select(*df.columns)
 
 
 def direction_features(df: DataFrame, *, series: str | Sequence[str] = "series", order: str = "date", label: str = "label", ahead: int = 3, windows: Sequence[int] = LABEL_WINDOWS, first: int = 15, last: int = 3) -> DataFrame:

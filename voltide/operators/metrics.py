@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from voltide.operators.ordering import CHUNK, range_chunks, running_sums
+from voltide.operators.ordering import CHUNK, partition_ranges, running_sums
 
 
 def _flag(cond: Column) -> Column:
@@ -67,7 +67,7 @@ def roc_auc(df: DataFrame, *, y: str = "y", score: str = "p", by: Sequence[str]
     by = list(by)
     known = df.where(F.col(score).isNotNull() & F.col(y).isNotNull())
     counts = known.groupBy(*by, score).agg(F.sum(_flag(F.col(y) == 1)).alias("pos"), F.sum(_flag(F.col(y) != 1)).alias("neg"))
-    chunked = range_chunks(counts, [*by, score])
+    chunked = partition_ranges(counts, [*by, score])
     below = F.sum("neg").over(Window.partitionBy(*by, CHUNK).orderBy(score).rowsBetween(Window.unboundedPreceding, -1))
     ranked = chunked.withColumn("_below", F.coalesce(below, F.lit(0)))
     wins = F.col("pos").cast("double") * (F.col("_below") + F.col("neg") / 2)
@@ -82,19 +82,30 @@ def roc_auc(df: DataFrame, *, y: str = "y", score: str = "p", by: Sequence[str]
     return stitched.groupBy(*by).agg(area.alias("auc"))
 
 
+def same_group(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Two results of one row per group side by side; the group of unknown keys matches itself."""
+    right = right.withColumnsRenamed({c: f"_right_{c}" for c in by})
+    on = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_right_{c}")) for c in by])
+    return left.join(right, on, "left").drop(*[f"_right_{c}" for c in by])
+
+
 def _joined(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
     """Two metric results side by side: by group, or as two one-row frames."""
     if by:
-        return left.join(right, list(by), "left")
+        return same_group(left, right, by)
     name = next(c for c in right.columns)
     return left.withColumn(name, right.scalar())
 
 
 def classification_scores(df: DataFrame, *, y: str = "y", yhat: str = "yhat", score: str = "p", by: Sequence[str] = ()) -> DataFrame:
-    """Accuracy, precision, recall, F1, log-loss, AUC and rows per group."""
+    """Accuracy, precision, recall, F1, log-loss, AUC and rows per group.
+
+    Log-loss and AUC are over the rows with a label and a score; ``n`` counts all rows.
+    """
     by = list(by)
-    p = F.least(F.greatest(F.col(score), F.lit(1e-15)), F.lit(1 - 1e-15))
-    loss = F.avg(F.when(F.col(y) == 1, -F.ln(p)).otherwise(-F.ln(1 - p)))
+    # least and greatest skip nulls, so an unknown score has to stay out before them
+    p = F.when(F.col(score).isNotNull(), F.least(F.greatest(F.col(score), F.lit(1e-15)), F.lit(1 - 1e-15)))
+    loss = F.avg(F.when(F.col(y) == 1, -F.ln(p)).when(F.col(y) != 1, -F.ln(1 - p)))
     aggs = [c.alias(n) for n, c in _cells(y, yhat).items()]
     agg = df.groupBy(*by).agg(*aggs, loss.alias("log_loss"), F.count(F.lit(1)).alias("n"))
     tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))

@@ -204,7 +204,7 @@ def search_hyperparameters(train: DataFrame, val: DataFrame, candidates: Iterabl
     """Best parameters and the trial log (trial, params, metric, value).
 
     Candidates run side by side as Spark jobs. A candidate's handful of metrics comes to the driver,
-    as the choice between candidates is made there; a failed candidate scores 0.
+    as the choice between candidates is made there; a failed candidate scores 0 and its message is logged. Without any that succeeds the search fails.
     """
     spark = train.sparkSession
     how = dict(text=text, label=label, day=day, order=order, numeric=numeric, stopwords=stopwords)
@@ -217,12 +217,14 @@ def search_hyperparameters(train: DataFrame, val: DataFrame, candidates: Iterabl
             rows = [(r["metric"], r["value"]) for r in metrics.collect()]
             auc = dict(rows).get("daily_mean_proba_auc", 0.0)
         except Exception as failure:  # noqa: BLE001 - a candidate may fail, the search goes on
-            rows, auc = [(f"failed: {type(failure).__name__}", None)], 0.0
+            rows, auc = [(f"failed: {type(failure).__name__}: {str(failure)[:200]}", None)], 0.0
         return [(trial, described, m, v) for m, v in [*rows, ("optimization_metric", auc)]]
 
     numbered = list(enumerate(candidates))
     with ThreadPoolExecutor(parallel) as pool:
         log = [row for rows in pool.map(attempt, numbered) for row in rows]
+    if numbered and all(m.startswith("failed: ") or m == "optimization_metric" for _, _, m, _ in log):
+        raise RuntimeError("no candidate succeeded: " + next(m for _, _, m, _ in log))
     objective = {t: v for t, _, m, v in log if m == "optimization_metric"}
     best = max(numbered, key=lambda item: (objective[item[0]], -item[0]))[1]
     return best, spark.createDataFrame(log, "trial bigint, params string, metric string, value double")

@@ -6,14 +6,13 @@ for raw rows, where one series may hold a third of the data. The helpers here cu
 order ``(series, order...)`` into range partitions of equal size ("chunks"), work inside a
 chunk, and stitch the chunks together through one small row per (series, chunk).
 
-Range bounds are sampled, so two evaluations of the same plan may cut differently. Whenever a
-chunked frame is used by two branches of a plan it is therefore written to the shared folder first;
-frames used by a single branch stay lazy.
+The bounds of the chunks come from a bounded sample of the keys, drawn once, and are constants of
+the plan: the chunk of a row is a function of its keys, so all branches agree and nothing has to be
+written. ``chunks`` says how many there are (by default as many as the session shuffles into).
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Sequence
 from functools import reduce
@@ -24,25 +23,17 @@ from pyspark.sql import types as T
 
 CHUNK = "_chunk"
 
-#: A series longer than this is not given to one task as a whole.
-MAX_SERIES_ROWS = 2_000_000
+#: Sampled keys for each chunk.
+SAMPLE_PER_CHUNK = 60
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir`` of the session.
-
-    Only a local session may fall back to a temporary folder of this machine.
-    """
+    """The folder all executors share: ``spark.checkpoint.dir`` of the session, and where that is
+    unset a folder in the warehouse, which is shared as well."""
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        if not sc.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        configured = tempfile.mkdtemp(prefix="voltide-checkpoint-")
-    sc.setCheckpointDir(configured)
+    if not sc.getCheckpointDir():
+        unset = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or unset)
     return sc.getCheckpointDir()
 
 
@@ -73,8 +64,42 @@ def spread(scan: DataFrame, key: str) -> DataFrame:
     return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, key)
 
 
-def range_chunks(df: DataFrame, keys: Sequence[str], chunk: str = CHUNK) -> DataFrame:
-    """Range-partition by the total order ``keys`` and name each row's partition."""
+def chunk_bounds(df: DataFrame, keys: Sequence[str], chunks: int) -> list[tuple]:
+    """The least keys of all chunks but the first, from a sample of at most ``SAMPLE_PER_CHUNK`` keys a chunk."""
+    if chunks < 2:
+        return []
+    drawn = df.select(*keys).orderBy(F.rand(7)).limit(SAMPLE_PER_CHUNK * chunks).orderBy(*keys).collect()
+    picked = [tuple(drawn[len(drawn) * i // chunks]) for i in range(1, chunks)] if drawn else []
+    return list(dict.fromkeys(picked))
+
+
+def chunk_of(df: DataFrame, keys: Sequence[str], bounds: Sequence[tuple]) -> Column:
+    """How many bounds a row's keys reach: a binary search over constants, nulls first as in a sort."""
+    if not bounds:
+        return F.lit(0)
+    types = {f.name: f.dataType for f in df.schema.fields}
+    constant = F.array(*[F.struct(*[F.lit(v).cast(types[k]).alias(k) for k, v in zip(keys, b)]) for b in bounds])
+    own = F.struct(*keys)
+
+    def halve(range_: Column, _: Column) -> Column:
+        low, high = range_["low"], range_["high"]
+        mid = F.shiftright(low + high, 1)
+        reached = F.get(constant, mid) <= own
+        return F.when(low >= high, range_).when(reached, F.struct((mid + 1).alias("low"), high.alias("high"))).otherwise(F.struct(low.alias("low"), mid.alias("high")))
+
+    start = F.struct(F.lit(0).alias("low"), F.lit(len(bounds)).alias("high"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(len(bounds).bit_length())), start, halve, lambda r: r["low"])
+
+
+def range_chunks(df: DataFrame, keys: Sequence[str], chunk: str = CHUNK, chunks: int | None = None) -> DataFrame:
+    """Each row with the number of its range of the total order ``keys``."""
+    n = chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.withColumn(chunk, chunk_of(df, keys, chunk_bounds(df, keys, n)))
+
+
+def partition_ranges(df: DataFrame, keys: Sequence[str], chunk: str = CHUNK) -> DataFrame:
+    """The same by Spark's own range partitions, for plans that read the result in one branch only: no
+    bounds are drawn beforehand, so building the plan runs nothing."""
     return df.repartitionByRange(*keys).withColumn(chunk, F.spark_partition_id())
 
 
@@ -105,6 +130,7 @@ def running_sums(
     order: Sequence[str],
     sums: Sequence[str],
     next_of: str | None = None,
+    chunks: int | None = None,
 ) -> DataFrame:
     """Exact prefix sums over groups of any size.
 
@@ -117,7 +143,7 @@ def running_sums(
     one shuffle and no join.
     """
     by, order = list(by), list(order)
-    chunked = checkpointed(range_chunks(df, [*by, *order]))
+    chunked = range_chunks(df, [*by, *order], chunks=chunks)
     starts = chunk_starts(chunked, by, sums, first=next_of)
     carried = [f"{c}_total" for c in sums] + (["_next_first"] if next_of is not None else [])
     heads = starts.select(*by, CHUNK, *[F.col(f"_start_{c}").alias(c) for c in sums], *carried, F.lit(0).alias("_row"))
@@ -140,12 +166,6 @@ def row_index(df: DataFrame, *, by: Sequence[str] = (), order: Sequence[str], ou
     return counted.select(*df.columns, (F.col("_one_before") + 1).alias(out), F.col("_one_total").alias(f"{out}_of"))
 
 
-def longest_group(df: DataFrame, by: Sequence[str]) -> int:
-    """Rows of the largest group; a count with map-side combine over the key columns only."""
-    row = df.groupBy(*by).count().agg(F.max("count")).first()
-    return row[0] or 0
-
-
 Frames = Callable[[Window], dict[str, Column]]
 Build = Callable[[DataFrame, list[str]], DataFrame]
 
@@ -159,7 +179,7 @@ def per_series(
     lookback: int,
     lookahead: int = 0,
     per_period: bool = False,
-    max_rows: int = MAX_SERIES_ROWS,
+    chunks: int | None = None,
 ) -> DataFrame:
     """Run a per-series computation made of bounded ROWS windows.
 
@@ -168,13 +188,12 @@ def per_series(
     rows after it, through all its windows together.
 
     ``per_period=True`` says the frame has at most one row per series and period, so that a series
-    is as long as the calendar. Otherwise the longest series is measured, and if it is above
-    ``max_rows`` the computation runs in chunks.
+    is as long as the calendar and fits one task. Raw rows always run in ``chunks``.
     """
     series, order = list(series), list(order)
-    if per_period or longest_group(df, series) <= max_rows:
+    if per_period:
         return build(df, series)
-    return in_chunks(df, build, series=series, order=order, lookback=lookback, lookahead=lookahead)
+    return in_chunks(df, build, series=series, order=order, lookback=lookback, lookahead=lookahead, chunks=chunks)
 
 
 def series_frames(df: DataFrame, *, series: Sequence[str], order: Sequence[str], frames: Frames, **how) -> DataFrame:
@@ -183,13 +202,13 @@ def series_frames(df: DataFrame, *, series: Sequence[str], order: Sequence[str],
     return per_series(df, build, series=series, order=order, **how)
 
 
-def in_chunks(df: DataFrame, build: Build, *, series: Sequence[str], order: Sequence[str], lookback: int, lookahead: int = 0) -> DataFrame:
+def in_chunks(df: DataFrame, build: Build, *, series: Sequence[str], order: Sequence[str], lookback: int, lookahead: int = 0, chunks: int | None = None) -> DataFrame:
     """``build`` over range partitions of the total order: each chunk also gets copies of the
     ``lookback`` rows before it and the ``lookahead`` rows after it, from as many neighbouring
     chunks as needed, and the copies leave again."""
     series, order = list(series), list(order)
     ones = df.withColumn("_one", F.lit(1).cast("bigint"))
-    chunked = checkpointed(range_chunks(ones, [*series, *order]))
+    chunked = range_chunks(ones, [*series, *order], chunks=chunks)
     per_chunk = chunked.groupBy(*series, CHUNK).agg(F.sum("_one").alias("_n"))
     whole = Window.partitionBy(*series).orderBy(CHUNK)
     before = F.coalesce(F.sum("_n").over(whole.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

@@ -6,7 +6,7 @@ from collections.abc import Iterable, Sequence
 from datetime import date as Date
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltide.functions.scalars import nonblank
@@ -126,15 +126,19 @@ def seeded_sample_n(df: DataFrame, *, key: str, n: int, seed: int = 0) -> DataFr
     return df.orderBy(sample_order(key, seed), key).limit(n)
 
 
-def bootstrap_sample(df: DataFrame, *, n: int = 100, seed: int = 42) -> DataFrame:
-    """A frame of fewer than ``n`` rows is resampled with replacement up to about n rows.
+def bootstrap_sample(df: DataFrame, *, key: str, n: int = 100, seed: int = 42) -> DataFrame:
+    """At least ``n`` rows: exactly n of them, drawn without replacement. Fewer rows: as many as there
+    are, drawn with replacement. The same rows on every run; ``draw`` numbers them from 0.
 
-    The size is looked at through at most n rows. Larger frames are returned as they are.
+    Only the n candidates of ``seeded_sample_n`` are numbered, in the order of their hashes.
     """
-    have = df.limit(n).count()
-    if have >= n or have == 0:
-        return df
-    return df.sample(withReplacement=True, fraction=n / have, seed=seed)
+    few = seeded_sample_n(df, key=key, n=n, seed=seed)
+    place = F.row_number().over(Window.orderBy(sample_order(key, seed), key)) - 1  # over n rows at most
+    placed = few.withColumns({"_place": place, "_size": F.count(F.lit(1)).over(Window.partitionBy())})
+    # row i also makes draw i: with all n rows there, itself; else the row that the draw's hash names
+    drawn = F.when(F.col("_size") >= n, F.col("_place")).otherwise(F.pmod(sample_order("_place", seed), F.col("_size")))
+    draws = placed.select(F.col("_place").alias("draw"), drawn.cast("int").alias("_at"))
+    return draws.join(placed, F.col("_at") == F.col("_place")).select(*df.columns, "draw")
 
 
 def head_n(df: DataFrame, *, order: Sequence[str], n: int) -> DataFrame:

@@ -13,12 +13,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltide.functions.text import WORD, WORD2, ngrams, remove_stopwords, tokenize
-from voltide.operators.metrics import quantiles_of
+from voltide.operators.metrics import quantiles_of, same_group
 from voltide.operators.ordering import checkpointed, running_sums
 
-#: A vocabulary up to this many terms is broadcast; a longer one joins by shuffle.
-BROADCAST_TERMS = 200_000
-
 
 def doc_words(df: DataFrame, *, doc: str, text: str, stopwords: Sequence[str] = (), pattern: str = WORD2) -> DataFrame:
     """(doc, words) with the stop words out."""
@@ -60,48 +57,43 @@ def vocabulary(words: DataFrame, *, sizes: tuple[int, int], joiner: str, max_fea
     the corpus would cross the network. A word that contains the joiner may look like a pair; pairs
     that spell such a word are kept as well and counted with it.
 
-    The frequent and the look-alike words are broadcast if their number, which is looked up, is
-    small; otherwise all pairs are counted.
+    The threshold is a scalar subquery and the joins carry no hint: how they run is left to the sizes
+    found at run time. Tokens hold no white space, so a blank as the joiner leaves no look-alikes.
     """
     if sizes != (1, 2):
         return top_terms(corpus_counts(explode_known(words, ngrams(F.col("words"), sizes, joiner), "term")), max_features)
     single = checkpointed(corpus_counts(explode_known(words, F.col("words"), "term")))
-    edge = top_terms(single, max_features).agg(F.count(F.lit(1)).alias("n"), F.min("corpus_count").alias("least")).first()
-    least = edge["least"] if edge["n"] == max_features else 0
-    often, alike = F.col("corpus_count") >= least, F.col("term").contains(joiner)
-    found = single.agg(F.count_if(often).alias("often"), F.count_if(alike).alias("alike")).first()
-    if found["often"] + found["alike"] > BROADCAST_TERMS:
-        return top_terms(corpus_counts(explode_known(words, ngrams(F.col("words"), sizes, joiner), "term")), max_features)
+    edge = top_terms(single, max_features).agg(F.when(F.count(F.lit(1)) == max_features, F.min("corpus_count")).otherwise(F.lit(0)).alias("least"))
+    often = F.col("corpus_count") >= edge.scalar()
     w = F.col("words")
     zipped = F.arrays_zip(w.alias("a"), F.slice(w, F.lit(2), F.greatest(F.size(w), F.lit(1))).alias("b"))
     pairs = words.select(F.explode_outer(zipped).alias("z")).select("z.a", "z.b").where(F.col("b").isNotNull())
     frequent = single.where(often).select("term")
-    if found["alike"]:
+    kept = single.where(often)
+    if joiner.isspace():
+        for side in ("a", "b"):
+            pairs = pairs.join(frequent.select(F.col("term").alias(side)), side, "left_semi")
+    else:
+        alike = F.col("term").contains(joiner)
         for side in ("a", "b"):
-            pairs = pairs.join(F.broadcast(frequent.select(F.col("term").alias(side), F.lit(1).alias(f"in_{side}"))), side, "left")
+            pairs = pairs.join(frequent.select(F.col("term").alias(side), F.lit(1).alias(f"in_{side}")), side, "left")
         spelled = F.concat("a", F.lit(joiner), "b")
         words_alike = single.where(alike).select(F.col("term").alias("_spelled"), F.lit(1).alias("in_words"))
-        pairs = pairs.join(F.broadcast(words_alike), spelled == F.col("_spelled"), "left")
+        pairs = pairs.join(words_alike, spelled == F.col("_spelled"), "left")
         pairs = pairs.where((F.col("in_a").isNotNull() & F.col("in_b").isNotNull()) | F.col("in_words").isNotNull())
-    else:
-        for side in ("a", "b"):
-            pairs = pairs.join(F.broadcast(frequent.select(F.col("term").alias(side))), side, "left_semi")
+        kept = single.where(often | alike)
     counted = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("corpus_count"))
     joined = counted.select(F.concat("a", F.lit(joiner), "b").alias("term"), "corpus_count")
-    together = single.where(often | alike).unionByName(joined).groupBy("term").agg(F.sum("corpus_count").alias("corpus_count"))
+    together = kept.unionByName(joined).groupBy("term").agg(F.sum("corpus_count").alias("corpus_count"))
     return top_terms(together, max_features)
 
 
-def _small(vocabulary: DataFrame, max_features: int) -> DataFrame:
-    return F.broadcast(vocabulary) if max_features <= BROADCAST_TERMS else vocabulary
-
-
 def count_vocabulary(words: DataFrame, *, doc: str, sizes: tuple[int, int], joiner: str, max_features: int) -> DataFrame:
     """Counts per document of the ``max_features`` most frequent terms: the others are dropped
     before the shuffle."""
     chosen = vocabulary(words, sizes=sizes, joiner=joiner, max_features=max_features).select("term")
     terms = explode_terms(words, doc=doc, sizes=sizes, joiner=joiner)
-    return count_terms(terms.join(_small(chosen, max_features), "term", "inner"), doc=doc)
+    return count_terms(terms.join(chosen, "term", "inner"), doc=doc)
 
 
 def term_counts(df: DataFrame, *, doc: str, text: str, sizes: tuple[int, int] = (1, 2), joiner: str = " ", **how) -> DataFrame:
@@ -119,16 +111,16 @@ def count_vectorize(df: DataFrame, *, doc: str, text: str, max_features: int = 1
 def tfidf(df: DataFrame, *, doc: str, text: str, max_features: int = 1000, **how) -> DataFrame:
     """tf * (ln((1 + n) / (1 + df)) + 1), every document scaled to length 1."""
     counts = count_vectorize(df, doc=doc, text=text, max_features=max_features, **how)
-    return weigh(counts, df, doc=doc, max_features=max_features)
+    return weigh(counts, df, doc=doc)
 
 
-def weigh(counts: DataFrame, docs: DataFrame, *, doc: str, max_features: int) -> DataFrame:
+def weigh(counts: DataFrame, docs: DataFrame, *, doc: str) -> DataFrame:
     """TF-IDF weights from term counts; ``docs`` gives the number of documents."""
     n_docs = docs.agg(F.count(F.lit(1))).scalar()
     spread_of = counts.groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"))
     idf = spread_of.select("term", (F.ln((1 + n_docs) / (1 + F.col("doc_freq"))) + 1).alias("idf"))
-    raw = counts.join(_small(idf, max_features), "term", "inner").withColumn("_w", F.col("tf") * F.col("idf"))
-    norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(doc)))  # at most max_features rows
+    raw = counts.join(idf, "term", "inner").withColumn("_w", F.col("tf") * F.col("idf"))
+    norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(doc)))  # as many rows as the vocabulary has terms
     return raw.select(doc, "term", (F.col("_w") / norm).alias("weight"))
 
 
@@ -174,7 +166,7 @@ def direction_analyzer_tfidf(df: DataFrame, *, doc: str, text: str, stems: DataF
     """TF-IDF over single stems and adjacent pairs joined by ``_``."""
     words = direction_words(df, doc=doc, text=text, stems=stems, stopwords=stopwords)
     counts = count_vocabulary(words, doc=doc, sizes=(1, 2), joiner="_", max_features=max_features)
-    return weigh(counts, df, doc=doc, max_features=max_features)
+    return weigh(counts, df, doc=doc)
 
 
 def text_descriptor_rows(df: DataFrame, *, doc: str, text: str, keep: Sequence[str] = (), vocabulary: DataFrame | None = None) -> DataFrame:
@@ -214,4 +206,4 @@ def text_descriptors(df: DataFrame, *, doc: str, text: str, by: Sequence[str] =
     basics = ranked.groupBy(*keys).agg(F.sum("n").alias("_n"), (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"), F.max("value").alias("max"))
     quantiles = quantiles_of(ranked, by=keys, qs=qs)
     wide = quantiles.groupBy(*keys).agg(*[F.max(F.when(F.col("q") == q, F.col("quantile"))).alias(f"p{int(q * 100):02d}") for q in qs])
-    return basics.withColumnRenamed("_n", "n").join(wide, keys, "left")
+    return same_group(basics.withColumnRenamed("_n", "n"), wide, keys)

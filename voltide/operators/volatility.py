@@ -116,7 +116,7 @@ def rolling_labels(
 ) -> DataFrame:
     """Mean and sample deviation of the label over the last ``window`` rows.
 
-    These run over raw headline rows, so the series is measured and cut when it is too long.
+    These run over raw headline rows, of which one series may hold most: they are cut in chunks.
     """
 
     def frames(w):

@@ -36,7 +36,9 @@ def daily_vote(
         F.count(F.lit(1)).alias("num_headlines"),
     ]
     if label is not None:
-        aggs.insert(0, (F.min_by(label, order) if order else F.first(label)).alias("true_label"))
+        if order is None:
+            raise ValueError("a label needs an order that says which one of the day is the first")
+        aggs.insert(0, F.min_by(label, order).alias("true_label"))
     agg = df.groupBy(*keys).agg(*aggs)
     half = F.col("num_headlines") / 2
     majority = F.col("_votes") >= half if tie_up else F.col("_votes") > half

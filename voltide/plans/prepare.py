@@ -21,11 +21,11 @@ from voltide.sources.tables import sink_parquet
 LOOKBACK = 41
 
 
-def features_of_bars(bars: DataFrame, *, keep_current: bool = False, one_hot: bool = False, max_series_rows: int | None = None) -> DataFrame:
+def features_of_bars(bars: DataFrame, *, keep_current: bool = False, one_hot: bool = False, chunks: int | None = None) -> DataFrame:
     """Estimators, target, lags and averages, calendar; rows without full history dropped.
 
     After the bars there is one shuffle by series and one sort for everything. Daily bars are as
-    long as the calendar; for fine-grained bars, ``max_series_rows`` cuts longer series in chunks.
+    long as the calendar; fine-grained bars run in ``chunks``.
     """
 
     def build(frame: DataFrame, keys: list[str]) -> DataFrame:
@@ -33,7 +33,7 @@ def features_of_bars(bars: DataFrame, *, keep_current: bool = False, one_hot: bo
         measured = volatility_metrics(frame, series=keys).select(*keys, "date", "realized_vol", "tr_vol", "park_vol", *extra)
         return technical_features(vol_target(measured, series=keys), series=keys, keep_current=keep_current).drop("vol_change")
 
-    bounded = {"per_period": True} if max_series_rows is None else {"max_rows": max_series_rows}
+    bounded = {"per_period": True} if chunks is None else {"chunks": chunks}
     built = per_series(bars, build, series=["series"], order=["date"], lookback=LOOKBACK, **bounded)
     dated = calendar_one_hot(built) if one_hot else calendar_features(built)
     return dated.na.drop("any")

@@ -18,11 +18,11 @@ def wide_schema(slots: int = 25, label: str = "Label") -> T.StructType:
     return T.StructType([T.StructField("Date", T.StringType()), T.StructField(label, T.IntegerType()), *text])
 
 
-def scan_csv_wide(spark: SparkSession, path: str, *, schema: T.StructType | None = None, date: str = "Date", multiline: bool = True) -> DataFrame:
+def scan_csv_wide(spark: SparkSession, path: str, *, schema: T.StructType | None = None, date: str = "Date", multiline: bool = False) -> DataFrame:
     """Wide news CSV with header; an explicit schema saves the inference pass. Dates parsed.
 
-    ``multiline`` allows line breaks inside quoted text, at the price of one task per file; turn it
-    off for large files of one-line headlines, which then split.
+    Files split, so large ones are read by many tasks. ``multiline`` allows line breaks inside quoted
+    text, at the price of one task per file.
     """
     raw = spark.read.csv(path, header=True, schema=schema or wide_schema(), multiLine=multiline, escape='"')
     return raw.withColumn(date, parse_date(date))
@@ -167,6 +167,10 @@ def sink_jdbc_metrics(metrics: DataFrame, url: str, *, table: str = "volatility_
     rows.write.jdbc(url, table, mode="append", properties=properties or {})
 
 
-def scan_jdbc_metrics(spark: SparkSession, url: str, *, table: str = "volatility_metrics", properties: dict[str, str] | None = None, key: str = "id", lower: int = 0, upper: int = 1_000_000, partitions: int = 8) -> DataFrame:
-    """The table read in ranges of its key, in parallel; filters are pushed to the database."""
+def scan_jdbc_metrics(spark: SparkSession, url: str, *, table: str = "volatility_metrics", properties: dict[str, str] | None = None, lower: int, upper: int, key: str = "id", partitions: int = 8) -> DataFrame:
+    """The table read in ranges of its key, in parallel; filters are pushed to the database.
+
+    ``lower`` and ``upper`` are the least and the largest key: rows beyond them would pile up in the
+    outer ranges.
+    """
     return spark.read.jdbc(url, table, column=key, lowerBound=lower, upperBound=upper, numPartitions=partitions, properties=properties or {})
