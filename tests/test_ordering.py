@@ -106,3 +106,15 @@ def test_written_cut_prunes_columns_and_keeps_types(spark):
     assert rows(cut) == rows(df) and cut.dtypes == df.dtypes
     assert "ReadSchema: struct<id:bigint>" in plan_of(cut.select("id"))
     assert rows(O.checkpointed(df.withColumn("nothing", F.lit(None)))) == rows(df.withColumn("nothing", F.lit(None)))
+
+
+def test_positions_sort_like_their_columns_and_keep_hash_aggregates(spark):
+    from voltide.operators import alerts as A
+    from voltide.operators import volatility as V
+
+    df = spark.sql("SELECT * FROM VALUES (timestamp_ntz'1969-01-01', 5L), (timestamp_ntz'2024-01-01 00:00:00.000001', -7L), (timestamp_ntz'2024-01-01', 9L), (timestamp_ntz'2024-01-01', 10L), (NULL, 1L), (timestamp_ntz'9999-12-31', 9223372036854775807L) AS t(ts, id)")
+    placed = [r.id for r in df.orderBy(O.position(df, ["ts", "id"])).collect()]
+    assert placed == [r.id for r in df.orderBy("ts", "id").collect()]
+    ticks = df.withColumns({"s": F.lit("a"), "v": F.lit(1.0), "metric_name": F.lit("m"), "metric_value": F.lit(1.0)})
+    for plan in (plan_of(V.build_bars(ticks, series="s", ts="ts", price="v", order=["ts", "id"], period="hour")), plan_of(A.latest_per_metric(ticks))):
+        assert "HashAggregate" in plan and "SortAggregate" not in plan

@@ -251,7 +251,8 @@ def run_summary(spark, d):
 
     found = checkpointed(_run_metrics(spark, d))
     raised = A.check_alerts(found, J.rule_table(spark, A.FLOW_RULES))
-    return A.run_summary(found, raised, asof=asof(table(spark, d, "events")))
+    days = preds(spark, d).where(F.col("date") >= F.lit("2024-01-21").cast("date")).agg(F.countDistinct("date")).scalar()
+    return A.run_summary(found, raised, asof=asof(table(spark, d, "events")), prediction_days=days)
 
 
 cte("cur", "SELECT value, (row_number() OVER (ORDER BY ts, event_id) - 1) // 500 AS period FROM sides WHERE is_current = 1", "sides")
@@ -277,3 +278,28 @@ cte(
 def period_reports(spark, d):
     reference, current = drift_sides(spark, d)
     return r6(D.period_reports(reference, current, col="value", order=["ts", "event_id"]))
+
+
+def _text_sides(spark, d):
+    docs = table(spark, d, "documents", "doc_id", "text", "lang")
+    return docs.where("lang = 'en'"), docs.where("lang <> 'en'")
+
+
+@query(
+    """SELECT is_current, held_out, count(*) AS n FROM (SELECT CAST(lang <> 'en' AS INTEGER) AS is_current, (doc_id * 48271) % 2147483647 % 5 = 0 AS held_out FROM documents) GROUP BY ALL"""
+)
+def text_drift_split(spark, d):
+    """How the rows of both sides are dealt to training and test."""
+    reference, current = _text_sides(spark, d)
+    rows = D.text_drift_rows(reference, current, text="text", key="doc_id")
+    return rows.groupBy("is_current", "held_out").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    """SELECT 'text' AS "column", count(*) FILTER (NOT held_out) AS n_train, count(*) FILTER (held_out) AS n_test, true AS drifted
+    FROM (SELECT (doc_id * 48271) % 2147483647 % 5 = 0 AS held_out FROM documents)"""
+)
+def text_drift(spark, d):
+    """English against other languages: a classifier must tell them apart."""
+    reference, current = _text_sides(spark, d)
+    return D.text_drift(reference, current, text="text", key="doc_id").drop("auc")

@@ -8,6 +8,7 @@ from voltide.catalog.inputs import SLOTS, asof, daily, metrics, preds, target, w
 from voltide.catalog.registry import query, r6, table
 from voltide.functions import scalars as S
 from voltide.operators import metrics as M
+from voltide.streaming.jobs import score_rows
 from voltide.operators import models as ML
 from voltide.operators import votes as V
 
@@ -102,17 +103,18 @@ def epoch_millis(spark, d):
 
 
 @query(
-    """SELECT conv_id, turn, to_json({headline: text, prediction_class: prediction_class, model_version: 'rules'}) AS response FROM (
-      SELECT conv_id, turn, text, CAST(%s >= %s AS INTEGER) AS prediction_class FROM conversations)"""
-    % (KEYWORD, HALF)
+    f"""SELECT conv_id, turn, text AS headline, CAST(p >= {HALF} AS INTEGER) AS prediction_class, round(p, 4) AS prediction_probability, {_band_sql('>=', '<=')} AS confidence_level,
+      'rules' AS model_version, TIMESTAMP '2024-02-01 00:00:00' AS timestamp FROM (SELECT conv_id, turn, text, {KEYWORD} AS p FROM conversations)"""
 )
 def json_request(spark, d):
-    """Headlines packed into JSON requests, parsed, scored, and answered as JSON."""
+    """Headlines packed into JSON requests, parsed, scored, and answered as JSON; the whole response row."""
     requests = table(spark, d, "conversations").select("conv_id", "turn", F.to_json(F.struct(F.col("text").alias("headline"))).alias("request"))
-    parsed = requests.withColumn("r", F.from_json("request", "headline string"))
-    cls = S.class_threshold(S.keyword_score("r.headline"), inclusive=True)
-    answer = F.to_json(F.struct(F.col("r.headline").alias("headline"), cls.alias("prediction_class"), F.lit("rules").alias("model_version")))
-    return parsed.select("conv_id", "turn", answer.alias("response"))
+    parsed = requests.select("conv_id", "turn", F.from_json("request", "headline string").headline.alias("headline"))
+    scored = score_rows(parsed, text="headline", asof=F.lit("2024-02-01 00:00:00").cast("timestamp_ntz"))
+    fields = [c for c in scored.columns if c not in ("conv_id", "turn")]
+    answers = scored.select("conv_id", "turn", F.to_json(F.struct(*fields)).alias("response"))
+    kinds = "headline string, prediction_probability double, prediction_class int, confidence_level string, model_version string, timestamp timestamp_ntz"
+    return answers.select("conv_id", "turn", F.from_json("response", kinds).alias("r")).select("conv_id", "turn", "r.*")
 
 
 @query(DAILY, "daily")
@@ -337,6 +339,12 @@ def class_distribution(spark, d):
     return r6(M.class_distribution(target(spark, d), "vol_up"))
 
 
+@query("SELECT side, y, count(*) AS n, round(count(*) / sum(count(*)) OVER (PARTITION BY side), 6) AS share FROM sided GROUP BY side, y", "sided")
+def class_balance(spark, d):
+    """Classes of the reference and of the current rows."""
+    return r6(M.class_distribution(_sided(spark, d), "y", by=["side"]))
+
+
 @query('SELECT "column", n_missing FROM (' + " UNION ALL ".join(f"SELECT '{s}' AS \"column\", count(*) FILTER ({s} IS NULL) AS n_missing FROM wide" for s in SLOTS) + ") WHERE n_missing > 0", "wide")
 def null_counts(spark, d):
     return M.null_counts(wide(spark, d).select("conv_id", *SLOTS))

@@ -35,12 +35,67 @@ def _fitted(spark, d):
     return ML.train_boosted_trees(train, **HOW, **SMALL), test
 
 
-@query("SELECT doc_id, vol_up, 102 AS width FROM tall", "tall")
+@query(
+    f"""SELECT * FROM (WITH tw AS (SELECT doc_id, list_filter(regexp_extract_all(lower(Headline), '{W2}'), lambda x: x NOT IN ({STOP_SQL})) AS w FROM tall),
+    tt AS (SELECT doc_id, unnest(list_concat(w, CASE WHEN len(w) >= 2 THEN list_transform(list_zip(w[1:len(w) - 1], w[2:len(w)]), lambda z: z[1] || ' ' || z[2]) ELSE [] END)) AS term FROM tw),
+    tv AS (SELECT term, row_number() OVER (ORDER BY n DESC, term) - 1 AS pos FROM (SELECT term, count(*) AS n FROM tt GROUP BY term ORDER BY n DESC, term LIMIT 100)),
+    tc AS (SELECT doc_id, pos, count(*) AS tf FROM tt JOIN tv USING (term) GROUP BY 1, 2),
+    weighed AS (SELECT doc_id, pos, tf * (ln((1.0 + (SELECT count(*) FROM tall)) / (1 + count(*) OVER (PARTITION BY pos))) + 1) AS w FROM tc),
+    days AS (SELECT CAST(ts AS DATE) AS date, avg(value) AS day_mean, stddev_samp(value) AS day_std FROM events GROUP BY 1),
+    numbers AS (SELECT doc_id, coalesce(day_mean, 0) AS m, coalesce(day_std, 0) AS s FROM tall LEFT JOIN days USING (date))
+    SELECT doc_id, CAST(pos AS INTEGER) AS pos, round(value, 6) AS value FROM (
+      SELECT doc_id, pos, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS value FROM weighed UNION ALL SELECT doc_id, 100, m FROM numbers UNION ALL SELECT doc_id, 101, s FROM numbers) WHERE value <> 0)""",
+    "tall",
+)
 def assemble_features(spark, d):
+    """All entries of the vectors: weights of the terms in the order of the vocabulary, then the numbers."""
     from pyspark.ml.functions import vector_to_array
 
     built = ML.assemble_features(headlines(spark, d), text="Headline", numeric=NUMERIC, max_features=100, stopwords=STOPWORDS)
-    return built.select("doc_id", "vol_up", F.size(vector_to_array("features")).alias("width"))
+    entries = built.select("doc_id", F.posexplode(vector_to_array("features")).alias("pos", "value"))
+    return entries.where("value <> 0").withColumn("value", F.round("value", 6))
+
+
+TEST_ROWS = "(SELECT doc_id, date, vol_up FROM tall WHERE date > DATE '2024-01-20')"
+
+
+@query(f"SELECT doc_id, vol_up, true AS p_in_range, true AS class_fits, true AS confidence_fits, true AS text_fits FROM {TEST_ROWS}", "tall")
+def score_headlines_checked(spark, d):
+    """Each scored headline holds together: the class, confidence and text follow from the probability."""
+    from voltide.functions.scalars import TEXT_DOWN, TEXT_UP
+
+    model, test = _fitted(spark, d)
+    p, cls = F.col("prediction_proba"), F.col("prediction_class")
+    rows = ML.score_headlines(test, model, numeric=NUMERIC)
+    return rows.select(
+        "doc_id",
+        "vol_up",
+        ((p >= 0) & (p <= 1)).alias("p_in_range"),
+        (cls == (p > 0.5).cast("int")).alias("class_fits"),
+        (F.abs(F.col("confidence") - F.abs(p - 0.5) * 2) < 1e-9).alias("confidence_fits"),
+        (F.col("interpretation") == F.when(cls == 1, TEXT_UP).otherwise(TEXT_DOWN)).alias("text_fits"),
+    )
+
+
+@query(
+    f"SELECT date, count(*) AS num_headlines, arg_min(vol_up, doc_id) AS true_label, true AS mean_fits, true AS votes_fit, true AS max_fits FROM {TEST_ROWS} GROUP BY date",
+    "tall",
+)
+def score_day_checked(spark, d):
+    """Each daily vote equals what its own headline rows give."""
+    model, test = _fitted(spark, d)
+    daily, detailed = ML.score_days(test, model, day="date", label="vol_up", order="doc_id", version="1", asof=F.lit("2024-02-01 00:00:00").cast("timestamp_ntz"), numeric=NUMERIC)
+    own = detailed.groupBy("date").agg(F.avg("prediction_proba").alias("mean"), F.sum("prediction_class").alias("votes"), F.max("prediction_proba").alias("top"), F.count(F.lit(1)).alias("rows"))
+    near = lambda a, b: F.abs(F.col(a) - F.col(b)) < 1e-9
+    both = daily.join(own, "date")
+    return both.select(
+        "date",
+        "num_headlines",
+        "true_label",
+        near("prediction_mean_proba", "mean").alias("mean_fits"),
+        (F.col("prediction_majority_vote") == (F.col("votes") * 2 >= F.col("rows")).cast("int")).alias("votes_fit"),
+        near("prediction_max_proba", "top").alias("max_fits"),
+    )
 
 
 @query()

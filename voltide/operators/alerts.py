@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltide.operators.joins import compare
-from voltide.operators.ordering import running_sums
+from voltide.operators.ordering import position, running_sums
 
 # Fixed values: (rule, metric, comparator, threshold, seconds it must hold, severity).
 FLOW_RULES = [
@@ -46,8 +46,7 @@ def latest_per_metric(df: DataFrame, *, name: str = "metric_name", value: str =
     """The newest row per metric (largest key among equal times), by aggregation instead of
     ranking: each task reduces its rows to one per metric before the shuffle, so a metric with a
     third of all rows weighs no more than the others."""
-    newest = df.groupBy(name).agg(F.max(F.struct(ts, key, value)).alias("_last"))
-    return newest.select(name, F.col(f"_last.{ts}").alias(ts), F.col(f"_last.{value}").alias(value))
+    return df.groupBy(name).agg(F.max(ts).alias(ts), F.max_by(value, position(df, [ts, key])).alias(value))
 
 
 def avg_last_n(df: DataFrame, *, name: str = "metric_name", value: str = "metric_value", ts: str = "ts", key: str = "id", n: int = 10) -> DataFrame:
@@ -177,8 +176,8 @@ def monitoring_metrics(reference: DataFrame, current: DataFrame, predictions: Da
     return out.where(F.col("metric_value").isNotNull())
 
 
-def run_summary(metrics: DataFrame, alerts: DataFrame, *, asof: Column) -> DataFrame:
-    """One row for a run: status, counts, key metrics, and the alerts (at most one per rule)."""
+def run_summary(metrics: DataFrame, alerts: DataFrame, *, asof: Column, prediction_days: Column | None = None) -> DataFrame:
+    """One row for a run: status, counts, predicted days, key metrics, and the alerts (at most one per rule)."""
     name, value = F.col("metric_name"), F.col("metric_value")
     pick = lambda m: F.max(F.when(name == m, value))
     keys = ["data_drift_detected", "drift_share", "accuracy", "f1"]
@@ -198,6 +197,7 @@ def run_summary(metrics: DataFrame, alerts: DataFrame, *, asof: Column) -> DataF
         F.size("alerts").alias("alerts_count"),
         "reference_samples",
         "current_samples",
+        (F.lit(0) if prediction_days is None else F.coalesce(prediction_days, F.lit(0))).cast("bigint").alias("prediction_days"),
         "key_metrics",
         "alerts",
     )

@@ -223,10 +223,10 @@ def baseline_stats(df: DataFrame, *, date: str, y: str) -> DataFrame:
     )
 
 
-def class_distribution(df: DataFrame, col: str) -> DataFrame:
-    """Count and share of each value."""
-    counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n")).scalar()
+def class_distribution(df: DataFrame, col: str, *, by: Sequence[str] = ()) -> DataFrame:
+    """Count and share of each value, in the whole frame or in each group of ``by``."""
+    counts = df.groupBy(*by, col).agg(F.count(F.lit(1)).alias("n"))
+    total = F.sum("n").over(Window.partitionBy(*by)) if by else counts.agg(F.sum("n")).scalar()  # one row per group and class
     return counts.withColumn("share", F.col("n") / total)
 
 

@@ -91,6 +91,23 @@ def chunk_of(df: DataFrame, keys: Sequence[str], bounds: Sequence[tuple]) -> Col
     return F.aggregate(F.sequence(F.lit(1), F.lit(len(bounds).bit_length())), start, halve, lambda r: r["low"])
 
 
+def position(df: DataFrame, order: Sequence[str]) -> Column:
+    """One value that sorts like the columns of ``order``.
+
+    A time and an integer key become one decimal number: it fits the buffer of a hash aggregate, where
+    a struct would make Spark sort all rows first. A row without a time comes before all others.
+    """
+    types = dict(df.dtypes)
+    if len(order) == 1:
+        return F.col(order[0])
+    if len(order) == 2 and types[order[0]] in ("timestamp", "timestamp_ntz", "date") and types[order[1]] in ("bigint", "int", "smallint", "tinyint"):
+        zero = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        micros = F.timestamp_diff("MICROSECOND", zero, F.col(order[0]).cast("timestamp_ntz")).cast("decimal(18,0)")
+        placed = micros * F.lit(str(2**63)).cast("decimal(19,0)") + F.coalesce(F.col(order[1]), F.lit(-(2**63))).cast("decimal(19,0)")
+        return F.coalesce(placed.cast("decimal(38,0)"), F.lit("-" + "9" * 37).cast("decimal(38,0)"))
+    return F.struct(*order)
+
+
 def range_chunks(df: DataFrame, keys: Sequence[str], chunk: str = CHUNK, chunks: int | None = None) -> DataFrame:
     """Each row with the number of its range of the total order ``keys``."""
     n = chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

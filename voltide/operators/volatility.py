@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltide.functions.scalars import daily_to_annual
-from voltide.operators.ordering import series_frames
+from voltide.operators.ordering import position, series_frames
 
 MEASURES = ("realized_vol", "tr_vol", "park_vol")
 #: Parkinson's constant, 4 ln 2.
@@ -45,12 +45,12 @@ def build_bars(
     All aggregates combine on the map side, so a hot series costs no more than any other.
     """
     at = period_start(F.col(ts), period)
-    position = F.col(order[0]) if len(order) == 1 else F.struct(*order)
+    at_tick = position(df, order)
     return df.groupBy(F.col(series).alias(out_series), at.alias("date")).agg(
-        F.min_by(price, position).alias("open"),
+        F.min_by(price, at_tick).alias("open"),
         F.max(price).alias("high"),
         F.min(price).alias("low"),
-        F.max_by(price, position).alias("close"),
+        F.max_by(price, at_tick).alias("close"),
         F.count(F.lit(1)).alias("volume"),
     )
 

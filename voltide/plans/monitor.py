@@ -44,7 +44,8 @@ def monitoring_job(
     found = checkpointed(monitoring_metrics(reference, window, predictions, columns, y=y, yhat=yhat, score=score))
     metrics_append(found, metrics_path, ts=asof, model_version=model_version)
     alerts = check_alerts(found, rule_table(found.sparkSession, rules))
-    return run_summary(found, alerts, asof=asof)
+    predicted = predictions.agg(F.countDistinct(date)).scalar() if date in predictions.columns else None
+    return run_summary(found, alerts, asof=asof, prediction_days=predicted)
 
 
 def as_of(df: DataFrame, ts: str) -> Column:

@@ -31,8 +31,8 @@ def event_time(df: DataFrame, ts: str = "ts") -> DataFrame:
     return df.withColumn(ts, F.col(ts).cast("timestamp"))
 
 
-def score_rows(df: DataFrame, *, text: str, model=None, version: str = "rules") -> DataFrame:
-    """The online response per headline, by a fitted pipeline or by the keyword score."""
+def score_rows(df: DataFrame, *, text: str, model=None, version: str = "rules", asof: Column | None = None) -> DataFrame:
+    """The online response per headline, by a fitted pipeline or by the keyword score, stamped with ``asof`` if given."""
     if model is None:
         scored = df.withColumn("_p", keyword_score(text))
     else:
@@ -45,6 +45,7 @@ def score_rows(df: DataFrame, *, text: str, model=None, version: str = "rules")
         class_threshold("_p", inclusive=True).alias("prediction_class"),
         confidence_band("_p").alias("confidence_level"),
         F.lit(version).alias("model_version"),
+        *([asof.alias("timestamp")] if asof is not None else []),
     )
 
 
