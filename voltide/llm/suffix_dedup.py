@@ -165,7 +165,9 @@ class LoserTree:
 
 
 def resolve(part: int, last_part: bool, blobs: list[bytes], sentinel: tuple | None, length: int):
-    """Of one part: (k1, k2, first window, last window) found, and (digest, k1, k2, window) that need the other parts."""
+    """Of one part: (k1, k2, first window, last window) found; windows by content that other parts may have,
+    too; suffixes of a block that goes on in another part; what the blocks at the two ends share with the
+    suffixes before and after them."""
     runs = [Run(b) for b in blobs]
     if sentinel is not None:
         key, (k1, k2, place, near, far) = sentinel
@@ -189,39 +191,92 @@ def resolve(part: int, last_part: bool, blobs: list[bytes], sentinel: tuple | No
         for (k1, k2), (place, near, far) in refs[i]:
             if reach >= near:
                 found.append((k1, k2, place - min(far, reach), place - near))
-    open_: list[tuple] = []
+    # blocks of suffixes that share all ``length`` bytes to the right
+    n = len(keys)
+    edges = [0, *[i for i in range(1, n) if shared[i] < length], n]
+    blocks = list(zip(edges, edges[1:]))
+    left_cut, right_cut = part > 0, not last_part
+    ends = (UNKNOWN if right_cut and len(blocks) == 1 else shared[blocks[0][1]], UNKNOWN if left_cut and len(blocks) == 1 else shared[blocks[-1][0]])
+    # what each suffix shares with the first and the last one of the part
+    to_first, to_last = [length] * n, [length] * n
+    for i in range(1, n):
+        to_first[i] = min(to_first[i - 1], shared[i])
+        to_last[n - 1 - i] = min(to_last[n - i], shared[n - i])
     least = length - REACH + 1
-    i = 0
-    while i < len(keys):
-        # a stretch of suffixes that share enough for some window to match across their right parts
-        j = i + 1
-        while j < len(keys) and shared[j] >= least:
-            j += 1
-        edge = (i == 0 and part > 0) or (j == len(keys) and not last_part)
-        if edge or any(shared[m] < length for m in range(i + 1, j)):
-            seen: dict[bytes, tuple] = {}
-            a = i
-            while a < j:
-                b = a + 1
-                while b < j and shared[b] >= length:
-                    b += 1
-                outer = max(shared[a] if a > i else 0, shared[b] if b < j else 0)
-                if (a == 0 and part > 0) or (b == len(keys) and not last_part):
-                    outer = length - 1
-                for m in range(a, b):
-                    (k1, k2), (place, near, far) = refs[m][0]
-                    right, left = keys[m][:length], keys[m][length:][::-1]
-                    for d in range(max(near, length - outer), far + 1):
-                        digest = hashlib.blake2b(left[far - d :] + right[: length - d], digest_size=16).digest()
-                        here = (k1, k2, place - d, place - d)
-                        if edge:
-                            open_.append((digest, k1, k2, place - d))
-                        other = seen.setdefault(digest, here)
-                        if other is not here:
-                            found += [other, here]
-                a = b
-        i = j
-    return found, open_
+    pending: list[tuple] = []
+    border: dict[bytes, tuple] = {}
+    seen: dict[bytes, tuple] = {}
+    for x, (a, b) in enumerate(blocks):
+        if shared[a] < least:
+            seen.clear()
+        cut = part if left_cut and x == 0 else part + 1 if right_cut and x == len(blocks) - 1 else -1
+        outer = max(shared[a], shared[b])
+        for m in range(a, b):
+            (k1, k2), (place, near, far) = refs[m][0]
+            if cut >= 0:
+                pending.append((keys[m], k1, k2, place, near, far, cut))
+                continue
+            reach = max(to_first[m] if left_cut else 0, to_last[m] if right_cut else 0)
+            for d in range(max(near, length - outer), far + 1):
+                here = (k1, k2, place - d, place - d)
+                mark = window_digest(keys[m], far, d, length)
+                other = seen.setdefault(mark, here)
+                if other is not here:
+                    found += [other, here]
+                if d >= length - reach:
+                    # one window of each content speaks for all that this part has, as these know of each other
+                    border.setdefault(mark, here)
+    return found, border, pending, ends
+
+
+#: A block that goes on beyond a part.
+UNKNOWN = -1
+
+
+def window_digest(key: bytes, far: int, d: int, length: int) -> bytes:
+    """The content of the window that starts ``d`` bytes before the suffix."""
+    return hashlib.blake2b(key[length : length + d][::-1] + key[: length - d], digest_size=16).digest()
+
+
+def outer_of_cuts(ends: dict[int, tuple[int, int]], parts: int, length: int) -> list[int]:
+    """For the block at each cut: what it shares at most with a suffix outside it. ``ends`` has, for each
+    part, what its first block shares with the next and its last block with the one before."""
+    out = [0] * (parts + 1)
+    for cut in range(1, parts):
+        p = cut - 1
+        while p >= 0 and ends.get(p, (0, length - 1))[1] == UNKNOWN:
+            p -= 1
+        before = ends.get(p, (0, length - 1))[1] if p >= 0 else 0
+        p = cut
+        while p < parts and ends.get(p, (length - 1, 0))[0] == UNKNOWN:
+            p += 1
+        after = ends.get(p, (length - 1, 0))[0] if p < parts else 0
+        out[cut] = max(before, after)
+    return out
+
+
+def expander(outer: list[int], length: int):
+    """The windows of the blocks at the cuts: one (digest, k1, k2, span) of each content, and those that the
+    task has met twice, without a digest."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[bytes, tuple] = {}
+        twice: dict[tuple, set] = {}
+        for batch in batches:
+            for r in batch.to_pylist():
+                for d in range(max(r["near"], length - outer[r["cut"]]), r["far"] + 1):
+                    here = (r["k1"], r["k2"], r["place"] - d)
+                    other = seen.setdefault(window_digest(r["key"], r["far"], d, length), here)
+                    if other != here:
+                        for k1, k2, start in (other, here):
+                            twice.setdefault((k1, k2), set()).add(start)
+        out = [(mark, k1, k2, np.array([s, s], "<i4").tobytes()) for mark, (k1, k2, s) in seen.items()]
+        out += [(None, *k, np.repeat(np.array(sorted(v), "<i4"), 2).tobytes()) for k, v in twice.items()]
+        kinds = (pa.binary(), pa.int64(), pa.int64(), pa.binary())
+        for k in range(0, len(out), 20_000):
+            yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out[k : k + 20_000]], t) for i, t in enumerate(kinds)], names=["digest", "k1", "k2", "span"])
+
+    return run
 
 
 def dedup(docs: DataFrame, *, length: int = 400, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -283,20 +338,29 @@ def dedup(docs: DataFrame, *, length: int = 400, id_col: str = "doc_id", text_co
 
     def merge(whole: pa.Table) -> pa.Table:
         p = whole.column("part")[0].as_py()
-        found, open_ = resolve(p, p == len(cuts), whole.column("blob").to_pylist(), cuts[p] if p < len(cuts) else None, length)
+        found, border, pending, ends = resolve(p, p == len(cuts), whole.column("blob").to_pylist(), cuts[p] if p < len(cuts) else None, length)
         by_doc: dict[tuple, list] = {}
         for k1, k2, a, b in found:
             by_doc.setdefault((int(k1), int(k2)), []).append((a, b))
-        out = [(None, *k, np.unique(np.array(v, "<i4"), axis=0).tobytes()) for k, v in by_doc.items()]
-        out += [(d, int(k1), int(k2), np.array([(s, s)], "<i4").tobytes()) for d, k1, k2, s in open_]
-        kinds = (pa.binary(), pa.int64(), pa.int64(), pa.binary())
-        return pa.table([pa.array([o[i] for o in out], t) for i, t in enumerate(kinds)], names=["digest", "k1", "k2", "span"])
+        out = [(0, None, *k, np.unique(np.array(v, "<i4"), axis=0).tobytes(), 0, 0, 0, 0) for k, v in by_doc.items()]
+        out += [(1, key, int(k1), int(k2), None, *rest) for key, k1, k2, *rest in pending]
+        out += [(3, mark, int(k1), int(k2), np.array([a, b], "<i4").tobytes(), 0, 0, 0, 0) for mark, (k1, k2, a, b) in border.items()]
+        out.append((2, None, 0, 0, None, p, *ends, 0))
+        kinds = (pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.binary(), *[pa.int32()] * 4)
+        return pa.table([pa.array([o[i] for o in out], t) for i, t in enumerate(kinds)], names=["kind", "key", "k1", "k2", "span", "place", "near", "far", "cut"])
 
     sent = texts.mapInArrow(send, "part int, blob binary")
-    met = written(sent.repartition(parts, "part").groupBy("part").applyInArrow(merge, "digest binary, k1 bigint, k2 bigint, span binary"), "matches")
-    border = met.where(F.col("digest").isNotNull())
-    twice = border.groupBy("digest").agg(F.countDistinct("k1", "k2", "span").alias("n")).where("n > 1").select("digest")
-    spans = met.where(F.col("digest").isNull()).select("k1", "k2", "span").unionByName(border.join(twice, "digest").select("k1", "k2", "span"))
+    met = written(sent.repartition(parts, "part").groupBy("part").applyInArrow(merge, "kind int, key binary, k1 bigint, k2 bigint, span binary, place int, near int, far int, cut int"), "matches")
+    # one row for each part
+    ends = {r["place"]: (r["near"], r["far"]) for r in met.where("kind = 2").select("place", "near", "far").collect()}
+    outer = outer_of_cuts(ends, len(cuts) + 1, length)
+    cut = met.where("kind = 1").select("key", "k1", "k2", "place", "near", "far", "cut")
+    cut = written(cut.mapInArrow(expander(outer, length), "digest binary, k1 bigint, k2 bigint, span binary"), "cuts")
+    border = met.where("kind = 3").select(F.col("key").alias("digest"), "k1", "k2", "span").unionByName(cut.where(F.col("digest").isNotNull()))
+    twice = border.groupBy("digest").agg(F.min("k1").alias("a"), F.max("k1").alias("b"), F.min("k2").alias("c"), F.max("k2").alias("d"), F.min("span").alias("e"), F.max("span").alias("f"))
+    twice = twice.where("a <> b or c <> d or e <> f").select("digest")
+    spans = met.where("kind = 0").select("k1", "k2", "span").unionByName(cut.where(F.col("digest").isNull()).select("k1", "k2", "span"))
+    spans = spans.unionByName(border.join(twice, "digest").select("k1", "k2", "span"))
     spans = spans.groupBy("k1", "k2").agg(F.collect_list("span").alias("spans"))
     return row_key(docs, id_col, text_col, F.col(id_col).cast("bigint").alias("id")).join(spans, ["k1", "k2"], "left")
 
