@@ -4,15 +4,17 @@ Two documents link when the sets of their ``n``-word shingles have a Jaccard sim
 ``percent`` hundredths. Equal sets are one class; the join runs over the different sets.
 
 1. Sets that can have a partner. In any order of the tokens, two linked sets share ``l`` tokens among
-   their first ``size - ceil(t * size) + l`` (prefix filter with ``l = size // 20 + 1``). The order puts
+   their first ``size - ceil(t * size) + l`` (prefix filter with ``l = size // 10 + 1``). The order puts
    tokens that are common in a bounded sample last. Sets with too few prefix tokens that another set
    has in its prefix, too, drop out before anything else moves.
-2. Groups. Each set is compared with the set that owns most of its prefix tokens first; linked sets form
-   groups of similar sets around those. This only prunes, it decides nothing.
-3. The matrix. For each group the union of its members' prefix tokens is kept; the overlap of a query
-   with a group is bounded by what they share. Only qualifying groups of other sets are opened: they
-   come in blocks of ``BLOCK`` members with the union of all their tokens, a query must overlap
-   the union by ``t * size``, and is then compared with each member exactly.
+2. Groups. Each set is compared with the set that owns most of its tokens first; linked sets form
+   groups of similar sets around those. This only prunes, it decides nothing. The same exchange tells
+   which tokens more than ``COMMON`` sets have, exactly.
+3. The matrix. For each group the union of its members' prefix tokens is kept, in the order that puts
+   those common tokens last; the overlap of a query with a group is bounded by what they share. Only
+   qualifying groups of other sets are opened: they come in blocks of ``BLOCK`` members with the union
+   of all their tokens, a query must overlap the union by ``t * size``, and is then compared with each
+   member exactly.
 4. Classes of links are connected components (alternating large and small stars).
 
 A query only meets the groups it qualifies for, hot groups are spread over blocks, and queries stream
@@ -34,15 +36,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltide.llm.common import NO_ID, partitions, row_key, slices, table, written
-from voltide.llm.packed import pack, rolling, shared_anchors, unpack
-from voltide.llm.words import Hashes, word_hashes
+from voltide.llm.packed import pack, rolling, runs_of, shared_anchors, unpack
+from voltide.llm.words import word_hashes
 
 BLOCK = 64
+#: A token that more sets than this have comes last in the order of the second prefix filter.
+COMMON = 40
 
 
-def shingle_sets(texts: pa.Array, n: int, memo: Hashes) -> list[np.ndarray]:
+def shingle_sets(texts: pa.Array, n: int) -> list[np.ndarray]:
     """The sorted distinct shingles of each text."""
-    values, starts = word_hashes(texts, memo, lower=True)
+    values, starts = word_hashes(texts, lower=True)
     all_ = rolling(values, n)
     out = []
     for a, b in zip(starts[:-1], starts[1:]):
@@ -60,7 +64,7 @@ def at_least(size: int, percent: int) -> int:
 
 
 def matches(size: int) -> int:
-    return size // 20 + 1
+    return size // 10 + 1
 
 
 def prefix(tokens: np.ndarray, hot: np.ndarray, percent: int) -> np.ndarray:
@@ -91,9 +95,8 @@ def common_tokens(docs: DataFrame, n: int, sample_docs: int) -> np.ndarray:
     chosen = docs.join(F.broadcast(ids), ["k1", "k2"]).select("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = Hashes()
         for part in slices(batches):
-            for s in shingle_sets(part.column("text"), n, memo):
+            for s in shingle_sets(part.column("text"), n):
                 yield pa.RecordBatch.from_arrays([pa.array(s.view(np.int64))], names=["h"])
 
     counts = chosen.distinct().mapInArrow(run, "h bigint").groupBy("h").count().where("count >= 3")
@@ -156,8 +159,8 @@ class Postings:
         return pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int32()), pa.array([o[1] for o in out], pa.binary())], names=["part", "blob"])
 
 
-def postings(whole: pa.Table) -> tuple[list[tuple], np.ndarray, np.ndarray]:
-    """(sets, token groups, set of each entry) of one part; tokens of a single entry are left out."""
+def postings(whole: pa.Table) -> tuple[list[tuple], np.ndarray, np.ndarray, np.ndarray]:
+    """(sets, tokens, token of each entry, set of each entry) of one part; tokens of a single entry are left out."""
     sets, hs, ats = [], [], []
     for blob in whole.column("blob"):
         b = unpack(blob.as_py())
@@ -168,9 +171,10 @@ def postings(whole: pa.Table) -> tuple[list[tuple], np.ndarray, np.ndarray]:
     order = np.argsort(h, kind="stable")
     h, at = h[order], at[order]
     new = np.concatenate([[True], h[1:] != h[:-1]])
-    group = np.cumsum(new) - 1
-    many = np.bincount(group)[group] > 1
-    return sets, group[many], at[many]
+    many = np.bincount(np.cumsum(new) - 1)[np.cumsum(new) - 1] > 1
+    h, at = h[many], at[many]
+    new = np.concatenate([[True], h[1:] != h[:-1]]) if len(h) else np.zeros(0, bool)
+    return sets, h[new], np.cumsum(new) - 1, at
 
 
 def counted(pairs: list[np.ndarray], width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -179,22 +183,29 @@ def counted(pairs: list[np.ndarray], width: int) -> tuple[np.ndarray, np.ndarray
 
 
 def first_owners(whole: pa.Table) -> pa.Table:
-    """For each set of one part: how many of its tokens each first owner (the least set with the token) has."""
-    sets, group, at = postings(whole)
+    """For each set of one part: how many of its tokens each first owner (the least set with the token) has
+    (a, b, n), and which of its tokens more than ``COMMON`` sets have (a, hot)."""
+    sets, tokens, group, at = postings(whole)
     rank = np.empty(len(sets), np.int64)
     order = sorted(range(len(sets)), key=lambda i: sets[i][0])
     rank[order] = np.arange(len(sets))
-    first = np.full(group[-1] + 1 if len(group) else 0, len(sets))
+    first = np.full(len(tokens), len(sets))
     np.minimum.at(first, group, rank[at])
     a, b = rank[at], first[group]
     pairs, n = counted([(a * len(sets) + b)[a != b]], len(sets))
     ids = [sets[i][0] for i in order]
-    return pa.table([pa.array([ids[i] for i in pairs[:, 0]], pa.binary()), pa.array([ids[i] for i in pairs[:, 1]], pa.binary()), pa.array(n, pa.int64())], names=["a", "b", "n"])
+    out = [(ids[i], ids[j], int(k), None) for (i, j), k in zip(pairs, n)]
+    hot = np.bincount(group, minlength=len(tokens))[group] > COMMON
+    where = np.flatnonzero(hot)[np.argsort(at[hot], kind="stable")]
+    for i, x, y in runs_of(at[where]):
+        out.append((sets[i][0], None, None, tokens[group[where[x:y]]].tobytes()))
+    kinds = (pa.binary(), pa.binary(), pa.int64(), pa.binary())
+    return pa.table([pa.array([o[i] for o in out], t) for i, t in enumerate(kinds)], names=["a", "b", "n", "hot"])
 
 
 def qualifying(whole: pa.Table) -> pa.Table:
     """For each set of one part: how many of its tokens stand in the union of each other group."""
-    sets, group, at = postings(whole)
+    sets, _, group, at = postings(whole)
     names = sorted({s[1] for s in sets})
     number = {g: i for i, g in enumerate(names)}
     own = np.array([number[s[1]] for s in sets], np.int64)
@@ -206,12 +217,12 @@ def qualifying(whole: pa.Table) -> pa.Table:
         if len(groups) < 2:
             continue
         q = np.unique(at[a:b])
-        for k in range(0, len(q), max(1, 2_000_000 // len(groups))):
-            x = q[k : k + max(1, 2_000_000 // len(groups))]
+        for k in range(0, len(q), max(1, 500_000 // len(groups))):
+            x = q[k : k + max(1, 500_000 // len(groups))]
             key = (x[:, None] * len(names) + groups[None, :])[own[x][:, None] != groups[None, :]]
             pairs.append(key)
             held += len(key)
-            if held > 8_000_000:
+            if held > 2_000_000:
                 pairs, held = [_summed(pairs)], 0
     flat = _summed(pairs)
     at_q, at_g, n = flat["k"] // max(len(names), 1), flat["k"] % max(len(names), 1), flat["n"]
@@ -236,9 +247,9 @@ def opened(n: int, percent: int):
     """Over rows (g, block, side, id, text) in that order: a block's members come first, then its queries stream by."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, place, members, union = Hashes(), None, [], None
+        place, members, union = None, [], None
         for part in slices(batches, limit=2 << 20):
-            sets = shingle_sets(part.column("text"), n, memo)
+            sets = shingle_sets(part.column("text"), n)
             out = []
             for g, b, side, i, tokens in zip(part.column("g").to_pylist(), part.column("block").to_pylist(), part.column("side").to_pylist(), part.column("id").to_pylist(), sets):
                 if (g, b) != place:
@@ -274,51 +285,55 @@ def verify(texts: DataFrame, candidates: DataFrame, groups: DataFrame, n: int, p
 def link_classes(docs: DataFrame, *, n: int = 5, percent: int = 75, sample_docs: int = 4000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, k1, k2, n_shingles, component_id of each row."""
     parts = partitions(docs.sparkSession)
-    rows = row_key(docs, id_col, text_col, F.col(id_col).cast("bigint").alias("id"))
+    rows = row_key(docs, id_col, text_col)
     hot = common_tokens(rows.select("k1", "k2", "text"), n, sample_docs)
 
-    def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = Hashes()
-        for part in slices(batches, limit=4 << 20):
-            sets = shingle_sets(part.column("text"), n, memo)
-            cols = [pa.array([len(s) for s in sets], pa.int64()), pa.array([digest(s) if len(s) else None for s in sets], pa.binary())]
-            yield pa.RecordBatch.from_arrays([part.column("id"), part.column("k1"), part.column("k2"), *cols], names=["id", "k1", "k2", "n_shingles", "set"])
-
-    each = written(rows.select("id", "k1", "k2", "text").mapInArrow(narrow, "id bigint, k1 bigint, k2 bigint, n_shingles bigint, set binary"), "sets")
-
-    memo = Hashes()
-
     def find(part: pa.RecordBatch):
-        sets = shingle_sets(part.column("text"), n, memo)
+        sets = shingle_sets(part.column("text"), n)
         heads = [prefix(s, hot, percent) for s in sets]
+        marks = [digest(s) for s in sets]
         doc = np.repeat(np.arange(len(sets)), [len(x) for x in heads])
-        owner = np.array([int.from_bytes(digest(s)[:8], "little") for s in sets], np.uint64)[doc]
-        size = np.array([len(s) for s in sets], np.int64)[doc]
-        return np.concatenate(heads), owner, doc, np.stack([size, size, size], 1)
-
-    live = shared_anchors(rows.select("k1", "k2", "text"), find, single=False)
-    found = F.aggregate("spots", F.lit(0), lambda s, b: s + F.octet_length(b)) / 12
-    reps = each.where(F.col("set").isNotNull()).groupBy("set").agg(F.min(F.struct("k1", "k2")).alias("at"), F.min("id").alias("least"))
-    size = each.groupBy("k1", "k2").agg(F.max("n_shingles").alias("size"))
+        owner = np.array([int.from_bytes(m[:8], "little") for m in marks], np.uint64)[doc]
+        facts = [b"s" + len(s).to_bytes(7, "big") + (m if len(s) else b"") for s, m in zip(sets, marks)]
+        return np.concatenate(heads), owner, doc, np.zeros((len(doc), 3), np.int64), facts
+
+    # of each row its size and set, and of each list of shared prefix tokens its length (12 bytes an entry)
+    swept = written(shared_anchors(rows.select("k1", "k2", "text"), find, single=False, facts=True).select(
+        "k1", "k2",
+        F.when(F.substring("blob", 1, 1) == F.lit(b"s"), F.conv(F.hex(F.substring("blob", 2, 7)), 16, 10).cast("bigint")).alias("n_shingles"),
+        F.when((F.substring("blob", 1, 1) == F.lit(b"s")) & (F.octet_length("blob") > 8), F.substring("blob", 9, 16)).alias("set"),
+        F.when(F.substring("blob", 1, 1) != F.lit(b"s"), F.octet_length("blob") / 12).alias("found"),
+    ), "sets")
+    each = swept.where(F.col("n_shingles").isNotNull()).select(F.when(F.col("k1") != NO_ID, F.col("k1")).alias("id"), "k1", "k2", "n_shingles", "set")
+    reps = each.where(F.col("set").isNotNull()).groupBy("set").agg(F.min(F.struct("k1", "k2")).alias("at"), F.min("id").alias("least"), F.max("n_shingles").alias("size"))
+    found = swept.where(F.col("found").isNotNull()).groupBy("k1", "k2").agg(F.sum("found").alias("found"))
     # matches() of the smallest partner that a set can have
-    need = F.floor(F.ceil(F.col("size") * percent / 100) / 20) + 1
-    open_ = live.select("k1", "k2", found.alias("found")).join(size, ["k1", "k2"]).where(F.col("found") >= need).select("k1", "k2", need.alias("need"))
-    left = reps.select(F.col("set").alias("id"), "at.k1", "at.k2").join(open_, ["k1", "k2"])
-    texts = written(rows.select("k1", "k2", "text").join(left, ["k1", "k2"]).dropDuplicates(["k1", "k2"]).select("id", "need", "text"), "candidates")
-
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, out = Hashes(), Postings(parts)
-        for part in slices(batches, limit=4 << 20):
-            names = [part.column(c).to_pylist() for c in part.schema.names if c in ("id", "g")]
-            for tokens, *row in zip(shingle_sets(part.column("text"), n, memo), *names):
-                out.add(prefix(tokens, hot, percent), *row)
-            if out.n > 2_000_000:
-                yield out.blocks()
-        yield out.blocks()
-
-    owners = texts.select("id", "text").mapInArrow(send, "part int, blob binary").repartition(parts, "part").groupBy("part").applyInArrow(first_owners, "a binary, b binary, n bigint")
-    owners = owners.groupBy("a", "b").agg(F.sum("n").alias("n")).groupBy("a").agg(F.max(F.struct("n", "b")).alias("best"))
-    likely = owners.join(texts.select(F.col("id").alias("a"), "need"), "a").where(F.col("best.n") >= F.col("need")).select(F.col("a").alias("q"), F.col("best.b").alias("g"))
+    need = F.floor(F.ceil(F.col("size") * percent / 100) / 10) + 1
+    left = reps.select(F.col("set").alias("id"), "at.k1", "at.k2", "size", need.alias("need")).join(found, ["k1", "k2"]).where(F.col("found") >= F.col("need"))
+    texts = written(rows.select("k1", "k2", "text").join(left, ["k1", "k2"]).dropDuplicates(["k1", "k2"]).select("id", "size", "need", "text"), "candidates")
+
+    def sender(whole_sets: bool):
+        def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            out = Postings(parts)
+            for part in slices(batches, limit=4 << 20):
+                names = [part.column(c).to_pylist() for c in part.schema.names if c in ("id", "g")]
+                sets = shingle_sets(part.column("text"), n)
+                if not whole_sets:
+                    last = [np.sort(np.frombuffer(b"".join(x or ()), np.uint64)) for x in part.column("hot").to_pylist()]
+                    sets = [prefix(t, x, percent) for t, x in zip(sets, last)]
+                for tokens, *row in zip(sets, *names):
+                    out.add(tokens, *row)
+                if out.n > 2_000_000:
+                    yield out.blocks()
+            yield out.blocks()
+
+        return send
+
+    owners = texts.select("id", "text").mapInArrow(sender(True), "part int, blob binary").repartition(parts, "part").groupBy("part")
+    owners = written(owners.applyInArrow(first_owners, "a binary, b binary, n bigint, hot binary"), "owners")
+    last = owners.where(F.col("hot").isNotNull()).groupBy(F.col("a").alias("id")).agg(F.collect_list("hot").alias("hot"))
+    best = owners.where(F.col("b").isNotNull()).groupBy("a", "b").agg(F.sum("n").alias("n")).groupBy("a").agg(F.max(F.struct("n", "b")).alias("best"))
+    likely = best.join(texts.select(F.col("id").alias("a"), "size"), "a").where(F.col("best.n") * 4 >= F.col("size")).select(F.col("a").alias("q"), F.col("best.b").alias("g"))
     alone = texts.select("id", F.col("id").alias("g"))
     star = written(verify(texts.select("id", "text"), likely, alone, n, percent), "links")
     groups = texts.select("id").join(star.select(F.col("a").alias("id"), F.col("b").alias("g")), "id", "left")
@@ -326,9 +341,13 @@ def link_classes(docs: DataFrame, *, n: int = 5, percent: int = 75, sample_docs:
     hop = groups.select(F.col("id").alias("g"), F.col("g").alias("top"))
     groups = written(groups.join(hop, "g", "left").select("id", F.coalesce("top", "g").alias("g")), "groups")
 
-    sent = texts.join(groups, "id").select("id", "g", "text").mapInArrow(send, "part int, blob binary")
+    sent = texts.join(groups, "id").join(last, "id", "left").select("id", "g", "hot", "text").mapInArrow(sender(False), "part int, blob binary")
     met = sent.repartition(parts, "part").groupBy("part").applyInArrow(qualifying, "q binary, g binary, n bigint").groupBy("q", "g").agg(F.sum("n").alias("n"))
-    chosen = written(met.join(texts.select(F.col("id").alias("q"), "need"), "q").where(F.col("n") >= F.col("need")).select("q", "g"), "chosen")
+    met = met.join(texts.select(F.col("id").alias("q"), "size", "need"), "q").where(F.col("n") >= F.col("need"))
+    # a group is open to sizes that some member can link with
+    reach = groups.join(texts.select("id", "size"), "id").groupBy("g").agg(F.min("size").alias("low"), F.max("size").alias("high"))
+    fits = (F.col("low") * percent <= F.col("size") * 100) & (F.col("size") * percent <= F.col("high") * 100)
+    chosen = written(met.join(reach, "g").where(fits).select("q", "g"), "chosen")
     links = star.unionByName(verify(texts.select("id", "text"), chosen, groups, n, percent))
     roots = components(links)
     class_of = reps.select("set", "least").join(roots.withColumnRenamed("node", "set"), "set", "left").withColumn("root", F.coalesce("root", "set"))

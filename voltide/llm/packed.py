@@ -129,20 +129,30 @@ class Gathered:
         met = (last > first) if self.single else owner[first] != owner[last]
         part = (h >> np.uint64(32)).astype(np.int64) * self.parts >> 32
         here = met[group]
-        for p in np.unique(part):
-            mine = part == p
-            open_ = mine & ~here
-            known = h[first[met & mine[first]]]
+        for p, a, b in runs_of(part):
+            open_ = a + np.flatnonzero(~here[a:b])
+            heads = first[group[a] : group[b - 1] + 1]
+            known = h[heads[met[group[a] : group[b - 1] + 1]]]
             used, doc_of = np.unique(doc[open_], return_inverse=True)
-            yield int(p), pack(h=h[open_], owner=owner[open_], doc=doc_of.astype(np.uint32), spots=spots[open_].astype(np.int32), keys=keys[used], known=known)
+            owners = np.zeros(len(used), np.uint64)
+            owners[doc_of] = owner[open_]  # all anchors of a document have one owner
+            yield p, pack(h=h[open_], owners=owners, doc=doc_of.astype(np.uint32), spots=spots[open_].astype(np.int32), keys=keys[used], known=known)
         if here.any():
-            # a share of the known ones goes to each part, so that none gets them all
-            docs, at = np.unique(doc[here], return_inverse=True)
-            to = (mix(keys[docs, 1].view(np.uint64)) >> np.uint64(32)).astype(np.int64) * self.parts >> 32
-            for p in np.unique(to):
-                mine = to[at] == p
-                used, doc_of = np.unique(at[mine], return_inverse=True)
-                yield int(p), pack(done=True, doc=doc_of.astype(np.uint32), spots=spots[here][mine].astype(np.int32), keys=keys[docs[used]])
+            # the known ones go to the parts by document, so that none gets them all
+            rows = np.flatnonzero(here)
+            to = (mix(keys[doc[rows], 1].view(np.uint64)) >> np.uint64(32)).astype(np.int64) * self.parts >> 32
+            order = np.argsort(to, kind="stable")
+            for p, a, b in runs_of(to[order]):
+                pick = rows[order[a:b]]
+                used, doc_of = np.unique(doc[pick], return_inverse=True)
+                yield p, pack(done=True, doc=doc_of.astype(np.uint32), spots=spots[pick].astype(np.int32), keys=keys[used])
+
+
+def runs_of(x: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(value, start, end) of the runs of equal values in a sorted array."""
+    edges = np.concatenate([[0], np.flatnonzero(x[1:] != x[:-1]) + 1, [len(x)]]) if len(x) else [0]
+    for a, b in zip(edges[:-1], edges[1:]):
+        yield int(x[a]), int(a), int(b)
 
 
 def by_document(doc: np.ndarray, spots: np.ndarray, keys: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
@@ -164,10 +174,12 @@ def merged(single: bool):
         for b in blocks:
             if b.get("done"):
                 out += by_document(b["doc"], b["spots"], b["keys"])
-        blocks = [b for b in blocks if not b.get("done")]
+            elif "fact" in b:
+                out += [(int(k1), int(k2), f) for (k1, k2), f in zip(b["keys"], b["fact"])]
+        blocks = [b for b in blocks if "h" in b]
         if blocks:
             known = np.unique(np.concatenate([b["known"] for b in blocks]))
-            h, owner = (np.concatenate([b[c] for b in blocks]) for c in ("h", "owner"))
+            h, owner = np.concatenate([b["h"] for b in blocks]), np.concatenate([b["owners"][b["doc"]] for b in blocks])
             order = np.lexsort((owner, h))
             hs, ows = h[order], owner[order]
             new = np.concatenate([[True], hs[1:] != hs[:-1]]) if len(hs) else np.zeros(0, bool)
@@ -187,12 +199,13 @@ def merged(single: bool):
     return run
 
 
-def shared_anchors(rows: DataFrame, find: Callable[[pa.RecordBatch], Found], *, single: bool) -> DataFrame:
+def shared_anchors(rows: DataFrame, find: Callable[[pa.RecordBatch], Found], *, single: bool, facts: bool = False) -> DataFrame:
     """(k1, k2, spots) of the anchors whose context occurs with at least two owners.
 
     ``rows`` has k1, k2, text; ``find`` returns for a slice of them (context hash, owner, row, three
     numbers) of its anchors. ``single``: each occurrence is an owner of its own. ``spots`` is a list of
-    binaries with three 32-bit numbers an anchor.
+    binaries with three 32-bit numbers an anchor. With ``facts``, ``find`` also returns a binary for each
+    row; the result then has a row (k1, k2, blob) for each of those and for each list of anchors.
     """
     from voltide.llm.common import slices
 
@@ -207,15 +220,20 @@ def shared_anchors(rows: DataFrame, find: Callable[[pa.RecordBatch], Found], *,
             return pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int32()), pa.array([o[1] for o in out], pa.binary())], names=["part", "blob"])
 
         for part in slices(batches, limit=4 << 20):
-            h, owner, doc, spots = find(part)
-            gathered.add(h, owner, doc, spots, np.stack([np.asarray(part.column("k1")), np.asarray(part.column("k2"))], 1))
+            h, owner, doc, spots, *fact = find(part)
+            keys = np.stack([np.asarray(part.column("k1")), np.asarray(part.column("k2"))], 1)
+            gathered.add(h, owner, doc, spots, keys)
+            if fact:
+                to = (mix(keys[:, 1].view(np.uint64)) >> np.uint64(32)).astype(np.int64) * parts >> 32
+                out = [(int(p), pack(keys=keys[to == p], fact=[fact[0][i] for i in np.flatnonzero(to == p)])) for p in np.unique(to)]
+                yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int32()), pa.array([o[1] for o in out], pa.binary())], names=["part", "blob"])
             if gathered.n > RUN:
                 yield flush()
         yield flush()
 
     blocks = rows.mapInArrow(send, "part int, blob binary")
     live = blocks.repartition(parts, "part").groupBy("part").applyInArrow(merged(single), "k1 bigint, k2 bigint, blob binary")
-    return live.groupBy("k1", "k2").agg(F.collect_list("blob").alias("spots"))
+    return live if facts else live.groupBy("k1", "k2").agg(F.collect_list("blob").alias("spots"))
 
 
 def spots_of(blobs: list[bytes]) -> np.ndarray:

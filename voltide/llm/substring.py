@@ -28,8 +28,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltide.llm.common import NO_ID, mix, partitions, row_key, slices, table
-from voltide.llm.packed import anchors, by_document, pack, rolling, shared_anchors, spots_of, unpack
-from voltide.llm.words import WORD, Hashes, word_hashes
+from voltide.llm.packed import anchors, by_document, pack, rolling, runs_of, shared_anchors, spots_of, unpack
+from voltide.llm.words import WORD, word_hashes
 
 SEED = 5
 #: Windows that a task gathers before it sends blocks.
@@ -38,10 +38,9 @@ RUN = 3_000_000
 
 def finder(window: int):
     reach = window - SEED + 1
-    memo = Hashes()
 
     def find(part: pa.RecordBatch):
-        values, starts = word_hashes(part.column("text"), memo)
+        values, starts = word_hashes(part.column("text"))
         padded = np.concatenate([values, np.zeros(reach + SEED, np.uint64)])
         order = rolling(padded, SEED)
         ends = np.repeat(starts[1:], np.diff(starts))
@@ -97,20 +96,23 @@ class Phrases:
         done = earliest > mine
         # one of the equal phrases with the smallest id is enough as a reference, but each waits for its answer
         part = (seed >> np.uint64(32)).astype(np.int64) * self.parts >> 32
-        for p in np.unique(part[~done]):
-            pick = np.flatnonzero((part == p) & ~done)
+        left = np.flatnonzero(~done)
+        left = left[np.argsort(part[left], kind="stable")]
+        for p, a, b in runs_of(part[left]):
+            pick = left[a:b]
             used, doc_of = np.unique(doc[pick], return_inverse=True)
             windows = np.repeat(starts[pick] - (np.cumsum(count[pick]) - count[pick]), count[pick]) + np.arange(count[pick].sum())
             short = (digest[windows] >> np.uint64(24)).view(np.uint8).reshape(-1, 8)[:, :5]
-            yield int(p), pack(seed=seed[pick], doc=doc_of.astype(np.uint32), first=first[pick].astype(np.uint32), count=count[pick].astype(np.uint8), digest=np.ascontiguousarray(short), keys=keys[used])
+            yield p, pack(seed=seed[pick], doc=doc_of.astype(np.uint32), first=first[pick].astype(np.uint32), count=count[pick].astype(np.uint8), digest=np.ascontiguousarray(short), keys=keys[used])
         if done.any():
             docs, at = np.unique(doc[done], return_inverse=True)
             to = (mix(keys[docs, 1].view(np.uint64)) >> np.uint64(32)).astype(np.int64) * self.parts >> 32
             spans = np.stack([first[done], first[done] + count[done] - 1], 1).astype(np.int32)
-            for p in np.unique(to):
-                pick = to[at] == p
+            order = np.argsort(to[at], kind="stable")
+            for p, a, b in runs_of(to[at][order]):
+                pick = order[a:b]
                 used, doc_of = np.unique(at[pick], return_inverse=True)
-                yield int(p), pack(done=True, doc=doc_of.astype(np.uint32), spans=spans[pick], keys=keys[docs[used]])
+                yield p, pack(done=True, doc=doc_of.astype(np.uint32), spans=spans[pick], keys=keys[docs[used]])
 
 
 def factored(whole: pa.Table) -> pa.Table:
@@ -158,7 +160,7 @@ def dedup(docs: DataFrame, *, window: int = 13, id_col: str = "doc_id", text_col
     live = shared_anchors(rows, finder(window), single=False)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, phrases = Hashes(), Phrases(parts)
+        phrases = Phrases(parts)
 
         def flush():
             out = list(phrases.blocks())
@@ -166,7 +168,7 @@ def dedup(docs: DataFrame, *, window: int = 13, id_col: str = "doc_id", text_col
             return pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int32()), pa.array([o[1] for o in out], pa.binary())], names=["part", "blob"])
 
         for part in slices(batches, limit=4 << 20):
-            values, starts = word_hashes(part.column("text"), memo)
+            values, starts = word_hashes(part.column("text"))
             seeds, digests = rolling(values, SEED), rolling(values, window, 0xD6E8FEB86659FD93)
             spots = [spots_of(b) + s for b, s in zip(part.column("spots").to_pylist(), starts)]
             doc = np.repeat(np.arange(len(spots)), [len(s) for s in spots])
