@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltide.llm.common import bytes_of, partitions, row_key, slices, table, written
-from voltide.llm.packed import anchors, pack, rolling, shared_anchors, spots_of, unpack
+from voltide.llm.packed import anchors, by_document, pack, rolling, runs_of, shared_anchors, spots_of, unpack
 
 GRAM, REACH = 8, 256
 #: Suffixes of one sorted run.
@@ -255,9 +255,36 @@ def outer_of_cuts(ends: dict[int, tuple[int, int]], parts: int, length: int) ->
     return out
 
 
-def expander(outer: list[int], length: int):
-    """The windows of the blocks at the cuts: one (digest, k1, k2, span) of each content, and those that the
-    task has met twice, without a digest."""
+def packed_windows(windows: dict[bytes, tuple], parts: int) -> list[tuple[int, bytes]]:
+    """Blocks of windows (digest to k1, k2, start, ...), cut by digest."""
+    if not windows:
+        return []
+    marks = np.frombuffer(b"".join(windows), np.uint64).reshape(-1, 2)
+    refs = np.array([w[:3] for w in windows.values()], np.int64)
+    part = (marks[:, 0] >> np.uint64(32)).astype(np.int64) * parts >> 32
+    order = np.argsort(part, kind="stable")
+    return [(p, pack(marks=marks[order[a:b]], refs=refs[order[a:b]])) for p, a, b in runs_of(part[order])]
+
+
+def met_again(whole: pa.Table) -> pa.Table:
+    """Of one part's windows those whose content stands at two places, as (k1, k2, span) by document."""
+    blocks = [unpack(b.as_py()) for b in whole.column("blob")]
+    marks, refs = (np.concatenate([b[c] for b in blocks]) for c in ("marks", "refs"))
+    order = np.lexsort((*refs.T, *marks.T))
+    marks, refs = marks[order], refs[order]
+    same = (marks[1:] == marks[:-1]).all(axis=1)
+    group = np.concatenate([[0], np.cumsum(~same)])
+    twice = np.zeros(group[-1] + 1, bool)
+    twice[group[1:][same & (refs[1:] != refs[:-1]).any(axis=1)]] = True
+    refs = refs[twice[group]]
+    keys, doc = np.unique(refs[:, :2], axis=0, return_inverse=True)
+    out = list(by_document(doc.ravel(), refs[:, [2, 2]].astype(np.int32), keys))
+    return pa.table([pa.array([o[i] for o in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.binary()))], names=["k1", "k2", "span"])
+
+
+def expander(outer: list[int], length: int, parts: int):
+    """The windows of the blocks at the cuts: blocks (part, blob) with one of each content, and (k1, k2, span)
+    of those that the task has met twice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[bytes, tuple] = {}
@@ -270,11 +297,10 @@ def expander(outer: list[int], length: int):
                     if other != here:
                         for k1, k2, start in (other, here):
                             twice.setdefault((k1, k2), set()).add(start)
-        out = [(mark, k1, k2, np.array([s, s], "<i4").tobytes()) for mark, (k1, k2, s) in seen.items()]
-        out += [(None, *k, np.repeat(np.array(sorted(v), "<i4"), 2).tobytes()) for k, v in twice.items()]
-        kinds = (pa.binary(), pa.int64(), pa.int64(), pa.binary())
-        for k in range(0, len(out), 20_000):
-            yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out[k : k + 20_000]], t) for i, t in enumerate(kinds)], names=["digest", "k1", "k2", "span"])
+        out = [(p, blob, None, None, None) for p, blob in packed_windows(seen, parts)]
+        out += [(None, None, *k, np.repeat(np.array(sorted(v), "<i4"), 2).tobytes()) for k, v in twice.items()]
+        kinds = (pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate(kinds)], names=["part", "blob", "k1", "k2", "span"])
 
     return run
 
@@ -344,7 +370,7 @@ def dedup(docs: DataFrame, *, length: int = 400, id_col: str = "doc_id", text_co
             by_doc.setdefault((int(k1), int(k2)), []).append((a, b))
         out = [(0, None, *k, np.unique(np.array(v, "<i4"), axis=0).tobytes(), 0, 0, 0, 0) for k, v in by_doc.items()]
         out += [(1, key, int(k1), int(k2), None, *rest) for key, k1, k2, *rest in pending]
-        out += [(3, mark, int(k1), int(k2), np.array([a, b], "<i4").tobytes(), 0, 0, 0, 0) for mark, (k1, k2, a, b) in border.items()]
+        out += [(3, blob, 0, 0, None, q, 0, 0, 0) for q, blob in packed_windows(border, parts)]
         out.append((2, None, 0, 0, None, p, *ends, 0))
         kinds = (pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.binary(), *[pa.int32()] * 4)
         return pa.table([pa.array([o[i] for o in out], t) for i, t in enumerate(kinds)], names=["kind", "key", "k1", "k2", "span", "place", "near", "far", "cut"])
@@ -355,12 +381,10 @@ def dedup(docs: DataFrame, *, length: int = 400, id_col: str = "doc_id", text_co
     ends = {r["place"]: (r["near"], r["far"]) for r in met.where("kind = 2").select("place", "near", "far").collect()}
     outer = outer_of_cuts(ends, len(cuts) + 1, length)
     cut = met.where("kind = 1").select("key", "k1", "k2", "place", "near", "far", "cut")
-    cut = written(cut.mapInArrow(expander(outer, length), "digest binary, k1 bigint, k2 bigint, span binary"), "cuts")
-    border = met.where("kind = 3").select(F.col("key").alias("digest"), "k1", "k2", "span").unionByName(cut.where(F.col("digest").isNotNull()))
-    twice = border.groupBy("digest").agg(F.min("k1").alias("a"), F.max("k1").alias("b"), F.min("k2").alias("c"), F.max("k2").alias("d"), F.min("span").alias("e"), F.max("span").alias("f"))
-    twice = twice.where("a <> b or c <> d or e <> f").select("digest")
-    spans = met.where("kind = 0").select("k1", "k2", "span").unionByName(cut.where(F.col("digest").isNull()).select("k1", "k2", "span"))
-    spans = spans.unionByName(border.join(twice, "digest").select("k1", "k2", "span"))
+    cut = written(cut.mapInArrow(expander(outer, length, parts), "part int, blob binary, k1 bigint, k2 bigint, span binary"), "cuts")
+    border = met.where("kind = 3").select(F.col("place").alias("part"), F.col("key").alias("blob")).unionByName(cut.where(F.col("blob").isNotNull()).select("part", "blob"))
+    border = border.repartition(parts, "part").groupBy("part").applyInArrow(met_again, "k1 bigint, k2 bigint, span binary")
+    spans = met.where("kind = 0").select("k1", "k2", "span").unionByName(cut.where(F.col("span").isNotNull()).select("k1", "k2", "span")).unionByName(border)
     spans = spans.groupBy("k1", "k2").agg(F.collect_list("span").alias("spans"))
     return row_key(docs, id_col, text_col, F.col(id_col).cast("bigint").alias("id")).join(spans, ["k1", "k2"], "left")
 
