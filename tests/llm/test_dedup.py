@@ -125,6 +125,16 @@ def test_one_of_each_keeps_the_first_and_all_empty_texts(spark):
     assert got == [(2, "s"), (7, "s"), (8, "s"), (9, "t")]
 
 
+def test_one_of_each_keeps_every_class_without_an_id(spark):
+    texts = [" ".join(f"{c}{i}" for i in range(60)) for c in "abcd"]
+    rows = [(None, t) for t in texts] + [(None, texts[0]), (None, texts[1] + " end"), (None, "few words"), (4, texts[3] + " end"), (None, None)]
+    got = jaccard.one_of_each(spark.createDataFrame(rows, SCHEMA)).collect()
+    one = [r["text"] for r in got if r["text"] and r["text"].startswith("b")]
+    assert len(one) == 1 and one[0] in (texts[1], texts[1] + " end")
+    rest = sorted((tuple(r) for r in got if r["text"] not in one), key=repr)
+    assert rest == sorted([(None, texts[0]), (None, texts[2]), (4, texts[3] + " end"), (None, "few words"), (None, None)], key=repr)
+
+
 def test_components_of_long_chains(spark):
     edges = [(f"{i:04d}".encode(), f"{i + 1:04d}".encode()) for i in range(200)] + [(b"z1", b"z0"), (b"q", b"q")]
     got = dict(tuple(map(bytes, r)) for r in jaccard.components(spark.createDataFrame(edges, "a binary, b binary")).collect())

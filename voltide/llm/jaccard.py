@@ -283,7 +283,8 @@ def verify(texts: DataFrame, candidates: DataFrame, groups: DataFrame, n: int, p
 
 
 def link_classes(docs: DataFrame, *, n: int = 5, percent: int = 75, sample_docs: int = 4000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, k1, k2, n_shingles, component_id of each row."""
+    """id, k1, k2, n_shingles, component_id and class of each row. The class is its set of shingles or, of linked sets, the
+    least: unlike component_id it is known for rows without an id, too, and null only for texts without shingles."""
     parts = partitions(docs.sparkSession)
     rows = row_key(docs, id_col, text_col)
     hot = common_tokens(rows.select("k1", "k2", "text"), n, sample_docs)
@@ -352,18 +353,17 @@ def link_classes(docs: DataFrame, *, n: int = 5, percent: int = 75, sample_docs:
     roots = components(links)
     class_of = reps.select("set", "least").join(roots.withColumnRenamed("node", "set"), "set", "left").withColumn("root", F.coalesce("root", "set"))
     lowest = class_of.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = class_of.join(lowest, "root").select("set", "component_id")
-    return each.join(named, "set", "left").select("id", "k1", "k2", "n_shingles", F.coalesce("component_id", "id").alias("component_id"))
+    named = class_of.join(lowest, "root").select("set", "root", "component_id")
+    return each.join(named, "set", "left").select("id", "k1", "k2", "n_shingles", F.coalesce("component_id", "id").alias("component_id"), F.col("root").alias("class"))
 
 
 def one_of_each(docs: DataFrame, **how) -> DataFrame:
     """The rows of ``docs`` that stand for their class: the one with the smallest id (of repeated rows one stays).
     Rows without an id stand for a class only if none of its rows has one; texts without shingles all stay."""
     classes = link_classes(docs, **how)
-    same = F.coalesce(F.col("component_id"), F.lit(NO_ID))
     # the least row of a class, combined on the map side
     order = F.struct(F.col("id").isNull().alias("no_id"), "k1", "k2")
-    best = classes.where("n_shingles > 0").groupBy(same.alias("c")).agg(F.min(order).alias("best")).select("best.k1", "best.k2")
+    best = classes.where("n_shingles > 0").groupBy("class").agg(F.min(order).alias("best")).select("best.k1", "best.k2")
     empty = classes.where("n_shingles = 0").select("k1", "k2").distinct()
     k1, k2 = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)), F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
     keyed = docs.withColumns({"__key1": k1, "__key2": k2})
