@@ -311,6 +311,47 @@ def test_leaks_against_plain_alignment():
     assert decontaminate.leaks(index, [decontaminate.normal(t) for t in texts]) == [plain_leaks(t, items) for t in texts]
 
 
+def test_leaks_at_every_start():
+    import random
+
+    rnd = random.Random(6)
+    letters = lambda n: "".join(rnd.choice("abcdefghijklmnop") for _ in range(n))
+    limit = lambda n: n // decontaminate.RATE
+    items = [(i, letters(rnd.randint(65, 400))) for i in range(6)] + [(10 + n, letters(n)) for n in range(20, 24)]
+    texts, wanted = [letters(50) + items[0][1][40:120] + letters(70)], 0
+    for _ in range(60):
+        t = rnd.choice(items)[1]
+        a = rnd.randint(0, max(0, len(t) - 64))
+        p = list(t[a : a + rnd.randint(60, 95)])
+        for _ in range(rnd.choice([0, 1, 2, 3, 4])):
+            k = rnd.randrange(len(p))
+            p[k : k + 1] = rnd.choice(["", "Z", p[k] + "q"])
+        texts.append(letters(rnd.randint(0, 200)) + "".join(p) + letters(rnd.randint(0, 200)))
+    texts.append(letters(30) + items[-1][1][:11] + "Z" + items[-1][1][12:] + letters(30))
+    got = decontaminate.leaks(decontaminate.Index(items), [decontaminate.normal(t) for t in texts], every_start=True)
+    assert [r[0] for r in got[0]] == [0] and [r[0] for r in got[-1]] == [items[-1][0]]
+    for text, mine in zip(texts, got):
+        text = decontaminate.normal(text)
+        want = {}
+        for i, t in items:
+            # only items that share eight characters can be near
+            if any(t[s : s + 8] in text for s in range(len(t) - 7)):
+                best = min(edit_distance_inside(t[s : s + 64], text) for s in range(max(1, len(t) - 63)))
+                if best <= limit(min(len(t), 64)):
+                    want[i] = best
+        assert {i for i, _, _ in mine} == set(want)
+        assert all(e == want[i] if n == 0 else want[i] <= e <= limit(64) for i, e, n in mine)
+        wanted += sum(n == 0 for _, _, n in mine)
+    assert wanted > 5
+
+
+def test_clean_removes_items_without_an_id(spark):
+    item = "The quick brown fox jumps over the lazy dog while seventeen small birds sing in the old apple tree."
+    docs = spark.createDataFrame([(1, "intro " + item), (2, "nothing of the kind")], SCHEMA)
+    bench = spark.createDataFrame([(None, item), (None, "another item that nobody quotes, but long enough")], "item_id bigint, text string")
+    assert [r["doc_id"] for r in decontaminate.clean(docs, bench).collect()] == [2]
+
+
 def test_contaminated_and_clean(spark):
     item = "The quick brown fox jumps over the lazy dog while seventeen small birds sing in the old apple tree."
     docs = spark.createDataFrame([(1, "intro " + item.upper() + " outro", 1), (2, "nothing of the kind", 2), (3, None, 3), (None, item, 4), (None, item, 4), (5, item.replace("seventeen", "seventen").replace(" ", "\n "), 5)], "doc_id bigint, text string, edits int")
