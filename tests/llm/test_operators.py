@@ -258,6 +258,18 @@ def test_neighbour_ties_copies_and_odd_vectors(spark):
     assert copies and copies == [3, *range(201, 330)][: len(copies)]
 
 
+def test_recall_where_the_index_leaves_out_files_and_rows(spark):
+    x = np.float32(np.random.default_rng(1).normal(size=(9000, 48)))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<float>")
+    got = neighbours.nearest(df, F.col("id") % 300 == 0, posts=2, probes=16, least=20).select("query_id", "vec_id").collect()
+    score = x[::300].astype(float) @ x.T.astype(float)
+    score[np.arange(30), np.arange(0, 9000, 300)] = -np.inf
+    want = {(300 * q, int(c)) for q, row in enumerate(score) for c in np.argsort(-row)[:20]}
+    recall = len({tuple(r) for r in got} & want) / len(want)
+    print("recall", recall)
+    assert len(got) == 600 and recall >= 0.9
+
+
 def test_few_vectors(spark):
     schema = "vec_id bigint, embedding array<double>"
     assert neighbours.nearest(spark.createDataFrame([], schema), F.col("id") % 20 == 0).collect() == []

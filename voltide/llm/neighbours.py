@@ -6,6 +6,11 @@ and each file is cut into blocks. A query reads the files of its first ``probes`
 block by the footrule distance of the pivot orders, and reranks the best ``open_share`` of it (``least``
 rows at least) by exact inner products in double precision.
 
+How far a query reads follows the data: of at most ``checked`` queries, chosen by a hash, the true neighbours
+are found by one pass over all vectors. ``probes`` grows until the files it covers hold enough of them, and
+``open_share`` doubles until a search for these queries finds the share ``recall``; the given values are
+the least. In the worst case every file is read and opened whole, which is exact.
+
 Equal vectors are indexed once and expanded afterwards, so a vector that a third of the rows share
 costs one posting. Rows stream through a block in batches, so no list of queries is held. Vectors that
 are null, zero, of another length than the sample, or hold null or non-finite parts take no part, nor
@@ -49,13 +54,13 @@ def poster(pivots: np.ndarray, files: int, blocks: int, side: int, kind: str):
             for k in range(0, whole.num_rows, 2000):
                 batch = whole.slice(k, 2000)
                 x = np.stack(batch.column("v").to_numpy(zero_copy_only=False)).astype(np.float64)
-                order = orders(x, pivots, DEPTH)
+                order = orders(x, pivots, max(DEPTH, files))
                 ids = np.asarray(batch.column("id"))
                 n = min(files, order.shape[1])
                 for b in range(blocks if side else 1):
                     block = np.full(len(ids), b) if side else ids % blocks
                     cols = [np.repeat(a, n) for a in (block, ids)]
-                    packed = [pa.array([r.tobytes() for r in np.repeat(a, n, axis=0)], pa.binary()) for a in (order.astype("<i2"), x.astype(kind))]
+                    packed = [pa.array([r.tobytes() for r in np.repeat(a, n, axis=0)], pa.binary()) for a in (order[:, :DEPTH].astype("<i2"), x.astype(kind))]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(order[:, :n].ravel(), pa.int32()), pa.array(cols[0], pa.int64()), pa.array(np.full(len(ids) * n, side), pa.int32()), pa.array(cols[1], pa.int64()), *packed],
                         names=["pivot", "block", "side", "id", "ord", "v"],
@@ -114,8 +119,26 @@ def searcher(n_pivots: int, k: int, open_share: float, least: int, kind: str):
     return run
 
 
+def true_neighbours(ids: np.ndarray, x: np.ndarray, k: int):
+    """The ``k`` + 1 best rows of a task for each query (``ids``, ``x``)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c, score = np.zeros((len(ids), 0), np.int64), np.zeros((len(ids), 0))
+        for whole in batches:
+            for a in range(0, whole.num_rows, 2000):
+                batch = whole.slice(a, 2000)
+                new = x @ np.stack(batch.column("v").to_numpy(zero_copy_only=False)).astype(np.float64).T
+                score = np.concatenate([score, new], 1)
+                c = np.concatenate([c, np.tile(np.asarray(batch.column("id")), (len(ids), 1))], 1)
+                best = np.lexsort((c, -score), axis=1)[:, : k + 1]
+                c, score = np.take_along_axis(c, best, 1), np.take_along_axis(score, best, 1)
+        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, c.shape[1])), pa.array(c.ravel()), pa.array(score.ravel())], names=["q", "c", "score"])
+
+    return run
+
+
 def nearest(
-    vectors: DataFrame, is_query: Column, *, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", posts: int = 5, probes: int = 64, open_share: float = 0.25, least: int = 200, max_pivots: int = 4096, block_rows: int = 4000
+    vectors: DataFrame, is_query: Column, *, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", posts: int = 5, probes: int = 64, open_share: float = 0.25, least: int = 200, max_pivots: int = 4096, block_rows: int = 4000, recall: float = 0.95, checked: int = 200
 ) -> DataFrame:
     """(query_id, rank, vec_id, score) of the rows where ``is_query`` (a condition on ``id``) holds."""
     rows = usable(vectors, id_col, vector_col)
@@ -138,12 +161,37 @@ def nearest(
     kind = "<f4" if dict(classes.dtypes)["v"] == "array<float>" else "<f8"
     blocks = max(1, -(-n * posts // (len(pivots) * block_rows)))
     schema = "pivot int, block bigint, side int, id bigint, ord binary, v binary"
-    index = classes.mapInArrow(poster(pivots, posts, blocks, 0, kind), schema)
-    both = index.unionByName(queries.mapInArrow(poster(pivots, probes, blocks, 1, kind), schema))
-    met = both.repartition("pivot", "block").sortWithinPartitions("pivot", "block", "side")
-    hits = met.mapInArrow(searcher(len(pivots), k, open_share, least, kind), "q bigint, c bigint, score double")
+    hit = "q bigint, c bigint, score double"
     per_query = Window.partitionBy("q").orderBy(F.desc("score"), "c")
-    best = hits.dropDuplicates(["q", "c"]).withColumn("r", F.row_number().over(per_query)).where(F.col("r") <= k + 1)
+
+    def top_of(hits: DataFrame) -> DataFrame:
+        return hits.dropDuplicates(["q", "c"]).withColumn("r", F.row_number().over(per_query)).where(F.col("r") <= k + 1)
+
+    def search(queries: DataFrame, probes: int, open_share: float) -> DataFrame:
+        index = classes.mapInArrow(poster(pivots, posts, blocks, 0, kind), schema)
+        both = index.unionByName(queries.mapInArrow(poster(pivots, probes, blocks, 1, kind), schema))
+        met = both.repartition("pivot", "block").sortWithinPartitions("pivot", "block", "side")
+        return top_of(met.mapInArrow(searcher(len(pivots), k, open_share, least, kind), hit))
+
+    # where every file is read and opened whole, there is nothing to measure
+    some = queries.orderBy(F.xxhash64("id"), "id").limit(checked).collect() if n > least or len(pivots) > probes else []
+    if some:
+        probe = queries.sparkSession.createDataFrame([(r["id"], r["v"]) for r in some], classes.select("id", "v").schema)
+        ids, x = np.array([r["id"] for r in some], np.int64), np.array([r["v"] for r in some], np.float64)
+        truth = [(r["q"], r["c"]) for r in top_of(classes.select("id", "v").mapInArrow(true_neighbours(ids, x, k), hit)).collect()]
+        # at most checked * (k + 1) ids: the size of the broadcast is bounded
+        met_ids = queries.sparkSession.createDataFrame([(c,) for c in sorted({c for _, c in truth})], "id bigint")
+        vector = {r["id"]: r["v"] for r in classes.join(F.broadcast(met_ids), "id").collect()}
+        place = np.argsort(orders(x, pivots, len(pivots)), axis=1)
+        row = {i: j for j, i in enumerate(ids.tolist())}
+        posted = orders(np.array([vector[c] for _, c in truth], np.float64), pivots, posts)
+        # how many files a query must read to meet each of its true neighbours
+        need = np.sort(place[np.array([row[q] for q, _ in truth])[:, None], posted].min(axis=1) + 1)
+        probes = max(probes, int(need[min(len(need) - 1, int(np.ceil((1 + recall) / 2 * len(need))) - 1)]))
+        known = set(truth)
+        while open_share < 1 and len(known & {(r["q"], r["c"]) for r in search(probe, probes, open_share).select("q", "c").collect()}) < recall * len(known):
+            open_share = min(1.0, 2 * open_share)
+    best = search(queries, probes, open_share)
     expanded = best.select("q", "c", "score").join(ranked.select(F.col("class").alias("c"), F.col("id").alias("vec_id")), "c")
     # rows of one query class: k + 1 classes of k + 1 rows at most
     top = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
