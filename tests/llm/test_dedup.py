@@ -90,6 +90,15 @@ def test_substring_query_on_documents(spark, sf, rows_of):
     assert plain(substring.query(spark, sf), 4) == brute.repeated_words(rows)
 
 
+def test_substring_windows_whose_digests_share_40_bits(spark):
+    """Windows of 13 words that differ in the last one, with the same seed and the same upper 40 bits of the first digest."""
+    start = " ".join(f"p{i}" for i in range(12))
+    ends = ["x1330242", "x2432135", "x499623", "x2152478", "x1088183", "x1547510"]
+    rows = [(i, f"{start} {w}") for i, w in enumerate(ends)] + [(10, f"{start} {ends[1]}")]
+    got = {r["doc_id"]: r["n_removed"] for r in substring.without_repeats(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {i: 0 for i in range(6)} | {10: 13}
+
+
 def near_copies(seed):
     rnd = random.Random(seed)
     words = [f"w{i}" for i in range(400)] + ["é", "A"]

@@ -10,8 +10,8 @@ match that crosses the border of two factors has a window in one of them; the sp
 are joined when all its factors are together.
 
 Seeds that only one document has are dropped before texts move. Equal phrases are joined in each
-task: only the one with the smallest id is sent. A window is known by its seed's 64 bits and 40 bits
-of its own digest.
+task: only the one with the smallest id is sent. A window is known by two
+64-bit digests of its own, besides its seed.
 
 Null and empty texts have no words. A null id is not smaller than any other, so its document is never
 a reference. Repeated rows and ties (equal ids) do not remove each other.
@@ -85,7 +85,7 @@ class Phrases:
         starts = np.cumsum(count) - count
         # two signatures of a phrase: its windows in their order
         nth = (np.arange(len(digest)) - np.repeat(starts, count)).astype(np.uint64)
-        sig = [np.add.reduceat(mix(digest ^ mix(nth + np.uint64(salt))), starts) for salt in (1, 99)]
+        sig = [np.add.reduceat(mix(digest[:, i] ^ mix(nth + np.uint64(salt))), starts) for i, salt in enumerate((1, 99))]
         sig = [s ^ mix(count.astype(np.uint64)) for s in sig]
         earliest = np.where(ids == NO_ID, np.iinfo(np.int64).max, ids)
         order, group = grouped(seed, *sig)
@@ -102,8 +102,7 @@ class Phrases:
             pick = left[a:b]
             used, doc_of = np.unique(doc[pick], return_inverse=True)
             windows = np.repeat(starts[pick] - (np.cumsum(count[pick]) - count[pick]), count[pick]) + np.arange(count[pick].sum())
-            short = (digest[windows] >> np.uint64(24)).view(np.uint8).reshape(-1, 8)[:, :5]
-            yield p, pack(seed=seed[pick], doc=doc_of.astype(np.uint32), first=first[pick].astype(np.uint32), count=count[pick].astype(np.uint8), digest=np.ascontiguousarray(short), keys=keys[used])
+            yield p, pack(seed=seed[pick], doc=doc_of.astype(np.uint32), first=first[pick].astype(np.uint32), count=count[pick].astype(np.uint8), digest=digest[windows], keys=keys[used])
         if done.any():
             docs, at = np.unique(doc[done], return_inverse=True)
             to = (mix(keys[docs, 1].view(np.uint64)) >> np.uint64(32)).astype(np.int64) * self.parts >> 32
@@ -130,13 +129,11 @@ def factored(whole: pa.Table) -> pa.Table:
         keys = np.concatenate([b["keys"] for b in blocks])
         seed, first, count = (np.concatenate([b[c] for b in blocks]) for c in ("seed", "first", "count"))
         doc = np.concatenate([b["doc"].astype(np.int64) + s for b, s in zip(blocks, base)])
-        digest = np.zeros((int(count.sum()), 8), np.uint8)
-        digest[:, :5] = np.concatenate([b["digest"] for b in blocks])
-        digest = digest.view(np.uint64).ravel()
+        digest = np.concatenate([b["digest"] for b in blocks])
         phrase = np.repeat(np.arange(len(seed)), count)
         ids = keys[doc, 0]
         rank = np.where(ids == NO_ID, np.iinfo(np.int64).max, ids)[phrase]
-        order, group = grouped(digest, seed[phrase])
+        order, group = grouped(digest[:, 0], digest[:, 1], seed[phrase])
         least = np.full(group[-1] + 1 if len(group) else 0, np.iinfo(np.int64).max)
         np.minimum.at(least, group, rank[order])
         hit = np.empty(len(digest), bool)
@@ -169,7 +166,8 @@ def dedup(docs: DataFrame, *, window: int = 13, id_col: str = "doc_id", text_col
 
         for part in slices(batches, limit=4 << 20):
             values, starts = word_hashes(part.column("text"))
-            seeds, digests = rolling(values, SEED), rolling(values, window, 0xD6E8FEB86659FD93)
+            seeds = rolling(values, SEED)
+            digests = np.stack([rolling(values, window, 0xD6E8FEB86659FD93), rolling(mix(values), window, 0xC2B2AE3D27D4EB4F)], 1)
             spots = [spots_of(b) + s for b, s in zip(part.column("spots").to_pylist(), starts)]
             doc = np.repeat(np.arange(len(spots)), [len(s) for s in spots])
             spots = np.concatenate(spots)
