@@ -211,6 +211,26 @@ def test_network_keeps_the_recall_and_redaction_keeps_rows(spark):
     assert "password=" not in got[1]["text"] and got[1]["n_chars"] == len(got[1]["text"]) and got[2]["text"] == texts[2]
 
 
+def test_threshold_is_the_quantile_that_keeps_the_recall():
+    net = secrets.Network()
+    # the raw score of a row is its first value; four hard positives lie among 2,000 negatives
+    net.raw = lambda x: x[:, 0].astype(float)
+    x = np.concatenate([np.linspace(-4, 1, 2000), [-1, 0, 0.5, 1, 3, 4]])[:, None]
+    y = np.repeat([0, 1], [2000, 6])
+    net.calibrate(x, y, 0.95)
+    scores = net.score(x)
+    assert net.threshold < 0.5 and (scores[y == 1] >= net.threshold).mean() >= 0.95
+    assert net.precision == (y[scores >= net.threshold]).mean()
+
+
+def test_partly_covered_candidates_are_scored():
+    net = secrets.Network()
+    net.raw, net.threshold = lambda x: np.ones(len(x)), 0.5
+    key = "ZxY" + "a1" * 12 + "GHIJKLMNOP99"
+    text = f"see {key} and {'b2' * 12} here"
+    assert secrets.found([text], net) == [[(4, 3, 4 + len(key)), (7, 2, 31), (text.index("b2"), 2, text.index(" here"))]]
+
+
 def test_nothing_to_learn_from():
     assert secrets.train([]) is None and secrets.train(["no candidate here"]) is None
 
