@@ -162,6 +162,19 @@ def test_token_counts_equal_the_library_and_fill_the_cache(spark, rows_of, sf):
     assert token_counts.token_counts(df.where("false"), path, cache=cache).count() == 0
 
 
+def test_missing_texts_without_ids_do_not_meet_each_other(spark):
+    import public_tokenizers
+
+    rows = [(None, f"text number {i}") for i in range(300)] + [(7, f"other text {i}") for i in range(300)]
+    df, seen, plain = spark.createDataFrame(rows, SCHEMA), [], token_counts.rows_of_misses
+    try:
+        token_counts.rows_of_misses = lambda *a: seen.append(plain(*a).count()) or plain(*a)
+        got = token_counts.token_counts(df, public_tokenizers.path("piece_bpe_32k.model"), cache=scratch_path(spark, "cache"))
+    finally:
+        token_counts.rows_of_misses = plain
+    assert got.where("n_tokens > 0").count() == 600 and seen == [600]
+
+
 # secrets
 
 

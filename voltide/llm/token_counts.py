@@ -64,6 +64,15 @@ def cached_counts(spark: SparkSession, cache: str, tokenizer: str) -> DataFrame:
     return rows.groupBy("content").agg(F.max("n_tokens").alias("n_tokens"))
 
 
+def rows_of_misses(docs: DataFrame, missing: DataFrame) -> DataFrame:
+    """(content, text) of one row of each missing content (and of its copies with the same id). Rows are met by their id
+    and a hash of their text, so rows without an id, or with a repeated one, do not meet each other."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    texts = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("_id"), F.xxhash64(text).alias("_hash"), text.alias("text"))
+    at = missing.select("content", F.col("_at._id").alias("_id"), F.col("_at._hash").alias("_hash"))
+    return texts.join(at, ["_id", "_hash"]).select("content", "text")
+
+
 def token_counts(docs: DataFrame, tokenizer_path: str, *, cache: str, limit: int = 4096) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit of each row; the cache at ``cache`` grows by the misses."""
     spark, version = docs.sparkSession, tokenizer_digest(tokenizer_path)
@@ -71,10 +80,11 @@ def token_counts(docs: DataFrame, tokenizer_path: str, *, cache: str, limit: int
     content = F.unhex(F.sha2(text.cast("binary"), 256))
     keyed = docs.select("doc_id", F.octet_length(text).cast("bigint").alias("n_bytes"), content.alias("content"))
     known = cached_counts(spark, cache, version)
-    misses = keyed.groupBy("content").agg(F.min(F.coalesce("doc_id", F.lit(NO_ID))).alias("_at")).join(known, "content", "left_anti")
-    texts = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("_at"), text.alias("text"))
+    at = F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("_id"), F.xxhash64(text).alias("_hash"))
+    placed = docs.select(content.alias("content"), at.alias("_at"))
+    misses = placed.groupBy("content").agg(F.min("_at").alias("_at")).join(known, "content", "left_anti")
     # one row of each missing content; rows that repeat its id and text are dropped by their digest before they are stored
-    chosen = texts.join(misses, "_at").where(F.unhex(F.sha2(F.col("text").cast("binary"), 256)) == F.col("content"))
+    chosen = rows_of_misses(docs, misses).where(F.unhex(F.sha2(F.col("text").cast("binary"), 256)) == F.col("content"))
     fresh = chosen.select("content", "text").mapInArrow(encoder(tokenizer_path), "content binary, n_tokens bigint")
     fresh.dropDuplicates(["content"]).select("content", F.lit(version).alias("tokenizer"), "n_tokens").write.mode("append").parquet(cache)
     counts = cached_counts(spark, cache, version)
