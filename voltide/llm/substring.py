@@ -1,13 +1,14 @@
-"""Substring dedup by relative parsing: words in a stretch of ``window`` words that an earlier document has.
-
-Every document is parsed against the indexed reference blocks. The corpus is its own reference: its
-phrases (a seed of ``SEED`` words, chosen by each window among its words, and the windows around it) are
-dealt to blocks by their seed, and a block indexes the phrases of its seeds. A phrase of a document can
-only match in the block that owns its seed, so it is factored there, against all phrases with that
-seed: a factor is a longest run of windows of which each occurs in a document with a smaller id. A
-factor of at least ``window`` words is a duplicate span. Phrases overlap by ``window - 1`` words, so a
-match that crosses the border of two factors has a window in one of them; the spans of a document
-are joined when all its factors are together.
+"""Substring dedup by hashed windows: words in a stretch of ``window`` words that an earlier document has.
+
+This is not relative Lempel-Ziv factoring: no reference text is indexed and no greedy longest factor is
+taken against a place of it. Phrases (a seed of ``SEED`` words, chosen by each window among its words, and
+the windows around it) are dealt to blocks by their seed. Equal windows have equal seeds, so all windows
+that can be equal meet in one block, which finds the least document id of each by its digests; a window
+whose document has a larger id is a hit. Neighbouring hits of a phrase are sent as one span; they may stem
+from different documents. Phrases overlap by ``window - 1`` words, so every window lies whole in a
+phrase, nothing is lost at their borders, and the spans of a document are joined at the end. Greedy
+factors would remove the same words (a factor counts from ``window`` words on, so each of its windows is a
+hit), but would move the words of all phrases instead of their digests.
 
 Seeds that only one document has are dropped before texts move. Equal phrases are joined in each
 task: only the one with the smallest id is sent. A window is known by two
