@@ -7,8 +7,6 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-SF = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -29,11 +27,3 @@ def many_chunks(spark):
     spark.conf.set(key, "false")
     yield
     spark.conf.unset(key)
-
-
-def rows(df):
-    return sorted((tuple(r) for r in df.collect()), key=repr)
-
-
-def plan_of(df):
-    return df._jdf.queryExecution().executedPlan().toString()

@@ -4,7 +4,7 @@ import os
 from datetime import date, datetime
 
 import pytest
-from conftest import SF, rows
+from support import SF, rows
 from pyspark.sql import functions as F
 
 from voltide.operators import models as ML
@@ -30,7 +30,7 @@ def test_rerun_of_a_day_replaces_it(spark, tmp_path):
 
 
 def test_writes_are_rebalanced_by_partition(spark):
-    from conftest import plan_of
+    from support import plan_of
 
     assert "REBALANCE_PARTITIONS_BY_COL" in plan_of(IO.gathered(spark.range(9), ["id"]))
 

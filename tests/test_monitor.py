@@ -5,7 +5,7 @@ from datetime import date, datetime, timedelta
 
 import numpy as np
 import pytest
-from conftest import rows
+from support import rows
 from pyspark.sql import functions as F
 
 from voltide.operators import alerts as A

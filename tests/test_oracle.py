@@ -1,7 +1,7 @@
 """Every query with an oracle against DuckDB; all others run and return rows."""
 
 import pytest
-from conftest import SF
+from support import SF
 from oracle import differences, duck, duck_rows, spark_rows
 
 from __spark_entry__ import entry, oracle_sql, queries

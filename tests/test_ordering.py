@@ -4,7 +4,7 @@ import os
 import random
 
 import pytest
-from conftest import plan_of, rows
+from support import plan_of, rows
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 

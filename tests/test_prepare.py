@@ -4,7 +4,7 @@ import math
 from datetime import date, timedelta
 
 import pytest
-from conftest import SF, plan_of, rows
+from support import SF, plan_of, rows
 from pyspark.sql import functions as F
 
 from voltide.operators import features as X

@@ -4,7 +4,7 @@ import math
 from datetime import date
 
 import pytest
-from conftest import plan_of, rows
+from support import plan_of, rows
 from pyspark.sql import functions as F
 
 from voltide.functions import scalars as S

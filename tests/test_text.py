@@ -2,7 +2,7 @@ import math
 import random
 
 import pytest
-from conftest import plan_of
+from support import plan_of
 
 from voltide.functions import text as T
 from voltide.functions.scalars import headline_length, nonblank, word_count
