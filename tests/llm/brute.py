@@ -78,3 +78,37 @@ def components(rows, percent=75):
             x, y = sorted((root(a), root(b)))
             parent[y] = x
     return sorted((i, len(s), root(i)) for i, s in sets.items())
+
+
+def prefix_trie(rows):
+    """Nodes of the trie of rebuilt conversations, from (conv_id, turn, role, text) rows without equal turns."""
+    import zlib
+
+    own = defaultdict(list)
+    for c, turn, role, text in rows:
+        if c is not None:
+            own[c].append(((turn is not None, turn or 0), role or "", text or ""))
+    turns = {c: [x[1:] for x in sorted(v)] for c, v in own.items()}
+    rebuilt = {}
+    for c in turns:
+        h = zlib.crc32(str(c).encode()) % 4
+        lender = c - (abs(c) % 20) * (1 if c >= 0 else -1)
+        rebuilt[c] = tuple(turns.get(lender, [])[:h] + turns[c][h:])
+    members = defaultdict(list)
+    for c, seq in rebuilt.items():
+        for d in range(len(seq) + 1):
+            members[seq[:d]].append(c)
+    leaves, saved, children = Counter(), Counter(), Counter()
+    for seq in members:
+        if seq:
+            children[seq[:-1]] += 1
+    for seq, cs in members.items():
+        gain = (len(cs) - 1) * len(WORD.findall(seq[-1][1])) if seq else 0
+        for d in range(len(seq) + 1):
+            saved[seq[:d]] += gain
+            leaves[seq[:d]] += not children[seq]
+    out = []
+    for seq, cs in members.items():
+        ends = ",".join(str(c) for c in sorted(cs) if len(rebuilt[c]) == len(seq))
+        out.append((min(cs), len(seq), min(members[seq[:-1]]) if seq else None, len(cs), children[seq], leaves[seq], saved[seq], hashlib.sha256(ends.encode()).hexdigest()))
+    return sorted(out, key=repr)

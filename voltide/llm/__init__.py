@@ -17,6 +17,7 @@ MODULES = {
     "token_counts": "op8_token_counts",
     "secrets": "op9_secret_scans",
     "neighbours": "op10_neighbours",
+    "prefix_trie": "op11_prefix_trie",
 }
 
 
