@@ -18,6 +18,8 @@ MODULES = {
     "secrets": "op9_secret_scans",
     "neighbours": "op10_neighbours",
     "prefix_trie": "op11_prefix_trie",
+    "mixing": "op12_source_mix",
+    "collocations": "op13_collocations",
 }
 
 
