@@ -69,10 +69,10 @@ def test_category_missing_on_one_side(spark):
     assert got.js_distance == pytest.approx(np.sqrt((kl(p) + kl(q)) / 2)) and got.categories == 3
 
 
-def test_period_reports_against_pairs(spark, many_chunks):
+def test_period_drift_against_pairs(spark, many_chunks):
     a, b = sample(200, 0, 5), sample(90, 0.2, 6)
     cur = spark.createDataFrame([(i, v) for i, v in enumerate(b)], "id int, x double").repartition(5)
-    got = {r.period: r for r in D.period_reports(frame(spark, a), cur, col="x", order=["id"], size=40).collect()}
+    got = {r.period: r for r in D.period_drift(frame(spark, a), cur, col="x", order=["id"], size=40).collect()}
     assert [got[p].n_rows for p in sorted(got)] == [40, 40, 10]
     for p, r in got.items():
         part = b[p * 40 : (p + 1) * 40]

@@ -11,6 +11,7 @@ from voltide.operators import alerts as A
 from voltide.operators import drift as D
 from voltide.operators import joins as J
 from voltide.operators import metrics as M
+from voltide.operators import reports as R
 
 LATEST = "SELECT metric_name, max(ts) AS ts, arg_max(metric_value, (ts, id)) AS metric_value FROM metrics GROUP BY 1"
 
@@ -275,9 +276,95 @@ cte(
     f"SELECT period, n_rows, round(mean, 6) AS mean, round(min, 6) AS min, round(max, 6) AS max, round(ks, 6) AS ks, round(p_value, 6) AS p_value, p_value < 0.05 AS drifted FROM (SELECT *, {p_sql('ks', 'n_ref', 'n_rows')} AS p_value FROM period_ks)",
     "period_ks",
 )
-def period_reports(spark, d):
+def period_drift(spark, d):
     reference, current = drift_sides(spark, d)
-    return r6(D.period_reports(reference, current, col="value", order=["ts", "event_id"]))
+    return r6(D.period_drift(reference, current, col="value", order=["ts", "event_id"]))
+
+
+R_NUM = {
+    "value": "value",
+    "k": "k",
+    "props_length": "CAST(length(props) AS DOUBLE)",
+    "props_words": "CAST(len(regexp_extract_all(lower(props), '[\\p{L}\\p{N}_]+')) AS DOUBLE)",
+    "props_non_letter_share": "CASE WHEN length(props) > 0 THEN (length(props) - length(regexp_replace(props, '[^\\p{L}]', '', 'g'))) / length(props) WHEN length(props) = 0 THEN 0 END",
+    "y": "CAST(y AS DOUBLE)",
+    "yhat": "CAST(yhat AS DOUBLE)",
+    "p": "p",
+}
+R_COLS = ["value", "k", "event_type", "props", "y", "yhat", "p"]
+cte(
+    "pr",
+    """SELECT CASE WHEN is_current = 0 THEN -1 ELSE (row_number() OVER (PARTITION BY is_current ORDER BY ts, event_id) - 1) // 500 END AS period, value, k, event_type, y, yhat, value / (value + 50) AS p, props
+    FROM sides JOIN (SELECT event_id, props FROM events) USING (event_id)""",
+    "sides",
+)
+cte("pr_num", " UNION ALL ".join(f"SELECT period, '{c}' AS col, {e} AS v FROM pr" for c, e in R_NUM.items()), "pr")
+cte(
+    "pr_ecdf",
+    """SELECT *, CAST(sum(r) OVER w AS DOUBLE) / sum(r) OVER (PARTITION BY col, period) AS fr, CAST(sum(c) OVER w AS DOUBLE) / sum(c) OVER (PARTITION BY col, period) AS fc, lead(v) OVER w AS nv FROM (
+      SELECT col, period, v, sum(r) AS r, sum(c) AS c FROM (
+        SELECT n.col, q.period, n.v, 1 AS r, 0 AS c FROM pr_num n JOIN (SELECT DISTINCT col, period FROM pr_num WHERE period >= 0 AND v IS NOT NULL) q USING (col) WHERE n.period = -1 AND v IS NOT NULL
+        UNION ALL SELECT col, period, v, 0, 1 FROM pr_num WHERE period >= 0 AND v IS NOT NULL) GROUP BY col, period, v)
+    WINDOW w AS (PARTITION BY col, period ORDER BY v)""",
+    "pr_num",
+)
+cte(
+    "pr_moved",
+    f"""SELECT *, wasserstein / greatest(ref_std, 0.001) AS distance, {p_sql('ks', 'n_ref', 'n')} AS p_value FROM (
+      SELECT col, period, max(abs(fr - fc)) AS ks, coalesce(sum(abs(fr - fc) * (nv - v)), 0) AS wasserstein, CAST(sum(r) AS BIGINT) AS n_ref, CAST(sum(c) AS BIGINT) AS n FROM pr_ecdf GROUP BY 1, 2)
+      JOIN (SELECT col, stddev_pop(v) AS ref_std FROM pr_num WHERE period = -1 GROUP BY 1) USING (col)""",
+    "pr_ecdf",
+)
+cte(
+    "pr_kinds",
+    """SELECT col, period, count(*) AS categories, sqrt(greatest(0, sum(CASE WHEN p > 0 THEN p * ln(p / ((p + q) / 2)) ELSE 0 END + CASE WHEN q > 0 THEN q * ln(q / ((p + q) / 2)) ELSE 0 END) / 2)) AS js_distance,
+      sum(CASE WHEN p > 0 THEN (c - p * m) ** 2 / (p * m) END) AS chi_square FROM (
+      SELECT col, period, v, r / sum(r) OVER (PARTITION BY col, period) AS p, c / sum(c) OVER (PARTITION BY col, period) AS q, c, sum(c) OVER (PARTITION BY col, period) AS m FROM (
+        SELECT col, period, v, CAST(sum(r) AS DOUBLE) AS r, CAST(sum(c) AS DOUBLE) AS c FROM (
+          SELECT n.col, q.period, n.v, 1 AS r, 0 AS c FROM pr_cat n JOIN (SELECT DISTINCT col, period FROM pr_cat WHERE period >= 0) q USING (col) WHERE n.period = -1
+          UNION ALL SELECT col, period, v, 0, 1 FROM pr_cat WHERE period >= 0) GROUP BY 1, 2, 3)) GROUP BY 1, 2""",
+    "pr_cat",
+)
+cte("pr_cat", "SELECT period, 'event_type' AS col, event_type AS v FROM pr UNION ALL SELECT period, 'y', CAST(y AS VARCHAR) FROM pr UNION ALL SELECT period, 'yhat', CAST(yhat AS VARCHAR) FROM pr", "pr")
+cte("pr_flags", "SELECT period, CAST(distance >= 0.1 AS DOUBLE) AS f FROM pr_moved WHERE col IN ('value', 'k') UNION ALL SELECT period, CAST(js_distance >= 0.1 AS DOUBLE) FROM pr_kinds", "pr_moved", "pr_kinds")
+_TP, _FP, _FN, _TN = (f"CAST(count(*) FILTER (y = {a} AND yhat = {b}) AS DOUBLE)" for a, b in ((1, 1), (0, 1), (1, 0), (0, 0)))
+_R_COLUMN = {
+    "count": "count(v)", "mean": "avg(v)", "std": "stddev_samp(v)", "min": "min(v)", "p25": "quantile_cont(v, 0.25)", "p50": "quantile_cont(v, 0.5)", "p75": "quantile_cont(v, 0.75)", "max": "max(v)",
+    "distinct": "count(DISTINCT v)", "missing": "count(*) - count(v)",
+}
+_R_PARTS = [
+    *[f"SELECT period, 'summary', NULL, '{m}', {e} FROM pr GROUP BY period" for m, e in {
+        "n_rows": "count(*)", "n_columns": str(len(R_COLS)), "n_missing_cells": " + ".join(f"count(*) FILTER ({c} IS NULL)" for c in R_COLS),
+        "n_constant_columns": " + ".join(f"CAST(count(DISTINCT {c}) = 1 AS INTEGER)" for c in R_COLS), "n_empty_columns": " + ".join(f"CAST(count({c}) = 0 AS INTEGER)" for c in R_COLS)}.items()],
+    f"SELECT period, 'summary', NULL, 'n_duplicated_rows', sum(n - 1) FROM (SELECT period, count(*) AS n FROM pr GROUP BY period, {', '.join(R_COLS)}) GROUP BY period",
+    *[f"SELECT period, 'columns', col, '{m}', {e} FROM pr_num WHERE period >= 0 GROUP BY period, col" for m, e in _R_COLUMN.items()],
+    "SELECT period, 'columns', col, 'most_common', v FROM (SELECT period, col, v, row_number() OVER (PARTITION BY period, col ORDER BY count(*) DESC, v) AS i FROM pr_num WHERE period >= 0 AND v IS NOT NULL GROUP BY 1, 2, 3) WHERE i = 1",
+    *[f"SELECT period, 'quantiles', col, 'quantile_{q:.2f}', quantile_cont(v, {q}) FROM pr_num WHERE period >= 0 GROUP BY period, col" for q in (0.05, 0.95)],
+    *[f"SELECT period, 'drift', col, '{m}', {e} FROM pr_moved WHERE col NOT IN ('y', 'yhat', 'p')" for m, e in {"ks": "ks", "p_value": "p_value", "wasserstein": "wasserstein", "distance": "distance", "drifted": "CAST(distance >= 0.1 AS DOUBLE)"}.items()],
+    *[f"SELECT period, 'drift', col, '{m}', {e} FROM pr_kinds" for m, e in {"categories": "categories", "js_distance": "js_distance", "chi_square": "chi_square", "drifted": "CAST(js_distance >= 0.1 AS DOUBLE)"}.items()],
+    *[f"SELECT period, 'drift', NULL, '{m}', {e} FROM pr_flags GROUP BY period" for m, e in {"n_drifted": "sum(f)", "drift_share": "avg(f)", "data_drift_detected": "CAST(avg(f) >= 0.5 AS DOUBLE)"}.items()],
+    *[f"SELECT period, 'quality', NULL, '{m}', {e} FROM pr GROUP BY period" for m, e in {
+        "accuracy": "avg(CAST(y = yhat AS DOUBLE))", "precision": f"coalesce({_TP} / nullif({_TP} + {_FP}, 0), 0)", "recall": f"coalesce({_TP} / nullif({_TP} + {_FN}, 0), 0)", "f1": f"coalesce(2 * {_TP} / nullif(2 * {_TP} + {_FP} + {_FN}, 0), 0)",
+        "log_loss": "avg(CASE WHEN y = 1 THEN -ln(least(greatest(p, 1e-15), 1 - 1e-15)) ELSE -ln(1 - least(greatest(p, 1e-15), 1 - 1e-15)) END)", "n": "count(*)"}.items()],
+    f"SELECT period, 'quality', NULL, 'auc', auc FROM ({_auc_sql('period', 'pr')})",
+    *[f"SELECT period, 'confusion', NULL, '{m}', {e} FROM pr GROUP BY period" for m, e in {"tp": _TP, "fp": _FP, "fn": _FN, "tn": _TN}.items()],
+    *[f"SELECT period, 'balance', '{c}', 'share_' || {c}, count(*) / sum(count(*)) OVER (PARTITION BY period) FROM pr GROUP BY period, {c}" for c in ("y", "yhat")],
+]
+REPORT_SQL = 'SELECT period, section, "column", metric, round(value, 6) AS value FROM (SELECT CAST(period AS BIGINT) AS period, section, CAST("column" AS VARCHAR) AS "column", metric, CAST(value AS DOUBLE) AS value FROM (' + " UNION ALL ".join(_R_PARTS) + ') AS t(period, section, "column", metric, value)) WHERE value IS NOT NULL'
+
+
+@query(REPORT_SQL, "pr_num", "pr_moved", "pr_kinds", "pr_flags")
+def period_reports(spark, d):
+    """The whole report of each period of 500 rows."""
+    rows = table(spark, d, "events").select("event_id", "ts", "event_type", "value", "props", F.get_json_object("props", "$.k").cast("double").alias("k"))
+    rows = rows.withColumns({"y": F.col("event_type").isin("error", "purchase").cast("int"), "yhat": (F.col("value") > 50).cast("int"), "p": F.col("value") / (F.col("value") + 50)})
+    cut = F.lit("2024-01-21").cast("timestamp_ntz")
+    return r6(
+        R.period_reports(
+            rows.where(F.col("ts") < cut), rows.where(F.col("ts") >= cut), order=["ts", "event_id"], numeric=["value", "k"], categorical=["event_type"], text=["props"], target="y", prediction="yhat", score="p"
+        ),
+        "value",
+    )
 
 
 def _text_sides(spark, d):

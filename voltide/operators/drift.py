@@ -246,8 +246,8 @@ def correlation_tests(df: DataFrame, *, cols: Sequence[str], target: str, predic
     return long.groupBy("column").agg(*aggs)
 
 
-def period_reports(reference: DataFrame, current: DataFrame, *, col: str, order: Sequence[str], size: int = 500, threshold: float = P_THRESHOLD) -> DataFrame:
-    """The report of ``col`` for each consecutive period of ``size`` current rows.
+def period_drift(reference: DataFrame, current: DataFrame, *, col: str, order: Sequence[str], size: int = 500, threshold: float = P_THRESHOLD) -> DataFrame:
+    """Drift and range of ``col`` alone for each consecutive period of ``size`` current rows.
 
     The reference distribution is not copied per period. Both data sets are merged once to read off
     the reference CDF at every current value (and just below it); then each period, at most ``size``

@@ -6,9 +6,9 @@ for raw rows, where one series may hold a third of the data. The helpers here cu
 order ``(series, order...)`` into range partitions of equal size ("chunks"), work inside a
 chunk, and stitch the chunks together through one small row per (series, chunk).
 
-The bounds of the chunks come from a bounded sample of the keys, drawn once, and are constants of
-the plan: the chunk of a row is a function of its keys, so all branches agree and nothing has to be
-written. ``chunks`` says how many there are (by default as many as the session shuffles into).
+The bounds of the chunks come from a bounded sample of the keys, drawn once by a subquery of the
+plan: the chunk of a row is a function of its keys, so all branches agree, nothing has to be written,
+and building a plan runs nothing. ``chunks`` says how many there are (by default as many as the session shuffles into).
 """
 
 from __future__ import annotations
@@ -64,31 +64,35 @@ def spread(scan: DataFrame, key: str) -> DataFrame:
     return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, key)
 
 
-def chunk_bounds(df: DataFrame, keys: Sequence[str], chunks: int) -> list[tuple]:
-    """The least keys of all chunks but the first, from a sample of at most ``SAMPLE_PER_CHUNK`` keys a chunk."""
-    if chunks < 2:
-        return []
-    drawn = df.select(*keys).orderBy(F.rand(7)).limit(SAMPLE_PER_CHUNK * chunks).orderBy(*keys).collect()
-    picked = [tuple(drawn[len(drawn) * i // chunks]) for i in range(1, chunks)] if drawn else []
-    return list(dict.fromkeys(picked))
+def chunk_bounds(df: DataFrame, keys: Sequence[str], chunks: int) -> Column:
+    """The least keys of all chunks but the first, from a sample of at most ``SAMPLE_PER_CHUNK`` keys a chunk.
+
+    A scalar subquery: it runs when the result is asked for, and where the frame ends in an exchange, that
+    exchange is shared with the branches that use the bounds, so the input is computed once. The sample is
+    that of the smallest hashes: the same rows whenever and wherever it is drawn, so that branches agree
+    even if each draws its own.
+    """
+    drawn = df.select(*keys).orderBy(F.xxhash64(*keys)).limit(SAMPLE_PER_CHUNK * chunks).agg(F.sort_array(F.collect_list(F.struct(*keys))).alias("k"))
+    n = F.size("k")
+    at = F.transform(F.sequence(F.lit(1), F.lit(chunks - 1)), lambda i: F.floor(n * i / chunks).cast("int"))
+    picked = F.when(n > 0, F.array_distinct(F.transform(at, lambda i: F.get("k", i))))
+    return drawn.select(picked.alias("bounds")).scalar()
 
 
-def chunk_of(df: DataFrame, keys: Sequence[str], bounds: Sequence[tuple]) -> Column:
-    """How many bounds a row's keys reach: a binary search over constants, nulls first as in a sort."""
-    if not bounds:
-        return F.lit(0)
-    types = {f.name: f.dataType for f in df.schema.fields}
-    constant = F.array(*[F.struct(*[F.lit(v).cast(types[k]).alias(k) for k, v in zip(keys, b)]) for b in bounds])
+def chunk_of(keys: Sequence[str], bounds: Column) -> Column:
+    """How many bounds a row's keys reach: a binary search, nulls first as in a sort."""
     own = F.struct(*keys)
 
     def halve(range_: Column, _: Column) -> Column:
         low, high = range_["low"], range_["high"]
         mid = F.shiftright(low + high, 1)
-        reached = F.get(constant, mid) <= own
+        reached = F.get(bounds, mid) <= own
         return F.when(low >= high, range_).when(reached, F.struct((mid + 1).alias("low"), high.alias("high"))).otherwise(F.struct(low.alias("low"), mid.alias("high")))
 
-    start = F.struct(F.lit(0).alias("low"), F.lit(len(bounds)).alias("high"))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(len(bounds).bit_length())), start, halve, lambda r: r["low"])
+    n = F.coalesce(F.size(bounds), F.lit(0))
+    steps = F.when(n > 0, F.sequence(F.lit(1), F.ceil(F.log2(n + 1)).cast("int"))).otherwise(F.array().cast("array<int>"))
+    start = F.struct(F.lit(0).alias("low"), F.greatest(n, F.lit(0)).alias("high"))
+    return F.aggregate(steps, start, halve, lambda r: r["low"])
 
 
 def position(df: DataFrame, order: Sequence[str]) -> Column:
@@ -111,7 +115,9 @@ def position(df: DataFrame, order: Sequence[str]) -> Column:
 def range_chunks(df: DataFrame, keys: Sequence[str], chunk: str = CHUNK, chunks: int | None = None) -> DataFrame:
     """Each row with the number of its range of the total order ``keys``."""
     n = chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.withColumn(chunk, chunk_of(df, keys, chunk_bounds(df, keys, n)))
+    if n < 2:
+        return df.withColumn(chunk, F.lit(0))
+    return df.withColumn("_bounds", chunk_bounds(df, keys, n)).withColumn(chunk, chunk_of(keys, F.col("_bounds"))).drop("_bounds")
 
 
 def partition_ranges(df: DataFrame, keys: Sequence[str], chunk: str = CHUNK) -> DataFrame:
