@@ -67,9 +67,9 @@ def test_targets_and_epochs(spark, many_chunks, seed):
 def test_reruns_agree_and_weights_matter(spark):
     rows = [(i, "w " * 10, "a" if i < 900 else "b") for i in range(1000)]
     df = spark.createDataFrame(rows, SCHEMA)
-    good = F.when(F.col("doc_id") % 2 == 0, 9.0).otherwise(1.0)
-    once = sorted(tuple(r) for r in mixing.mix(df, weight=good, budget=(1, 2)).collect())
-    assert once == sorted(tuple(r) for r in mixing.mix(df.repartition(13), weight=good, budget=(1, 2)).collect())
+    good = df.where("doc_id % 2 = 0").select("doc_id", F.lit(9).alias("quality_weight"))
+    once = sorted(tuple(r) for r in mixing.mix(df, quality=good, budget=(1, 2)).collect())
+    assert once == sorted(tuple(r) for r in mixing.mix(df.repartition(13), quality=good, budget=(1, 2)).collect())
     taken = [(r[0], r[4]) for r in once if r[5] == "a"]
     assert sum(t for i, t in taken if i % 2 == 0) > 2 * sum(t for i, t in taken if i % 2)
 
@@ -85,9 +85,22 @@ def test_odd_tables(spark):
 def test_repeated_labels_do_not_multiply(spark):
     docs = spark.createDataFrame(rows_of(4), SCHEMA)
     labels = spark.createDataFrame([(1, 0), (1, 1), (None, 1), (2, None), (7, 0)], "doc_id bigint, quality int")
-    got = mixing.labelled_weight(docs, labels)
-    assert got.count() == docs.count()
-    assert {r[0]: r[1] for r in got.where("doc_id in (1, 2, 7)").select("doc_id", "quality_weight").collect()} == {1: 4.0, 2: 2.0, 7: 1.0}
+    weights = mixing.label_weights(labels)
+    assert sorted(tuple(r) for r in weights.collect()) == [(1, 2.0), (2, 1.0), (7, 0.5)]
+    assert mixing.mix(docs, quality=weights).count() == docs.count()
+
+
+def test_texts_stay_where_they_are(spark, sf):
+    from support import plan_of
+
+    docs = table(spark, sf, "documents")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(mixing.sized(docs, mixing.label_weights(table(spark, sf, "labels"))))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    above = plan[: plan.index("Exchange")]
+    assert "regexp_count" not in above and "SortMergeJoin" in above
 
 
 def test_query_keeps_all_documents(spark, sf):

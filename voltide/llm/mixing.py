@@ -44,13 +44,16 @@ def uniform(*parts: Column) -> Column:
     return (F.conv(F.substr(digest, F.lit(1), F.lit(DIGITS)), 16, 10).cast("double") + 0.5) / float(16**DIGITS)
 
 
-def sized(docs: DataFrame, weight: Column | None = None) -> DataFrame:
-    """(doc_id, source, size, digest, key) of each row; ``weight`` is a positive column of ``docs``, 1 if unknown."""
+def sized(docs: DataFrame, weights: DataFrame | None = None) -> DataFrame:
+    """(doc_id, source, size, digest, key) of each row. ``weights`` has (doc_id, quality_weight), one positive
+    weight an id, 1 for others; it meets the rows after their texts have become sizes and digests."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    digest = F.md5(text)
-    u = uniform(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), digest)
-    w = F.coalesce(F.lit(None).cast("double") if weight is None else weight.cast("double"), F.lit(1.0))
-    return docs.select("doc_id", F.col("source").cast("string").alias("source"), F.regexp_count(text, F.lit(WORD)).cast("bigint").alias("size"), digest.alias("digest"), (-F.ln(u) / w).alias("key"))
+    rows = docs.select("doc_id", F.col("source").cast("string").alias("source"), F.regexp_count(text, F.lit(WORD)).cast("bigint").alias("size"), F.md5(text).alias("digest"))
+    u = uniform(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("digest"))
+    if weights is None:
+        return rows.withColumn("key", -F.ln(u))
+    known = weights.select("doc_id", F.col("quality_weight").cast("double").alias("_weight"))
+    return rows.join(known, "doc_id", "left").select("doc_id", "source", "size", "digest", (-F.ln(u) / F.coalesce("_weight", F.lit(1.0))).alias("key"))
 
 
 def targets(sources: DataFrame, *, weights: Sequence[int] = WEIGHTS, budget: tuple[int, int] = BUDGET, cap: int = CAP) -> DataFrame:
@@ -66,9 +69,9 @@ def targets(sources: DataFrame, *, weights: Sequence[int] = WEIGHTS, budget: tup
     return shared.select("source", "source_size", F.least(F.col("cap").cast("double"), level * F.col("w")).alias("target"))
 
 
-def mix(docs: DataFrame, *, weight: Column | None = None, weights: Sequence[int] = WEIGHTS, budget: tuple[int, int] = BUDGET, cap: int = CAP) -> DataFrame:
-    """doc_id, size, source_size, target, taken, and source, key of each row of ``docs``."""
-    rows = written(sized(docs, weight), "sized")
+def mix(docs: DataFrame, *, quality: DataFrame | None = None, weights: Sequence[int] = WEIGHTS, budget: tuple[int, int] = BUDGET, cap: int = CAP) -> DataFrame:
+    """doc_id, size, source_size, target, taken, and source, key of each row of ``docs``; ``quality`` as in ``sized``."""
+    rows = written(sized(docs, quality), "sized")
     wanted = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights=weights, budget=budget, cap=cap)
     wanted = written(wanted, "targets").select(F.col("source").alias("_source"), "source_size", "target")
     ordered = running_sums(rows, by=["source"], order=["key", "doc_id", "digest", "size"], sums=["size"])
@@ -80,23 +83,21 @@ def mix(docs: DataFrame, *, weight: Column | None = None, weights: Sequence[int]
     return both.select("doc_id", "size", "source_size", "target", (epochs * F.col("size") + more).cast("bigint").alias("taken"), "source", "key")
 
 
-def labelled_weight(docs: DataFrame, labels: DataFrame, *, good: float = 4.0, bad: float = 1.0, unknown: float = 2.0) -> DataFrame:
-    """The documents with a ``quality_weight`` from their labels (the best one, if there are several)."""
-    best = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("quality").alias("_quality"))
-    weight = F.when(F.col("_quality") >= 1, good).when(F.col("_quality") < 1, bad).otherwise(unknown)
-    return docs.join(best, "doc_id", "left").withColumn("quality_weight", weight).drop("_quality")
+def label_weights(labels: DataFrame, *, good: float = 2.0, bad: float = 0.5) -> DataFrame:
+    """(doc_id, quality_weight) from labels (the best one of a document, if there are several); without a label it is 1."""
+    best = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("quality").alias("quality"))
+    return best.select("doc_id", F.when(F.col("quality") >= 1, good).when(F.col("quality") < 1, bad).otherwise(1.0).alias("quality_weight"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    weighed = labelled_weight(docs, table(spark, sf_dir, "labels").select("doc_id", "quality"))
-    return mix(weighed, weight=F.col("quality_weight")).select("doc_id", "size", "source_size", "target", "taken")
+    quality = label_weights(table(spark, sf_dir, "labels").select("doc_id", "quality"))
+    return mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), quality=quality).select("doc_id", "size", "source_size", "target", "taken")
 
 
 ORACLE_SQL = r"""
 WITH best AS (SELECT doc_id, max(quality) AS quality FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
 docs AS (SELECT d.doc_id, d.source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size, md5(coalesce(text, '')) AS digest,
-  CASE WHEN quality >= 1 THEN 4.0 WHEN quality < 1 THEN 1.0 ELSE 2.0 END AS weight FROM documents d LEFT JOIN best USING (doc_id)),
+  CASE WHEN quality >= 1 THEN 2.0 WHEN quality < 1 THEN 0.5 ELSE 1.0 END AS weight FROM documents d LEFT JOIN best USING (doc_id)),
 keyed AS (SELECT *, -ln((CAST(CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || chr(31) || digest), 1, 13) AS BIGINT) AS DOUBLE) + 0.5) / 4503599627370496.0) / CAST(weight AS DOUBLE) AS key FROM docs),
 sources AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM keyed GROUP BY source),
 placed AS (SELECT *, ([5, 2, 1])[(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w FROM sources),
