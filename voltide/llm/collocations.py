@@ -33,18 +33,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltide.llm.common import bytes_of, mix, slices, table, written
-from voltide.llm.words import BASE, LOWER, STEP
+from voltide.llm.words import BASE, LOWER
 
 LONGEST = 5
 #: Bits of the map of frequent fingerprints, at most (32 MB).
 BITS = 1 << 28
 #: Bits that one task of its construction sets.
 SEGMENT = 1 << 15
-#: Fingerprints that a task counts before it sends them on, and bytes of text in one step.
-RUN = 4 << 20
-SLICE = 4 << 20
+#: Fingerprints that a task counts before it sends them on, bytes of text in a slice, and bytes hashed at a
+#: time (a longer text is a slice of its own): only the size of temporary arrays.
+RUN = 2 << 20
+SLICE = 1 << 20
+STEP = 1 << 20
 #: Phrases that a task sums up before it sends them on.
-SUMS = 200_000
+SUMS = 50_000
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09]] = True
 CUT = np.zeros(256, bool)
