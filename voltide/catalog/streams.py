@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from voltide.catalog.inputs import preds
-from voltide.catalog.registry import query, r6, table
+from voltide.catalog.inputs import RULES, preds
+from voltide.catalog.registry import cte, query, r6, table
 from voltide.catalog.scores import HALF, KEYWORD, _band_sql
+from voltide.operators.joins import rule_table
+from voltide.streaming import alerting as A
 from voltide.streaming import jobs as J
 
 VOTE = f"""SELECT date_trunc('day', ts)::TIMESTAMP AS window_start, (date_trunc('day', ts) + INTERVAL 1 DAY)::TIMESTAMP AS window_end, count(*) AS num_headlines, round(avg(p), 6) AS prediction_mean_proba,
@@ -66,3 +68,34 @@ def tumbling_vote(spark, d):
 def sliding_breach(spark, d):
     rows = table(spark, d, "events").select("ts", "event_type", "value")
     return J.sliding_breach(rows, by=["event_type"], breach=F.col("value") > 60)
+
+
+cte("walked", "SELECT * FROM (SELECT rule, severity, for_seconds, id, ts, coalesce(breach, false) AS breach FROM judged) WHERE ts <= (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 10 MINUTES FROM events)", "judged")
+cte(
+    "placed",
+    """SELECT *, CASE WHEN breach THEN min(ts) OVER (PARTITION BY rule, breach, island) END AS started, CASE WHEN breach THEN row_number() OVER (PARTITION BY rule, breach, island ORDER BY ts, id) ELSE 0 END AS n FROM (
+      SELECT *, sum(CAST(NOT breach AS BIGINT)) OVER (PARTITION BY rule ORDER BY ts, id) AS island FROM walked)""",
+    "walked",
+)
+cte("chained", "SELECT *, lag(ts) OVER w AS prev, lag(breach) OVER w AS was, lag(started) OVER w AS run_started, coalesce(lag(n) OVER w, 0) AS run_n FROM placed WINDOW w AS (PARTITION BY rule ORDER BY ts, id)", "placed")
+cte("fired", "SELECT rule, severity, island, started, min(ts) AS \"at\", arg_min(n, ts) AS n FROM placed WHERE breach AND epoch_us(ts) - epoch_us(started) >= for_seconds * 1000000 GROUP BY ALL", "placed")
+SILENT = "epoch_us(ts) - epoch_us(prev) > 600000000"
+
+
+@query(
+    f"""SELECT rule, severity, transition, "at", started, CAST(n_values AS BIGINT) AS n_values FROM (
+      SELECT rule, severity, 'pending' AS transition, ts AS "at", started, 1 AS n_values FROM placed WHERE breach AND n = 1 AND for_seconds > 0 UNION ALL
+      SELECT rule, severity, 'firing', "at", started, n FROM fired UNION ALL
+      SELECT c.rule, c.severity, CASE WHEN f."at" IS NULL THEN 'inactive' ELSE 'resolved' END, c.ts, c.run_started, c.run_n FROM chained c LEFT JOIN fired f ON f.rule = c.rule AND f.island = c.island - 1 WHERE NOT c.breach AND c.was UNION ALL
+      SELECT rule, severity, 'nodata', prev + INTERVAL 10 MINUTES, run_started, run_n FROM chained WHERE {SILENT} UNION ALL
+      SELECT rule, severity, 'data', ts, run_started, run_n FROM chained WHERE {SILENT} UNION ALL
+      SELECT rule, severity, 'nodata', ts + INTERVAL 10 MINUTES, started, n FROM (SELECT *, row_number() OVER (PARTITION BY rule ORDER BY ts DESC, id DESC) AS back FROM placed)
+        WHERE back = 1 AND ts + INTERVAL 10 MINUTES < (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 10 MINUTES FROM events))""",
+    "chained",
+    "fired",
+)
+def stream_alert_state(spark, d):
+    """Transitions of all rules up to the watermark, by a state per rule."""
+    rows = _stream(spark, d, "events").select(F.col("event_id").alias("id"), "ts", F.col("event_type").alias("metric_name"), F.col("value").alias("metric_value"))
+    path = A.run_alerts(A.alert_transitions(rows, rule_table(spark, RULES)))
+    return spark.read.parquet(path).withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("at", "started")})
