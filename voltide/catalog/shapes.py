@@ -134,6 +134,26 @@ def metrics_retention(spark, d):
     return IO.metrics_retention(rows, ts="ts", asof=asof(rows), keep="10 DAYS")
 
 
+@query("SELECT metric_name, round(avg(metric_value), 6) AS metric_value, 'v2' AS model_version, CAST('2024-02-01' AS TIMESTAMP) AS ts, run FROM metrics, (VALUES ('r1'), ('r 2/x')) AS t(run) GROUP BY 1, 5", "metrics")
+def metrics_append_again(spark, d):
+    """Two runs, each of which comes twice: the first time on another day and with other values."""
+    path = scratch_path(spark, "metrics")
+    means = metrics(spark, d).groupBy("metric_name").agg(F.avg("metric_value").alias("metric_value"))
+    for version, day, factor in (("v1", "2024-01-31", 2), ("v2", "2024-02-01", 1)):
+        for run in ("r1", "r 2/x"):
+            IO.metrics_append(means.withColumn("metric_value", F.col("metric_value") * factor), path, ts=F.lit(f"{day} 00:00:00"), model_version=version, run=run)
+    return r6(spark.read.parquet(path).drop("day"))
+
+
+@query("SELECT * FROM metrics WHERE ts >= (SELECT max(ts) FROM metrics) - INTERVAL 10 DAYS", "metrics")
+def metrics_retention_in_place(spark, d):
+    """The stored table after old days left by name and the day on the border was rewritten."""
+    rows, path = metrics(spark, d), scratch_path(spark, "metrics")
+    IO.sink_parquet(rows.withColumn("day", F.col("ts").cast("date")), path, partition_by=["day"])
+    IO.retention_in_place(spark, path, ts="ts", asof=asof(rows), keep="10 DAYS")
+    return spark.read.parquet(path).drop("day")
+
+
 @query("SELECT conv_id, '' AS Headline, CAST(NULL AS INTEGER) AS vol_up, CAST(NULL AS DOUBLE) AS feature1 FROM wide WHERE Top1 = 'nothing' UNION ALL SELECT conv_id, Top2, NULL, NULL FROM wide WHERE regexp_matches(Top2, '\\S')", "wide")
 def empty_schema_guard(spark, d):
     """Rows of slots that may all be blank keep the expected columns; the guard adds the missing ones."""

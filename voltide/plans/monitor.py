@@ -37,12 +37,14 @@ def monitoring_job(
     days: int = 7,
     rules: Sequence[tuple] = tuple(FLOW_RULES),
     model_version: str = "unknown",
+    run: str | None = None,
 ) -> DataFrame:
-    """The run summary. The metrics of the run (a dozen rows) are computed once and reused."""
+    """The run summary. The metrics of the run (a dozen rows) are computed once and reused; with ``run`` a
+    repeated job replaces its rows in the metrics table."""
     window = last_n_dates(current, date=date, n=days)
     columns = column_drift(reference, window, numeric=numeric, categorical=categorical)
     found = checkpointed(monitoring_metrics(reference, window, predictions, columns, y=y, yhat=yhat, score=score))
-    metrics_append(found, metrics_path, ts=asof, model_version=model_version)
+    metrics_append(found, metrics_path, ts=asof, model_version=model_version, run=run)
     alerts = check_alerts(found, rule_table(found.sparkSession, rules))
     predicted = predictions.agg(F.countDistinct(date)).scalar() if date in predictions.columns else None
     return run_summary(found, alerts, asof=asof, prediction_days=predicted)

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date as Date
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voltide.functions.scalars import parse_date
-from voltide.operators.ordering import spread
+from voltide.operators.ordering import checkpointed, spread
 
 
 def wide_schema(slots: int = 25, label: str = "Label") -> T.StructType:
@@ -137,15 +138,44 @@ def file_inventory(spark: SparkSession, path: str) -> DataFrame:
     return meta.groupBy("file_path", "file_name", "file_size", "file_modification_time").agg(F.count(F.lit(1)).alias("rows"))
 
 
-def metrics_append(metrics: DataFrame, path: str, *, ts: Column, model_version: str = "unknown") -> None:
-    """Append one row per non-null metric, partitioned by day; creates the table if missing."""
+def metrics_append(metrics: DataFrame, path: str, *, ts: Column, model_version: str = "unknown", run: str | None = None) -> None:
+    """Append one row per non-null metric, partitioned by day; creates the table if missing.
+
+    With ``run`` the rows are the partition (day, run), written by dynamic overwrite: a run that comes again
+    under its id replaces its rows, also those it left under another day, and no others.
+    """
     rows = metrics.select(
         ts.cast("timestamp_ntz").alias("ts"),
         "metric_name",
         F.col("metric_value").cast("double").alias("metric_value"),
         F.lit(model_version).alias("model_version"),
     ).where(F.col("metric_value").isNotNull())
-    rows.withColumn("day", F.col("ts").cast("date")).write.mode("append").partitionBy("day").parquet(path)
+    rows = rows.withColumn("day", F.col("ts").cast("date"))
+    if run is None:
+        rows.write.mode("append").partitionBy("day").parquet(path)
+        return
+    # a day's rows of one run are few: one file for each
+    kept = checkpointed(rows.withColumn("run", F.lit(run)))
+    days = {f"day={r['day']}" for r in kept.select("day").distinct().collect()}
+    if days:
+        kept.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "run").parquet(path)
+    fs, folders = _folders(metrics.sparkSession, f"{path}/day=*/run={_escaped(metrics.sparkSession, run)}")
+    for folder in folders:
+        if folder.getParent().getName() not in days:
+            fs.delete(folder, True)
+
+
+def _escaped(spark: SparkSession, value: str) -> str:
+    """A partition value as Spark writes it into a path, for use in a glob."""
+    name = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
+    return "".join(f"\\{c}" if c in "*?[]{}\\" else c for c in name)
+
+
+def _folders(spark: SparkSession, glob: str):
+    """(file system, folders that match)."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(glob)
+    fs = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs, [s.getPath() for s in fs.globStatus(place) or [] if s.isDirectory()]
 
 
 def metrics_retention(df: DataFrame, *, ts: str, asof: Column, keep: str = "2 MONTHS") -> DataFrame:
@@ -160,6 +190,64 @@ def apply_retention(spark: SparkSession, path: str, target: str, *, ts: str, aso
     return spark.read.parquet(target)
 
 
+def retention_in_place(spark: SparkSession, path: str, *, ts: str, asof: Column, keep: str = "2 MONTHS", day: str = "day") -> dict[str, int]:
+    """Drop the rows that are too old from a table partitioned by ``day`` (and maybe by more below it).
+
+    Whole days go by their folder's name and are not read. Only the day on the border is rewritten, by dynamic
+    overwrite of its partitions, and only if it holds rows on both sides. All other files stay as they
+    are, so whoever reads them meanwhile goes on. Rows without a time stay, as ``day`` has no date for them.
+    Returns how many folders were dropped and how many days rewritten; a second run finds nothing to do.
+    """
+    edge = spark.range(1).select((asof - F.expr(f"INTERVAL {keep}")).cast("timestamp_ntz").alias("t")).first()["t"]
+    if edge is None:
+        return {"dropped": 0, "rewritten": 0}
+    done = {"dropped": 0, "rewritten": 0}
+    border = F.lit(edge).cast("timestamp_ntz")
+    on_border = spark.read.parquet(path).where((F.col(day) == border.cast("date")))
+    sides = on_border.agg(F.count_if(F.col(ts) < border).alias("old"), F.count_if(F.col(ts) >= border).alias("young")).first()
+    if sides["old"] and sides["young"]:
+        kept = checkpointed(on_border.where(F.col(ts) >= border))
+        below = [c for c in _partition_columns(spark, path) if c != day]
+        kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day, *below).parquet(path)
+        done["rewritten"] = 1
+        if below:  # partitions of the day without young rows were not overwritten
+            young = {"/".join([f"{day}={edge.date()}", *[f"{c}={r[c]}" for c in below]]) for r in kept.select(*below).distinct().collect()}
+            fs, folders = _folders(spark, f"{path}/{day}={edge.date()}" + "/*" * len(below))
+            for folder in folders:
+                if "/".join(folder.toString().split("/")[-1 - len(below) :]) not in young:
+                    fs.delete(folder, True)
+                    done["dropped"] += 1
+    last = edge.date() if sides["old"] and not sides["young"] else edge.date() - timedelta(days=1)
+    fs, folders = _folders(spark, f"{path}/{day}=*")
+    for folder in folders:
+        named = folder.getName().split("=", 1)[1]
+        if _is_day(named) and Date.fromisoformat(named) <= last:
+            fs.delete(folder, True)
+            done["dropped"] += 1
+    return done
+
+
+def _is_day(text: str) -> bool:
+    try:
+        Date.fromisoformat(text)
+        return True
+    except ValueError:
+        return False
+
+
+def _partition_columns(spark: SparkSession, path: str) -> list[str]:
+    """The partition columns of a table, from the names of its first folders."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = []
+    while True:
+        inner = next((s.getPath() for s in fs.listStatus(place) if s.isDirectory() and "=" in s.getPath().getName()), None)
+        if inner is None:
+            return out
+        out.append(inner.getName().split("=", 1)[0])
+        place = inner
+
+
 def sink_jdbc_metrics(metrics: DataFrame, url: str, *, table: str = "volatility_metrics", properties: dict[str, str] | None = None, connections: int = 8) -> None:
     """Append to a database table over at most ``connections`` connections; Spark creates the table
     if it is missing. The database's driver must be on the class path."""
