@@ -153,3 +153,30 @@ def test_unknown_scores_labels_and_groups(spark):
 def test_an_unnamed_label_order_is_refused(spark):
     with pytest.raises(ValueError):
         V.daily_vote(spark.createDataFrame([], "date date, p double, y int"), label="y")
+
+
+@pytest.mark.parametrize("sketch", [1, 5, 40, 10_000])
+def test_quantiles_by_selection_are_exact(spark, monkeypatch, sketch):
+    """Small sketches, so that brackets are real on small data; ties, one value, a null group, a skewed group."""
+    import numpy as np
+
+    from voltide.operators import metrics as M
+
+    monkeypatch.setattr(M, "SKETCH", sketch)
+    rng = np.random.default_rng(3)
+    groups = {"hot": rng.normal(0, 1, 3000), "ties": rng.integers(0, 5, 700).astype(float), None: rng.exponential(1, 90), "one": np.array([2.5]), "same": np.full(200, 7.0), "two": np.array([1.0, 2.0])}
+    data = [(g, float(v)) for g, vs in groups.items() for v in vs] + [("hot", None), ("empty", None)]
+    df = spark.createDataFrame(data, "g string, x double").repartition(6)
+    qs = (0.0, 0.05, 0.25, 0.5, 0.95, 0.999, 1.0)
+    got = {(r.g, r.q): r.quantile for r in M.column_quantile(df, cols=["x"], qs=qs, by=["g"]).collect()}
+    assert len(got) == len(groups) * len(qs)
+    for g, vs in groups.items():
+        for q in qs:
+            assert got[g, q] == pytest.approx(np.quantile(vs, q), abs=1e-12), (g, q)
+
+
+def test_quantiles_exchange_no_ranges(spark):
+    from voltide.operators import metrics as M
+
+    plan = plan_of(M.column_quantile(spark.range(100).selectExpr("cast(id as double) x"), cols=["x"]))
+    assert "rangepartitioning" not in plan

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from voltide.operators.ordering import CHUNK, partition_ranges, running_sums
+from voltide.operators.ordering import CHUNK, partition_ranges
 
 
 def _flag(cond: Column) -> Column:
@@ -258,26 +258,50 @@ def histogram(df: DataFrame, *, col: str, bins: int = 50, by: Sequence[str] = ()
     return counts.select(*by, "bin", "n", (F.col("n") / (rows * F.col("_width"))).alias("density"))
 
 
-def column_quantile(df: DataFrame, *, cols: Sequence[str], qs: Sequence[float] = (0.05, 0.95), by: Sequence[str] = ()) -> DataFrame:
-    """Exact linear-interpolated quantiles, one row per (group, column, q).
+#: Rank error of the sketches that bracket a quantile, as a share of the rows.
+SKETCH = 10_000
 
-    ``percentile`` would hold all distinct values of a group in one buffer. Here the values collapse
-    to counts, get distributed prefix sums, and only the rows around each rank are kept.
-    """
+
+def column_quantile(df: DataFrame, *, cols: Sequence[str], qs: Sequence[float] = (0.05, 0.95), by: Sequence[str] = ()) -> DataFrame:
+    """Exact linear-interpolated quantiles, one row per (group, column, q)."""
     by = list(by)
     long = df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(by, list(cols), "column", "value")
-    counts = long.where(F.col("value").isNotNull()).groupBy(*by, "column", "value").agg(F.count(F.lit(1)).alias("n"))
-    ranked = running_sums(counts, by=[*by, "column"], order=["value"], sums=["n"], next_of="value")
-    return quantiles_of(ranked, by=[*by, "column"], qs=qs)
+    return selected_quantiles(long.where(F.col("value").isNotNull()), by=[*by, "column"], qs=qs)
 
 
-def quantiles_of(ranked: DataFrame, *, by: Sequence[str], qs: Sequence[float]) -> DataFrame:
-    """Quantiles from value counts that carry ``n_before``, ``n_total`` and ``value_next``."""
-    levels = ranked.withColumn("q", F.explode(F.array(*[F.lit(float(q)) for q in qs])))
+def selected_quantiles(rows: DataFrame, *, by: Sequence[str], qs: Sequence[float], value: str = "value") -> DataFrame:
+    """Exact quantiles of a column by selection in two passes, (by, q, quantile).
+
+    ``percentile`` would hold all distinct values of a group in one buffer, and a ranking would exchange them
+    all. Here mergeable sketches bracket each rank first: both ends are values of the data, off by the
+    sketch's rank error at most, which the bracket leaves room for. The second pass counts what lies
+    below a bracket (one row a task) and keeps the values inside, a few of ten thousand; only these are sorted.
+    """
+    by = list(by)
+    margin = 3.0 / SKETCH
+    ends = [min(max(q + side * margin, 0.0), 1.0) for q in qs for side in (-1, 1)]
+    sketch = F.percentile_approx(value, F.array(*[F.lit(float(p)) for p in ends]), F.lit(SKETCH))
+    brackets = rows.groupBy(*by).agg(F.count(value).alias("_n"), sketch.alias("_ends"))
+    # an end at or beyond the data's own ends is none
+    end = lambda i: F.when(F.col("_n") > 2 * SKETCH, F.col("_ends")[i]) if 0.0 < ends[i] < 1.0 else F.lit(None).cast("double")
+    parts = [F.struct(F.lit(float(q)).alias("q"), end(2 * i).alias("lo"), end(2 * i + 1).alias("hi")) for i, q in enumerate(qs)]
+    held = brackets.select(*[F.col(c).alias(f"_b_{c}") for c in by], "_n", F.array(*parts).alias("_parts"))
+    on = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_b_{c}")) for c in by])
+    near = rows.join(held, on).select(*by, F.col(value).alias("_v"), "_n", F.explode(F.filter("_parts", lambda p: p["hi"].isNull() | (F.col(value) <= p["hi"]))).alias("_p"))
+    # all values below a bracket are one row
+    inside = F.when(F.col("_p.lo").isNull() | (F.col("_v") >= F.col("_p.lo")), F.col("_v"))
+    counts = near.groupBy(*by, "_n", F.col("_p.q").alias("q"), inside.alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    w = Window.partitionBy(*by, "q").orderBy(F.asc_nulls_first("value"))
+    ranked = counts.withColumns(
+        {
+            "n_before": F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+            "value_next": F.lead("value").over(w),
+            "n_total": F.col("_n"),
+        }
+    )
     rank = (F.col("n_total") - 1) * F.col("q")
-    low = F.floor(rank)
-    last = F.col("n_before") + F.col("n")
-    here = levels.where((F.col("n_before") <= low) & (low < last))
+    low, last = F.floor(rank), F.col("n_before") + F.col("n")
+    here = ranked.where((F.col("n_before") <= low) & (low < last))
     upper = F.when((low + 1 < last) | F.col("value_next").isNull(), F.col("value")).otherwise(F.col("value_next"))
     return here.select(*by, "q", (F.col("value") + (rank - low) * (upper - F.col("value"))).alias("quantile"))
 
@@ -368,11 +392,9 @@ def column_summary(df: DataFrame, *, cols: Sequence[str]) -> DataFrame:
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
-    counts = long.where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    ranked = running_sums(counts, by=["column"], order=["value"], sums=["n"], next_of="value")
-    top = F.max("n")
-    tally = ranked.groupBy("column").agg(F.count(F.lit(1)).alias("n_distinct"), top.alias("_top"))
-    common = ranked.join(tally, "column").where(F.col("n") == F.col("_top")).groupBy("column").agg(F.min("value").alias("most_common"), F.first("n_distinct").alias("n_distinct"))
-    quart = quantiles_of(ranked, by=["column"], qs=(0.25, 0.5, 0.75))
+    known = long.where(F.col("value").isNotNull())
+    counts = known.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    common = counts.groupBy("column").agg(F.min(F.struct(-F.col("n"), "value"))["value"].alias("most_common"), F.count(F.lit(1)).alias("n_distinct"))
+    quart = selected_quantiles(known, by=["column"], qs=(0.25, 0.5, 0.75))
     quartiles = quart.groupBy("column").agg(*[F.max(F.when(F.col("q") == q, F.col("quantile"))).alias(n) for q, n in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))])
     return basics.join(common, "column", "left").join(quartiles, "column", "left")

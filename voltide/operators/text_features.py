@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltide.functions.text import WORD, WORD2, ngrams, remove_stopwords, tokenize
-from voltide.operators.metrics import quantiles_of, same_group
-from voltide.operators.ordering import checkpointed, running_sums
+from voltide.operators.metrics import same_group, selected_quantiles
+from voltide.operators.ordering import checkpointed
 
 
 def doc_words(df: DataFrame, *, doc: str, text: str, stopwords: Sequence[str] = (), pattern: str = WORD2) -> DataFrame:
@@ -169,13 +170,17 @@ def direction_analyzer_tfidf(df: DataFrame, *, doc: str, text: str, stems: DataF
     return weigh(counts, df, doc=doc)
 
 
-def text_descriptor_rows(df: DataFrame, *, doc: str, text: str, keep: Sequence[str] = (), vocabulary: DataFrame | None = None) -> DataFrame:
-    """Length, share of non-letters and, with a vocabulary, share of unknown words per text.
+def unknown_words(vocabulary: DataFrame, words: str, out: str) -> StopWordsRemover:
+    """A transformer that leaves the words that are not in the vocabulary, by a hash set inside the row.
 
-    The words of a document meet the vocabulary and are averaged before the shuffle; the text itself
-    is not carried along. The vocabulary is a limited list, whose size the planner knows: it is
-    broadcast while that is small.
+    The vocabulary is a limited list (a ``top_k_vocabulary`` result): it is part of the plan.
     """
+    terms = [r["term"] for r in vocabulary.select("term").distinct().collect()]
+    return StopWordsRemover(inputCol=words, outputCol=out, stopWords=terms or [""], caseSensitive=True)
+
+
+def text_descriptor_rows(df: DataFrame, *, doc: str, text: str, keep: Sequence[str] = (), vocabulary: DataFrame | None = None) -> DataFrame:
+    """Length, share of non-letters and, with a vocabulary, share of unknown words per text; no shuffle."""
     letters = F.length(F.regexp_replace(F.col(text), r"[^\p{L}]+", ""))
     size = F.length(text)
     shares = {
@@ -185,25 +190,21 @@ def text_descriptor_rows(df: DataFrame, *, doc: str, text: str, keep: Sequence[s
     cols = [doc, *keep, *[c.alias(n) for n, c in shares.items()]]
     if vocabulary is None:
         return df.select(*cols)
-    words = df.select(*cols, tokenize(text, WORD).alias("_words"))
-    tokens = words.select(doc, *keep, *shares, F.explode_outer("_words").alias("term"))
-    known = tokens.join(vocabulary.select("term", F.lit(1).alias("_known")), "term", "left")
-    unknown = F.when(F.col("term").isNotNull(), F.col("_known").isNull().cast("double"))
-    shared = known.groupBy(doc, *keep, *shares).agg(F.coalesce(F.avg(unknown), F.lit(0.0)).alias("oov_share"))
-    return shared
+    words = df.select(*cols, F.coalesce(tokenize(text, WORD), F.array().cast("array<string>")).alias("_words"))
+    missing = unknown_words(vocabulary, "_words", "_unknown").transform(words)
+    share = F.coalesce(F.size("_unknown") / F.nullif(F.size("_words"), F.lit(0)), F.lit(0.0))
+    return missing.select(doc, *keep, *shares, share.alias("oov_share"))
 
 
 def text_descriptors(df: DataFrame, *, doc: str, text: str, by: Sequence[str] = (), vocabulary: DataFrame | None = None, qs: Sequence[float] = (0.05, 0.5, 0.95)) -> DataFrame:
-    """Distribution of the descriptors: rows, mean, maximum and exact quantiles per descriptor, all
-    read off the same ranked value counts. The vocabulary is a ``top_k_vocabulary`` result."""
+    """Distribution of the descriptors: rows, mean, maximum and exact quantiles per descriptor. The texts are
+    read once, into a narrow table of their descriptors. The vocabulary is a ``top_k_vocabulary`` result."""
     by = list(by)
-    rows = text_descriptor_rows(df, doc=doc, text=text, keep=by, vocabulary=vocabulary)
     names = ["text_length", "non_letter_share"] + (["oov_share"] if vocabulary is not None else [])
-    long = rows.select(*by, *names).unpivot(by, names, "column", "value")
-    counts = long.where(F.col("value").isNotNull()).groupBy(*by, "column", "value").agg(F.count(F.lit(1)).alias("n"))
+    rows = checkpointed(text_descriptor_rows(df, doc=doc, text=text, keep=by, vocabulary=vocabulary).select(*by, *names))
+    long = rows.unpivot(by, names, "column", "value").where(F.col("value").isNotNull())
     keys = [*by, "column"]
-    ranked = running_sums(counts, by=keys, order=["value"], sums=["n"], next_of="value")
-    basics = ranked.groupBy(*keys).agg(F.sum("n").alias("_n"), (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"), F.max("value").alias("max"))
-    quantiles = quantiles_of(ranked, by=keys, qs=qs)
+    basics = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean"), F.max("value").alias("max"))
+    quantiles = selected_quantiles(long, by=keys, qs=qs)
     wide = quantiles.groupBy(*keys).agg(*[F.max(F.when(F.col("q") == q, F.col("quantile"))).alias(f"p{int(q * 100):02d}") for q in qs])
-    return same_group(basics.withColumnRenamed("_n", "n"), wide, keys)
+    return same_group(basics, wide, keys)
