@@ -57,6 +57,29 @@ def test_quality_learns_repetition_and_kind():
     assert a > 0.5 > b
 
 
+def test_quality_scores_are_averages_of_the_features(monkeypatch):
+    """The memoised scorer against the features of ``document``, with tables and runs that end within texts."""
+    rng = np.random.default_rng(1)
+    model = {"word": rng.normal(0, 1, quality.BUCKETS + 1), "bias": 0.1}
+    words = ["a", "bb", "straße", "日本", "x" * 40, "a", "👍"]
+    texts = [" ".join(rng.choice(words, n)) for n in (0, 1, 2, 50, 700)] + [None, "new " * 300, " ".join(f"w{i}" for i in range(500))]
+    for run, memo in ((1 << 18, 200_000), (64, 5)):
+        monkeypatch.setattr(quality, "RUN", run)
+        monkeypatch.setattr(quality, "MEMO", memo)
+        import pyarrow as pa
+
+        got = quality.Scorer(model).scores(pa.array([*texts, *texts]))
+        for score, text in zip(got, [*texts, *texts]):
+            ids, share = quality.document(text)
+            assert score == pytest.approx(1 / (1 + np.exp(-(model["bias"] + share @ model["word"][ids]))))
+
+
+def test_quality_of_long_and_repeated_rows(spark):
+    rows = [(1, " ".join(f"w{i}" for i in range(200_000))), (1, "a b"), (1, "a b"), (2, "a b")]
+    got = quality.classify(spark.createDataFrame(rows, SCHEMA), spark.createDataFrame([(2, 1), (1, 0)], "doc_id bigint, quality int")).collect()
+    assert len(got) == 4 and len({r["score"] for r in got}) <= 2
+
+
 # WARC
 
 
