@@ -188,6 +188,7 @@ def _event_features(df: DataFrame) -> DataFrame:
         "event_type",
         F.col("event_type").isin("error", "purchase").cast("int").alias("y"),
         (F.col("value") > 50).cast("int").alias("yhat"),
+        "props",
     )
 
 

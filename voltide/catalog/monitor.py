@@ -12,6 +12,7 @@ from voltide.operators import drift as D
 from voltide.operators import joins as J
 from voltide.operators import metrics as M
 from voltide.operators import reports as R
+from voltide.operators import text_drift as TD
 
 LATEST = "SELECT metric_name, max(ts) AS ts, arg_max(metric_value, (ts, id)) AS metric_value FROM metrics GROUP BY 1"
 
@@ -144,16 +145,49 @@ def target_drift(spark, d):
     return r6(D.target_drift(*drift_sides(spark, d), target="y", prediction="yhat"))
 
 
-COLUMNS = """SELECT "column", 'wasserstein' AS test, distance AS score, distance >= 0.1 AS drifted FROM wass UNION ALL SELECT "column", 'jensen_shannon', js_distance, js_distance >= 0.1 FROM cat_stats"""
+def text_drift_ctes(p: str, src: str) -> None:
+    """CTEs <p>_rows and <p> over (key, text, is_current) rows."""
+    cte(
+        f"{p}_rows",
+        f"""SELECT *, CAST('0x' || substr(id, 1, 8) AS BIGINT) % 5 = 0 AS held_out, row_number() OVER () AS rid FROM (
+          SELECT md5(coalesce(CAST(key AS VARCHAR), text, '')) AS id, md5(coalesce(text, '')) AS t, is_current, list_distinct(regexp_extract_all(lower(coalesce(text, '')), '[\\p{{L}}\\p{{N}}_]+')) AS ws FROM ({src}))""",
+    )
+    cte(f"{p}_n", f"SELECT CAST(count(*) FILTER (is_current = 0) AS DOUBLE) AS n0, CAST(count(*) FILTER (is_current = 1) AS DOUBLE) AS n1 FROM {p}_rows WHERE NOT held_out", f"{p}_rows")
+    cte(
+        f"{p}_weights",
+        f"""SELECT term, ln((c + 1.0) / (n1 + 2)) - ln((r + 1.0) / (n0 + 2)) AS w FROM (
+          SELECT term, CAST(count(*) FILTER (is_current = 0) AS DOUBLE) AS r, CAST(count(*) FILTER (is_current = 1) AS DOUBLE) AS c FROM (SELECT unnest(ws) AS term, is_current FROM {p}_rows WHERE NOT held_out) GROUP BY term ORDER BY count(*) DESC, term LIMIT 16384), {p}_n""",
+        f"{p}_n",
+    )
+    cte(
+        f"{p}_scores",
+        f"""SELECT is_current AS y, round(coalesce(w, 0), 9) AS p FROM {p}_rows LEFT JOIN (SELECT rid, sum(w) AS w FROM (SELECT rid, unnest(ws) AS term FROM {p}_rows WHERE held_out) JOIN {p}_weights USING (term) GROUP BY rid) USING (rid) WHERE held_out""",
+        f"{p}_weights",
+    )
+    cte(f"{p}_draws", f"SELECT is_current AS y, draw, md5(CAST(draw AS VARCHAR) || '|' || id || '|' || t || '|' || CAST(is_current AS VARCHAR)) AS p FROM {p}_rows, range(1, 1001) AS d(draw) WHERE held_out AND (SELECT count(*) FROM {p}_rows) < 1000", f"{p}_rows")
+    cte(
+        p,
+        f"""SELECT (SELECT count(*) FROM {p}_rows WHERE NOT held_out) AS n_train, (SELECT count(*) FROM {p}_rows WHERE held_out) AS n_test, (SELECT auc FROM ({_auc_sql('', f'{p}_scores')})) AS auc,
+          coalesce((SELECT quantile_cont(auc, 0.95) FROM ({_auc_sql('draw', f'{p}_draws')})), 0.55) AS threshold""",
+        f"{p}_scores",
+        f"{p}_draws",
+    )
+
+
+text_drift_ctes("td_docs", "SELECT doc_id AS key, text, CAST(lang <> 'en' AS INTEGER) AS is_current FROM documents")
+text_drift_ctes("td_same", "SELECT CAST(NULL AS VARCHAR) AS key, text, CAST(substr(source, -1) IN ('1', '3', '5', '7', '9') AS INTEGER) AS is_current FROM documents")
+text_drift_ctes("td_props", "SELECT event_id AS key, props AS text, CAST(ts >= TIMESTAMP '2024-01-21' AS INTEGER) AS is_current FROM events")
+
+COLUMNS = """SELECT "column", 'wasserstein' AS test, distance AS score, distance >= 0.1 AS drifted FROM wass UNION ALL SELECT "column", 'jensen_shannon', js_distance, js_distance >= 0.1 FROM cat_stats UNION ALL SELECT 'props', 'text_auc', auc, auc > threshold FROM td_props"""
 
 
-@query(f'SELECT "column", test, round(score, 6) AS score, drifted FROM ({COLUMNS})', "wass", "cat_stats")
+@query(f'SELECT "column", test, round(score, 6) AS score, drifted FROM ({COLUMNS})', "wass", "cat_stats", "td_props")
 def column_drift(spark, d):
     return r6(_columns(spark, d))
 
 
 def _columns(spark, d):
-    return D.column_drift(*drift_sides(spark, d), numeric=["value", "k"], categorical=["event_type", "y", "yhat"])
+    return D.column_drift(*drift_sides(spark, d), numeric=["value", "k"], categorical=["event_type", "y", "yhat"], text=["props"], key="event_id")
 
 
 @query()
@@ -166,6 +200,7 @@ def column_drift_small(spark, d):
     f"SELECT count(*) AS n_columns, count(*) FILTER (drifted) AS n_drifted, round(avg(CAST(drifted AS DOUBLE)), 6) AS drift_share, avg(CAST(drifted AS DOUBLE)) >= 0.5 AS data_drift_detected FROM ({COLUMNS})",
     "wass",
     "cat_stats",
+    "td_props",
 )
 def dataset_drift(spark, d):
     return r6(D.dataset_drift(_columns(spark, d)))
@@ -235,7 +270,7 @@ METRIC_SQL = f"""SELECT 'reference_samples' AS metric_name, CAST(count(*) AS DOU
   SELECT 'p_quantile_0.05', quantile_cont(p, 0.05) FROM {CURRENT} UNION ALL SELECT 'p_quantile_0.95', quantile_cont(p, 0.95) FROM {CURRENT}"""
 
 
-@query(f"SELECT metric_name, round(metric_value, 6) AS metric_value FROM ({METRIC_SQL})", "preds", "wass", "cat_stats")
+@query(f"SELECT metric_name, round(metric_value, 6) AS metric_value FROM ({METRIC_SQL})", "preds", "wass", "cat_stats", "td_props")
 def monitoring_metrics(spark, d):
     return r6(_run_metrics(spark, d))
 
@@ -372,21 +407,24 @@ def _text_sides(spark, d):
     return docs.where("lang = 'en'"), docs.where("lang <> 'en'")
 
 
-@query(
-    """SELECT is_current, held_out, count(*) AS n FROM (SELECT CAST(lang <> 'en' AS INTEGER) AS is_current, (doc_id * 48271) % 2147483647 % 5 = 0 AS held_out FROM documents) GROUP BY ALL"""
-)
+@query("SELECT is_current, held_out, count(*) AS n FROM td_docs_rows GROUP BY ALL", "td_docs_rows")
 def text_drift_split(spark, d):
     """How the rows of both sides are dealt to training and test."""
     reference, current = _text_sides(spark, d)
-    rows = D.text_drift_rows(reference, current, text="text", key="doc_id")
+    rows = TD.text_drift_rows(reference, current, text="text", key="doc_id")
     return rows.groupBy("is_current", "held_out").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(
-    """SELECT 'text' AS "column", count(*) FILTER (NOT held_out) AS n_train, count(*) FILTER (held_out) AS n_test, true AS drifted
-    FROM (SELECT (doc_id * 48271) % 2147483647 % 5 = 0 AS held_out FROM documents)"""
-)
+@query("""SELECT 'text' AS "column", n_train, n_test, round(auc, 6) AS auc, round(threshold, 6) AS threshold, auc > threshold AS drifted FROM td_docs""", "td_docs")
 def text_drift(spark, d):
-    """English against other languages: a classifier must tell them apart."""
+    """English against other languages: the words must tell them apart."""
     reference, current = _text_sides(spark, d)
-    return D.text_drift(reference, current, text="text", key="doc_id").drop("auc")
+    return r6(TD.text_drift(reference, current, text="text", key="doc_id"))
+
+
+@query("""SELECT 'text' AS "column", n_train, n_test, round(auc, 6) AS auc, round(threshold, 6) AS threshold, auc > threshold AS drifted FROM td_same""", "td_same")
+def text_drift_none(spark, d):
+    """Documents of even against documents of odd sources: nothing to tell apart."""
+    docs = table(spark, d, "documents", "text", "source")
+    odd = F.substring("source", -1, 1).isin(*"13579")
+    return r6(TD.text_drift(docs.where(~odd), docs.where(odd), text="text"))

@@ -160,10 +160,13 @@ def target_drift(reference: DataFrame, current: DataFrame, *, target: str, predi
     return categorical_drift(reference, current, cols=cols, threshold=threshold)
 
 
-def column_drift(reference: DataFrame, current: DataFrame, *, numeric: Sequence[str] = (), categorical: Sequence[str] = (), small: bool = False, **thresholds) -> DataFrame:
+def column_drift(
+    reference: DataFrame, current: DataFrame, *, numeric: Sequence[str] = (), categorical: Sequence[str] = (), text: Sequence[str] = (), key: str | None = None, small: bool = False, **thresholds
+) -> DataFrame:
     """One row per column in a common form: (column, test, score, drifted).
 
-    ``small`` picks the small-sample tests (KS and chi-square p-values) in place of the distances.
+    ``small`` picks the small-sample tests (KS and chi-square p-values) in place of the distances. Text columns
+    are tested by a classifier of their words; ``key`` names the rows' key, if they have one.
     """
     parts = []
     if numeric and small:
@@ -179,6 +182,12 @@ def column_drift(reference: DataFrame, current: DataFrame, *, numeric: Sequence[
     elif categorical:
         c = categorical_drift(reference, current, cols=categorical, **thresholds)
         parts.append(c.select("column", F.lit("jensen_shannon").alias("test"), F.col("js_distance").alias("score"), "drifted"))
+    if text:
+        from voltide.operators.text_drift import text_drift
+
+        for c in text:
+            found = text_drift(reference, current, text=c, key=key)
+            parts.append(found.select("column", F.lit("text_auc").alias("test"), F.col("auc").alias("score"), "drifted"))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
@@ -282,34 +291,3 @@ def period_drift(reference: DataFrame, current: DataFrame, *, col: str, order: S
     )
     scored = stats.withColumn("p_value", ks_p_value(F.col("ks"), F.col("_ref"), F.col("n_rows")))
     return scored.withColumn("drifted", F.col("p_value") < threshold).drop("_ref")
-
-
-def text_drift(reference: DataFrame, current: DataFrame, *, text: str, key: str, threshold: float = 0.55, max_rows: int = 20_000, buckets: int = 1 << 14) -> DataFrame:
-    """Drift of a text column: how well a linear classifier tells the current texts from the reference ones.
-
-    A fifth of the rows, chosen by a hash of the key, is held out; the exact AUC on it is the score, and
-    ``threshold`` or more is drift. The classifier learns from at most ``max_rows`` of the other rows.
-    """
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import HashingTF
-    from pyspark.ml.functions import vector_to_array
-
-    from voltide.functions.text import tokenize
-    from voltide.operators.metrics import roc_auc
-
-    rows = text_drift_rows(reference, current, text=text, key=key)
-    vectors = HashingTF(inputCol="_words", outputCol="features", numFeatures=buckets, binary=True)
-    counted = vectors.transform(rows.withColumn("_words", F.coalesce(tokenize(text), F.array().cast("array<string>"))))
-    train = counted.where(~F.col("held_out")).orderBy(F.xxhash64(key), key, "is_current").limit(max_rows)
-    sizes = rows.groupBy().agg(F.count_if("held_out").alias("n_test"), F.count_if(~F.col("held_out")).alias("n_train"))
-    model = LogisticRegression(labelCol="is_current", maxIter=30, regParam=0.01).fit(train.select("features", "is_current"))
-    scored = model.transform(counted.where("held_out")).select("is_current", vector_to_array("probability")[1].alias("p"))
-    auc = roc_auc(scored, y="is_current", score="p").scalar()
-    return sizes.select(F.lit(text).alias("column"), F.least("n_train", F.lit(max_rows)).alias("n_train"), "n_test", auc.alias("auc")).withColumn("drifted", F.col("auc") >= threshold)
-
-
-def text_drift_rows(reference: DataFrame, current: DataFrame, *, text: str, key: str) -> DataFrame:
-    """Both sides with their label and whether a row is held out."""
-    side = lambda df, label: df.select(key, text, F.lit(label).alias("is_current"))
-    both = side(reference, 0).unionByName(side(current, 1))
-    return both.withColumn("held_out", F.pmod(F.col(key) * 48271, F.lit(2147483647)) % 5 == 0)

@@ -56,17 +56,19 @@ def confusion_matrix(df: DataFrame, *, y: str = "y", yhat: str = "yhat", by: Seq
     return counts.select(*by, F.inline(F.array(*cells)))
 
 
-def roc_auc(df: DataFrame, *, y: str = "y", score: str = "p", by: Sequence[str] = (), single_class: float | None = None) -> DataFrame:
+def roc_auc(df: DataFrame, *, y: str = "y", score: str = "p", by: Sequence[str] = (), single_class: float | None = None, copies: str | None = None) -> DataFrame:
     """Exact, tie-aware area under the ROC curve (Mann-Whitney).
 
     Rows first collapse to one per distinct score (map-side), so a hot score costs one row. The
     distinct scores are range-partitioned, each chunk is reduced to (positives, negatives, wins
     inside the chunk), and one row per chunk is stitched. One branch, so it stays lazy.
-    ``single_class`` is the value for a group with one class only (null by default).
+    ``single_class`` is the value for a group with one class only (null by default); ``copies`` names a
+    column that says how many rows a row stands for.
     """
     by = list(by)
     known = df.where(F.col(score).isNotNull() & F.col(y).isNotNull())
-    counts = known.groupBy(*by, score).agg(F.sum(_flag(F.col(y) == 1)).alias("pos"), F.sum(_flag(F.col(y) != 1)).alias("neg"))
+    n = F.lit(1) if copies is None else F.col(copies)
+    counts = known.groupBy(*by, score).agg(F.sum(_flag(F.col(y) == 1) * n).alias("pos"), F.sum(_flag(F.col(y) != 1) * n).alias("neg"))
     chunked = partition_ranges(counts, [*by, score])
     below = F.sum("neg").over(Window.partitionBy(*by, CHUNK).orderBy(score).rowsBetween(Window.unboundedPreceding, -1))
     ranked = chunked.withColumn("_below", F.coalesce(below, F.lit(0)))

@@ -28,6 +28,8 @@ def monitoring_job(
     *,
     numeric: Sequence[str],
     categorical: Sequence[str],
+    text: Sequence[str] = (),
+    key: str | None = None,
     y: str,
     yhat: str,
     score: str,
@@ -42,7 +44,7 @@ def monitoring_job(
     """The run summary. The metrics of the run (a dozen rows) are computed once and reused; with ``run`` a
     repeated job replaces its rows in the metrics table."""
     window = last_n_dates(current, date=date, n=days)
-    columns = column_drift(reference, window, numeric=numeric, categorical=categorical)
+    columns = column_drift(reference, window, numeric=numeric, categorical=categorical, text=text, key=key)
     found = checkpointed(monitoring_metrics(reference, window, predictions, columns, y=y, yhat=yhat, score=score))
     metrics_append(found, metrics_path, ts=asof, model_version=model_version, run=run)
     alerts = check_alerts(found, rule_table(found.sparkSession, rules))
