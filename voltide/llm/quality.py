@@ -14,6 +14,7 @@ Repeated rows get equal scores; ids that are null are held out. Other columns ar
 
 from __future__ import annotations
 
+import itertools
 import operator
 import re
 import zlib
@@ -22,7 +23,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,8 +32,11 @@ BUCKETS, DIM, NGRAMS = 1 << 16, 12, (2, 3, 4)
 #: The row after the hashed ones belongs to word pairs of equal words; it counts as often as a word has n-grams.
 SAME, SAME_COUNT = BUCKETS, 16
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-#: Words of a task's table before it starts afresh.
-MEMO = 400_000
+#: Words of a task's table before it starts afresh, bytes of text in a slice, and characters of new words in one
+#: numpy step: only the memory of a task.
+MEMO = 200_000
+SLICE = 1 << 20
+RUN = 1 << 18
 
 
 def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -118,37 +121,74 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, *, label: str, max_rows:
     return sorted(rows.collect(), key=lambda r: r["doc_id"])
 
 
+class Scorer:
+    """Scores of texts, with the sum of the feature values of each distinct word kept for the task."""
+
+    def __init__(self, model: dict):
+        self.value, self.bias = model["word"], model["bias"]
+        self._clear()
+
+    def _clear(self) -> None:
+        self.index: dict[str, int] = {}
+        self.total, self.count = np.zeros(0), np.zeros(0, np.int64)
+
+    def _learn(self) -> None:
+        """Sums of the words that are new in the table, in runs of bounded length."""
+        fresh = list(itertools.islice(self.index, len(self.total), None))
+        ends = np.cumsum(np.fromiter(map(len, fresh), np.int64, len(fresh)))
+        totals, counts, k = [self.total], [self.count], 0
+        while k < len(fresh):
+            before = ends[k - 1] if k else 0
+            stop = max(k + 1, int(np.searchsorted(ends, before + RUN, side="right")))
+            rows, n = features(fresh[k:stop])
+            starts = np.concatenate([[0], np.cumsum(n)])
+            sums = np.concatenate([[0.0], np.cumsum(self.value[rows])])
+            totals.append(sums[starts[1:]] - sums[starts[:-1]])
+            counts.append(n)
+            k = stop
+        self.total, self.count = np.concatenate(totals), np.concatenate(counts)
+
+    def scores(self, texts: pa.Array) -> np.ndarray:
+        """The scores of all texts, read in runs of words; a run may end inside a text."""
+        sums, counts = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
+        words: list[str] = []
+        owners: list[tuple[int, int]] = []  # (text, words of it in this run)
+        carry = (-1, "")  # the text and the word that the run before ended with
+
+        def flush():
+            if len(self.index) > MEMO:
+                self._clear()
+            before = self.index.setdefault(carry[1], len(self.index)) if carry[0] == owners[0][0] else -1
+            ids = np.fromiter((self.index.setdefault(w, len(self.index)) for w in words), np.int64, len(words))
+            self._learn()
+            doc = np.repeat([d for d, _ in owners], [n for _, n in owners])
+            same = np.zeros(len(ids), bool)
+            same[1:] = (ids[1:] == ids[:-1]) & (doc[1:] == doc[:-1])
+            same[0] = ids[0] == before
+            repeats = SAME_COUNT * np.bincount(doc[same], minlength=len(texts))
+            return sums + np.bincount(doc, self.total[ids], len(texts)) + repeats * self.value[SAME], counts + np.bincount(doc, self.count[ids], len(texts)).astype(np.int64) + repeats
+
+        for d, text in enumerate(texts):
+            found = WORD.finditer(text.as_py() or "")
+            while some := [m[0] for m in itertools.islice(found, RUN // 8)]:
+                words += some
+                owners.append((d, len(some)))
+                if len(words) >= RUN // 8:
+                    sums, counts = flush()
+                    carry, words, owners = (d, words[-1]), [], []
+        if words:
+            sums, counts = flush()
+        return 1 / (1 + np.exp(-np.clip(self.bias + sums / np.maximum(counts, 1), -30, 30)))
+
+
 def scorer(model: dict):
     """A function for mapInArrow that replaces the text by its score."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        value, bias = model["word"], model["bias"]
-        index: dict[str, int] = {}
-        total, count = np.zeros(0), np.zeros(0, np.int64)
-        for batch in slices(batches):
-            if len(index) > MEMO:
-                index, total, count = {}, np.zeros(0), np.zeros(0, np.int64)
-            ids, ends = [], []
-            for text in batch.column("text"):
-                ids += [index.setdefault(w, len(index)) for w in WORD.findall(text.as_py() or "")]
-                ends.append(len(ids))
-            if fresh := list(index)[len(total) :]:
-                rows, n = features(fresh)
-                starts = np.concatenate([[0], np.cumsum(n)])
-                sums = np.concatenate([[0.0], np.cumsum(value[rows])])
-                total, count = np.append(total, sums[starts[1:]] - sums[starts[:-1]]), np.append(count, n)
-            ids, ends = np.asarray(ids, np.int64), np.asarray(ends, np.int64)
-            starts = np.concatenate([[0], ends[:-1]])
-            first = np.zeros(len(ids) + 1, bool)
-            first[starts] = True
-            same = np.zeros(len(ids), np.int64)
-            same[1:] = (ids[1:] == ids[:-1]) & ~first[1 : len(ids)]
-            before = lambda x: (c := np.concatenate([[0], np.cumsum(x)]))[ends] - c[starts]
-            repeats = SAME_COUNT * before(same)
-            score = (before(total[ids]) + repeats * value[SAME]) / np.maximum(before(count[ids]) + repeats, 1)
-            score = 1 / (1 + np.exp(-np.clip(bias + score, -30, 30)))
+        table_ = Scorer(model)
+        for batch in slices(batches, limit=SLICE):
             i = batch.schema.get_field_index("text")
-            yield batch.set_column(i, pa.field("score", pa.float64()), pa.array(score, pa.float64()))
+            yield batch.set_column(i, pa.field("score", pa.float64()), pa.array(table_.scores(batch.column("text"))))
 
     return run
 
@@ -168,10 +208,9 @@ def keep_good(docs: DataFrame, labels: DataFrame, *, label: str = "quality", max
     model = train([r["text"] for r in sample], [r["_y"] for r in sample])
 
     def run(batches):
-        score = scorer(model)
-        for batch in slices(batches):
-            for scored in score(iter([batch.select(["text"])])):
-                yield batch.filter(pc.greater_equal(scored.column("score"), threshold))
+        table_ = Scorer(model)
+        for batch in slices(batches, limit=SLICE):
+            yield batch.filter(pa.array(table_.scores(batch.column("text")) >= threshold))
 
     return docs.mapInArrow(run, docs.schema)
 
