@@ -43,11 +43,12 @@ def test_empty_days(spark):
     assert (got[1].prediction_mean_proba, got[1].prediction_max_class, got[1].error) == (0.5, 0, "No headlines provided")
 
 
-def test_arrays_are_bounded(spark):
+def test_one_array_for_each_request(spark):
     df = spark.range(25).select(F.lit("r").alias("g"), F.col("id").alias("pos"), (F.col("id") / 25).alias("p"))
-    got = V.individual_arrays(df, group="g", pos="pos", batch=10).orderBy("batch").collect()
-    assert [len(r.individual_predictions) for r in got] == [10, 10, 5]
-    assert got[1].individual_probabilities[0] == 0.4
+    (got,) = V.individual_arrays(df, group="g", pos="pos").collect()
+    assert len(got.individual_predictions) == 25 and got.individual_probabilities[10] == 0.4
+    flat = sorted(tuple(r) for r in V.individual_rows(df, group="g", pos="pos").collect())
+    assert [r[2] for r in flat] == list(got.individual_predictions) and [r[3] for r in flat] == list(got.individual_probabilities)
 
 
 def brute_auc(pairs):

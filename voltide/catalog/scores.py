@@ -158,13 +158,18 @@ def _requests(spark, d):
 
 
 @query(
-    f"""SELECT conv_id, CAST(turn // 10000 AS BIGINT) AS batch, list(CAST(p >= {HALF} AS INTEGER) ORDER BY turn, p) AS individual_predictions,
-      list(round(p, 4) ORDER BY turn, p) AS individual_probabilities FROM ({REQ}) GROUP BY 1, 2"""
+    f"""SELECT conv_id, list(CAST(p >= {HALF} AS INTEGER) ORDER BY turn, p) AS individual_predictions,
+      list(round(p, 4) ORDER BY turn, p) AS individual_probabilities FROM ({REQ}) GROUP BY 1"""
 )
 def individual_arrays(spark, d):
     return V.individual_arrays(_requests(spark, d), group="conv_id", pos="turn")
 
 
+@query(f"SELECT conv_id, turn, CAST(p >= {HALF} AS INTEGER) AS prediction, round(p, 4) AS probability FROM ({REQ})")
+def individual_rows(spark, d):
+    return V.individual_rows(_requests(spark, d), group="conv_id", pos="turn")
+
+
 @query("SELECT conv_id, list_filter([" + ", ".join(SLOTS) + "], lambda x: regexp_matches(x, '\\S')) AS headlines FROM wide", "wide")
 def collect_day_headlines(spark, d):
     return V.collect_day_headlines(wide(spark, d), ids=["conv_id"], slots=SLOTS)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import math
 import random
 from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -20,6 +21,7 @@ from pyspark.ml.feature import (
     SQLTransformer,
     StopWordsRemover,
     VectorAssembler,
+    VectorSlicer,
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
@@ -62,26 +64,40 @@ def term_stages(max_ngram: int) -> list:
     ]
 
 
-def fit_text(df: DataFrame, *, text: str, max_features: int, max_ngram: int, stopwords: Sequence[str] | None = None, keep: Sequence[str] = ()) -> tuple[PipelineModel, PipelineModel, DataFrame]:
-    """Counts, then tf * (idf + 1) and unit length, as Spark ML stages.
+class TextCounts:
+    """Term counts of the training rows over the ``max_features`` most frequent terms, with their IDF weights.
 
-    The vocabulary is the engine's own (pairs of rare words never cross the network, ties are
-    settled); its ``max_features`` terms become the model. Spark's IDF lacks the + 1, so its fitted
-    weights are raised by one in an element-wise product.
-
-    Returns (the whole model, its weighing part, the term counts with the ``keep`` columns). The
-    counts are persisted, so that later passes do not tokenise again; the caller lets them go.
+    The vocabulary is the engine's own (pairs of rare words never cross the network, ties are settled) and
+    ordered by frequency: its first k terms are the vocabulary of a smaller model, so candidates with fewer terms read
+    slices of these counts and no text. The counts are persisted with the ``keep`` columns; the caller lets them go.
     """
-    wording = word_stages(text=text, stopwords=stopwords)
-    words = PipelineModel(stages=wording).transform(df.select(text)).select("words")
-    terms = [r["term"] for r in vocabulary(words, sizes=(1, max_ngram), joiner=" ", max_features=max_features).collect()]
-    counter = CountVectorizerModel.from_vocabulary(terms or [""], inputCol="_terms", outputCol="_counts")
-    counting = PipelineModel(stages=[*wording, *term_stages(max_ngram), counter])
-    counted = prepared(counting.transform(df).select("_counts", *keep))
-    idf = IDF(inputCol="_counts", outputCol="_idf").fit(counted).idf.toArray() + 1.0
-    weighing = ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="_counts", outputCol="_weighted")
-    tail = [weighing, Normalizer(p=2.0, inputCol="_weighted", outputCol="_text")]
-    return PipelineModel(stages=[*counting.stages, *tail]), PipelineModel(stages=tail), counted
+
+    def __init__(self, df: DataFrame, *, text: str, max_features: int, max_ngram: int, stopwords: Sequence[str] | None = None, keep: Sequence[str] = ()):
+        wording = word_stages(text=text, stopwords=stopwords)
+        words = PipelineModel(stages=wording).transform(df.select(text)).select("words")
+        self.terms = [r["term"] for r in vocabulary(words, sizes=(1, max_ngram), joiner=" ", max_features=max_features).collect()] or [""]
+        self.stages = [*wording, *term_stages(max_ngram)]
+        self.counts = prepared(self.counted(df, keep))
+        # Spark's IDF lacks the + 1 of the weights
+        self.weights = IDF(inputCol="_counts", outputCol="_idf").fit(self.counts).idf.toArray() + 1.0
+
+    def counted(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:
+        """The counts of other rows over the same terms."""
+        counter = CountVectorizerModel.from_vocabulary(self.terms, inputCol="_terms", outputCol="_counts")
+        return PipelineModel(stages=[*self.stages, counter]).transform(df).select("_counts", *keep)
+
+    def weighing(self, k: int | None = None) -> PipelineModel:
+        """Counts to tf * (idf + 1) of unit length, over the first ``k`` terms."""
+        k = min(k or len(self.terms), len(self.terms))
+        cut = VectorSlicer(inputCol="_counts", outputCol="_first", indices=list(range(k)))
+        weigh = ElementwiseProduct(scalingVec=Vectors.dense(self.weights[:k]), inputCol="_first", outputCol="_weighted")
+        return PipelineModel(stages=[cut, weigh, Normalizer(p=2.0, inputCol="_weighted", outputCol="_text")])
+
+    def vectors(self) -> PipelineModel:
+        """From text to unit vectors, as it is saved with a model."""
+        counter = CountVectorizerModel.from_vocabulary(self.terms, inputCol="_terms", outputCol="_counts")
+        weigh = ElementwiseProduct(scalingVec=Vectors.dense(self.weights), inputCol="_counts", outputCol="_weighted")
+        return PipelineModel(stages=[*self.stages, counter, weigh, Normalizer(p=2.0, inputCol="_weighted", outputCol="_text")])
 
 
 def assembler(numeric: Sequence[str]) -> VectorAssembler:
@@ -112,7 +128,17 @@ def train_boosted_trees(
     shared_dir(df.sparkSession)  # boosting checkpoints its residuals there every ten trees
     p = {**DEFAULTS, **params}
     kept = [label, *numeric, *([weight] if weight else [])]
-    vectors, weighing, counted = fit_text(fill_numeric(df, numeric), text=text, max_features=int(p["max_features"]), max_ngram=int(p["max_ngram"]), stopwords=stopwords, keep=kept)
+    texts = TextCounts(fill_numeric(df, numeric), text=text, max_features=int(p["max_features"]), max_ngram=int(p["max_ngram"]), stopwords=stopwords, keep=kept)
+    matrix = assembler(numeric)
+    try:
+        rows = matrix.transform(texts.weighing().transform(texts.counts)).select("features", label, *([weight] if weight else []))
+        fitted = tree_learner(p, label=label, weight=weight, seed=seed).fit(rows)
+    finally:
+        texts.counts.unpersist()
+    return PipelineModel(stages=[*texts.vectors().stages, matrix, fitted])
+
+
+def tree_learner(p: dict, *, label: str, weight: str | None = None, seed: int = 42) -> GBTClassifier:
     trees = GBTClassifier(
         featuresCol="features",
         labelCol=label,
@@ -125,22 +151,15 @@ def train_boosted_trees(
         seed=seed,
         maxMemoryInMB=512,
     )
-    if weight:
-        trees = trees.setWeightCol(weight)
-    matrix = assembler(numeric)
-    try:
-        fitted = trees.fit(matrix.transform(weighing.transform(counted)).select("features", label, *([weight] if weight else [])))
-    finally:
-        counted.unpersist()
-    return PipelineModel(stages=[*vectors.stages, matrix, fitted])
+    return trees.setWeightCol(weight) if weight else trees
 
 
 def assemble_features(df: DataFrame, *, text: str, numeric: Sequence[str] = (), max_features: int = 1000, max_ngram: int = 2, stopwords: Sequence[str] | None = None) -> DataFrame:
     """The feature vector (text weights, then the numeric columns) as column ``features``."""
     rows = fill_numeric(df, numeric)
-    vectors, _, counted = fit_text(rows, text=text, max_features=max_features, max_ngram=max_ngram, stopwords=stopwords)
-    counted.unpersist()
-    built = PipelineModel(stages=[*vectors.stages, assembler(numeric)]).transform(rows)
+    texts = TextCounts(rows, text=text, max_features=max_features, max_ngram=max_ngram, stopwords=stopwords)
+    texts.counts.unpersist()
+    built = PipelineModel(stages=[*texts.vectors().stages, assembler(numeric)]).transform(rows)
     return built.select(*rows.columns, "features")
 
 
@@ -187,47 +206,98 @@ def grid_candidates(**lists: Sequence) -> list[dict]:
     return [dict(zip(lists, values)) for values in itertools.product(*lists.values())]
 
 
-def evaluate_candidate(train: DataFrame, val: DataFrame, params: dict, *, text: str, label: str, day: str, order: str, numeric: Sequence[str], stopwords: Sequence[str] | None = None) -> tuple[PipelineModel, DataFrame]:
-    """Fit one candidate; its trial rows (metric, value) hold headline and daily scores and the
-    objective, the AUC of the daily mean probability."""
-    model = train_boosted_trees(train, text=text, label=label, numeric=numeric, stopwords=stopwords, **params)
-    scored = probability(fill_numeric(val, numeric), model).withColumn("_yhat", class_threshold("p"))
-    rows = scored.select(day, label, order, "p", "_yhat")
+def trial_metrics(scored: DataFrame, *, label: str, day: str, order: str) -> DataFrame:
+    """(metric, value) of scored validation rows: headline and daily scores."""
+    rows = scored.withColumn("_yhat", class_threshold("p")).select(day, label, order, "p", "_yhat")
     daily = daily_vote(rows, day=day, pred="_yhat", label=label, order=order)
     headline = headline_metrics(rows, y=label, yhat="_yhat").select(F.concat(F.lit("headline_"), "metric").alias("metric"), "value")
     per_method = vote_method_metrics(daily).unpivot(["method"], ["accuracy", "f1", "auc"], "metric", "value")
     days = per_method.select(F.concat_ws("_", F.lit("daily"), "method", "metric").alias("metric"), "value")
-    return model, headline.unionByName(days).where(F.col("value").isNotNull())
-
-
-def search_hyperparameters(train: DataFrame, val: DataFrame, candidates: Iterable[dict], *, text: str, label: str, day: str, order: str, numeric: Sequence[str] = (), stopwords: Sequence[str] | None = None, parallel: int = 2) -> tuple[dict, DataFrame]:
+    return headline.unionByName(days).where(F.col("value").isNotNull())
+
+
+class SharedTexts:
+    """Training and validation rows of a search as term counts, tokenised once for each n-gram range of the candidates."""
+
+    def __init__(self, train: DataFrame, val: DataFrame, candidates: Sequence[dict], *, text: str, label: str, day: str, order: str, numeric: Sequence[str], stopwords: Sequence[str] | None):
+        self.label, self.day, self.order, self.numeric = label, day, order, list(numeric)
+        shared_dir(train.sparkSession)
+        most: dict[int, int] = {}
+        for c in candidates:
+            p = {**DEFAULTS, **c}
+            most[int(p["max_ngram"])] = max(most.get(int(p["max_ngram"]), 0), int(p["max_features"]))
+        self.sides = {}
+        for ngram, k in most.items():
+            texts = TextCounts(fill_numeric(train, numeric), text=text, max_features=k, max_ngram=ngram, stopwords=stopwords, keep=[label, *numeric])
+            self.sides[ngram] = (texts, prepared(texts.counted(fill_numeric(val, numeric), [day, label, order, *numeric])))
+
+    def evaluate(self, params: dict) -> DataFrame:
+        """The trial rows of one candidate: its terms are the first of the shared ones."""
+        p = {**DEFAULTS, **params}
+        texts, checked = self.sides[int(p["max_ngram"])]
+        weigh, matrix = texts.weighing(int(p["max_features"])), assembler(self.numeric)
+        model = tree_learner(p, label=self.label).fit(matrix.transform(weigh.transform(texts.counts)).select("features", self.label))
+        scored = model.transform(matrix.transform(weigh.transform(checked))).withColumn("p", vector_to_array("probability")[1])
+        return trial_metrics(scored, label=self.label, day=self.day, order=self.order)
+
+    def release(self) -> None:
+        for texts, checked in self.sides.values():
+            texts.counts.unpersist()
+            checked.unpersist()
+
+
+def search_hyperparameters(
+    train: DataFrame,
+    val: DataFrame,
+    candidates: Iterable[dict],
+    *,
+    text: str,
+    label: str,
+    day: str,
+    order: str,
+    numeric: Sequence[str] = (),
+    stopwords: Sequence[str] | None = None,
+    parallel: int = 2,
+    halvings: int = 0,
+) -> tuple[dict, DataFrame]:
     """Best parameters and the trial log (trial, params, metric, value).
 
-    Candidates run side by side as Spark jobs. A candidate's handful of metrics comes to the driver,
-    as the choice between candidates is made there; a failed candidate scores 0 and its message is logged. Without any that succeeds the search fails.
+    The texts are read once for all candidates: they share one matrix of term counts for each n-gram range and read
+    the slice of their ``max_features``. Candidates run side by side as Spark jobs. With ``halvings`` all of them first
+    get a part of their trees (a half for each halving), and the better half goes on with twice as many; the
+    last round has all trees of those left. The log names the trees of each trial. A candidate's handful of
+    metrics comes to the driver, as the choice between candidates is made there; a failed candidate scores 0 and its
+    message is logged. Without any that succeeds the search fails.
     """
-    spark = train.sparkSession
-    how = dict(text=text, label=label, day=day, order=order, numeric=numeric, stopwords=stopwords)
+    spark, every = train.sparkSession, [{**c} for c in candidates]
+    shared = SharedTexts(train, val, every, text=text, label=label, day=day, order=order, numeric=numeric, stopwords=stopwords)
 
     def attempt(item: tuple[int, dict]) -> list[tuple]:
         trial, params = item
         described = ", ".join(f"{k}={v}" for k, v in sorted(params.items()))
         try:
-            _, metrics = evaluate_candidate(train, val, params, **how)
-            rows = [(r["metric"], r["value"]) for r in metrics.collect()]
+            rows = [(r["metric"], r["value"]) for r in shared.evaluate(params).collect()]
             auc = dict(rows).get("daily_mean_proba_auc", 0.0)
         except Exception as failure:  # noqa: BLE001 - a candidate may fail, the search goes on
             rows, auc = [(f"failed: {type(failure).__name__}: {str(failure)[:200]}", None)], 0.0
         return [(trial, described, m, v) for m, v in [*rows, ("optimization_metric", auc)]]
 
-    numbered = list(enumerate(candidates))
-    with ThreadPoolExecutor(parallel) as pool:
-        log = [row for rows in pool.map(attempt, numbered) for row in rows]
-    if numbered and all(m.startswith("failed: ") or m == "optimization_metric" for _, _, m, _ in log):
-        raise RuntimeError("no candidate succeeded: " + next(m for _, _, m, _ in log))
-    objective = {t: v for t, _, m, v in log if m == "optimization_metric"}
-    best = max(numbered, key=lambda item: (objective[item[0]], -item[0]))[1]
-    return best, spark.createDataFrame(log, "trial bigint, params string, metric string, value double")
+    log, left = [], list(enumerate(every))
+    try:
+        for lap in range(halvings, -1, -1):
+            trees = {i: max(1, math.ceil(int({**DEFAULTS, **c}["n_estimators"]) / 2**lap)) for i, c in left}
+            with ThreadPoolExecutor(parallel) as pool:
+                found = [row for rows in pool.map(attempt, [(i, {**c, "n_estimators": trees[i]} if lap else c) for i, c in left]) for row in rows]
+            log += found
+            if found and all(m.startswith("failed: ") or m == "optimization_metric" for _, _, m, _ in found):
+                raise RuntimeError("no candidate succeeded: " + next(m for _, _, m, _ in found))
+            objective = {t: v for t, _, m, v in found if m == "optimization_metric"}
+            left.sort(key=lambda item: (-objective[item[0]], item[0]))
+            if lap:
+                left = sorted(left[: math.ceil(len(left) / 2)])
+    finally:
+        shared.release()
+    return left[0][1], spark.createDataFrame(log, "trial bigint, params string, metric string, value double")
 
 
 def refit_best(train: DataFrame, params: dict, **how) -> PipelineModel:

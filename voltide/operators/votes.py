@@ -91,17 +91,19 @@ def api_vote(df: DataFrame, *, group: str, proba: str = "p", digits: int = 4) ->
     )
 
 
-def individual_arrays(df: DataFrame, *, group: str, proba: str = "p", pos: str, digits: int = 4, batch: int = 10_000) -> DataFrame:
-    """The classes and rounded probabilities of a request in order of position.
+def individual_rows(df: DataFrame, *, group: str, proba: str = "p", pos: str, digits: int = 4) -> DataFrame:
+    """One row per headline of a request: its position, class and rounded probability. No shuffle, for requests of any
+    length."""
+    return df.select(group, pos, class_threshold(proba, inclusive=True).alias("prediction"), F.round(proba, digits).alias("probability"))
 
-    ``pos`` counts the headlines of the request from 0. Requests longer than ``batch`` headlines
-    come as several rows numbered ``batch``, so no array grows without bound.
-    """
+
+def individual_arrays(df: DataFrame, *, group: str, proba: str = "p", pos: str, digits: int = 4) -> DataFrame:
+    """The classes and rounded probabilities of a request in order of position: one row and one array for each request, as
+    the answer to it is one message. Where a group is no message but a day or more, ``individual_rows`` gives the same
+    values without bringing them together."""
     items = F.array_sort(F.collect_list(F.struct(F.col(pos).alias("pos"), F.col(proba).alias("p"))))
-    part = F.floor(F.col(pos) / batch).alias("batch")
-    return df.groupBy(group, part).agg(items.alias("_items")).select(
+    return df.groupBy(group).agg(items.alias("_items")).select(
         group,
-        "batch",
         F.transform("_items", lambda x: class_threshold(x["p"], inclusive=True)).alias("individual_predictions"),
         F.transform("_items", lambda x: F.round(x["p"], digits)).alias("individual_probabilities"),
     )
