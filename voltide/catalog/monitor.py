@@ -281,14 +281,37 @@ def _run_metrics(spark, d):
     return A.monitoring_metrics(reference, current, recent, _columns(spark, d), y="y", yhat="yhat", score="p")
 
 
-@query()
+cte(
+    "flow_rules",
+    "SELECT * FROM (VALUES " + ", ".join(f"('{r}', '{m}', '{o}', CAST({t} AS DOUBLE), '{v}')" for r, m, o, t, _, v in A.FLOW_RULES) + ") AS t(rule, metric, op, threshold, severity)",
+)
+cte("run_metrics", METRIC_SQL, "preds", "wass", "cat_stats", "td_props")
+FLOW_MSG = f"CASE WHEN metric = 'data_drift_detected' THEN 'Dataset drift detected!' WHEN metric = 'drift_share' THEN format('High drift share: {{:.2f}}% > {{:.2f}}%', value * 100, threshold * 100) ELSE {MSG} END"
+cte(
+    "run_alerts",
+    f"SELECT rule, {FLOW_MSG} AS message FROM (SELECT r.*, metric_value AS value FROM run_metrics JOIN flow_rules r ON metric = metric_name) WHERE {RULE_TEST}",
+    "run_metrics",
+    "flow_rules",
+)
+KEY_METRICS = ["data_drift_detected", "drift_share", "accuracy", "f1"]
+
+
+@query(
+    f"""SELECT (SELECT max(ts) FROM events) AS timestamp, 'success' AS status, (SELECT count(*) FROM run_metrics WHERE metric_value IS NOT NULL) AS metrics_count, CAST((SELECT count(*) FROM run_alerts) AS INTEGER) AS alerts_count,
+      {', '.join(f"CAST((SELECT metric_value FROM run_metrics WHERE metric_name = '{m}') AS BIGINT) AS {m}" for m in ('reference_samples', 'current_samples'))}, (SELECT count(DISTINCT date) FROM {CURRENT}) AS prediction_days,
+      {', '.join(f"round((SELECT metric_value FROM run_metrics WHERE metric_name = '{m}'), 6) AS {m}" for m in KEY_METRICS)},
+      (SELECT coalesce(string_agg(rule || ': ' || message, '; ' ORDER BY rule), '') FROM run_alerts) AS alerts""",
+    "run_alerts",
+)
 def run_summary(spark, d):
     from voltide.operators.ordering import checkpointed
 
     found = checkpointed(_run_metrics(spark, d))
     raised = A.check_alerts(found, J.rule_table(spark, A.FLOW_RULES))
     days = preds(spark, d).where(F.col("date") >= F.lit("2024-01-21").cast("date")).agg(F.countDistinct("date")).scalar()
-    return A.run_summary(found, raised, asof=asof(table(spark, d, "events")), prediction_days=days)
+    summary = A.run_summary(found, raised, asof=asof(table(spark, d, "events")), prediction_days=days)
+    texts = F.array_join(F.transform("alerts", lambda a: F.concat(a["rule"], F.lit(": "), a["message"])), "; ")
+    return r6(summary.select(*[c for c in summary.columns if c not in ("key_metrics", "alerts")], *[F.col(f"key_metrics.{m}").alias(m) for m in KEY_METRICS], texts.alias("alerts")))
 
 
 cte("cur", "SELECT value, (row_number() OVER (ORDER BY ts, event_id) - 1) // 500 AS period FROM sides WHERE is_current = 1", "sides")
