@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from voltide.catalog.inputs import RULES, preds
 from voltide.catalog.registry import cte, query, r6, table
 from voltide.catalog.scores import HALF, KEYWORD, _band_sql
+from voltide.catalog.training import _exact_model
 from voltide.operators.joins import rule_table
+from voltide.operators.ordering import scratch_path
+from voltide.operators.registry import Registry
 from voltide.streaming import alerting as A
 from voltide.streaming import jobs as J
+from voltide.streaming.scoring import RegisteredScorer, score_stream, scored
 
 VOTE = f"""SELECT date_trunc('day', ts)::TIMESTAMP AS window_start, (date_trunc('day', ts) + INTERVAL 1 DAY)::TIMESTAMP AS window_end, count(*) AS num_headlines, round(avg(p), 6) AS prediction_mean_proba,
   CAST(avg(p) > {HALF} AS INTEGER) AS prediction_mean_class, CAST(sum(yhat) >= count(*) / 2.0 AS INTEGER) AS prediction_majority_vote,
@@ -99,3 +105,20 @@ def stream_alert_state(spark, d):
     rows = _stream(spark, d, "events").select(F.col("event_id").alias("id"), "ts", F.col("event_type").alias("metric_name"), F.col("value").alias("metric_value"))
     path = A.run_alerts(A.alert_transitions(rows, rule_table(spark, RULES)))
     return spark.read.parquet(path).withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("at", "started")})
+
+
+@query(
+    f"SELECT event_id, round(p, 4) AS prediction_probability, CAST(p >= 0.5 AS INTEGER) AS prediction_class, {_band_sql('>=', '<=')} AS confidence_level, '1' AS model_version FROM ex_p",
+    "ex_p",
+)
+def stream_score_registered(spark, d):
+    """The rows of a stream, scored with the saved model that the registry names for each micro-batch."""
+    model, test = _exact_model(spark, d)
+    registry = Registry(spark, scratch_path(spark, "registry"))
+    at = datetime(2024, 2, 1)
+    registry.move("volatility", registry.register("volatility", model, at=at), "Production", at=at)
+    source = scratch_path(spark, "headlines")
+    test.select("event_id", "Headline", "flag").write.parquet(source)
+    scorer = RegisteredScorer(registry, "volatility", scratch_path(spark, "scored"), text="Headline", numeric=["flag"], keep=["event_id"])
+    score_stream(J.read_stream(spark, source, spark.read.parquet(source).schema), scorer).awaitTermination()
+    return scored(scorer).drop("batch")

@@ -6,11 +6,13 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from voltide.catalog.inputs import STOP_SQL, STOPWORDS, tall, target
-from voltide.catalog.registry import query, table
+from voltide.catalog.inputs import STOP_SQL, STOPWORDS, preds, tall, target
+from voltide.catalog.registry import cte, query, r6, table
+from voltide.catalog.scores import ACC, F1, _auc_sql
 from voltide.catalog.texts import W2
 from voltide.operators import models as ML
 from voltide.operators.ordering import scratch_path
+from voltide.operators.registry import Registry
 
 SMALL = dict(max_features=100, max_ngram=1, max_depth=3, n_estimators=5)
 
@@ -98,6 +100,95 @@ def score_day_checked(spark, d):
     )
 
 
+# One tree of depth one over one flag: its leaves are means of the labels, so the scores have a closed form in SQL.
+EXACT = dict(text="Headline", label="vol_up", numeric=["flag"], stopwords=[])
+STUMP = dict(max_features=5, max_ngram=1, max_depth=1, n_estimators=1)
+cte("ex", "SELECT event_id, date, y AS vol_up, CASE WHEN event_id % 4 <> 0 THEN y ELSE 1 - y END AS flag, ts >= TIMESTAMP '2024-01-21' AS test FROM preds", "preds")
+cte("ex_leaf", "SELECT flag, 1 / (1 + exp(-2 * avg(2.0 * vol_up - 1))) AS p FROM ex WHERE NOT test GROUP BY flag", "ex")
+cte("ex_p", "SELECT event_id, date, vol_up, p, CAST(p > 0.5 AS INTEGER) AS yhat FROM ex JOIN ex_leaf USING (flag) WHERE test", "ex_leaf")
+cte("ex_y", "SELECT vol_up AS y, yhat, p FROM ex_p", "ex_p")
+cte("ex_daily", "SELECT arg_min(vol_up, event_id) AS y, avg(p) AS p FROM ex_p GROUP BY date", "ex_p")
+
+
+def _exact_split(spark, d):
+    flag = F.when(F.col("event_id") % 4 != 0, F.col("y")).otherwise(1 - F.col("y")).cast("double")
+    rows = preds(spark, d).select("event_id", "ts", "date", F.lit("word").alias("Headline"), F.col("y").alias("vol_up"), flag.alias("flag"))
+    cut = F.lit("2024-01-21").cast("timestamp_ntz")
+    return rows.where(F.col("ts") < cut), rows.where(F.col("ts") >= cut)
+
+
+def _exact_model(spark, d):
+    train, test = _exact_split(spark, d)
+    return ML.train_boosted_trees(train, **EXACT, **STUMP), test
+
+
+@query("SELECT event_id, date, vol_up, round(p, 6) AS p FROM ex_p", "ex_p")
+def attach_predictions_exact(spark, d):
+    """Scores of a fitted model on the rows they belong to, by value."""
+    model, test = _exact_model(spark, d)
+    return r6(ML.probability(ML.fill_numeric(test, ["flag"]), model).select("event_id", "date", "vol_up", "p"))
+
+
+def _text_sql() -> str:
+    from voltide.functions.scalars import TEXT_DOWN, TEXT_UP
+
+    up, down = (t.replace("'", "''") for t in (TEXT_UP, TEXT_DOWN))
+    return f"CASE WHEN yhat = 1 THEN '{up}' ELSE '{down}' END"
+
+
+@query(f"SELECT event_id, yhat AS prediction_class, round(p, 6) AS prediction_proba, round(abs(p - 0.5) * 2, 6) AS confidence, {_text_sql()} AS interpretation FROM ex_p", "ex_p")
+def score_headlines_exact(spark, d):
+    model, test = _exact_model(spark, d)
+    return r6(ML.score_headlines(test, model, numeric=["flag"]).select("event_id", "prediction_class", "prediction_proba", "confidence", "interpretation"))
+
+
+@query(
+    """SELECT date, count(*) AS num_headlines, arg_min(vol_up, event_id) AS true_label, round(avg(p), 6) AS prediction_mean_proba, CAST(avg(p) > 0.5 AS INTEGER) AS prediction_mean_class,
+      CAST(sum(yhat) >= count(*) / 2.0 AS INTEGER) AS prediction_majority_vote, round(max(p), 6) AS prediction_max_proba, CAST(max(p) > 0.5 AS INTEGER) AS prediction_max_class, '3' AS model_version FROM ex_p GROUP BY date""",
+    "ex_p",
+)
+def score_day_exact(spark, d):
+    model, test = _exact_model(spark, d)
+    daily, _ = ML.score_days(test, model, day="date", label="vol_up", order="event_id", version="3", asof=F.lit("2024-02-01 00:00:00").cast("timestamp_ntz"), numeric=["flag"])
+    return r6(daily.drop("prediction_timestamp"))
+
+
+@query("SELECT pos, feature, importance FROM (VALUES (0, 'word', CAST(0 AS DOUBLE)), (1, 'flag', CAST(1 AS DOUBLE))) AS t(pos, feature, importance)")
+def feature_importance_exact(spark, d):
+    """A constant word explains nothing, the flag everything."""
+    model, _ = _exact_model(spark, d)
+    return ML.feature_importance(model, spark, numeric=["flag"])
+
+
+@query("SELECT event_id, round(p, 6) AS p, CAST(2 AS BIGINT) AS version FROM ex_p", "ex_p")
+def model_registry_exact(spark, d):
+    """Two writers' versions, promotion of the better one, and scores of the model that the registry then names."""
+    train, test = _exact_split(spark, d)
+    registry, at = Registry(spark, scratch_path(spark, "registry")), datetime(2024, 2, 1)
+    worse = ML.train_boosted_trees(train.withColumn("vol_up", 1 - F.col("vol_up")), **EXACT, **STUMP)
+    for model, auc in ((worse, 0.53), (ML.refit_best(train, STUMP, **EXACT), 0.7)):
+        version = registry.register("volatility", model, at=at, about={"auc": auc})
+        registry.promote_if_better("volatility", version, at=at)
+    loaded, version = registry.load("volatility")
+    return r6(ML.probability(ML.fill_numeric(test, ["flag"]), loaded).select("event_id", "p", F.lit(version).cast("bigint").alias("version")))
+
+
+@query(
+    f"""SELECT CAST(0 AS BIGINT) AS trial, metric, round(value, 6) AS value FROM (
+      SELECT 'headline_accuracy' AS metric, {ACC.replace('preds', 'ex_y')} AS value FROM ex_y UNION ALL SELECT 'headline_f1', {F1.replace('preds', 'ex_y')} FROM ex_y UNION ALL SELECT 'headline_auc', auc FROM ({_auc_sql('', 'ex_y')}) UNION ALL
+      SELECT 'optimization_metric', auc FROM ({_auc_sql('', 'ex_daily')}))""",
+    "ex_y",
+    "ex_daily",
+)
+def trial_log_exact(spark, d):
+    """The trial's headline scores and its objective, the AUC of the daily mean probability."""
+    train, test = _exact_split(spark, d)
+    _, log = ML.search_hyperparameters(train, test, [STUMP], day="date", order="event_id", **EXACT)
+    return r6(log.where("metric like 'headline_%' or metric = 'optimization_metric'").select("trial", "metric", "value"))
+
+
+
+
 @query()
 def train_boosted_trees(spark, d):
     model, _ = _fitted(spark, d)
