@@ -167,3 +167,23 @@ def test_blocks_survive_packing():
 
     got = packed.unpack(packed.pack(a=np.array([1, 2**63], np.uint64), b=np.zeros((0, 3), np.int32), c=[1, "x"]))
     assert got["a"].tolist() == [1, 2**63] and got["b"].shape == (0, 3) and got["c"] == [1, "x"]
+
+
+def test_suffix_dedup_of_planted_passages_around_the_length(spark):
+    """Passages of over 50 words: what has 400 bytes and more in common leaves, what has less stays whole."""
+    rnd = random.Random(11)
+    text = lambda words, n: " ".join("".join(rnd.choice("abcdefghij") for _ in range(n)) for _ in range(words))
+    short, border, long = text(57, 6), text(57, 6) + "z", text(80, 6)
+    assert (len(short), len(border), len(long)) == (398, 399, 559)
+    rows = []
+    for i, passage in enumerate((short, border, long)):
+        # the words around a passage differ, so nothing but the passage is shared
+        rows += [(10 * i + k, f"{text(20, 5)}{'(<['[k]}{passage}{')>]'[k]}{text(20, 5)}") for k in range(3)]
+    rows += [(100, text(200, 5)), (101, f"^{long[:400]}~"), (102, f"#{border}!"), (103, f"%{border}!")]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    got = plain(suffix_dedup.without_repeats(df), 5)
+    assert got == brute.repeated_bytes(rows, 400)
+    removed = {r[0]: r[2] for r in got}
+    assert [removed[i] for i in (0, 1, 2, 10, 11, 12, 100)] == [0] * 7
+    assert [removed[i] for i in (20, 21, 22)] == [559] * 3 and removed[101] == 400
+    assert removed[102] == removed[103] == 400
