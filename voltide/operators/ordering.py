@@ -72,7 +72,7 @@ def chunk_bounds(df: DataFrame, keys: Sequence[str], chunks: int) -> Column:
     that of the smallest hashes: the same rows whenever and wherever it is drawn, so that branches agree
     even if each draws its own.
     """
-    drawn = df.select(*keys).orderBy(F.xxhash64(*keys)).limit(SAMPLE_PER_CHUNK * chunks).agg(F.sort_array(F.collect_list(F.struct(*keys))).alias("k"))
+    drawn = df.select(*keys).orderBy(F.xxhash64(*keys), *keys).limit(SAMPLE_PER_CHUNK * chunks).agg(F.sort_array(F.collect_list(F.struct(*keys))).alias("k"))
     n = F.size("k")
     at = F.transform(F.sequence(F.lit(1), F.lit(chunks - 1)), lambda i: F.floor(n * i / chunks).cast("int"))
     picked = F.when(n > 0, F.array_distinct(F.transform(at, lambda i: F.get("k", i))))

@@ -163,10 +163,11 @@ def category_facts(rows: DataFrame, cols: Sequence[str]) -> DataFrame:
     )
 
 
-def melted(df: DataFrame, section: str, metrics: Sequence[str], column: Column | None = None) -> DataFrame:
-    """(period, section, column, metric, value) rows of the named columns."""
-    named = df.select("period", (F.lit(None).cast("string") if column is None else column).alias("column"), *[F.col(f"`{m}`").cast("double").alias(m) for m in metrics])
-    return named.unpivot(["period", "column"], [F.col(f"`{m}`") for m in metrics], "metric", "value").select("period", F.lit(section).alias("section"), "column", "metric", "value")
+def lines(df: DataFrame, metrics: dict[str, Sequence[str]], column: Column | None = None) -> DataFrame:
+    """(period, section, column, metric, value) rows of the columns named for each section."""
+    pairs = [F.struct(F.lit(section).alias("section"), F.lit(m).alias("metric"), F.col(f"`{m}`").cast("double").alias("value")) for section, names in metrics.items() for m in names]
+    named = df.select("period", (F.lit(None).cast("string") if column is None else column).alias("column"), F.inline(F.array(*pairs)))
+    return named.select("period", "section", "column", "metric", "value")
 
 
 def dataset_facts(rows: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -212,35 +213,34 @@ def period_reports(
     numbers = list(dict.fromkeys([*numeric, *descriptors, *roles, *([score] if score else [])]))
     sweep = swept(rows, numbers)
     facts = checkpointed(numeric_facts(sweep, qs))
-    parts = [melted(dataset_facts(base, given), "summary", ["n_rows", "n_columns", "n_missing_cells", "n_constant_columns", "n_empty_columns", "n_duplicated_rows"])]
-    # columns and quantiles
-    column = F.col("column")
-    parts.append(melted(facts, "columns", ["count", "mean", "std", "min", "p25", "p50", "p75", "max", "distinct", "most_common"], column))
-    missing = rows.groupBy("period").agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in numbers]).unpivot(["period"], numbers, "column", "missing")
-    parts.append(melted(missing.where(F.col("period") != REFERENCE), "columns", ["missing"], column))
-    parts.append(melted(facts, "quantiles", [f"quantile_{q:.2f}" for q in qs], column))
-    # drift
-    drifting = [*numeric, *descriptors]
+    parts = [lines(dataset_facts(base, given), {"summary": ["n_rows", "n_columns", "n_missing_cells", "n_constant_columns", "n_empty_columns", "n_duplicated_rows"]})]
+    # columns, quantiles, and the drift of numbers and descriptors
+    column, drifting = F.col("column"), F.col("column").isin(*numeric, *descriptors)
     devs = rows.where(F.col("period") == REFERENCE).agg(*[F.stddev_pop(F.col(c).cast("double")).alias(c) for c in numbers]).unpivot([], numbers, "column", "ref_std")
-    moved = facts.where(F.col("column").isin(*drifting)).join(devs, "column", "left")
-    moved = moved.withColumn("distance", F.col("wasserstein") / F.greatest(F.col("ref_std"), F.lit(STD_FLOOR))).withColumn("p_value", ks_p_value(F.col("ks"), F.col("n_ref"), F.col("count")))
-    moved = moved.withColumn("drifted", (F.col("p_value") < P_THRESHOLD if small else F.col("distance") >= DISTANCE_THRESHOLD).cast("double"))
-    parts.append(melted(moved, "drift", ["ks", "p_value", "wasserstein", "distance", "drifted"], column))
+    p_value = ks_p_value(F.col("ks"), F.col("n_ref"), F.col("count"))
+    moved = facts.join(devs, "column", "left").withColumns({"distance": F.col("wasserstein") / F.greatest(F.col("ref_std"), F.lit(STD_FLOOR)), "p_value": p_value})
+    drifted = F.col("p_value") < P_THRESHOLD if small else F.col("distance") >= DISTANCE_THRESHOLD
+    tests = {"ks": F.col("ks"), "p_value": F.col("p_value"), "wasserstein": F.col("wasserstein"), "distance": F.col("distance"), "drifted": drifted.cast("double")}
+    moved = moved.withColumns({name: F.when(drifting, value) for name, value in tests.items()})
+    summary = ["count", "mean", "std", "min", "p25", "p50", "p75", "max", "distinct", "most_common"]
+    parts.append(lines(moved, {"columns": summary, "quantiles": [f"quantile_{q:.2f}" for q in qs], "drift": list(tests)}, column))
+    missing = rows.groupBy("period").agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in numbers]).unpivot(["period"], numbers, "column", "missing")
+    parts.append(lines(missing.where(F.col("period") != REFERENCE), {"columns": ["missing"]}, column))
+    # drift of categories and of the data set
     kinds = category_facts(rows, list(dict.fromkeys([*categorical, *roles]))).withColumn("drifted", (F.col("js_distance") >= DISTANCE_THRESHOLD).cast("double"))
-    parts.append(melted(kinds, "drift", ["categories", "js_distance", "chi_square", "drifted"], column))
+    parts.append(lines(kinds, {"drift": ["categories", "js_distance", "chi_square", "drifted"]}, column))
     # the descriptors of a text are facts about it, not columns of the data set
-    counted = moved.where(~F.col("column").isin(*descriptors)) if descriptors else moved
-    flags = counted.select("period", "drifted").unionByName(kinds.select("period", "drifted")).where(F.col("drifted").isNotNull())
+    flags = moved.where(column.isin(*numeric)).select("period", "drifted").unionByName(kinds.select("period", "drifted")).where(F.col("drifted").isNotNull())
     whole = flags.groupBy("period").agg(F.sum("drifted").alias("n_drifted"), F.avg("drifted").alias("drift_share"), (F.avg("drifted") >= SHARE_THRESHOLD).cast("double").alias("data_drift_detected"))
-    parts.append(melted(whole, "drift", ["n_drifted", "drift_share", "data_drift_detected"]))
+    parts.append(lines(whole, {"drift": ["n_drifted", "drift_share", "data_drift_detected"]}))
     # classes
     labelled = base.where(F.col(target).isNotNull() & F.col(prediction).isNotNull())
     if score:
         quality = classification_scores(labelled, y=target, yhat=prediction, score=score, by=["period"])
     else:
         quality = classification_scores(labelled.withColumn("_score", F.lit(None).cast("double")), y=target, yhat=prediction, score="_score", by=["period"])
-    parts.append(melted(quality, "quality", ["accuracy", "precision", "recall", "f1", "log_loss", "auc", "n"]))
-    parts.append(melted(confusion_counts(labelled, y=target, yhat=prediction, by=["period"]), "confusion", ["tn", "fp", "fn", "tp"]))
+    parts.append(lines(quality, {"quality": ["accuracy", "precision", "recall", "f1", "log_loss", "auc", "n"]}))
+    parts.append(lines(confusion_counts(labelled, y=target, yhat=prediction, by=["period"]), {"confusion": ["tn", "fp", "fn", "tp"]}))
     for c in roles:
         shares = class_distribution(base.where(F.col(c).isNotNull()), c, by=["period"])
         parts.append(shares.select("period", F.lit("balance").alias("section"), F.lit(c).alias("column"), F.concat(F.lit("share_"), F.col(c).cast("string")).alias("metric"), F.col("share").alias("value")))
