@@ -462,5 +462,21 @@ def test_labels_and_entry():
     import __spark_entry__ as e
 
     fns, sqls = e.queries(), e.oracle_sql()
-    assert sorted(int(k[2:].split("_")[0]) for k in fns if re.match(r"op\d+_", k)) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in fns if re.match(r"op\d+_", k)) == list(range(1, 14))
     assert "pipeline" in fns and set(sqls) <= set(fns)
+
+
+def test_token_counts_encode_repeated_rows_once(monkeypatch):
+    """What the encoder writes is what it has encoded: one row of each content, however often it comes."""
+    import public_tokenizers
+    import pyarrow as pa
+
+    texts = [f"text number {i % 7}" for i in range(500)]
+    batches = [pa.RecordBatch.from_arrays([pa.array([hashlib.sha256(t.encode()).digest() for t in part]), pa.array(part)], names=["content", "text"]) for part in (texts[:300], texts[300:], ["text number 1"] * 40)]
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    out = [r for b in token_counts.encoder(path)(iter(batches)) for r in b.to_pylist()]
+    assert len(out) == 7 and len({r["content"] for r in out}) == 7
+    # a table of digests that is full starts afresh; equal rows that follow each other are still encoded once
+    monkeypatch.setattr(token_counts, "SEEN", 2)
+    out = [r for b in token_counts.encoder(path)(iter([batches[2]] * 3)) for r in b.to_pylist()]
+    assert len(out) == 1

@@ -23,6 +23,8 @@ from voltide.llm.common import NO_ID, slices, table
 from voltide.operators.ordering import scratch_path
 
 CACHE = "content binary, tokenizer string, n_tokens bigint"
+#: Digests that a task remembers (some 10 MB). Where the rows come sorted, equal ones follow each other anyway.
+SEEN = 100_000
 
 
 def tokenizer_digest(path: str) -> str:
@@ -46,9 +48,19 @@ def counter(path: str):
 
 
 def encoder(path: str):
+    """Rows of (content, text) to counts. Rows with the same id and text are alike up to here and meet in one task (in
+    a few, if adaptive execution splits it): the first one is encoded, the others leave."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = counter(path)
+        seen: set[bytes] = set()
         for part in slices(batches, limit=1 << 20):
+            if len(seen) > SEEN:
+                seen = {part.column("content")[0].as_py()} & seen
+            fresh = [i for i, c in enumerate(part.column("content").to_pylist()) if not (c in seen or seen.add(c))]
+            if not fresh:
+                continue
+            part = part.take(pa.array(fresh))
             n = count(part.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([part.column("content"), pa.array(n, pa.int64())], names=["content", "n_tokens"])
 
