@@ -31,8 +31,10 @@ def zone_free(df):
 
 
 def _stream(spark, d, name, *, max_files=None):
+    """A table as a stream; it is one file or a folder of part files. A file source takes a single file only
+    from a glob, and a glob of one name finds either."""
     schema = spark.read.parquet(f"{d}/{name}.parquet").schema
-    return J.read_stream(spark, d, schema, glob=f"{name}.parquet", max_files=max_files)
+    return J.read_stream(spark, f"{d}/{{{name}.parquet}}", schema, max_files=max_files)
 
 
 @query(
