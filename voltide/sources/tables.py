@@ -132,10 +132,27 @@ def publish_datasets(spark: SparkSession, datasets: dict[str, str], target: str)
 
 
 def file_inventory(spark: SparkSession, path: str) -> DataFrame:
-    """Name, size, modification time and rows of each file under a path (footer-only scan)."""
-    df = spark.read.option("recursiveFileLookup", True).parquet(path)
-    meta = df.select("_metadata.file_path", "_metadata.file_name", "_metadata.file_size", "_metadata.file_modification_time")
-    return meta.groupBy("file_path", "file_name", "file_size", "file_modification_time").agg(F.count(F.lit(1)).alias("rows"))
+    """Name, size, modification time and rows of each file under a path (footer-only scan). The listing as binary
+    files, whose content is not read, brings in the files without rows."""
+    deep = {"recursiveFileLookup": True}
+    held, listed = spark.read.options(**deep).parquet(path), spark.read.options(**deep).format("binaryFile").load(path)
+    keys = ["file_path", "file_name", "file_size", "file_modification_time"]
+    meta = [df.select(*[f"_metadata.{k}" for k in keys], F.lit(n).alias("n")) for df, n in ((held, 1), (listed, 0))]
+    return meta[0].unionByName(meta[1]).groupBy(*keys).agg(F.sum("n").alias("rows"))
+
+
+def dataset_inventory(spark: SparkSession, path: str) -> DataFrame:
+    """Name, files, size, last modification and rows of each entry of a folder: an entry is a file, or a folder with
+    all files below it."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    depth = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(place).depth()
+    below = F.split(F.regexp_replace("file_path", r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?/*", ""), "/")
+    name = F.url_decode(F.replace(F.get(below, depth), F.lit("+"), F.lit("%2B")))
+    return (
+        file_inventory(spark, path)
+        .groupBy(name.alias("name"))
+        .agg(F.count(F.lit(1)).alias("files"), F.sum("file_size").alias("size"), F.max("file_modification_time").alias("modified"), F.sum("rows").alias("rows"))
+    )
 
 
 def metrics_append(metrics: DataFrame, path: str, *, ts: Column, model_version: str = "unknown", run: str | None = None) -> None:
