@@ -2,6 +2,7 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 from support import plan_of
 
 from voltide.functions import text as T
@@ -82,3 +83,23 @@ def test_descriptors(spark, docs):
     got = {r.id: r for r in X.text_descriptor_rows(docs, doc="id", text="t", vocabulary=known).collect()}
     assert got[2].oov_share == pytest.approx(2 / 3) and got[2].non_letter_share == pytest.approx(2 / 13)
     assert got[4].oov_share == 0.0 and got[4].non_letter_share == 0.0
+
+
+def brute_counts(rows):
+    from collections import Counter
+
+    out = Counter()
+    for doc, words in rows:
+        out.update((doc, t) for t in [*words, *(f"{a} {b}" for a, b in zip(words, words[1:]))])
+    return sorted(((*k, n) for k, n in out.items()), key=repr)
+
+
+def test_term_counts_of_rows_without_shuffle_of_terms(spark):
+    """Ids that repeat, no id, no words, no text; rows of an id that comes once are counted where they are."""
+    rng = random.Random(4)
+    texts = [(i, " ".join(rng.choice(["aa", "bb", "cc"]) for _ in range((i or 6) % 7))) for i in [*range(1, 30), 5, 6, 6, None, None]]
+    df = spark.createDataFrame([*texts, (40, None), (41, "")], "id int, t string")
+    got = X.term_counts(df, doc="id", text="t")
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == brute_counts([(i, t.split()) for i, t in texts])
+    alone = plan_of(X.term_counts(spark.range(9).selectExpr("id", "'aa bb' t"), doc="id", text="t"))
+    assert "hashpartitioning(term" not in alone and "partial_sum" in alone and "partial_count" not in alone

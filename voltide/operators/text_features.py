@@ -35,6 +35,44 @@ def explode_known(df: DataFrame, array: Column, name: str, *keep: str) -> DataFr
     return df.select(*keep, F.explode_outer(array).alias(name)).where(F.col(name).isNotNull())
 
 
+def adjacent(words: DataFrame, *keep: str) -> DataFrame:
+    """One row per word ``a`` with the word ``b`` after it, null for the last one."""
+    placed = words.select(*keep, "words", F.posexplode_outer("words").alias("at", "a")).where(F.col("a").isNotNull())
+    return placed.select(*keep, "a", F.get("words", F.col("at") + 1).alias("b"))
+
+
+def run_lengths(array: Column) -> Column:
+    """The distinct elements of an array as ``term`` with their number as ``tf``: the array is sorted inside the
+    row and its runs are measured."""
+
+    def runs(s: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
+        tf = lambda at, at_next: (F.coalesce(at_next, F.size(s)) - at).cast("bigint")
+        each = lambda b: F.transform(b, lambda at, k: F.struct(F.get(s, at).alias("term"), tf(at, F.get(b, k + 1)).alias("tf")))
+        return F.when(F.size(s) > 0, F.get(F.transform(F.array(starts), each), F.lit(0)))
+
+    # an array of one: its element is computed once and bound to the name
+    return F.get(F.transform(F.array(F.sort_array(array)), runs), F.lit(0))
+
+
+def count_by_row(df: DataFrame, array: Column, *, doc: str) -> DataFrame:
+    """Count of each element in each document, as ``count_terms`` gives, without a shuffle of the elements.
+
+    A row counts its own elements. Only documents of several rows, and rows without an id, need the counts
+    of different rows added; the ids that repeat are found by a count of the ids alone.
+    """
+    n = df.groupBy(doc).agg(F.count(F.lit(1)).alias("n")).where((F.col("n") > 1) & F.col(doc).isNotNull())
+    repeated = checkpointed(n.select(doc))
+
+    def counted(rows: DataFrame) -> DataFrame:
+        return explode_known(rows, run_lengths(array), "_c", doc).select(doc, "_c.term", "_c.tf")
+
+    alone = df.where(F.col(doc).isNotNull()).join(repeated, doc, "left_anti")
+    others = df.join(repeated, doc, "left_semi").unionByName(df.where(F.col(doc).isNull()))
+    added = counted(others).groupBy(doc, "term").agg(F.sum("tf").alias("tf"))
+    return counted(alone).unionByName(added)
+
+
 def count_terms(terms: DataFrame, *, doc: str) -> DataFrame:
     """Count of each term in each document; a frequent term is spread over its documents."""
     return terms.groupBy(doc, "term").agg(F.count(F.lit(1)).alias("tf"))
@@ -98,7 +136,7 @@ def count_vocabulary(words: DataFrame, *, doc: str, sizes: tuple[int, int], join
 
 
 def term_counts(df: DataFrame, *, doc: str, text: str, sizes: tuple[int, int] = (1, 2), joiner: str = " ", **how) -> DataFrame:
-    return count_terms(explode_terms(doc_words(df, doc=doc, text=text, **how), doc=doc, sizes=sizes, joiner=joiner), doc=doc)
+    return count_by_row(doc_words(df, doc=doc, text=text, **how), ngrams(F.col("words"), sizes, joiner), doc=doc)
 
 
 def top_k_vocabulary(df: DataFrame, *, doc: str, text: str, max_features: int = 1000, sizes: tuple[int, int] = (1, 2), joiner: str = " ", **how) -> DataFrame:
