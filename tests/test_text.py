@@ -103,3 +103,16 @@ def test_term_counts_of_rows_without_shuffle_of_terms(spark):
     assert sorted((tuple(r) for r in got.collect()), key=repr) == brute_counts([(i, t.split()) for i, t in texts])
     alone = plan_of(X.term_counts(spark.range(9).selectExpr("id", "'aa bb' t"), doc="id", text="t"))
     assert "hashpartitioning(term" not in alone and "partial_sum" in alone and "partial_count" not in alone
+
+
+def test_pairs_are_joined_with_the_frequent_words_alone(spark, monkeypatch):
+    """The written tables that the pairs meet hold the words that may be in the result, not all words."""
+    written, cut = [], X.checkpointed
+    monkeypatch.setattr(X, "checkpointed", lambda df: written.append(cut(df)) or written[-1])
+    texts = [["up", "down"] * 3 + [f"w{i}"] for i in range(50)]
+    words = spark.createDataFrame(list(enumerate(texts)), "id int, words array<string>")
+    for joiner in (" ", "_"):
+        written.clear()
+        got = X.vocabulary(words, sizes=(1, 2), joiner=joiner, max_features=2)
+        assert sorted(tuple(r) for r in got.collect()) == [("down", 150), ("up", 150)]
+        assert max(t.count() for t in written) == 52 and sorted(r.term for r in written[1].collect()) == ["down", "up"]

@@ -1,8 +1,8 @@
 """Term counts, vocabulary, TF-IDF and text descriptors as relational operations.
 
-Every function that needs a vocabulary tokenises the text twice, once for the vocabulary and once
-for the counts. Reading again is cheaper than shuffling every (document, n-gram) pair only to drop
-all but the chosen terms.
+Every function that needs a vocabulary reads the words twice or more, for the vocabulary and for the
+counts. They are written once, as arrays, and read again: that is cheaper than tokenising again, and much
+cheaper than shuffling every (document, n-gram) pair only to drop all but the chosen terms.
 """
 
 from __future__ import annotations
@@ -93,40 +93,53 @@ def vocabulary(words: DataFrame, *, sizes: tuple[int, int], joiner: str, max_fea
     A pair is never more frequent than either of its words, and the ``max_features``-th word bounds
     the list from below. So only pairs of two words at least that frequent can get in, and all
     others leave before they are counted or shuffled: without this, nearly every distinct pair of
-    the corpus would cross the network. A word that contains the joiner may look like a pair; pairs
-    that spell such a word are kept as well and counted with it.
+    the corpus would cross the network. A word that contains the joiner may look like a pair, and pairs of
+    such words may look like others; see ``lookalikes``.
 
-    The threshold is a scalar subquery and the joins carry no hint: how they run is left to the sizes
-    found at run time. Tokens hold no white space, so a blank as the joiner leaves no look-alikes.
+    The threshold is a scalar subquery and the joins carry no hint. The frequent words are few, but only
+    their table shows it: they are written first, so that the plan knows their size and all pairs need not be
+    shuffled for the join. Tokens hold no white space, so a blank as the joiner leaves no look-alikes.
     """
     if sizes != (1, 2):
         return top_terms(corpus_counts(explode_known(words, ngrams(F.col("words"), sizes, joiner), "term")), max_features)
     single = checkpointed(corpus_counts(explode_known(words, F.col("words"), "term")))
     edge = top_terms(single, max_features).agg(F.when(F.count(F.lit(1)) == max_features, F.min("corpus_count")).otherwise(F.lit(0)).alias("least"))
     often = F.col("corpus_count") >= edge.scalar()
-    w = F.col("words")
-    zipped = F.arrays_zip(w.alias("a"), F.slice(w, F.lit(2), F.greatest(F.size(w), F.lit(1))).alias("b"))
-    pairs = words.select(F.explode_outer(zipped).alias("z")).select("z.a", "z.b").where(F.col("b").isNotNull())
-    frequent = single.where(often).select("term")
-    kept = single.where(often)
+    frequent = checkpointed(single.where(often))
+    pairs = adjacent(words).where(F.col("b").isNotNull())
+    kept = frequent
     if joiner.isspace():
         for side in ("a", "b"):
             pairs = pairs.join(frequent.select(F.col("term").alias(side)), side, "left_semi")
     else:
-        alike = F.col("term").contains(joiner)
+        spelled = checkpointed(lookalikes(single, edge.scalar(), joiner))
         for side in ("a", "b"):
             pairs = pairs.join(frequent.select(F.col("term").alias(side), F.lit(1).alias(f"in_{side}")), side, "left")
-        spelled = F.concat("a", F.lit(joiner), "b")
-        words_alike = single.where(alike).select(F.col("term").alias("_spelled"), F.lit(1).alias("in_words"))
-        pairs = pairs.join(words_alike, spelled == F.col("_spelled"), "left")
-        pairs = pairs.where((F.col("in_a").isNotNull() & F.col("in_b").isNotNull()) | F.col("in_words").isNotNull())
-        kept = single.where(often | alike)
+        pairs = pairs.join(spelled.select("a", "b", F.lit(1).alias("in_words")), ["a", "b"], "left")
+        unclear = F.col("a").contains(joiner) | F.col("b").contains(joiner)
+        pairs = pairs.where((F.col("in_a").isNotNull() & F.col("in_b").isNotNull()) | F.col("in_words").isNotNull() | unclear)
+        kept = single.where(often | F.col("term").contains(joiner))
     counted = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("corpus_count"))
     joined = counted.select(F.concat("a", F.lit(joiner), "b").alias("term"), "corpus_count")
     together = kept.unionByName(joined).groupBy("term").agg(F.sum("corpus_count").alias("corpus_count"))
     return top_terms(together, max_features)
 
 
+def lookalikes(single: DataFrame, least: Column, joiner: str) -> DataFrame:
+    """(a, b) of the words that a pair may spell and that may reach the threshold together with it.
+
+    A pair of words without the joiner spells a word with one joiner in it, and no other pair spells that. The pair
+    occurs as often as the rarer of its words at most, which bounds the count of word and pair. Pairs of words that
+    hold the joiner themselves may spell the same in several ways: the caller keeps them all.
+    """
+    parts = F.split(F.col("term"), "\\Q" + joiner + "\\E")
+    whole = F.size(parts) == 2
+    split = single.where(whole).select(F.get(parts, F.lit(0)).alias("a"), F.get(parts, F.lit(1)).alias("b"), F.col("corpus_count").alias("n"))
+    for side in ("a", "b"):
+        split = split.join(single.select(F.col("term").alias(side), F.col("corpus_count").alias(f"n_{side}")), side)
+    return split.where(F.col("n") + F.least("n_a", "n_b") >= least).select("a", "b")
+
+
 def count_vocabulary(words: DataFrame, *, doc: str, sizes: tuple[int, int], joiner: str, max_features: int) -> DataFrame:
     """Counts per document of the ``max_features`` most frequent terms: the others are dropped
     before the shuffle."""
@@ -140,7 +153,8 @@ def term_counts(df: DataFrame, *, doc: str, text: str, sizes: tuple[int, int] =
 
 
 def top_k_vocabulary(df: DataFrame, *, doc: str, text: str, max_features: int = 1000, sizes: tuple[int, int] = (1, 2), joiner: str = " ", **how) -> DataFrame:
-    return vocabulary(doc_words(df, doc=doc, text=text, **how), sizes=sizes, joiner=joiner, max_features=max_features)
+    words = doc_words(df, doc=doc, text=text, **how)
+    return vocabulary(checkpointed(words) if sizes == (1, 2) else words, sizes=sizes, joiner=joiner, max_features=max_features)
 
 
 def count_vectorize(df: DataFrame, *, doc: str, text: str, max_features: int = 1000, sizes: tuple[int, int] = (1, 2), joiner: str = " ", **how) -> DataFrame:
