@@ -116,3 +116,18 @@ def test_pairs_are_joined_with_the_frequent_words_alone(spark, monkeypatch):
         got = X.vocabulary(words, sizes=(1, 2), joiner=joiner, max_features=2)
         assert sorted(tuple(r) for r in got.collect()) == [("down", 150), ("up", 150)]
         assert max(t.count() for t in written) == 52 and sorted(r.term for r in written[1].collect()) == ["down", "up"]
+
+
+@pytest.mark.parametrize("k", [1, 3, 8, 1000])
+def test_pairs_that_spell_the_same_term(spark, k):
+    """a_b and c, a and b_c, and the word a_b_c are one term; words with several or outer joiners."""
+    rng = random.Random(k)
+    texts = [[rng.choice(["a", "b", "c", "a_b", "b_c", "a_b_c", "_", "_a", "b_", "a__b"]) for _ in range(rng.randint(0, 12))] for _ in range(60)]
+    words = spark.createDataFrame(list(enumerate(texts)), "id int, words array<string>")
+    top = brute_vocabulary(texts, k, "_")
+    got = X.vocabulary(words, sizes=(1, 2), joiner="_", max_features=k).collect()
+    assert sorted(((r.term, r.corpus_count) for r in got), key=lambda x: (-x[1], x[0])) == top
+    chosen = {t for t, _ in top}
+    counts = X.count_vocabulary(words, doc="id", sizes=(1, 2), joiner="_", max_features=k)
+    want = [(i, t, n) for i, ws in enumerate(texts) for t, n in brute_vocabulary([ws], 10**6, "_") if t in chosen]
+    assert sorted(tuple(r) for r in counts.collect()) == sorted(want)

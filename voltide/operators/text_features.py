@@ -142,10 +142,23 @@ def lookalikes(single: DataFrame, least: Column, joiner: str) -> DataFrame:
 
 def count_vocabulary(words: DataFrame, *, doc: str, sizes: tuple[int, int], joiner: str, max_features: int) -> DataFrame:
     """Counts per document of the ``max_features`` most frequent terms: the others are dropped
-    before the shuffle."""
+    before the shuffle.
+
+    With pairs, each word is looked up once, with the word after it only if a chosen pair begins with it; no
+    pair is spelled out for that. A term with several joiners may be several pairs.
+    """
     chosen = vocabulary(words, sizes=sizes, joiner=joiner, max_features=max_features).select("term")
-    terms = explode_terms(words, doc=doc, sizes=sizes, joiner=joiner)
-    return count_terms(terms.join(chosen, "term", "inner"), doc=doc)
+    if sizes != (1, 2):
+        return count_terms(explode_terms(words, doc=doc, sizes=sizes, joiner=joiner).join(chosen, "term", "inner"), doc=doc)
+    parts, cut = F.split("term", f"\\Q{joiner}\\E"), F.col("cut")
+    side = lambda start, n: F.array_join(F.slice(parts, start, n), joiner)
+    cuts = chosen.where(F.size(parts) > 1).select("term", F.explode(F.sequence(F.lit(1), F.size(parts) - 1)).alias("cut"))
+    pairs = cuts.select(side(F.lit(1), cut).alias("_first"), side(cut + 1, F.size(parts) - cut).alias("b"), F.col("term").alias("_pair"))
+    heads = chosen.select(F.col("term").alias("a"), F.col("term").alias("_word"), F.lit(None).cast("string").alias("_first"))
+    heads = heads.unionByName(pairs.select(F.col("_first").alias("a"), F.lit(None).cast("string").alias("_word"), "_first"))
+    heads = heads.groupBy("a").agg(F.max("_word").alias("_word"), F.max("_first").alias("_first"))
+    hits = adjacent(words, doc).join(heads, "a").join(pairs, ["_first", "b"], "left")
+    return count_terms(explode_known(hits, F.array("_word", "_pair"), "term", doc), doc=doc)
 
 
 def term_counts(df: DataFrame, *, doc: str, text: str, sizes: tuple[int, int] = (1, 2), joiner: str = " ", **how) -> DataFrame:
@@ -158,7 +171,8 @@ def top_k_vocabulary(df: DataFrame, *, doc: str, text: str, max_features: int =
 
 
 def count_vectorize(df: DataFrame, *, doc: str, text: str, max_features: int = 1000, sizes: tuple[int, int] = (1, 2), joiner: str = " ", **how) -> DataFrame:
-    return count_vocabulary(doc_words(df, doc=doc, text=text, **how), doc=doc, sizes=sizes, joiner=joiner, max_features=max_features)
+    words = checkpointed(doc_words(df, doc=doc, text=text, **how))
+    return count_vocabulary(words, doc=doc, sizes=sizes, joiner=joiner, max_features=max_features)
 
 
 def tfidf(df: DataFrame, *, doc: str, text: str, max_features: int = 1000, **how) -> DataFrame:
