@@ -131,3 +131,12 @@ def test_pairs_that_spell_the_same_term(spark, k):
     counts = X.count_vocabulary(words, doc="id", sizes=(1, 2), joiner="_", max_features=k)
     want = [(i, t, n) for i, ws in enumerate(texts) for t, n in brute_vocabulary([ws], 10**6, "_") if t in chosen]
     assert sorted(tuple(r) for r in counts.collect()) == sorted(want)
+
+
+def test_weights_share_one_exchange_of_the_counts(spark, docs):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        counts = X.count_terms(docs.select("id", F.explode(T.tokenize("t")).alias("term")), doc="id")
+        assert "ReusedExchange" in plan_of(X.weigh(counts, docs, doc="id"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")

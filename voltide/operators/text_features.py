@@ -182,9 +182,13 @@ def tfidf(df: DataFrame, *, doc: str, text: str, max_features: int = 1000, **how
 
 
 def weigh(counts: DataFrame, docs: DataFrame, *, doc: str) -> DataFrame:
-    """TF-IDF weights from term counts; ``docs`` gives the number of documents."""
+    """TF-IDF weights from term counts; ``docs`` gives the number of documents.
+
+    The documents of a term are counted by ``tf``, which is 1 or more: both uses of the counts then need the same
+    columns and share one exchange.
+    """
     n_docs = docs.agg(F.count(F.lit(1))).scalar()
-    spread_of = counts.groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"))
+    spread_of = counts.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("doc_freq"))
     idf = spread_of.select("term", (F.ln((1 + n_docs) / (1 + F.col("doc_freq"))) + 1).alias("idf"))
     raw = counts.join(idf, "term", "inner").withColumn("_w", F.col("tf") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(doc)))  # as many rows as the vocabulary has terms
