@@ -133,6 +133,13 @@ def test_pairs_that_spell_the_same_term(spark, k):
     assert sorted(tuple(r) for r in counts.collect()) == sorted(want)
 
 
+def test_stems_of_words(spark):
+    words = ["sings", "singing", "beds", "asings", "singly", "es", "", "edlyed", "cities"]
+    df = spark.createDataFrame([(words,)], "words array<string>")
+    one_by_one = [r.s for r in df.select(F.explode("words").alias("w")).select(X.suffix_stem(F.col("w")).alias("s")).collect()]
+    assert df.select(X.stemmed("words")).first()[0] == one_by_one
+
+
 def test_weights_share_one_exchange_of_the_counts(spark, docs):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:

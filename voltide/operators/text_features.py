@@ -210,9 +210,17 @@ def distinct_tokens(df: DataFrame, *, doc: str, text: str) -> DataFrame:
 
 def suffix_stem(token: Column) -> Column:
     """A small English suffix rule, used where no (token, stem) table is given."""
-    short = F.length(token) <= 4
-    cut = F.regexp_replace(token, r"(ings?|edly|ed|ly|ies|es|s)$", "")
-    return F.when(short | (F.length(cut) < 3), token).otherwise(cut)
+    cut = cut_suffix(token)
+    return F.when(F.length(cut) < 3, token).otherwise(cut)
+
+
+def cut_suffix(token: Column) -> Column:
+    return F.when(F.length(token) <= 4, token).otherwise(F.regexp_replace(token, r"(ings?|edly|ed|ly|ies|es|s)$", ""))
+
+
+def stemmed(words: str) -> Column:
+    """``suffix_stem`` of each word of an array column; the pattern runs once a word."""
+    return F.zip_with(words, F.transform(words, cut_suffix), lambda token, cut: F.when(F.length(cut) < 3, token).otherwise(cut))
 
 
 def stem_table(df: DataFrame, *, doc: str, text: str) -> DataFrame:
@@ -227,7 +235,7 @@ def direction_words(df: DataFrame, *, doc: str, text: str, stems: DataFrame | No
     """
     if stems is None:
         plain = doc_words(df, doc=doc, text=text, stopwords=stopwords, pattern=WORD)
-        return plain.select(doc, F.transform("words", suffix_stem).alias("words"))
+        return plain.select(doc, stemmed("words").alias("words"))
     tokens = stem_dictionary(df, doc=doc, text=text, stems=stems, stopwords=stopwords)
     placed = tokens.groupBy(doc).agg(F.array_sort(F.collect_list(F.struct("pos", "stem"))).alias("_placed"))
     return placed.select(doc, F.col("_placed.stem").alias("words"))
@@ -235,7 +243,7 @@ def direction_words(df: DataFrame, *, doc: str, text: str, stems: DataFrame | No
 
 def direction_analyzer_tfidf(df: DataFrame, *, doc: str, text: str, stems: DataFrame | None = None, stopwords: Sequence[str] = (), max_features: int = 800) -> DataFrame:
     """TF-IDF over single stems and adjacent pairs joined by ``_``."""
-    words = direction_words(df, doc=doc, text=text, stems=stems, stopwords=stopwords)
+    words = checkpointed(direction_words(df, doc=doc, text=text, stems=stems, stopwords=stopwords))
     counts = count_vocabulary(words, doc=doc, sizes=(1, 2), joiner="_", max_features=max_features)
     return weigh(counts, df, doc=doc)
 
