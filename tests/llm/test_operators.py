@@ -271,6 +271,40 @@ def test_nothing_to_learn_from():
     assert secrets.train([]) is None and secrets.train(["no candidate here"]) is None
 
 
+def test_network_learns_from_every_document(spark, monkeypatch):
+    """All candidates with their numbers, beyond any bound on documents; several parts; the same network again."""
+    import random
+
+    rnd = random.Random(8)
+    key = lambda: "".join(rnd.choice("0123456789abcdef") for _ in range(20))
+    texts = [f"some words password={key()} and more" if i % 2 else f"see page www.example.com/article-{i:04d} today" for i in range(4000)] + ["copy token=0123456789abcdef01 copy"] * 30
+    df = spark.createDataFrame([(i // 2, t) for i, t in enumerate([*texts, None, ""])], "doc_id bigint, text string").repartition(5)
+    want = {}
+    for t in texts:
+        for w, y in secrets.labelled(t):
+            want[w.tobytes(), y] = want.get((w.tobytes(), y), 0) + 1
+    rows = secrets.training_rows(df)
+    assert {(bytes(r["x"]), r["y"]): r["n"] for r in rows.collect()} == want and sum(want.values()) == 4030
+    monkeypatch.setattr(secrets, "PART_ROWS", 1500)
+    nets = [secrets.fitted(df.repartition(n)) for n in (3, 6)]
+    assert all((a == b).all() for a, b in zip(nets[0].p, nets[1].p)) and nets[0].threshold == nets[1].threshold
+    found = secrets.found(texts, nets[0])
+    assert sum(any(k == 3 for _, k, _ in f) for f in found[:4000:2]) <= 20
+    hits = [nets[0].score(np.stack([w for w, y in secrets.labelled(t) if y])) >= nets[0].threshold for t in texts if "=" in t]
+    assert np.mean(hits) >= 0.9
+
+
+def test_calibration_on_a_table_is_that_on_arrays(spark):
+    rng = np.random.default_rng(2)
+    net, plain = secrets.Network(), secrets.Network()
+    x = rng.integers(32, 127, (300, secrets.LEFT + secrets.BODY + secrets.RIGHT)).astype(np.uint8)
+    y, n = (rng.random(300) < 0.3).astype(int), rng.integers(1, 9, 300)
+    plain.calibrate(np.repeat(x, n, 0), np.repeat(y, n), 0.95)
+    rows = spark.createDataFrame([(bytes(a), int(b), int(c)) for a, b, c in zip(x, y, n)], "x binary, y int, n bigint")
+    secrets.calibrate_on(net, rows, 0.95)
+    assert np.allclose([net.slope, net.shift, net.threshold, net.precision], [plain.slope, plain.shift, plain.threshold, plain.precision], atol=1e-5)
+
+
 # neighbours
 
 
