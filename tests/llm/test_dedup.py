@@ -3,6 +3,7 @@
 import random
 
 import brute
+import numpy as np
 import pytest
 
 from voltide.llm import jaccard, packed, substring, suffix_dedup
@@ -187,3 +188,33 @@ def test_suffix_dedup_of_planted_passages_around_the_length(spark):
     assert [removed[i] for i in (0, 1, 2, 10, 11, 12, 100)] == [0] * 7
     assert [removed[i] for i in (20, 21, 22)] == [559] * 3 and removed[101] == 400
     assert removed[102] == removed[103] == 400
+
+
+def test_shared_anchors_go_back_in_blocks():
+    """However many documents share anchors, a part sends one block for each part, not a row for each document."""
+    keys = np.stack([np.arange(200), np.arange(200) * 7], 1)
+    blobs = []
+    for half in (keys[:100], keys[100:]):
+        sent = packed.Gathered(4, False)
+        h = np.tile(np.arange(1, 4, dtype=np.uint64) << np.uint64(40), 100)
+        sent.add(h, np.repeat(half[:, 0], 3).astype(np.uint64), np.repeat(np.arange(100), 3), np.tile(np.array([[1, 0, 1], [5, 4, 5], [9, 8, 9]]), (100, 1)), half)
+        blobs += sent.blocks()
+    out = [r for p in range(4) if (mine := [b for b in blobs if b[0] == p]) for r in packed.merged(4, False)(packed.part_table(mine)).to_pylist()]
+    assert len(out) <= len(blobs)
+    found = {}
+    for p in range(4):
+        for r in packed.by_key(packed.part_table([(p, r["blob"]) for r in out if r["part"] == p])).to_pylist():
+            found[r["k1"], r["k2"]] = packed.spots_of(r["spots"]).tolist()
+    assert found == {tuple(k): [[1, 0, 1], [5, 4, 5], [9, 8, 9]] for k in keys.tolist()}
+
+
+def test_substring_texts_cross_the_network_once(spark):
+    df = spark.createDataFrame([(i, " ".join(f"w{j}" for j in range(i, i + 40))) for i in range(20)], SCHEMA)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        found = substring.dedup(df)
+        assert len(found.collect()) == 20
+        assert "ReusedExchange" in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
