@@ -218,3 +218,24 @@ def test_substring_texts_cross_the_network_once(spark):
         assert "ReusedExchange" in found._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_jaccard_candidates_come_from_one_side_in_blocks():
+    """Forty sets in groups of their own that share all tokens: each pair of groups once, and a block for each part."""
+    tokens = np.arange(30, dtype=np.uint64) << np.uint64(56)
+    sent = jaccard.Postings(3)
+    for i in range(40):
+        sent.add(tokens, i * 10**15, i * 10**15, 30, 3, 30, 30)
+    table_ = sent.blocks()
+    blobs = list(zip(table_.column("part").to_pylist(), table_.column("blob").to_pylist()))
+    met = [jaccard.qualifying(3, 75)(packed.part_table([b for b in blobs if b[0] == p])) for p in sorted({b[0] for b in blobs})]
+    assert all(m.num_rows <= 3 for m in met)
+    rows = [r for m in met for r in m.to_pylist()]
+    pairs = [tuple(r.values()) for p in sorted({r["part"] for r in rows}) for r in jaccard.enough(packed.part_table([(p, r["blob"]) for r in rows if r["part"] == p])).to_pylist()]
+    assert sorted((jaccard.short(q), jaccard.short(g)) for q, g in pairs) == [(i * 10**15, j * 10**15) for i in range(40) for j in range(i + 1, 40)]
+
+
+def test_jaccard_sends_few_texts_without_a_partner(spark):
+    rows = spark.range(2000).selectExpr("id AS k1", "xxhash64(id) AS k2", "'t' AS text")
+    kept = {r["k1"] for r in jaccard.possible(rows, rows.where("k1 < 50")).collect()}
+    assert set(range(50)) <= kept and len(kept) < 100
