@@ -239,3 +239,55 @@ def test_jaccard_sends_few_texts_without_a_partner(spark):
     rows = spark.range(2000).selectExpr("id AS k1", "xxhash64(id) AS k2", "'t' AS text")
     kept = {r["k1"] for r in jaccard.possible(rows, rows.where("k1 < 50")).collect()}
     assert set(range(50)) <= kept and len(kept) < 100
+
+
+def test_jaccard_rows_of_near_copies_do_not_grow_with_their_pairs(spark, monkeypatch):
+    """Of 240 copies with one to nine words changed, many pairs link and many do not: one link for two groups, few candidates."""
+    rnd = random.Random(5)
+    base = [f"w{i}" for i in range(240)]
+    rows = []
+    for i in range(240):
+        t = list(base)
+        for _ in range(rnd.choice([1, 2, 3, 4, 5, 9])):
+            t[rnd.randrange(len(t))] = f"x{rnd.randrange(10**6)}"
+        rows.append((i, " ".join(t)))
+    components, written, links, made = jaccard.components, jaccard.written, [], {}
+
+    def counted(edges, **how):
+        links.append(edges.count())
+        return components(edges, **how)
+
+    def kept(df, name):
+        out = written(df, name)
+        made[name] = out.count()
+        return out
+
+    monkeypatch.setattr(jaccard, "components", counted)
+    monkeypatch.setattr(jaccard, "written", kept)
+    got = jaccard.link_classes(spark.createDataFrame(rows, SCHEMA).repartition(4))
+    expected = brute.components(rows)
+    assert sorted(tuple(r) for r in got.select("id", "n_shingles", "component_id").collect()) == expected
+    assert 20 < len({r[2] for r in expected}) < 120
+    assert sum(links) <= 4 * len(rows) and made["chosen"] <= 4 * len(rows)
+
+
+def test_jaccard_bound_of_shared_prefix_tokens_holds_for_linked_sets():
+    """Linked sets share at least the tokens of their prefixes that the bound asks for, whatever their order."""
+    rnd = np.random.default_rng(3)
+    met = 0
+    for _ in range(4000):
+        percent = int(rnd.choice([50, 75, 90]))
+        size, tenths = int(rnd.integers(1, 80)), int(rnd.integers(1, 5))
+        a = rnd.choice(200, size, replace=False)
+        drop = int(rnd.integers(0, max(1, size // 4) + 1))
+        b = np.concatenate([a[drop:], 200 + rnd.choice(100, int(rnd.integers(0, 12)), replace=False)])
+        order = rnd.permutation(300).astype(np.uint64)
+        a, b = np.sort(order[a]), np.sort(order[b])
+        if not len(b) or not jaccard.linked(a, b, percent):
+            continue
+        met += 1
+        hot = np.sort(rnd.choice(300, 60, replace=False)).astype(np.uint64)
+        both = len(np.intersect1d(*(jaccard.prefix(x, hot, percent, tenths) for x in (a, b))))
+        for low, high in ((len(b), len(b)), (1, 300), (len(b) - 2, len(b) + 5)):
+            assert both >= jaccard.shared(np.array([len(a)]), np.array([low]), np.array([high]), percent, tenths)[0]
+    assert met > 500
