@@ -291,3 +291,15 @@ def test_jaccard_bound_of_shared_prefix_tokens_holds_for_linked_sets():
         for low, high in ((len(b), len(b)), (1, 300), (len(b) - 2, len(b) + 5)):
             assert both >= jaccard.shared(np.array([len(a)]), np.array([low]), np.array([high]), percent, tenths)[0]
     assert met > 500
+
+
+def test_few_edges_are_few_files(spark, many_chunks):
+    """Each file of a local folder makes its executor start processes; rounds over a few edges wrote one for each partition."""
+    rnd = random.Random(4)
+    edges = [(i, rnd.randrange(i)) for i in range(1, 400) if i % 50]
+    root = {}
+    for a, b in edges:
+        root[a] = root.get(b, b)
+    got = jaccard.components(spark.createDataFrame(edges, "a bigint, b bigint").repartition(8))
+    assert {r["node"]: r["root"] for r in got.collect()} == root
+    assert len(got.inputFiles()) == 1

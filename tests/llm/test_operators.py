@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -413,6 +414,28 @@ def test_leaks_against_plain_alignment():
     assert decontaminate.leaks(index, [decontaminate.normal(t) for t in texts]) == [plain_leaks(t, items) for t in texts]
 
 
+def test_leaks_look_up_a_stretch_of_characters_at_a_time(monkeypatch):
+    """What a slice of texts takes is a few numbers a character, and a passage over the border of two stretches is found."""
+    rnd = np.random.default_rng(8)
+    word = lambda: "".join(map(chr, rnd.integers(97, 123, 7)))
+    words = [word() for _ in range(3000)]
+    item = " ".join(words[:40])
+    index = decontaminate.Index([(1, item)])
+    texts = [" ".join(rnd.choice(words[40:], 400)) for _ in range(300)]
+    texts[7] += " " + item
+    tracemalloc.start()
+    try:
+        got = decontaminate.leaks(index, texts, every_start=True)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert [i for i, x in enumerate(got) if x] == [7]
+    assert peak < 24 * sum(map(len, texts))
+    for step in (50, 64, 1001):
+        monkeypatch.setattr(decontaminate, "STEP", step)
+        assert decontaminate.leaks(index, texts[5:9], every_start=True) == got[5:9]
+
+
 def test_leaks_at_every_start():
     import random
 
