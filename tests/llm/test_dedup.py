@@ -1,13 +1,15 @@
 """Suffix-array dedup, substring dedup and the Jaccard join against plain versions."""
 
 import random
+import tracemalloc
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from voltide.llm import jaccard, packed, substring, suffix_dedup
-from voltide.llm.common import table
+from voltide.llm.common import lean, table
 
 SCHEMA = "doc_id bigint, text string"
 
@@ -303,3 +305,98 @@ def test_few_edges_are_few_files(spark, many_chunks):
     got = jaccard.components(spark.createDataFrame(edges, "a bigint, b bigint").repartition(8))
     assert {r["node"]: r["root"] for r in got.collect()} == root
     assert len(got.inputFiles()) == 1
+
+
+def anchor_table(rnd, n_blocks, n, keys, parts=1):
+    """Blocks of anchors of one part, as tasks send them, and the same anchors as (context, owner, key)."""
+    blobs, plain_rows = [], []
+    for k in range(n_blocks):
+        gathered = packed.Gathered(parts, False)
+        h = rnd.integers(0, 1 << 63, n).astype(np.uint64) * np.uint64(2)
+        if plain_rows:
+            again = np.concatenate([r[0] for r in plain_rows])
+            h[: n // 4] = rnd.choice(again, n // 4)
+        doc = np.sort(rnd.integers(0, keys, n))
+        owner = (doc + 7 * (k % 3)).astype(np.uint64)
+        own = np.stack([np.arange(keys) + k * keys, np.arange(keys) * 3], 1).astype(np.int64)
+        plain_rows.append((h, owner, own[doc]))
+        gathered.add(h, owner, doc, np.zeros((n, 0), np.int32), own)
+        blobs += gathered.blocks()
+    return packed.part_table(blobs), [np.concatenate([r[i] for r in plain_rows]) for i in range(3)]
+
+
+def found_by_key(out):
+    found = {}
+    for blob in out.column("blob"):
+        b = packed.unpack(blob.as_py())
+        for key, count in zip(b["keys"].tolist(), b["count"].tolist()):
+            found[tuple(key)] = found.get(tuple(key), 0) + count
+    return found
+
+
+@pytest.mark.parametrize("run", [37, 1000, 500_000])
+def test_anchors_met_with_two_owners_by_stretches(run, monkeypatch):
+    """The stretches of hashes in which a part is sorted do not change which anchors are found."""
+    whole, (h, owner, keys) = anchor_table(np.random.default_rng(run), 6, 600, 40)
+    monkeypatch.setattr(packed, "RUN", run)
+    owners, expected = {}, {}
+    for x, o in zip((h >> np.uint64(64 - packed.SENT)).tolist(), owner.tolist()):
+        owners.setdefault(x, set()).add(o)
+    for x, key in zip((h >> np.uint64(64 - packed.SENT)).tolist(), keys.tolist()):
+        if len(owners[x]) > 1:
+            expected[tuple(key)] = expected.get(tuple(key), 0) + 1
+    assert len(expected) > 30
+    assert found_by_key(packed.merged(3, False)(whole)) == expected
+
+
+def test_memory_of_a_part_of_anchors_follows_its_blocks(monkeypatch):
+    """Of a large part only a stretch is sorted at a time: sorting all of it took 114 bytes an anchor, this takes 25."""
+    monkeypatch.setattr(packed, "RUN", 20_000)
+    n = 40 * 10_000
+    whole, _ = anchor_table(np.random.default_rng(1), 40, 10_000, 200)
+    tracemalloc.start()
+    try:
+        packed.merged(3, False)(whole)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 60 * n
+
+
+def test_prefix_tokens_fall_on_all_parts_alike(spark, monkeypatch):
+    """A prefix has the least hashes of its set; cut by range, the first third of the parts got nearly all of them."""
+
+    class Sent(Exception):
+        pass
+
+    def caught(rows, find, **how):
+        raise Sent(find)
+
+    monkeypatch.setattr(jaccard, "shared_anchors", caught)
+    rnd = random.Random(5)
+    texts = [" ".join(str(rnd.randrange(1000)) for _ in range(300)) for _ in range(200)]
+    with pytest.raises(Sent) as sent:
+        jaccard.link_classes(spark.createDataFrame(list(enumerate(texts)), SCHEMA))
+    h = sent.value.args[0](pa.record_batch([pa.array(texts)], names=["text"]))[0]
+    parts = np.bincount((h >> np.uint64(32)).astype(np.int64) * 20 >> 32, minlength=20)
+    assert parts.max() < 1.3 * parts.mean()
+
+
+def test_freed_memory_goes_back():
+    """What a group has freed must not stay with the Python worker, where it would stand beside the next step's memory."""
+
+    def resident():
+        return int(open("/proc/self/statm").read().split()[1]) * 4096
+
+    kept = []
+
+    def run(whole):
+        # below the size that has a mapping of its own; what is kept is at the end and holds the heap up
+        held = [np.ones(7_000) for _ in range(6_000)]
+        kept.append(held[-1])
+        during.append(resident())
+        return whole
+
+    during = []
+    lean(run)(pa.table({"a": [1]}))
+    assert resident() < during[0] - 200_000_000
